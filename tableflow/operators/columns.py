@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableflow.functions.casting import safe_try_cast
 from tableflow.functions.conditions import Predicate, case_chain
 from tableflow.functions.text import safe_name
 
@@ -53,6 +54,7 @@ def cast_schema(
     are kept; map entries not in ``df`` are ignored.
     """
     specify_format = specify_format or {}
+    types = dict(df.dtypes)
     out = []
     for name in df.columns:
         target = schema.get(name)
@@ -66,7 +68,7 @@ def cast_schema(
             parsed = F.date_trunc("second", F.try_to_timestamp(c.cast("string"), F.lit(fmt)))
             out.append(parsed.cast(target).alias(name))
         else:
-            out.append(c.try_cast(target).alias(name))
+            out.append(safe_try_cast(c, target, types.get(name)).alias(name))
     return df.select(*out)
 
 
@@ -104,7 +106,7 @@ def round_cols(df: DataFrame, scales: Mapping[str, int]) -> DataFrame:
             continue
         c = F.col(_q(name))
         if types[name] == "string":
-            c = c.try_cast("double")
+            c = safe_try_cast(c, "double", "string")
         repl[name] = F.round(c, scale)
     return df.withColumns(repl) if repl else df
 

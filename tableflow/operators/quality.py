@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow.functions.casting import safe_try_cast
 from tableflow.functions.text import split_lines
 from tableflow.operators.columns import TIMESTAMP_TYPES, _q
 
@@ -92,6 +93,7 @@ def schema_conformance(
     convert to the declared type (NULL when the column is on one side only).
     """
     table_cols = list(df.columns)
+    types = dict(df.dtypes)
     rows = []
     for name in table_cols + [c for c in declared if c not in table_cols]:
         in_table = name in table_cols
@@ -101,7 +103,7 @@ def schema_conformance(
             if dtype.lower() in TIMESTAMP_TYPES:
                 conv = F.try_to_timestamp(c.cast("string"), F.lit(time_format))
             else:
-                conv = c.try_cast(dtype)
+                conv = safe_try_cast(c, dtype, types.get(name))
             bad = F.count_if(c.isNotNull() & conv.isNull()).cast("bigint")
         else:
             bad = F.lit(None).cast("bigint")

@@ -1,0 +1,84 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableflow.functions.conditions import case_chain
+from tableflow.operators import (
+    cast_schema, drop_cols, parse_amount, rename_cols, round_cols, safe_names, select_rename, with_case,
+)
+
+
+def test_rename_ignores_missing_and_is_sequential(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert rename_cols(df, {"a": "x", "zz": "y"}).columns == ["x", "b", "c"]
+    # applied one after another: a->b then b->c renames both former a and b
+    assert rename_cols(df, {"a": "b", "b": "q"}).columns == ["q", "q", "c"]
+    assert rename_cols(df, {"A": "x"}).columns == ["x", "b", "c"]
+
+
+def test_drop_ignores_missing(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert drop_cols(df, ["b", "nope"]).columns == ["a", "c"]
+
+
+def test_cast_schema_bad_values_become_null(spark):
+    # N2
+    df = spark.createDataFrame(
+        [("12", "05/01/2020", "1.5"), ("x1", "31/02/2020", "abc"), (None, "2020-01-05", None),
+         (" 7 ", "05/01/2020 10:00", "2")],
+        "n string, d string, p string",
+    )
+    out = cast_schema(df, {"n": "bigint", "d": "timestamp", "p": "double", "absent": "int"}).collect()
+    assert [r.n for r in out] == [12, None, None, 7]
+    assert out[0].d == dt.datetime(2020, 1, 5)
+    assert [r.d for r in out[1:]] == [None, None, None]
+    assert [r.p for r in out] == [1.5, None, None, 2.0]
+    assert cast_schema(df, {"n": "int"}).schema["d"].dataType.simpleString() == "string"
+
+
+def test_cast_schema_specific_format(spark):
+    df = spark.createDataFrame([("2020-01-05", "05/01/2020")], "a string, b string")
+    r = cast_schema(df, {"a": "timestamp", "b": "timestamp"}, specify_format={"a": "yyyy-MM-dd"}).first()
+    assert r.a == r.b == dt.datetime(2020, 1, 5)
+
+
+def test_select_rename_three_forms(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert df.select(*select_rename(["a", "b"])).columns == ["a", "b"]
+    assert df.select(*select_rename("*", {"b": "B"})).columns == ["B"]
+    assert df.select(*select_rename(["a", "b", "c"], {"b": "B"})).columns == ["B", "a", "c"]
+
+
+def test_case_chain_first_match_null_falls_through(spark):
+    df = spark.createDataFrame([(210000,), (260000,), (None,), (500000,)], "prices int")
+    conds = [(lambda d: (d["prices"] >= 200000) & (d["prices"] < 250000), "200k - 250k"),
+             (lambda d: d["prices"] >= 200000, "200k+"),
+             (lambda d: (d["prices"] >= 250000) & (d["prices"] < 300000), "never")]
+    kept = list(conds)
+    out = with_case(df, "cat", conds, "Others").collect()
+    assert [r.cat for r in out] == ["200k - 250k", "200k+", "Others", "200k+"]
+    assert conds == kept  # not consumed
+    assert df.select(case_chain(df, [], "NA").alias("x")).first().x == "NA"
+
+
+def test_parse_amount_house_prices(spark):
+    # X5-like prices
+    df = spark.createDataFrame([("RM 265,000",), ("RM 1,250,500",), ("300000",), (None,)], "price string")
+    out = parse_amount(df, "price", "prices").collect()
+    assert [r.prices for r in out] == [265000, 1250500, None, None]
+
+
+def test_round_cols_text_input(spark):
+    df = spark.createDataFrame([("3.1234567", "101.6868685"), ("bad", None)], "lat string, lon string")
+    out = round_cols(df, {"lat": 3, "lon": 3, "nope": 1}).collect()
+    assert out[0].lat == 3.123 and out[0].lon == 101.687
+    assert out[1].lat is None
+
+
+def test_safe_names(spark):
+    df = spark.createDataFrame([(1, 2)], "`House Name` int, `a(b)` int")
+    assert safe_names(df).columns == ["House_Name", "a_b_"]
+    clash = spark.createDataFrame([(1, 2)], "`a b` int, `a_b` int")
+    with pytest.raises(ValueError):
+        safe_names(clash)

@@ -1,0 +1,64 @@
+import datetime as dt
+from decimal import Decimal
+
+from tableflow.operators import (
+    data_profile, encoding_profile, explode_lines, line_profile, null_count, null_rows, schema_conformance,
+)
+
+
+def _n3(spark):
+    # N3: one NULL in each column
+    rows = [
+        (1, 1.5, "a", dt.datetime(2020, 1, 1), True, Decimal("1.10"), (1, "x")),
+        (2, 2.5, "b", dt.datetime(2020, 1, 2), False, Decimal("2.20"), (2, "y")),
+        (2, 4.0, "b", dt.datetime(2020, 1, 2), True, Decimal("3.30"), (3, "z")),
+        (None, None, None, None, None, None, None),
+    ]
+    return spark.createDataFrame(
+        rows, "i int, d double, s string, t timestamp, b boolean, m decimal(15,2), st struct<x:int,y:string>"
+    )
+
+
+def test_profile_single_job_semantics(spark):
+    prof = {r.column: r for r in data_profile(_n3(spark)).collect()}
+    assert list(prof) == ["i", "d", "s", "t", "b", "m", "st"]
+    i = prof["i"]
+    assert (i.datatype, i.distinct_count, i["count"], i.null_count) == ("int", 3, 3, 1)
+    assert abs(i.mean - 5 / 3) < 1e-12 and i.min == 1.0 and i.max == 2.0
+    assert abs(i.stddev - 0.5773502691896257) < 1e-12
+    s = prof["s"]
+    assert (s.datatype, s.distinct_count, s["count"], s.null_count, s.mean) == ("string", 3, 4, 1, None)
+    assert prof["t"].datatype == "timestamp" and prof["t"]["count"] == 4
+    assert prof["m"].datatype == "decimal(15,2)" and abs(prof["m"].mean - 2.2) < 1e-9
+    assert prof["st"].datatype == "struct<x:int,y:string>" and prof["st"].distinct_count == 4
+    assert prof["b"].distinct_count == 3
+
+
+def test_profile_approx(spark):
+    prof = {r.column: r for r in data_profile(_n3(spark), approx=True).collect()}
+    assert prof["i"].distinct_count == 3
+
+
+def test_null_checks(spark):
+    df = _n3(spark)
+    assert null_rows(df, "s", ["i", "s"]).count() == 1
+    r = null_count(df, ["s", "i"]).first()
+    assert r.null_s == 1 and r.null_i == 1
+
+
+def test_schema_conformance(spark):
+    df = spark.createDataFrame([("1", "x", "2.5"), ("2", "3", None)], "a string, b string, c string")
+    out = {r.column: r for r in schema_conformance(df, {"a": "bigint", "b": "int", "z": "int"}).collect()}
+    assert out["a"].bad_values == 0 and out["b"].bad_values == 1
+    assert out["c"].in_schema is False and out["c"].bad_values is None
+    assert out["z"].in_table is False and out["z"].declared_type == "int"
+
+
+def test_line_and_encoding_profile(spark):
+    docs = spark.createDataFrame([("f1", "ab\nabcd\n"), ("f2", "x")], "basename string, text string")
+    lines = explode_lines(docs, "text", keep=["basename"])
+    got = {r.basename: (r.max_line_length, r.n_lines) for r in line_profile(lines, "basename").collect()}
+    assert got == {"f1": (4, 3), "f2": (1, 1)}
+    raw = spark.createDataFrame([("f", bytearray(b"caf\xe9")), ("f", bytearray(b"ok"))], "basename string, value binary")
+    enc = encoding_profile(raw.selectExpr("basename", "cast(value as string) value"), "basename").first()
+    assert (enc.n_lines, enc.bad_lines) == (2, 1)
