@@ -6,6 +6,9 @@ from collections.abc import Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.types import _parse_datatype_string
 
 
 def _join_path(path: str, fname: str) -> str:
@@ -36,9 +39,27 @@ def read_parquet(spark: SparkSession, path: str, fname: str = "") -> DataFrame:
     return spark.read.parquet(_join_path(path, fname))
 
 
-def inline_table(spark: SparkSession, rows: Iterable[Sequence[Any]], schema: str | Sequence[str]) -> DataFrame:
-    """Small literal table (lookup maps, labels); not for data that grows."""
-    return spark.createDataFrame([tuple(r) for r in rows], schema=schema)
+# Literal tables up to this many rows are planned as constants.
+INLINE_LITERAL_ROWS = 10000
+
+
+def inline_table(spark: SparkSession, rows: Iterable[Sequence[Any]], schema: str) -> DataFrame:
+    """Small literal table (lookup maps, labels); not for data that grows.
+
+    The rows are planned as one literal array, so Catalyst knows the table is
+    tiny and broadcasts it in joins by itself (a frame made from a Python list
+    has no size statistics and would make the other side shuffle).
+    """
+    data = [tuple(r) for r in rows]
+    struct = _parse_datatype_string(schema)
+    if not isinstance(struct, T.StructType) or not data or len(data) > INLINE_LITERAL_ROWS:
+        return spark.createDataFrame(data, schema=schema)
+    arr = F.array(*[
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, struct.fields)])
+        for row in data
+    ])
+    out = spark.range(1).select(F.inline(arr))
+    return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in struct.fields])
 
 
 def read_jdbc(

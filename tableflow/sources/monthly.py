@@ -61,10 +61,14 @@ def readin_monthly(
 
 
 def write_monthly(df: DataFrame, output_dir: str, month_col: str = "month", mode: str = "overwrite") -> None:
-    """One dataset per month under ``month=MM``; only months present are replaced."""
+    """One dataset per month under ``month=MM``; only months present are replaced.
+
+    No shuffle by month: every task writes its own rows into the month
+    directories they belong to, so a month with most of the data is still
+    written by all tasks in parallel.
+    """
     (
-        df.repartition(month_col)
-        .write.mode(mode)
+        df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(month_col)
         .parquet(output_dir)

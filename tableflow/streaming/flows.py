@@ -150,7 +150,6 @@ def write_spool(
     flow_col: str,
     text_col: str = "text",
     charset: str | None = None,
-    files_per_flow: int | None = None,
 ) -> str:
     """Lay text out as spool files, one directory ``<flow_col>=<flow>`` per flow.
 
@@ -165,7 +164,5 @@ def write_spool(
         )
         if charset is not None and charset.lower() != "utf-8":
             lines = lines.withColumn("value", F.encode(F.col("value"), charset).cast("string"))
-        if files_per_flow:
-            lines = lines.repartition(files_per_flow, flow_col)
         lines.write.mode("overwrite").partitionBy(flow_col).text(spool_root)
     return spool_root

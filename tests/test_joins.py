@@ -90,3 +90,21 @@ def test_bad_join_type(spark, n1):
     left, right = n1
     with pytest.raises(ValueError):
         join_on(left, right.select("k"), "k", how="sideways")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_split_skew_join_equals_plain_join(spark, how):
+    from pyspark.sql import functions as F
+
+    from tableflow.operators.joins import hot_keys, split_skew_join
+
+    # one key holds a third of the rows
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") == 1, F.lit(None)).otherwise(F.col("id") % 50)
+        .alias("k"), F.col("id").alias("v")
+    )
+    right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    assert (7,) in hot_keys(left, ["k"], 0.2)
+    got = split_skew_join(left, right, "k", how=how, buckets=8, min_share=0.2)
+    want = left.join(right, "k", how)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(*got.columns).collect()), key=str)
