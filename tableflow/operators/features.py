@@ -73,11 +73,12 @@ def string_index(
         raise ValueError(f"handle_invalid must be one of {_HANDLE}")
     out = output_col or f"{column}_idx"
     labels = label_index(df, column).select(F.col("label").alias("_lbl"), F.col("index").alias("_idx"))
+    # one scalar from the (checkpointed, label-sized) table: the category count
+    n_labels = labels.count()
     c = F.col(_q(column))
     src = df.filter(c.isNotNull()) if handle_invalid == "skip" else df
     joined = src.join(labels, c == F.col("_lbl"), "left")
     if handle_invalid == "keep":
-        n_labels = labels.count()
         idx = F.when(c.isNull(), F.lit(float(n_labels))).otherwise(F.col("_idx"))
     elif handle_invalid == "error":
         idx = F.when(c.isNull(), F.raise_error(F.lit(f"NULL label in {column}")).cast("double")).otherwise(
@@ -85,7 +86,11 @@ def string_index(
         )
     else:
         idx = F.col("_idx")
-    return joined.withColumn(out, idx).drop("_lbl", "_idx")
+    # nominal-attribute metadata (as an ML indexer writes it) lets encoders size
+    # their output without another pass over the data
+    n_values = n_labels + (1 if handle_invalid == "keep" else 0)
+    meta = {"ml_attr": {"type": "nominal", "name": out, "num_vals": n_values}}
+    return joined.withColumn(out, idx.alias(out, metadata=meta)).drop("_lbl", "_idx")
 
 
 def one_hot(

@@ -32,41 +32,55 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
     distinct counts of many columns make Spark expand each row once per
     column before the partial aggregate; ``approx=True`` uses HyperLogLog
     sketches instead (no expansion), which is the setting for wide tables.
+
+    The aggregate holds only what needs the data (``count(*)`` once, then
+    per column ``count``, distinct and the numeric moments); NULL counts and
+    the per-type shaping are computed on the one result row.
     """
-    structs = []
-    for f in df.schema.fields:
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    fields = list(df.schema.fields)
+    for i, f in enumerate(fields):
         c = F.col(_q(f.name))
-        has_null = F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
-        if isinstance(f.dataType, (T.MapType,)):
+        aggs.append(F.count(c).alias(f"_n{i}"))
+        if not isinstance(f.dataType, T.MapType):
+            d = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+            aggs.append(d.alias(f"_d{i}"))
+        if isinstance(f.dataType, T.NumericType):
+            aggs += [
+                F.avg(c).cast("double").alias(f"_avg{i}"),
+                F.stddev_samp(c).cast("double").alias(f"_sd{i}"),
+                F.min(c).cast("double").alias(f"_min{i}"),
+                F.max(c).cast("double").alias(f"_max{i}"),
+            ]
+    one = df.agg(*aggs)
+
+    structs = []
+    rows = F.col("_rows")
+    for i, f in enumerate(fields):
+        n = F.col(f"_n{i}")
+        nulls = rows - n
+        if isinstance(f.dataType, T.MapType):
             distinct = F.lit(None).cast("bigint")
-        elif approx:
-            distinct = F.approx_count_distinct(c, rsd) + has_null
         else:
-            distinct = F.count_distinct(c) + has_null
+            distinct = F.col(f"_d{i}") + F.when(nulls > 0, 1).otherwise(0)
         if isinstance(f.dataType, T.NumericType):
-            stats = [
-                F.count(c),
-                F.avg(c).cast("double"),
-                F.stddev_samp(c).cast("double"),
-                F.min(c).cast("double"),
-                F.max(c).cast("double"),
-            ]
+            mean, sd = F.col(f"_avg{i}"), F.col(f"_sd{i}")
             if digits is not None:
-                stats[1] = F.round(stats[1], digits)
-                stats[2] = F.round(stats[2], digits)
+                mean, sd = F.round(mean, digits), F.round(sd, digits)
+            stats = [n, mean, sd, F.col(f"_min{i}"), F.col(f"_max{i}")]
         else:
-            stats = [F.count(F.lit(1))] + [_null_double()] * 4
+            stats = [rows] + [_null_double()] * 4
         names = ["count", "mean", "stddev", "min", "max"]
         structs.append(
             F.struct(
                 F.lit(f.name).alias("column"),
                 F.lit(f.dataType.simpleString()).alias("datatype"),
                 distinct.cast("bigint").alias("distinct_count"),
-                *[s.alias(n) for s, n in zip(stats, names)],
-                F.count_if(c.isNull()).cast("bigint").alias("null_count"),
+                *[s.cast("bigint" if k == "count" else "double").alias(k) for s, k in zip(stats, names)],
+                nulls.cast("bigint").alias("null_count"),
             )
         )
-    return df.agg(F.array(*structs).alias("_p")).select(F.inline("_p"))
+    return one.select(F.inline(F.array(*structs)))
 
 
 def null_rows(df: DataFrame, column: str, show_cols: Sequence[str] | None = None) -> DataFrame:
