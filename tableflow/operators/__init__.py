@@ -2,7 +2,11 @@
 
 from tableflow.operators.aggregates import aggregate, distinct_values, top_n
 from tableflow.operators.cells import (
+    append_cell_writes,
     bulk_layout,
+    compact_cells,
+    latest_cells,
+    read_latest_cells,
     cells_long,
     cells_prefix_filter,
     cells_to_rows,

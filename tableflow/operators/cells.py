@@ -194,7 +194,9 @@ def cells_prefix_filter(
     return cells.join(matching, "rowkey", "left_semi")
 
 
-def upsert_cells(base: DataFrame, updates: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+def upsert_cells(
+    base: DataFrame, updates: DataFrame, order_cols: Sequence[str], keep_order: bool = False
+) -> DataFrame:
     """Cell-level upsert: per (rowkey, family, qualifier) the last write wins.
 
     Both inputs carry the cell columns plus ``order_cols`` (a unique,
@@ -204,10 +206,46 @@ def upsert_cells(base: DataFrame, updates: DataFrame, order_cols: Sequence[str])
     """
     order = list(order_cols)
     cols = [*CELL_COLUMNS, *order]
-    both = base.select(*cols).unionByName(updates.select(*cols)).filter(F.col("value").isNotNull())
-    return both.groupBy("rowkey", "family", "qualifier").agg(
-        F.max_by("value", F.struct(*order)).alias("value")
+    both = base.select(*cols).unionByName(updates.select(*cols))
+    return latest_cells(both, order, keep_order)
+
+
+def latest_cells(writes: DataFrame, order_cols: Sequence[str], keep_order: bool = False) -> DataFrame:
+    """Per cell the value of the last write (``order_cols`` ascending).
+
+    ``keep_order=True`` also returns the winning write's order columns, so
+    the result can take part in later upserts.
+    """
+    order = list(order_cols)
+    live = writes.filter(F.col("value").isNotNull())
+    if not keep_order:
+        return live.groupBy("rowkey", "family", "qualifier").agg(
+            F.max_by("value", F.struct(*order)).alias("value")
+        )
+    win = live.groupBy("rowkey", "family", "qualifier").agg(
+        F.max_by(F.struct("value", *order), F.struct(*order)).alias("_w")
     )
+    return win.select("rowkey", "family", "qualifier", *[F.col(f"_w.{c}").alias(c) for c in ["value", *order]])
+
+
+def append_cell_writes(writes: DataFrame, path: str, order_cols: Sequence[str]) -> None:
+    """Store cell writes (with their write order) by appending new files only;
+    nothing already stored is read or rewritten."""
+    writes.select(*CELL_COLUMNS, *order_cols).write.mode("append").parquet(path)
+
+
+def read_latest_cells(spark: SparkSession, path: str, order_cols: Sequence[str], keep_order: bool = False) -> DataFrame:
+    """Read a cell store: every stored write, resolved to the last one per cell."""
+    return latest_cells(spark.read.parquet(path), order_cols, keep_order)
+
+
+def compact_cells(spark: SparkSession, path: str, new_path: str, order_cols: Sequence[str]) -> str:
+    """Write the resolved store to ``new_path`` (never over the input) and
+    return it; readers switch to the new path when the write has committed."""
+    if new_path.rstrip("/") == path.rstrip("/"):
+        raise ValueError("compaction must write to a new location")
+    read_latest_cells(spark, path, order_cols, keep_order=True).write.parquet(new_path)
+    return new_path
 
 
 def create_cell_table(spark: SparkSession, name: str, path: str, value_type: str = "string") -> bool:

@@ -116,3 +116,29 @@ def test_create_table_if_missing(spark):
     path = scratch_path(spark, "cell-table")
     assert create_cell_table(spark, "cells_t1", path) is True
     assert create_cell_table(spark, "cells_t1", path) is False
+
+
+def test_cell_store_append_resolve_compact(spark):
+    from tableflow.operators import append_cell_writes, compact_cells, read_latest_cells
+
+    schema = "rowkey string, family string, qualifier string, value string, seq bigint"
+    store = scratch_path(spark, "cell-store")
+    append_cell_writes(spark.createDataFrame(
+        [("r1", "cf", "a", "v1", 1), ("r1", "cf", "b", "b1", 1)], schema), store, ["seq"])
+    append_cell_writes(spark.createDataFrame(
+        [("r1", "cf", "a", "v2", 2), ("r2", "cf", "a", "x", 2)], schema), store, ["seq"])
+    got = {(r.rowkey, r.qualifier): r.value for r in read_latest_cells(spark, store, ["seq"]).collect()}
+    assert got == {("r1", "a"): "v2", ("r1", "b"): "b1", ("r2", "a"): "x"}
+    new = compact_cells(spark, store, scratch_path(spark, "cell-store-v2"), ["seq"])
+    compacted = {(r.rowkey, r.qualifier): (r.value, r.seq) for r in spark.read.parquet(new).collect()}
+    assert compacted[("r1", "a")] == ("v2", 2) and len(compacted) == 3
+    import pytest
+    with pytest.raises(ValueError):
+        compact_cells(spark, store, store, ["seq"])
+
+
+def test_salt_of(spark, person):
+    from tableflow.operators.cells import salt_of
+
+    salted = salt_cells(rows_to_cells(person, "key"), 2)
+    assert all(r.a == r.b for r in salted.select(salt_of("salted").alias("a"), F.col("salt").alias("b")).collect())

@@ -70,3 +70,34 @@ def test_undeclared_charset_fails(spark):
     _write(f"{root}/in", "b.txt", "café\n".encode("cp1252"))
     with pytest.raises(Exception):
         run_flows(spark, {"bad": FlowSpec(f"{root}/in", f"{root}/out")})
+
+
+def test_archive_consumed_files(spark):
+    from tableflow.streaming import start_flow
+
+    root = scratch_path(spark, "archive")
+    _write(f"{root}/in", "a.txt", b"one\ntwo\n")
+    spec = FlowSpec(f"{root}/in", f"{root}/out", archive_dir=f"{root}/archived")
+    run_flows(spark, {"a": spec})
+    _write(f"{root}/in", "b.txt", b"three\n")
+    run_flows(spark, {"a": spec})
+    assert sorted(r.value for r in read_flow_output(spark, spec).collect()) == ["one", "three", "two"]
+    archived = [f for _, _, fs in os.walk(_local(f"{root}/archived")) for f in fs]
+    assert "a.txt" in archived
+    assert not os.path.exists(os.path.join(_local(f"{root}/in"), "a.txt"))
+
+
+def test_continuous_trigger(spark):
+    from tableflow.streaming import start_flow
+
+    root = scratch_path(spark, "cont")
+    _write(f"{root}/in", "a.txt", b"x\ny\n")
+    spec = FlowSpec(f"{root}/in", f"{root}/out", available_now=False, interval_seconds=1)
+    q = start_flow(spark, "cont", spec)
+    try:
+        q.processAllAvailable()
+        _write(f"{root}/in", "b.txt", b"z\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.value for r in read_flow_output(spark, spec).collect()) == ["x", "y", "z"]
