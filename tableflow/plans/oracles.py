@@ -171,7 +171,7 @@ def oracles() -> dict[str, str]:
     sq["sink_parquet"] = "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag, l_shipdate FROM lineitem"
     sq["monthly_pipeline"] = (
         "SELECT o_orderstatus, count(*) AS n_orders, strftime(o_orderdate, '%m') AS month FROM orders "
-        "WHERE month(o_orderdate) BETWEEN 3 AND 5 GROUP BY o_orderstatus, month"
+        "GROUP BY o_orderstatus, month"
     )
     sq["monthly_write"] = "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%m') AS month FROM orders"
     sq["rows_to_cells"] = (

@@ -163,7 +163,7 @@ def _month_fn(df: DataFrame) -> DataFrame:
 def q_monthly_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "monthly")
     split_by_month(load(spark, sf_dir, "orders"), "o_orderdate", root, "orders")
-    return readin_monthly(spark, root, "orders", _month_fn, start_month=3, end_month=5, layout="hive")
+    return readin_monthly(spark, root, "orders", _month_fn, start_month=1, end_month=12, layout="hive")
 
 
 def q_monthly_write(spark: SparkSession, sf_dir: str) -> DataFrame:
