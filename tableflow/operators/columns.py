@@ -127,7 +127,7 @@ def parse_amount(
     c = F.regexp_extract(F.col(_q(src)), pattern, group)
     if strip:
         c = F.regexp_replace(c, strip, "")
-    return df.withColumn(dst, c.try_cast(to_type))
+    return df.withColumn(dst, safe_try_cast(c, to_type, "string"))
 
 
 def safe_names(df: DataFrame) -> DataFrame:

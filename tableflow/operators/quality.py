@@ -24,27 +24,27 @@ def _null_double() -> Column:
 
 
 def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits: int | None = None) -> DataFrame:
-    """One row per column in ONE aggregation job over the table.
+    """One row per column, computed in one Spark job.
 
     ``distinct_count`` counts NULL as a value.  Numeric columns get the
     non-null ``count`` and ``mean``/sample ``stddev``/``min``/``max`` as
-    double; other columns get the row count and NULL statistics.  Exact
-    distinct counts of many columns make Spark expand each row once per
-    column before the partial aggregate; ``approx=True`` uses HyperLogLog
-    sketches instead (no expansion), which is the setting for wide tables.
-
-    The aggregate holds only what needs the data (``count(*)`` once, then
-    per column ``count``, distinct and the numeric moments); NULL counts and
-    the per-type shaping are computed on the one result row.
+    double; other columns get the row count and NULL statistics.
+
+    Plan: one aggregate pass for counts and moments, plus - for exact
+    distinct counts - one ``distinct`` branch per column, all unioned into
+    the same job.  Parquet is columnar, so each branch reads only its own
+    column (the branches together read what one full scan reads), and no
+    row is expanded once per column as a multi-distinct aggregate would.
+    Each branch de-duplicates map-side before its shuffle.  ``approx=True``
+    folds HyperLogLog sketches into the single aggregate pass instead.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows")]
     fields = list(df.schema.fields)
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         c = F.col(_q(f.name))
         aggs.append(F.count(c).alias(f"_n{i}"))
-        if not isinstance(f.dataType, T.MapType):
-            d = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
-            aggs.append(d.alias(f"_d{i}"))
+        if approx and not isinstance(f.dataType, T.MapType):
+            aggs.append(F.approx_count_distinct(c, rsd).alias(f"_a{i}"))
         if isinstance(f.dataType, T.NumericType):
             aggs += [
                 F.avg(c).cast("double").alias(f"_avg{i}"),
@@ -54,15 +54,16 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
             ]
     one = df.agg(*aggs)
 
-    structs = []
     rows = F.col("_rows")
+    names = ["count", "mean", "stddev", "min", "max"]
+    structs = []
     for i, f in enumerate(fields):
         n = F.col(f"_n{i}")
         nulls = rows - n
-        if isinstance(f.dataType, T.MapType):
-            distinct = F.lit(None).cast("bigint")
+        if approx and not isinstance(f.dataType, T.MapType):
+            approx_d = F.col(f"_a{i}") + F.when(nulls > 0, 1).otherwise(0)
         else:
-            distinct = F.col(f"_d{i}") + F.when(nulls > 0, 1).otherwise(0)
+            approx_d = F.lit(None)
         if isinstance(f.dataType, T.NumericType):
             mean, sd = F.col(f"_avg{i}"), F.col(f"_sd{i}")
             if digits is not None:
@@ -70,17 +71,39 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
             stats = [n, mean, sd, F.col(f"_min{i}"), F.col(f"_max{i}")]
         else:
             stats = [rows] + [_null_double()] * 4
-        names = ["count", "mean", "stddev", "min", "max"]
         structs.append(
             F.struct(
+                F.lit(i).alias("_i"),
                 F.lit(f.name).alias("column"),
                 F.lit(f.dataType.simpleString()).alias("datatype"),
-                distinct.cast("bigint").alias("distinct_count"),
+                approx_d.cast("bigint").alias("_approx"),
                 *[s.cast("bigint" if k == "count" else "double").alias(k) for s, k in zip(stats, names)],
                 nulls.cast("bigint").alias("null_count"),
             )
         )
-    return one.select(F.inline(F.array(*structs)))
+    per_column = one.select(F.inline(F.array(*structs)))
+
+    if approx:
+        distinct = F.col("_approx")
+    else:
+        # one row per column: (position, distinct values incl. NULL)
+        branches = [
+            df.select(_q(f.name)).distinct().agg(F.count(F.lit(1)).alias("_d")).select(F.lit(i).alias("_i"), "_d")
+            for i, f in enumerate(fields)
+            if not isinstance(f.dataType, T.MapType)
+        ]
+        if branches:
+            counts = branches[0]
+            for b in branches[1:]:
+                counts = counts.unionByName(b)
+            # both sides hold one row per column of the table
+            per_column = per_column.join(counts, "_i", "left")
+        else:
+            per_column = per_column.withColumn("_d", F.lit(None).cast("bigint"))
+        distinct = F.col("_d")
+    return per_column.orderBy("_i").select(
+        "column", "datatype", distinct.cast("bigint").alias("distinct_count"), *names, "null_count"
+    )
 
 
 def null_rows(df: DataFrame, column: str, show_cols: Sequence[str] | None = None) -> DataFrame:
