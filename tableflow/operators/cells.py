@@ -250,11 +250,8 @@ def compact_cells(spark: SparkSession, path: str, new_path: str, order_cols: Seq
 
 def create_cell_table(spark: SparkSession, name: str, path: str, value_type: str = "string") -> bool:
     """Create a catalog table over ``path`` if missing; True if created."""
-    if spark.catalog.tableExists(name):
-        return False
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} "
-        f"(rowkey STRING, family STRING, qualifier STRING, value {value_type.upper()}) "
-        f"USING parquet LOCATION '{path}'"
+    from tableflow.sinks.files import create_table_if_missing
+
+    return create_table_if_missing(
+        spark, name, f"rowkey STRING, family STRING, qualifier STRING, value {value_type.upper()}", path
     )
-    return True

@@ -42,10 +42,28 @@ def to_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     df.write.jdbc(url=url, table=table, mode=mode, properties=props)
 
 
+def postgres_url(host: str, database: str) -> str:
+    """``jdbc:postgresql://<host>/<database>`` (host may carry ``:port``)."""
+    return f"jdbc:postgresql://{host}/{database}"
+
+
+def to_postgres(df: DataFrame, host: str, database: str, table: str, user: str, password: str,
+                mode: str = "append", **jdbc_options: str) -> None:
+    """Write to PostgreSQL through JDBC (driver jar must be on the classpath)."""
+    props = {"user": user, "password": password, "driver": "org.postgresql.Driver", **jdbc_options}
+    to_jdbc(df, postgres_url(host, database), table, mode=mode, properties=props)
+
+
+def quote_ident(name: str) -> str:
+    """Backtick-quote each part of a (possibly qualified) table name."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def create_table_if_missing(spark: SparkSession, name: str, ddl_schema: str, path: str,
                             fmt: str = "parquet") -> bool:
     """Register a catalog table over ``path`` unless it exists; True if created."""
     if spark.catalog.tableExists(name):
         return False
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl_schema}) USING {fmt} LOCATION '{path}'")
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_ident(name)} ({ddl_schema}) USING {fmt} LOCATION '{location}'")
     return True

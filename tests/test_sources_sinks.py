@@ -77,3 +77,10 @@ def test_catalog_table(spark, person):
     assert create_table_if_missing(spark, "person_t", "key INT, name STRING, age INT, gender STRING, occupation STRING", path)
     assert not create_table_if_missing(spark, "person_t", "key INT", path)
     assert spark.table("person_t").count() == 4
+
+
+def test_postgres_url_and_quoting():
+    from tableflow.sinks import postgres_url, quote_ident
+
+    assert postgres_url("db.example:5432", "sales") == "jdbc:postgresql://db.example:5432/sales"
+    assert quote_ident("db.my table") == "`db`.`my table`"
