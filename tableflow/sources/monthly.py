@@ -49,10 +49,24 @@ def readin_monthly(
     end_month: int = 12,
     layout: str = "suffix",
 ) -> DataFrame:
-    """Apply ``fn`` to each month's table separately; union with a ``month`` column."""
+    """Apply ``fn`` to each month's table separately; union with a ``month`` column.
+
+    ``hive`` layout: the partitioned table is listed once and each month is a
+    filter on the partition column, which prunes every other month's files.
+    """
+    if layout == "hive":
+        whole = spark.read.parquet(os.path.join(path, table))
+        month_text = F.lpad(F.col("month").cast("string"), 2, "0")
+
+        def month_source(mm: str) -> DataFrame:
+            return whole.filter(month_text == mm).drop("month")
+    else:
+        def month_source(mm: str) -> DataFrame:
+            return read_month(spark, path, table, mm, layout)
+
     parts = []
     for mm in month_labels(start_month, end_month):
-        month_df = read_month(spark, path, table, mm, layout).transform(fn)
+        month_df = month_source(mm).transform(fn)
         parts.append(safe_names(month_df).withColumn("month", F.lit(mm)))
     out = parts[0]
     for p in parts[1:]:

@@ -84,3 +84,19 @@ def test_postgres_url_and_quoting():
 
     assert postgres_url("db.example:5432", "sales") == "jdbc:postgresql://db.example:5432/sales"
     assert quote_ident("db.my table") == "`db`.`my table`"
+
+
+def test_monthly_hive_layout_prunes(spark):
+    from tableflow.sources import split_by_month
+
+    root = scratch_path(spark, "monthly-h")
+    df = spark.createDataFrame(
+        [(1, "2020-01-05 00:00:00"), (2, "2020-02-05 00:00:00"), (3, "2020-02-07 00:00:00"), (4, "2020-11-01 00:00:00")],
+        "id int, d string").withColumn("d", F.col("d").cast("timestamp_ntz"))
+    split_by_month(df, "d", root, "t")
+    out = readin_monthly(spark, root, "t", lambda m: m.agg(F.count("*").alias("n")), 2, 11, layout="hive")
+    got = sorted((r.month, r.n) for r in out.collect() if r.n)
+    assert got == [("02", 2), ("11", 1)]
+    feb = readin_monthly(spark, root, "t", lambda m: m.select("id"), 2, 2, layout="hive")
+    plan = feb._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "= 02)" in plan
