@@ -82,13 +82,14 @@ def join_on(
         right = right.select(
             *[F.col(_q(c)).alias(renames.get(c, c)) for c in right.columns]
         )
-    if how in ("left_semi", "left_anti"):
-        cond = [left[_q(lk)] == right[_q(rk)] for lk, rk in mapping.items()]
-        return left.join(right, on=cond, how=how)
-    right = _guard_clash(left, right, set(mapping.values()), suffix)
+    if how not in ("left_semi", "left_anti"):
+        right = _guard_clash(left, right, set(mapping.values()), suffix)
+    # aliases keep the condition unambiguous when both sides come from one frame
     l_alias, r_alias = left.alias("_l"), right.alias("_r")
     cond = [F.col("_l." + _q(lk)) == F.col("_r." + _q(rk)) for lk, rk in mapping.items()]
     joined = l_alias.join(r_alias, on=cond, how=how)
+    if how in ("left_semi", "left_anti"):
+        return joined.select(*[F.col("_l." + _q(c)).alias(c) for c in left.columns])
     out = []
     for c in left.columns:
         lc = F.col("_l." + _q(c))

@@ -108,3 +108,14 @@ def test_split_skew_join_equals_plain_join(spark, how):
     got = split_skew_join(left, right, "k", how=how, buckets=8, min_share=0.2)
     want = left.join(right, "k", how)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(*got.columns).collect()), key=str)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti", "full"])
+def test_self_join_by_key_map(spark, how):
+    # parent/child rows of one frame: join child.parent -> parent.id
+    t = spark.createDataFrame([(1, None, "root"), (2, 1, "a"), (3, 1, "b"), (4, 9, "orphan")],
+                              "id int, parent int, name string")
+    parents = t.select("id", t["name"].alias("parent_name"))
+    out = join_on(t, parents, {"parent": "id"}, how=how)
+    want = {"inner": 2, "left": 4, "left_semi": 2, "left_anti": 2, "full": 7}[how]
+    assert out.count() == want
