@@ -68,10 +68,8 @@ def decode_lines(lines: DataFrame, charset: str | None, col: str = "value") -> D
     ``None`` means strict UTF-8: an invalid line fails the job.
     """
     c = F.col(col)
-    if charset is None:
+    if charset is None or charset.lower().replace("-", "") == "utf8":
         return lines.withColumn(col, F.validate_utf8(c))
-    if charset.lower() == "utf-8":
-        return lines
     return lines.withColumn(col, F.decode(c.cast("binary"), charset))
 
 
@@ -114,10 +112,14 @@ def start_flow(spark: SparkSession, name: str, spec: FlowSpec) -> StreamingQuery
 
 
 def run_flows(spark: SparkSession, flows: Mapping[str, FlowSpec], wait: bool = True) -> dict[str, StreamingQuery]:
-    """One streaming query per flow; with ``wait`` block until all finish."""
+    """One streaming query per flow; with ``wait`` block until every
+    run-to-completion (``available_now``) flow has finished.  Continuous flows
+    keep running; stop them through the returned handles."""
     queries = {name: start_flow(spark, name, spec) for name, spec in flows.items()}
     if wait:
-        for q in queries.values():
+        for name, q in queries.items():
+            if not flows[name].available_now:
+                continue
             q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(f"flow {q.name} failed: {q.exception()}")

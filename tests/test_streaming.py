@@ -101,3 +101,10 @@ def test_continuous_trigger(spark):
     finally:
         q.stop()
     assert sorted(r.value for r in read_flow_output(spark, spec).collect()) == ["x", "y", "z"]
+
+
+def test_declared_utf8_is_strict(spark):
+    root = scratch_path(spark, "utf8strict")
+    _write(f"{root}/in", "b.txt", "café\n".encode("cp1252"))
+    with pytest.raises(Exception):
+        run_flows(spark, {"u": FlowSpec(f"{root}/in", f"{root}/out", charset="UTF-8")})
