@@ -1,9 +1,8 @@
 """Row-key salting with the Java ``String.hashCode`` rule, as SQL expressions.
 
-``hashCode`` is ``s[0]*31^(n-1) + ... + s[n-1]`` in 32-bit two's complement.
-We fold the characters with ``aggregate`` modulo 2^32 in a bigint and map the
-result back to the signed range, so the salt of a key is the same as the one
-a JVM bulk loader computes (keys 1..4 with 2 salts give 1,0,1,0).
+``hashCode`` is ``s[0]*31^(n-1) + ... + s[n-1]`` in 32-bit two's complement,
+so the salt of a key is the same as the one a JVM bulk loader computes (keys
+1..4 with 2 salts give 1,0,1,0).
 """
 
 from __future__ import annotations
@@ -13,26 +12,21 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TWO_32 = 4294967296
-_TWO_31 = 2147483648
-
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def java_string_hash(key: str | Column) -> Column:
-    """Java ``String.hashCode`` of a string column, as a signed value in a bigint.
+    """Java ``String.hashCode`` of a string column, as a signed int in a bigint.
 
-    Characters are taken as code points, which equals the UTF-16 rule for the
-    Basic Multilingual Plane.
+    Computed by the JVM's own ``Objects.hashCode`` through ``java_method``
+    (exact for every character, UTF-16 rule included, and several times
+    cheaper per row than folding the characters in SQL).  NULL stays NULL.
     """
     k = _col(key).cast("string")
-    chars = F.transform(F.split(k, ""), lambda ch: F.ascii(ch).cast("bigint"))
-    unsigned = F.aggregate(
-        chars, F.lit(0).cast("bigint"), lambda acc, x: (acc * 31 + x) % F.lit(_TWO_32)
-    )
-    return F.when(unsigned >= _TWO_31, unsigned - _TWO_32).otherwise(unsigned)
+    h = F.call_function("java_method", F.lit("java.util.Objects"), F.lit("hashCode"), k)
+    return F.when(k.isNotNull(), h.cast("bigint"))
 
 
 def digits_required(modulus: int) -> int:

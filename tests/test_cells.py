@@ -23,6 +23,13 @@ def test_java_hash_matches_jvm_rule(spark):
     df = spark.createDataFrame([(w,) for w in words], "k string")
     got = [r.h for r in df.select(java_string_hash("k").alias("h")).collect()]
     assert got == [_jhash(w) for w in words]
+    # UTF-16 rule: a supplementary character counts as two code units
+    sup = spark.createDataFrame([("a\U0001F600",), (None,)], "k string").select(java_string_hash("k").alias("h"))
+    units = "a\U0001F600".encode("utf-16-be")
+    h = 0
+    for i in range(0, len(units), 2):
+        h = (31 * h + int.from_bytes(units[i:i + 2], "big")) & 0xFFFFFFFF
+    assert [r.h for r in sup.collect()] == [h - (1 << 32) if h >= (1 << 31) else h, None]
     assert got[3] == -2147483648
     # abs in bigint: Int.MinValue does not stay negative
     salted = df.select(salted_key("k", 10).alias("s")).collect()[3].s
