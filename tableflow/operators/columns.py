@@ -63,10 +63,16 @@ def cast_schema(
             out.append(c)
             continue
         if target.lower() in TIMESTAMP_TYPES:
-            fmt = specify_format.get(name, time_format)
+            source = types.get(name, "")
+            if source == "string":
+                fmt = specify_format.get(name, time_format)
+                parsed = F.try_to_timestamp(c, F.lit(fmt))
+            elif source.startswith(("timestamp", "date")):
+                parsed = c.cast("timestamp")  # already a point in time: no pattern
+            else:
+                parsed = c.try_cast("timestamp")
             # whole seconds, like a unix_timestamp round trip
-            parsed = F.date_trunc("second", F.try_to_timestamp(c.cast("string"), F.lit(fmt)))
-            out.append(parsed.cast(target).alias(name))
+            out.append(F.date_trunc("second", parsed).cast(target).alias(name))
         else:
             out.append(safe_try_cast(c, target, types.get(name)).alias(name))
     return df.select(*out)

@@ -82,3 +82,9 @@ def test_safe_names(spark):
     clash = spark.createDataFrame([(1, 2)], "`a b` int, `a_b` int")
     with pytest.raises(ValueError):
         safe_names(clash)
+
+
+def test_cast_schema_timestamp_input_kept(spark):
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 5, 10, 30, 15, 500000), dt.date(2020, 2, 1))], "t timestamp, d date")
+    r = cast_schema(df, {"t": "timestamp", "d": "timestamp"}).first()
+    assert r.t == dt.datetime(2020, 1, 5, 10, 30, 15) and r.d == dt.datetime(2020, 2, 1)
