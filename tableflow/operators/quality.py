@@ -23,86 +23,100 @@ def _null_double() -> Column:
     return F.lit(None).cast("double")
 
 
+def _canonical_text(c: Column, dtype: T.DataType) -> Column:
+    """Text that is equal exactly when two values of one column are equal
+    under Spark's grouping rules (so distinct texts = distinct values)."""
+    if isinstance(dtype, T.StringType):
+        return c
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        # grouping treats -0.0 as 0.0 and all NaNs as one value
+        return F.when(c == 0, F.lit(0.0)).otherwise(c.cast("double")).cast("string")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(c)
+    if isinstance(dtype, (T.StructType, T.ArrayType)):
+        return F.to_json(c)
+    return c.cast("string")
+
+
 def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits: int | None = None) -> DataFrame:
-    """One row per column, computed in one Spark job.
+    """One row per column: type, distinct values, count, moments, NULLs.
 
     ``distinct_count`` counts NULL as a value.  Numeric columns get the
     non-null ``count`` and ``mean``/sample ``stddev``/``min``/``max`` as
     double; other columns get the row count and NULL statistics.
 
-    Plan: one aggregate pass for counts and moments, plus - for exact
-    distinct counts - one ``distinct`` branch per column, all unioned into
-    the same job.  Parquet is columnar, so each branch reads only its own
-    column (the branches together read what one full scan reads), and no
-    row is expanded once per column as a multi-distinct aggregate would.
-    Each branch de-duplicates map-side before its shuffle.  ``approx=True``
-    folds HyperLogLog sketches into the single aggregate pass instead.
+    Plan (the same for 5 or 500 columns): every row is turned into one
+    ``(column, value text, numeric value)`` entry per column by a single
+    ``inline``; the moments are one ``groupBy(column)`` with six partial
+    aggregates, and the exact distinct counts are a ``distinct`` on
+    (column, value) followed by a count per column.  Both aggregates combine
+    map-side before their shuffles, so no column, however hot or wide, meets
+    in one task.  ``approx=True`` replaces the distinct step by a
+    HyperLogLog sketch in the moments aggregate (one pass instead of two).
     """
     fields = list(df.schema.fields)
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    entries = []
     for i, f in enumerate(fields):
         c = F.col(_q(f.name))
-        aggs.append(F.count(c).alias(f"_n{i}"))
-        if approx and not isinstance(f.dataType, T.MapType):
-            aggs.append(F.approx_count_distinct(c, rsd).alias(f"_a{i}"))
-        if isinstance(f.dataType, T.NumericType):
-            aggs += [
-                F.avg(c).cast("double").alias(f"_avg{i}"),
-                F.stddev_samp(c).cast("double").alias(f"_sd{i}"),
-                F.min(c).cast("double").alias(f"_min{i}"),
-                F.max(c).cast("double").alias(f"_max{i}"),
-            ]
-    one = df.agg(*aggs)
-
-    rows = F.col("_rows")
-    names = ["count", "mean", "stddev", "min", "max"]
-    structs = []
-    for i, f in enumerate(fields):
-        n = F.col(f"_n{i}")
-        nulls = rows - n
-        if approx and not isinstance(f.dataType, T.MapType):
-            approx_d = F.col(f"_a{i}") + F.when(nulls > 0, 1).otherwise(0)
-        else:
-            approx_d = F.lit(None)
-        if isinstance(f.dataType, T.NumericType):
-            mean, sd = F.col(f"_avg{i}"), F.col(f"_sd{i}")
-            if digits is not None:
-                mean, sd = F.round(mean, digits), F.round(sd, digits)
-            stats = [n, mean, sd, F.col(f"_min{i}"), F.col(f"_max{i}")]
-        else:
-            stats = [rows] + [_null_double()] * 4
-        structs.append(
-            F.struct(
-                F.lit(i).alias("_i"),
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("datatype"),
-                approx_d.cast("bigint").alias("_approx"),
-                *[s.cast("bigint" if k == "count" else "double").alias(k) for s, k in zip(stats, names)],
-                nulls.cast("bigint").alias("null_count"),
-            )
-        )
-    per_column = one.select(F.inline(F.array(*structs)))
-
+        comparable = not isinstance(f.dataType, T.MapType)
+        numeric = isinstance(f.dataType, T.NumericType)
+        entries.append(F.struct(
+            F.lit(i).alias("_i"),
+            c.isNotNull().alias("_nn"),
+            (_canonical_text(c, f.dataType) if comparable else F.lit(None).cast("string")).alias("_v"),
+            (c.cast("double") if numeric else F.lit(None).cast("double")).alias("_x"),
+        ))
+    long = df.select(F.inline(F.array(*entries)))
+
+    aggs = [
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if("_nn").alias("_n"),
+        F.avg("_x").alias("_avg"),
+        F.stddev_samp("_x").alias("_sd"),
+        F.min("_x").alias("_min"),
+        F.max("_x").alias("_max"),
+    ]
     if approx:
-        distinct = F.col("_approx")
+        aggs.append(F.approx_count_distinct("_v", rsd).alias("_a"))
+    stats = long.groupBy("_i").agg(*aggs)
+    nulls = F.col("_rows") - F.col("_n")
+    if approx:
+        stats = stats.withColumn("_d", F.col("_a") + F.when(nulls > 0, 1).otherwise(0))
     else:
-        # one row per column: (position, distinct values incl. NULL)
-        branches = [
-            df.select(_q(f.name)).distinct().agg(F.count(F.lit(1)).alias("_d")).select(F.lit(i).alias("_i"), "_d")
-            for i, f in enumerate(fields)
-            if not isinstance(f.dataType, T.MapType)
-        ]
-        if branches:
-            counts = branches[0]
-            for b in branches[1:]:
-                counts = counts.unionByName(b)
-            # both sides hold one row per column of the table
-            per_column = per_column.join(counts, "_i", "left")
-        else:
-            per_column = per_column.withColumn("_d", F.lit(None).cast("bigint"))
-        distinct = F.col("_d")
-    return per_column.orderBy("_i").select(
-        "column", "datatype", distinct.cast("bigint").alias("distinct_count"), *names, "null_count"
+        # distinct (column, value) pairs, NULL included as one value
+        counts = long.select("_i", "_v").distinct().groupBy("_i").agg(F.count(F.lit(1)).alias("_d"))
+        # both sides hold one row per column of the table
+        stats = stats.join(counts, "_i")
+
+    # every column gets a row, also for an empty table (no groups there)
+    positions = df.sparkSession.range(len(fields)).select(F.col("id").cast("int").alias("_i"))
+    stats = positions.join(stats, "_i", "left").fillna(0, subset=["_rows", "_n", "_d"])
+
+    # per-column constants: name, type, and which columns are numeric / comparable
+    meta = [
+        (i, f.name, f.dataType.simpleString(), isinstance(f.dataType, T.NumericType),
+         not isinstance(f.dataType, T.MapType))
+        for i, f in enumerate(fields)
+    ]
+    def pick(values: list) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_i") + 1)
+
+    is_num = pick([m[3] for m in meta])
+    comparable = pick([m[4] for m in meta])
+    mean, sd = F.col("_avg"), F.col("_sd")
+    if digits is not None:
+        mean, sd = F.round(mean, digits), F.round(sd, digits)
+    num = lambda v: F.when(is_num, v).otherwise(F.lit(None).cast("double"))
+    return stats.orderBy("_i").select(
+        pick([m[1] for m in meta]).alias("column"),
+        pick([m[2] for m in meta]).alias("datatype"),
+        F.when(comparable, F.col("_d")).cast("bigint").alias("distinct_count"),
+        F.when(is_num, F.col("_n")).otherwise(F.col("_rows")).cast("bigint").alias("count"),
+        num(mean).alias("mean"),
+        num(sd).alias("stddev"),
+        num(F.col("_min")).alias("min"),
+        num(F.col("_max")).alias("max"),
+        nulls.cast("bigint").alias("null_count"),
     )
 
 

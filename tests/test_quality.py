@@ -62,3 +62,16 @@ def test_line_and_encoding_profile(spark):
     raw = spark.createDataFrame([("f", bytearray(b"caf\xe9")), ("f", bytearray(b"ok"))], "basename string, value binary")
     enc = encoding_profile(raw.selectExpr("basename", "cast(value as string) value"), "basename").first()
     assert (enc.n_lines, enc.bad_lines) == (2, 1)
+
+
+def test_profile_empty_and_wide(spark):
+    from pyspark.sql import functions as F
+
+    empty = spark.createDataFrame([], "a int, s string")
+    got = {r.column: (r["count"], r.distinct_count, r.null_count) for r in data_profile(empty).collect()}
+    assert got == {"a": (0, 0, 0), "s": (0, 0, 0)}
+    wide = spark.range(50).select(*[(F.col("id") % (i + 2)).alias(f"c{i}") for i in range(40)])
+    prof = data_profile(wide).collect()
+    assert [r.distinct_count for r in prof] == [min(50, i + 2) for i in range(40)]
+    dbl = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (None,)], "x double")
+    assert data_profile(dbl).first().distinct_count == 3
