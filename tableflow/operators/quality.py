@@ -137,37 +137,48 @@ def schema_conformance(
     declared: Mapping[str, str],
     time_format: str = "dd/MM/yyyy",
 ) -> DataFrame:
-    """Declared schema vs table, in one aggregation job.
+    """Declared schema vs table, in one aggregation job of fixed size.
 
     One row per column of either side: ``in_table``, ``in_schema``,
     ``declared_type`` and ``bad_values`` - the non-NULL values that do not
     convert to the declared type (NULL when the column is on one side only).
+    Each row contributes one (column, failed) entry per checked column and a
+    single partial ``groupBy(column)`` counts the failures, whatever the width.
     """
     table_cols = list(df.columns)
     types = dict(df.dtypes)
-    rows = []
-    for name in table_cols + [c for c in declared if c not in table_cols]:
-        in_table = name in table_cols
-        dtype = declared.get(name)
-        if in_table and dtype is not None:
-            c = F.col(_q(name))
-            if dtype.lower() in TIMESTAMP_TYPES:
-                conv = F.try_to_timestamp(c.cast("string"), F.lit(time_format))
-            else:
-                conv = safe_try_cast(c, dtype, types.get(name))
-            bad = F.count_if(c.isNotNull() & conv.isNull()).cast("bigint")
+    names = table_cols + [c for c in declared if c not in table_cols]
+    checked = [(i, n) for i, n in enumerate(names) if n in types and declared.get(n) is not None]
+
+    entries = []
+    for i, name in checked:
+        c = F.col(_q(name))
+        dtype = declared[name]
+        if dtype.lower() in TIMESTAMP_TYPES and types[name] == "string":
+            conv = F.try_to_timestamp(c, F.lit(time_format))
         else:
-            bad = F.lit(None).cast("bigint")
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.lit(in_table).alias("in_table"),
-                F.lit(dtype is not None).alias("in_schema"),
-                F.lit(dtype).cast("string").alias("declared_type"),
-                bad.alias("bad_values"),
-            )
-        )
-    return df.agg(F.array(*rows).alias("_c")).select(F.inline("_c"))
+            conv = safe_try_cast(c, dtype, types.get(name))
+        entries.append(F.struct(F.lit(i).alias("_i"), (c.isNotNull() & conv.isNull()).alias("_bad")))
+
+    positions = df.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("_i"))
+    if entries:
+        bad = df.select(F.inline(F.array(*entries))).groupBy("_i").agg(F.count_if("_bad").alias("_b"))
+        out = positions.join(bad, "_i", "left")
+    else:
+        out = positions.withColumn("_b", F.lit(None).cast("bigint"))
+    checked_idx = {i for i, _ in checked}
+
+    def pick(values: list) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_i") + 1)
+
+    return out.orderBy("_i").select(
+        pick(names).alias("column"),
+        pick([n in types for n in names]).alias("in_table"),
+        pick([declared.get(n) is not None for n in names]).alias("in_schema"),
+        pick([declared.get(n) for n in names]).cast("string").alias("declared_type"),
+        F.when(pick([i in checked_idx for i in range(len(names))]), F.coalesce(F.col("_b"), F.lit(0)))
+        .cast("bigint").alias("bad_values"),
+    )
 
 
 def explode_lines(df: DataFrame, text_col: str, keep: Sequence[str] = (), with_number: bool = False) -> DataFrame:
