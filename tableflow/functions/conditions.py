@@ -8,13 +8,15 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableflow.defaults import DEFAULT_NA
+
 Predicate = Column | Callable[[DataFrame], Column]
 
 
 def case_chain(
     df: DataFrame | None,
     conditions: Sequence[tuple[Predicate, Any]],
-    default: Any = "NA",
+    default: Any = DEFAULT_NA,
 ) -> Column:
     """First matching predicate wins; a NULL predicate falls through.
 

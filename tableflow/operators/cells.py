@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow.defaults import DEFAULT_FAMILY
 from tableflow.functions.codec import bytes4_to_int, int_to_bytes4, text_to_bytes
 from tableflow.functions.hashing import java_string_hash, salt_prefix
 from tableflow.operators.columns import _q
 
 CELL_COLUMNS = ("rowkey", "family", "qualifier", "value")
-DEFAULT_FAMILY = "cf"
 
 
 def _cell_value(df: DataFrame, name: str, value_format: str) -> Column:

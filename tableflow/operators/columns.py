@@ -8,6 +8,13 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableflow.defaults import (
+    DEFAULT_AMOUNT_GROUP,
+    DEFAULT_AMOUNT_PATTERN,
+    DEFAULT_AMOUNT_STRIP,
+    DEFAULT_NA,
+    DEFAULT_TIME_FORMAT,
+)
 from tableflow.functions.casting import safe_try_cast
 from tableflow.functions.conditions import Predicate, case_chain
 from tableflow.functions.text import safe_name
@@ -43,7 +50,7 @@ def drop_cols(df: DataFrame, drop: Iterable[str]) -> DataFrame:
 def cast_schema(
     df: DataFrame,
     schema: Mapping[str, str],
-    time_format: str = "dd/MM/yyyy",
+    time_format: str = DEFAULT_TIME_FORMAT,
     specify_format: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Cast columns by a declared ``{column: type}`` map.
@@ -97,7 +104,7 @@ def with_case(
     df: DataFrame,
     name: str,
     conditions: Sequence[tuple[Predicate, Any]],
-    default: Any = "NA",
+    default: Any = DEFAULT_NA,
 ) -> DataFrame:
     """Add/replace ``name`` with a first-match-wins case chain."""
     return df.withColumn(name, case_chain(df, conditions, default))
@@ -121,9 +128,9 @@ def parse_amount(
     df: DataFrame,
     src: str,
     dst: str,
-    pattern: str = "RM (.+)",
-    group: int = 1,
-    strip: str = ",",
+    pattern: str = DEFAULT_AMOUNT_PATTERN,
+    group: int = DEFAULT_AMOUNT_GROUP,
+    strip: str = DEFAULT_AMOUNT_STRIP,
     to_type: str = "bigint",
 ) -> DataFrame:
     """Pull a number out of text like ``RM 265,000``: extract, strip, cast.

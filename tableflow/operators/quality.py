@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow.defaults import DEFAULT_TIME_FORMAT
 from tableflow.functions.casting import safe_try_cast
 from tableflow.functions.text import split_lines
 from tableflow.operators.columns import TIMESTAMP_TYPES, _q
@@ -135,7 +136,7 @@ def null_count(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
 def schema_conformance(
     df: DataFrame,
     declared: Mapping[str, str],
-    time_format: str = "dd/MM/yyyy",
+    time_format: str = DEFAULT_TIME_FORMAT,
 ) -> DataFrame:
     """Declared schema vs table, in one aggregation job of fixed size.
 

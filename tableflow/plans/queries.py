@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableflow.defaults import DEFAULT_MAX_LINE_LENGTH, LONG_LINE_LENGTH
 from tableflow.operators import (
     aggregate,
     assemble,
@@ -81,8 +82,8 @@ SALT_BUCKETS = 16
 CELL_COLUMNS_CUSTOMER = ["c_name", "c_mktsegment", "c_nationkey"]
 CELL_COLUMNS_PART = ["p_name", "p_type", "p_size"]
 PREFIX = "red"
-LONG_LINE_LIMIT = 4600
-DEFAULT_LINE_LIMIT = 2048
+LONG_LINE_LIMIT = LONG_LINE_LENGTH
+DEFAULT_LINE_LIMIT = DEFAULT_MAX_LINE_LENGTH
 SPOOL_CHARSET = "windows-1252"
 
 

@@ -25,12 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tableflow.defaults import DEFAULT_IDLE_SECONDS, DEFAULT_MAX_LINE_LENGTH
 from tableflow.functions.text import chunk_text, split_lines
 
-# The line limit a spool reader applies unless told otherwise,
-# and the idle time (s) after which the reference sink closes a file.
-DEFAULT_MAX_LINE_LENGTH = 2048
-DEFAULT_IDLE_SECONDS = 5
 
 # Charsets Spark's encode/decode accept without the legacy Java-charset switch.
 _STANDARD_CHARSETS = {"utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32"}
