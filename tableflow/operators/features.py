@@ -111,7 +111,7 @@ def one_hot(
     width = model.categorySizes[0] - (1 if drop_last else 0)
     arr = vector_to_array(F.col(out))
     return encoded.select(
-        *[c for c in df.columns], *[arr[i].alias(f"{out}_{i}") for i in range(width)]
+        *[_q(c) for c in df.columns], *[arr[i].alias(f"{out}_{i}") for i in range(width)]
     )
 
 

@@ -42,7 +42,8 @@ class FlowSpec:
     checkpoint_dir: str | None = None
     available_now: bool = True
     interval_seconds: int = DEFAULT_IDLE_SECONDS
-    max_files_per_trigger: int | None = None
+    # bounded micro-batches: a large backlog is drained in steps, not at once
+    max_files_per_trigger: int | None = 1000
     archive_dir: str | None = None
 
 

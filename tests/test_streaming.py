@@ -108,3 +108,13 @@ def test_declared_utf8_is_strict(spark):
     _write(f"{root}/in", "b.txt", "café\n".encode("cp1252"))
     with pytest.raises(Exception):
         run_flows(spark, {"u": FlowSpec(f"{root}/in", f"{root}/out", charset="UTF-8")})
+
+
+def test_backlog_in_bounded_batches(spark):
+    root = scratch_path(spark, "backlog")
+    for i in range(5):
+        _write(f"{root}/in", f"f{i}.txt", f"line{i}\n".encode())
+    spec = FlowSpec(f"{root}/in", f"{root}/out", max_files_per_trigger=2)
+    q = run_flows(spark, {"b": spec})["b"]
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    assert sorted(r.value for r in read_flow_output(spark, spec).collect()) == [f"line{i}" for i in range(5)]
