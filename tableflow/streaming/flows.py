@@ -17,8 +17,8 @@ with its own checkpoint, so flows are added or stopped one by one.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,21 +129,6 @@ def read_flow_output(spark: SparkSession, spec: FlowSpec) -> DataFrame:
     return spark.read.text(os.path.join(spec.sink_dir, "data"))
 
 
-@contextmanager
-def _java_charsets(spark: SparkSession, charset: str | None):
-    """Enable Java charsets on ``spark`` for the duration of one job only."""
-    if not _needs_legacy_charsets(charset):
-        yield
-        return
-    key = "spark.sql.legacy.javaCharsets"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def write_spool(
     docs: DataFrame,
     spool_root: str,
@@ -154,15 +139,26 @@ def write_spool(
     """Lay text out as spool files, one directory ``<flow_col>=<flow>`` per flow.
 
     Every ``\\n``-separated line of each text becomes one file line; with a
-    ``charset`` the files hold that charset's bytes (written raw).
+    ``charset`` the files hold that charset's bytes (written raw).  A Java
+    charset is encoded in a separate session that allows it: the frame is
+    handed over as a global temporary view, so the caller's session settings
+    are never changed.
     """
     spark = docs.sparkSession
-    with _java_charsets(spark, charset):
+    view = None
+    if _needs_legacy_charsets(charset):
+        view = f"tableflow_spool_{uuid.uuid4().hex}"
+        docs.createOrReplaceGlobalTempView(view)
+        docs = flow_session(spark, charset).table(f"global_temp.{view}")
+    try:
         lines = docs.select(
             F.col(flow_col).cast("string").alias(flow_col),
             F.explode(split_lines(F.col(text_col))).alias("value"),
         )
-        if charset is not None and charset.lower() != "utf-8":
+        if charset is not None and charset.lower().replace("-", "") != "utf8":
             lines = lines.withColumn("value", F.encode(F.col("value"), charset).cast("string"))
         lines.write.mode("overwrite").partitionBy(flow_col).text(spool_root)
+    finally:
+        if view is not None:
+            spark.catalog.dropGlobalTempView(view)
     return spool_root

@@ -118,3 +118,15 @@ def test_backlog_in_bounded_batches(spark):
     q = run_flows(spark, {"b": spec})["b"]
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     assert sorted(r.value for r in read_flow_output(spark, spec).collect()) == [f"line{i}" for i in range(5)]
+
+
+def test_write_spool_leaves_session_conf_alone(spark):
+    from tableflow.streaming import write_spool
+
+    before = spark.conf.get("spark.sql.legacy.javaCharsets", "false")
+    docs = spark.createDataFrame([("a", "café\nok")], "flow string, text string")
+    root = scratch_path(spark, "spool-conf")
+    write_spool(docs, root, "flow", charset="windows-1252")
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == before
+    raw = open([os.path.join(d, f) for d, _, fs in os.walk(_local(root)) for f in fs if f.endswith(".txt")][0], "rb").read()
+    assert raw == "café\nok\n".encode("cp1252")
