@@ -203,6 +203,7 @@ def oracles() -> dict[str, str]:
         "SELECT rowkey, family, qualifier, value FROM (SELECT *, row_number() OVER "
         "(PARTITION BY rowkey, family, qualifier ORDER BY ts DESC, event_id DESC) AS r FROM w) WHERE r = 1"
     )
+    sq["cells_store_upsert"] = sq["cells_upsert"]
     sq["salt_key"] = (
         f"SELECT c_custkey, {_salt('CAST(c_custkey AS VARCHAR)')} || ':' || CAST(c_custkey AS VARCHAR) AS salted "
         "FROM customer"
@@ -253,6 +254,11 @@ def oracles() -> dict[str, str]:
         "(SELECT user_id, event_type, count(event_id) AS n_events FROM events GROUP BY user_id, event_type) n "
         "ON e.user_id = n.user_id AND e.event_type = n.event_type"
     )
+    sq["join_skew_split"] = (
+        "SELECT e.event_type, e.event_id, e.user_id, t.n_type, t.users_type FROM events e LEFT JOIN "
+        "(SELECT event_type, count(event_id) AS n_type, count(DISTINCT user_id) AS users_type FROM events "
+        "GROUP BY event_type) t ON e.event_type = t.event_type"
+    )
     building = "(SELECT * FROM customer WHERE c_mktsegment = 'BUILDING')"
     sq["join_mapped"] = (
         f"SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, c.c_name FROM orders o LEFT JOIN {building} c "

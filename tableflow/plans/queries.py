@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tableflow.defaults import DEFAULT_MAX_LINE_LENGTH, LONG_LINE_LENGTH
 from tableflow.operators import (
     aggregate,
+    append_cell_writes,
+    read_latest_cells,
     assemble,
     cast_schema,
     cells_long,
@@ -51,6 +53,7 @@ from tableflow.operators import (
     write_bulk,
 )
 from tableflow.functions.hashing import salted_key
+from tableflow.operators.joins import split_skew_join
 from tableflow.functions.text import chunk_text
 from tableflow.plans.tables import load
 from tableflow.session import scratch_path
@@ -233,6 +236,22 @@ def q_cells_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_cells(base, writes, ["ts", "event_id"])
 
 
+def q_cells_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert of ``cells_upsert`` through a stored, append-only cell table:
+    customer cells are appended first, the event writes later; reading
+    resolves the last write per cell."""
+    store = scratch_path(spark, "cell-store")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    customer = load(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment", epoch.alias("ts"), F.lit(-1).cast("bigint").alias("event_id")
+    )
+    order = ["ts", "event_id"]
+    append_cell_writes(rows_to_cells(customer, "c_custkey", ["c_name", "c_mktsegment"], carry=order), store, order)
+    append_cell_writes(rows_to_cells(load(spark, sf_dir, "events"), "user_id", ["event_type", "props"], carry=order),
+                       store, order)
+    return read_latest_cells(spark, store, order)
+
+
 def _salted_customer_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = rows_to_cells(load(spark, sf_dir, "customer"), "c_custkey", CELL_COLUMNS_CUSTOMER,
                           drop_empty=True)
@@ -405,6 +424,14 @@ def q_join_select_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_join_skew_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events joined to per-type figures; every event type holds about a fifth
+    of the rows, so all of them take the split (bucketed) path."""
+    events = load(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    per_type = aggregate(events, "event_type", {"event_id": {"n_type": "count"}, "user_id": {"users_type": "countDistinct"}})
+    return split_skew_join(events, per_type, "event_type", how="left", buckets=8, min_share=0.05)
+
+
 def _join_how(how: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         left, right = _join_sides(spark, sf_dir)
@@ -605,6 +632,7 @@ def registry() -> dict[str, Query]:
         "prefix_filter": q_prefix_filter,
         "cells_prefix_filter": q_cells_prefix_filter,
         "cells_upsert": q_cells_upsert,
+        "cells_store_upsert": q_cells_store_upsert,
         "salt_key": q_salt_key,
         "salted_cells": q_salted_cells,
         "bulk_load": q_bulk_load,
@@ -624,6 +652,7 @@ def registry() -> dict[str, Query]:
         "join_mapped": q_join_mapped,
         "join_mapped_keep": q_join_mapped_keep,
         "join_select_rename": q_join_select_rename,
+        "join_skew_split": q_join_skew_split,
         "join_inner": _join_how("inner"),
         "join_right": _join_how("right"),
         "join_full": _join_how("full"),
