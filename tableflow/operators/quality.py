@@ -69,25 +69,42 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
         ))
     long = df.select(F.inline(F.array(*entries)))
 
-    aggs = [
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if("_nn").alias("_n"),
-        F.avg("_x").alias("_avg"),
-        F.stddev_samp("_x").alias("_sd"),
-        F.min("_x").alias("_min"),
-        F.max("_x").alias("_max"),
-    ]
-    if approx:
-        aggs.append(F.approx_count_distinct("_v", rsd).alias("_a"))
-    stats = long.groupBy("_i").agg(*aggs)
     nulls = F.col("_rows") - F.col("_n")
     if approx:
-        stats = stats.withColumn("_d", F.col("_a") + F.when(nulls > 0, 1).otherwise(0))
+        stats = long.groupBy("_i").agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count_if("_nn").alias("_n"),
+            F.avg("_x").alias("_avg"),
+            F.stddev_samp("_x").alias("_sd"),
+            F.min("_x").alias("_min"),
+            F.max("_x").alias("_max"),
+            F.approx_count_distinct("_v", rsd).alias("_a"),
+        ).withColumn("_d", F.col("_a") + F.when(nulls > 0, 1).otherwise(0))
     else:
-        # distinct (column, value) pairs, NULL included as one value
-        counts = long.select("_i", "_v").distinct().groupBy("_i").agg(F.count(F.lit(1)).alias("_d"))
-        # both sides hold one row per column of the table
-        stats = stats.join(counts, "_i")
+        # one scan: the distinct (column, value) table with each value's count;
+        # a NULL value is one group, and _x is a function of the value
+        values = long.groupBy("_i", "_v", "_nn").agg(
+            F.count(F.lit(1)).alias("_c"), F.max("_x").alias("_x")
+        )
+        wx = F.col("_c") * F.col("_x")
+        level = values.groupBy("_i").agg(
+            F.sum("_c").alias("_rows"),
+            F.sum(F.when(F.col("_nn"), F.col("_c")).otherwise(0)).alias("_n"),
+            F.count(F.lit(1)).alias("_d"),
+            (F.sum(wx) / F.sum(F.when(F.col("_x").isNotNull(), F.col("_c")))).alias("_avg"),
+            F.min("_x").alias("_min"),
+            F.max("_x").alias("_max"),
+        )
+        # variance from squared deviations around the mean (stable), over the
+        # same value table; the means are one row per column (broadcast bound)
+        means = F.broadcast(level.select("_i", F.col("_avg").alias("_mu")))
+        dev = values.join(means, "_i").groupBy("_i").agg(
+            F.sum(F.col("_c") * F.pow(F.col("_x") - F.col("_mu"), 2)).alias("_m2"),
+            F.sum(F.when(F.col("_x").isNotNull(), F.col("_c"))).alias("_nx"),
+        )
+        stats = level.join(F.broadcast(dev), "_i").withColumn(
+            "_sd", F.when(F.col("_nx") > 1, F.sqrt(F.col("_m2") / (F.col("_nx") - 1)))
+        )
 
     # every column gets a row, also for an empty table (no groups there)
     positions = df.sparkSession.range(len(fields)).select(F.col("id").cast("int").alias("_i"))
