@@ -163,6 +163,3 @@ def duplicate_names(columns: Iterable[str]) -> list[str]:
         seen.add(k)
     return dups
 
-
-def as_column(c: str | Column) -> Column:
-    return F.col(_q(c)) if isinstance(c, str) else c

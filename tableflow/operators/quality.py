@@ -20,10 +20,6 @@ PROFILE_SCHEMA = (
 )
 
 
-def _null_double() -> Column:
-    return F.lit(None).cast("double")
-
-
 def _canonical_text(c: Column, dtype: T.DataType) -> Column:
     """Text that is equal exactly when two values of one column are equal
     under Spark's grouping rules (so distinct texts = distinct values)."""

@@ -75,3 +75,14 @@ def test_profile_empty_and_wide(spark):
     assert [r.distinct_count for r in prof] == [min(50, i + 2) for i in range(40)]
     dbl = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (None,)], "x double")
     assert data_profile(dbl).first().distinct_count == 3
+
+
+def test_profile_schema_is_stable(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from tableflow.operators.quality import PROFILE_SCHEMA
+
+    got = data_profile(_n3(spark)).schema
+    want = _parse_datatype_string(PROFILE_SCHEMA)
+    assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in want.fields]
+    assert data_profile(_n3(spark), approx=True).schema.simpleString() == got.simpleString()
