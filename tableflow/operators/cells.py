@@ -93,7 +93,9 @@ def bulk_layout(salted_cells: DataFrame, num_files: int | None = None) -> DataFr
     A range shuffle on the full sort key (salted key, qualifier, value) does
     the job of a global sort plus a per-salt repartition in ONE exchange; it
     samples the keys, so hot salts or keys are split across files instead of
-    piling into one task.
+    piling into one task.  ``num_files`` sets the number of key ranges (size
+    it to the data, e.g. total bytes / 256 MB); it defaults to
+    ``spark.sql.shuffle.partitions``.
     """
     keys = ["salted", "qualifier", "value"]
     parts = num_files or int(salted_cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))

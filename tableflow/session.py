@@ -39,7 +39,11 @@ def build_session(master: str = "local[8]", app: str = "tableflow", **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint dir; create a local one only if unset."""
+    """Return the shared checkpoint dir.
+
+    Uses the session's checkpoint dir or ``spark.checkpoint.dir``; only a
+    ``local[...]`` session without either gets a temporary local folder.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -48,6 +52,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors on a cluster
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder shared by the cluster"
+            )
         configured = tempfile.mkdtemp(prefix="tableflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
