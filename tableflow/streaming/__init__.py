@@ -8,6 +8,7 @@ from tableflow.streaming.flows import (
     read_flow_output,
     run_flows,
     spool_stream,
+    specs_from_sections,
     start_flow,
     write_spool,
 )

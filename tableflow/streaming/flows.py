@@ -25,7 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tableflow.defaults import DEFAULT_IDLE_SECONDS, DEFAULT_MAX_LINE_LENGTH
+from tableflow.defaults import (
+    DEFAULT_IDLE_SECONDS,
+    DEFAULT_MAX_LINE_LENGTH,
+    FLOW_KEY_CHARSET,
+    FLOW_KEY_MAX_LINE,
+    FLOW_KEY_SINK_DIR,
+    FLOW_KEY_SPOOL_DIR,
+)
 from tableflow.functions.text import chunk_text, split_lines
 
 
@@ -162,3 +169,27 @@ def write_spool(
         if view is not None:
             spark.catalog.dropGlobalTempView(view)
     return spool_root
+
+
+def specs_from_sections(sections: Mapping[str, Mapping[str, str]], **common) -> dict[str, FlowSpec]:
+    """Flow specs from section-style options (one section per flow).
+
+    Each section names ``spoolDir`` and ``HDFSDir`` and may add
+    ``inputCharset`` and ``maxLineLength`` (both may be given); a ``DEFAULT``
+    section is skipped.  ``common`` sets further ``FlowSpec`` fields for all.
+    """
+    specs = {}
+    for name, opts in sections.items():
+        if name == "DEFAULT":
+            continue
+        missing = [k for k in (FLOW_KEY_SPOOL_DIR, FLOW_KEY_SINK_DIR) if k not in opts]
+        if missing:
+            raise ValueError(f"flow {name!r} lacks {missing}")
+        specs[name] = FlowSpec(
+            spool_dir=opts[FLOW_KEY_SPOOL_DIR],
+            sink_dir=opts[FLOW_KEY_SINK_DIR],
+            charset=opts.get(FLOW_KEY_CHARSET),
+            max_line_length=int(opts.get(FLOW_KEY_MAX_LINE, DEFAULT_MAX_LINE_LENGTH)),
+            **common,
+        )
+    return specs

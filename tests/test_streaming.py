@@ -130,3 +130,30 @@ def test_write_spool_leaves_session_conf_alone(spark):
     assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == before
     raw = open([os.path.join(d, f) for d, _, fs in os.walk(_local(root)) for f in fs if f.endswith(".txt")][0], "rb").read()
     assert raw == "café\nok\n".encode("cp1252")
+
+
+def test_specs_from_sections():
+    import configparser
+
+    from tableflow.streaming import specs_from_sections
+
+    cfg = configparser.RawConfigParser()
+    cfg.optionxform = str
+    cfg.read_string("""
+[DEFAULT]
+agent=a1
+[customer]
+spoolDir=/in/customer
+HDFSDir=/out/customer
+[special_file]
+spoolDir=/in/sp
+HDFSDir=/out/sp
+inputCharset=windows-1252
+maxLineLength=4600
+""")
+    specs = specs_from_sections({s: dict(cfg[s]) for s in cfg.sections()})
+    assert set(specs) == {"customer", "special_file"}
+    assert specs["customer"].max_line_length == 2048 and specs["customer"].charset is None
+    assert specs["special_file"].charset == "windows-1252" and specs["special_file"].max_line_length == 4600
+    with pytest.raises(ValueError):
+        specs_from_sections({"bad": {"spoolDir": "/x"}})
