@@ -149,3 +149,11 @@ def test_salt_of(spark, person):
 
     salted = salt_cells(rows_to_cells(person, "key"), 2)
     assert all(r.a == r.b for r in salted.select(salt_of("salted").alias("a"), F.col("salt").alias("b")).collect())
+
+
+def test_null_and_empty_cells(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, "", "y")], "k int, a string, b string")
+    put = {(r.rowkey, r.qualifier): r.value for r in rows_to_cells(df, "k").collect()}
+    assert put == {("1", "b"): "x", ("2", "a"): "", ("2", "b"): "y"}
+    bulk = {(r.rowkey, r.qualifier) for r in rows_to_cells(df, "k", drop_empty=True, key_as_cell=True).collect()}
+    assert bulk == {("1", "k"), ("1", "b"), ("2", "k"), ("2", "b")}
