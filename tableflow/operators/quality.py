@@ -20,19 +20,41 @@ PROFILE_SCHEMA = (
 )
 
 
-def _canonical_text(c: Column, dtype: T.DataType) -> Column:
-    """Text that is equal exactly when two values of one column are equal
-    under Spark's grouping rules (so distinct texts = distinct values)."""
+_KEY_TYPE = "struct<l:bigint,d:double,s:string,b:binary>"
+
+
+def _canonical_key(c: Column, dtype: T.DataType) -> Column:
+    """A grouping key equal exactly when two values of one column are equal
+    under Spark's grouping rules, without formatting numbers as text.
+
+    Typed slots: integral/boolean/date/instant values go to a bigint slot,
+    floating values to a double slot (grouping treats -0.0 as 0.0 and all
+    NaNs as one value), binary to a binary slot, everything else to its
+    canonical text (wall-clock timestamps included, which an instant would
+    merge inside daylight-saving gaps).
+    """
+    whole = dec = text = raw = None
     if isinstance(dtype, T.StringType):
-        return c
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        # grouping treats -0.0 as 0.0 and all NaNs as one value
-        return F.when(c == 0, F.lit(0.0)).otherwise(c.cast("double")).cast("string")
-    if isinstance(dtype, T.BinaryType):
-        return F.hex(c)
-    if isinstance(dtype, (T.StructType, T.ArrayType)):
-        return F.to_json(c)
-    return c.cast("string")
+        text = c
+    elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        whole = c.cast("bigint")
+    elif isinstance(dtype, T.DateType):
+        whole = F.unix_date(c).cast("bigint")
+    elif isinstance(dtype, T.TimestampType):
+        whole = F.unix_micros(c)
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+        dec = c.cast("double")
+    elif isinstance(dtype, T.BinaryType):
+        raw = c
+    elif isinstance(dtype, (T.StructType, T.ArrayType)):
+        text = F.to_json(c)
+    else:
+        text = c.cast("string")
+    slot = lambda v, t: (v if v is not None else F.lit(None)).cast(t)
+    return F.struct(
+        slot(whole, "bigint").alias("l"), slot(dec, "double").alias("d"),
+        slot(text, "string").alias("s"), slot(raw, "binary").alias("b"),
+    )
 
 
 def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits: int | None = None) -> DataFrame:
@@ -43,7 +65,7 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
     double; other columns get the row count and NULL statistics.
 
     Plan (the same for 5 or 500 columns): every row is turned into one
-    ``(column, value text, numeric value)`` entry per column by a single
+    ``(column, value key, numeric value)`` entry per column by a single
     ``inline``; the moments are one ``groupBy(column)`` with six partial
     aggregates, and the exact distinct counts are a ``distinct`` on
     (column, value) followed by a count per column.  Both aggregates combine
@@ -60,7 +82,7 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
         entries.append(F.struct(
             F.lit(i).alias("_i"),
             c.isNotNull().alias("_nn"),
-            (_canonical_text(c, f.dataType) if comparable else F.lit(None).cast("string")).alias("_v"),
+            (_canonical_key(c, f.dataType) if comparable else F.lit(None).cast(_KEY_TYPE)).alias("_v"),
             (c.cast("double") if numeric else F.lit(None).cast("double")).alias("_x"),
         ))
     long = df.select(F.inline(F.array(*entries)))
@@ -74,7 +96,7 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
             F.stddev_samp("_x").alias("_sd"),
             F.min("_x").alias("_min"),
             F.max("_x").alias("_max"),
-            F.approx_count_distinct("_v", rsd).alias("_a"),
+            F.approx_count_distinct(F.when(F.col("_nn"), F.col("_v")), rsd).alias("_a"),
         ).withColumn("_d", F.col("_a") + F.when(nulls > 0, 1).otherwise(0))
     else:
         # one scan: the distinct (column, value) table with each value's count;

@@ -86,3 +86,16 @@ def test_profile_schema_is_stable(spark):
     want = _parse_datatype_string(PROFILE_SCHEMA)
     assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in want.fields]
     assert data_profile(_n3(spark), approx=True).schema.simpleString() == got.simpleString()
+
+
+def test_profile_distinct_keys_by_type(spark):
+    import datetime as dt2
+
+    rows = [
+        (1, True, dt2.date(2020, 1, 1), bytearray(b"a"), {"k": 1}, dt2.datetime(2020, 1, 1), ["x"]),
+        (1, False, dt2.date(2020, 1, 2), bytearray(b"b"), {"k": 2}, dt2.datetime(2020, 1, 1), ["x", "y"]),
+        (2, True, None, bytearray(b"a"), None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "i int, b boolean, d date, bin binary, m map<string,int>, t timestamp, a array<string>")
+    got = {r.column: r.distinct_count for r in data_profile(df).collect()}
+    assert got == {"i": 2, "b": 2, "d": 3, "bin": 2, "m": None, "t": 2, "a": 3}
