@@ -132,8 +132,11 @@ def run_flows(spark: SparkSession, flows: Mapping[str, FlowSpec], wait: bool = T
 
 
 def read_flow_output(spark: SparkSession, spec: FlowSpec) -> DataFrame:
-    """Committed output of a flow (the sink's metadata log hides partial files)."""
-    return spark.read.text(os.path.join(spec.sink_dir, "data"))
+    """Committed output of a flow (the sink's metadata log hides partial files).
+
+    ``basename`` stays text even for file names that look like numbers.
+    """
+    return spark.read.schema("value string, basename string").text(os.path.join(spec.sink_dir, "data"))
 
 
 def write_spool(

@@ -157,3 +157,12 @@ maxLineLength=4600
     assert specs["special_file"].charset == "windows-1252" and specs["special_file"].max_line_length == 4600
     with pytest.raises(ValueError):
         specs_from_sections({"bad": {"spoolDir": "/x"}})
+
+
+def test_numeric_base_names_stay_text(spark):
+    root = scratch_path(spark, "numnames")
+    _write(f"{root}/in", "0123", b"a\n")
+    spec = FlowSpec(f"{root}/in", f"{root}/out")
+    run_flows(spark, {"n": spec})
+    out = read_flow_output(spark, spec)
+    assert dict(out.dtypes)["basename"] == "string" and out.first().basename == "0123"
