@@ -86,28 +86,42 @@ def salt_of(salted: str | Column) -> Column:
     return F.split(c, ":").getItem(0)
 
 
-def bulk_layout(salted_cells: DataFrame, num_files: int | None = None) -> DataFrame:
-    """Order cells for a bulk load: each output partition holds one sorted,
-    non-overlapping key range.
-
-    A range shuffle on the full sort key (salted key, qualifier, value) does
-    the job of a global sort plus a per-salt repartition in ONE exchange; it
-    samples the keys, so hot salts or keys are split across files instead of
-    piling into one task.  ``num_files`` sets the number of key ranges (size
-    it to the data, e.g. total bytes / 256 MB); it defaults to
-    ``spark.sql.shuffle.partitions``.
+def bulk_layout(salted_cells: DataFrame, num_files: int | None = None, ordering: str = "range") -> DataFrame:
+    """Order cells for a bulk load.
+
+    ``ordering='range'`` (default): one range shuffle on the full sort key
+    (salted key, qualifier, value) does the job of a global sort plus a
+    per-salt repartition in ONE exchange; each output partition is one
+    sorted key range that overlaps no other, and sampled bounds split hot
+    salts or rows across files.  Spark samples the input for the bounds
+    first, so the input plan runs twice.
+
+    ``ordering='hash'``: one pass, no sampling - cells are spread over
+    partitions by (salt, hash of the row key), so a hot salt still uses many
+    files and all cells of a row stay in one file; each file is sorted, but
+    files of one salt overlap in key range.
+
+    ``num_files`` sets the number of partitions (size it to the data, e.g.
+    total bytes / 256 MB); it defaults to ``spark.sql.shuffle.partitions``.
+    Sorting leads with ``salt`` (a prefix of ``salted``, so the order is the
+    same) so the per-salt partitioned writer keeps this order.
     """
     keys = ["salted", "qualifier", "value"]
     parts = num_files or int(salted_cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # leading with ``salt`` (a prefix of ``salted``, so the order is the same)
-    # lets the per-salt partitioned writer use this order instead of re-sorting
-    return salted_cells.repartitionByRange(parts, *keys).sortWithinPartitions("salt", *keys)
+    if ordering == "range":
+        spread = salted_cells.repartitionByRange(parts, *keys)
+    elif ordering == "hash":
+        spread = salted_cells.repartition(parts, "salt", F.xxhash64("rowkey"))
+    else:
+        raise ValueError("ordering must be 'range' or 'hash'")
+    return spread.sortWithinPartitions("salt", *keys)
 
 
-def write_bulk(salted_cells: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite") -> None:
+def write_bulk(salted_cells: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite",
+               ordering: str = "range") -> None:
     """Write the bulk layout as parquet, one directory per salt."""
     (
-        bulk_layout(salted_cells, num_files)
+        bulk_layout(salted_cells, num_files, ordering)
         .write.mode(mode)
         .partitionBy("salt")
         .parquet(path)

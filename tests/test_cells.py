@@ -157,3 +157,22 @@ def test_null_and_empty_cells(spark):
     assert put == {("1", "b"): "x", ("2", "a"): "", ("2", "b"): "y"}
     bulk = {(r.rowkey, r.qualifier) for r in rows_to_cells(df, "k", drop_empty=True, key_as_cell=True).collect()}
     assert bulk == {("1", "k"), ("1", "b"), ("2", "k"), ("2", "b")}
+
+
+def test_bulk_hash_ordering(spark, person):
+    salted = salt_cells(rows_to_cells(person, "key", key_as_cell=True), 2)
+    path = scratch_path(spark, "bulk-hash")
+    write_bulk(salted, path, num_files=3, ordering="hash")
+    back = read_bulk(spark, path)
+    assert sorted(map(tuple, back.select(*salted.columns).collect())) == sorted(map(tuple, salted.collect()))
+    rows = back.select("salted", "qualifier", "value", F.input_file_name().alias("f")).collect()
+    files = {}
+    for r in rows:
+        files.setdefault(r.f, []).append((r.salted, r.qualifier, r.value))
+    assert all(v == sorted(v) for v in files.values())
+    # all cells of one row key sit in one file
+    owner = {}
+    for f, v in files.items():
+        for salted_key, _, _ in v:
+            owner.setdefault(salted_key, set()).add(f)
+    assert all(len(fs) == 1 for fs in owner.values())
