@@ -119,3 +119,10 @@ def test_self_join_by_key_map(spark, how):
     out = join_on(t, parents, {"parent": "id"}, how=how)
     want = {"inner": 2, "left": 4, "left_semi": 2, "left_anti": 2, "full": 7}[how]
     assert out.count() == want
+
+
+def test_join_mapped_duplicate_right_names_raise(spark):
+    left = spark.createDataFrame([(1, "a")], "k int, v string")
+    right = spark.createDataFrame([(1, "x", "y")], "rk int, p string, q string")
+    with pytest.raises(ValueError, match="duplicate"):
+        join_mapped(left, right, {"k": "rk"}, sel=["rk", "p", "q"], rename={"p": "q"})
