@@ -8,6 +8,7 @@ from tableflow.sources.monthly import (
     readin_monthly,
     split_by_month,
     write_monthly,
+    write_monthly_tables,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

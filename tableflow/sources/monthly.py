@@ -74,6 +74,34 @@ def readin_monthly(
     return out
 
 
+def write_monthly_tables(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    fn: MonthFn,
+    output_dir: str,
+    table_name: str,
+    start_month: int = 1,
+    end_month: int = 12,
+    layout: str = "suffix",
+    mode: str = "overwrite",
+) -> list[str]:
+    """Per month: read, apply ``fn``, write ``<output_dir>/<table_name>_MM``.
+
+    Output named per month like the input.  Each write is its own job and
+    computes only its month (the months together are one pass over the
+    input); each job is distributed over the cluster.  Returns the written
+    locations.
+    """
+    written = []
+    for mm in month_labels(start_month, end_month):
+        out = readin_monthly(spark, path, table, fn, int(mm), int(mm), layout).drop("month")
+        loc = os.path.join(output_dir, f"{table_name}_{mm}")
+        out.write.mode(mode).parquet(loc)
+        written.append(loc)
+    return written
+
+
 def write_monthly(df: DataFrame, output_dir: str, month_col: str = "month", mode: str = "overwrite") -> None:
     """One dataset per month under ``month=MM``; only months present are replaced.
 

@@ -100,3 +100,15 @@ def test_monthly_hive_layout_prunes(spark):
     feb = readin_monthly(spark, root, "t", lambda m: m.select("id"), 2, 2, layout="hive")
     plan = feb._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "= 02)" in plan
+
+
+def test_write_monthly_tables_named_per_month(spark):
+    from tableflow.sources import write_monthly_tables
+
+    root = scratch_path(spark, "monthly-in")
+    for m in range(1, 4):
+        spark.range(m * 5).select(F.col("id"), (F.col("id") * 2.0).alias("v")).write.parquet(os.path.join(root, f"t_{m:02d}"))
+    out = scratch_path(spark, "monthly-named")
+    locs = write_monthly_tables(spark, root, "t", lambda d: d.agg(F.count("*").alias("n")), out, "t_summary", 2, 3)
+    assert [os.path.basename(p) for p in locs] == ["t_summary_02", "t_summary_03"]
+    assert [spark.read.parquet(p).first().n for p in locs] == [10, 15]
