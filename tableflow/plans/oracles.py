@@ -173,6 +173,7 @@ def oracles() -> dict[str, str]:
         "SELECT o_orderstatus, count(*) AS n_orders, strftime(o_orderdate, '%m') AS month FROM orders "
         "GROUP BY o_orderstatus, month"
     )
+    sq["monthly_tables"] = sq["monthly_pipeline"]
     sq["monthly_write"] = "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%m') AS month FROM orders"
     sq["rows_to_cells"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'cf' AS family, q AS qualifier, v AS value_hex FROM "

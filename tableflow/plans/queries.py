@@ -66,6 +66,7 @@ from tableflow.sources import (
     readin_monthly,
     split_by_month,
     write_monthly,
+    write_monthly_tables,
 )
 from tableflow.streaming import FlowSpec, read_flow_output, run_flows, write_spool
 
@@ -170,6 +171,19 @@ def q_monthly_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readin_monthly(spark, root, "orders", _month_fn, start_month=1, end_month=12, layout="hive")
 
 
+def q_monthly_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-month results written as ``orders_status_MM`` tables, read back."""
+    root = scratch_path(spark, "monthly-src")
+    split_by_month(load(spark, sf_dir, "orders"), "o_orderdate", root, "orders")
+    out = scratch_path(spark, "monthly-tables")
+    locs = write_monthly_tables(spark, root, "orders", _month_fn, out, "orders_status", layout="hive")
+    parts = [spark.read.parquet(loc).withColumn("month", F.lit(loc[-2:])) for loc in locs]
+    result = parts[0]
+    for p in parts[1:]:
+        result = result.unionByName(p)
+    return result
+
+
 def q_monthly_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "monthly-out")
     orders = load(spark, sf_dir, "orders")
@@ -623,6 +637,7 @@ def registry() -> dict[str, Query]:
         "sink_csv": q_sink_csv,
         "sink_parquet": q_sink_parquet,
         "monthly_pipeline": q_monthly_pipeline,
+        "monthly_tables": q_monthly_tables,
         "monthly_write": q_monthly_write,
         "rows_to_cells": q_rows_to_cells,
         "cells_scan_columns": q_cells_scan_columns,

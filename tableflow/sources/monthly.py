@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,21 +86,25 @@ def write_monthly_tables(
     end_month: int = 12,
     layout: str = "suffix",
     mode: str = "overwrite",
+    concurrent_jobs: int = 4,
 ) -> list[str]:
     """Per month: read, apply ``fn``, write ``<output_dir>/<table_name>_MM``.
 
     Output named per month like the input.  Each write is its own job and
     computes only its month (the months together are one pass over the
-    input); each job is distributed over the cluster.  Returns the written
-    locations.
+    input); up to ``concurrent_jobs`` month jobs are submitted at once, so
+    small months do not leave the cluster idle.  Returns the written
+    locations in month order.
     """
-    written = []
-    for mm in month_labels(start_month, end_month):
+    def one(mm: str) -> str:
         out = readin_monthly(spark, path, table, fn, int(mm), int(mm), layout).drop("month")
         loc = os.path.join(output_dir, f"{table_name}_{mm}")
         out.write.mode(mode).parquet(loc)
-        written.append(loc)
-    return written
+        return loc
+
+    months = month_labels(start_month, end_month)
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        return list(pool.map(one, months))
 
 
 def write_monthly(df: DataFrame, output_dir: str, month_col: str = "month", mode: str = "overwrite") -> None:
