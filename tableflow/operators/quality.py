@@ -23,37 +23,44 @@ PROFILE_SCHEMA = (
 _KEY_TYPE = "struct<l:bigint,d:double,s:string,b:binary>"
 
 
-def _canonical_key(c: Column, dtype: T.DataType) -> Column:
-    """A grouping key equal exactly when two values of one column are equal
-    under Spark's grouping rules, without formatting numbers as text.
-
-    Typed slots: integral/boolean/date/instant values go to a bigint slot,
-    floating values to a double slot (grouping treats -0.0 as 0.0 and all
-    NaNs as one value), binary to a binary slot, everything else to its
-    canonical text (wall-clock timestamps included, which an instant would
-    merge inside daylight-saving gaps).
-    """
-    whole = dec = text = raw = None
+def _key_slots(ref: str, dtype: T.DataType) -> tuple[str, str, str, str]:
+    """SQL for the typed slots (l, d, s, b) of a grouping key that is equal
+    exactly when two values of one column are equal under Spark's grouping
+    rules, without formatting numbers as text: integral/boolean/date/instant
+    values in a bigint slot, floating values in a double slot (grouping
+    treats -0.0 as 0.0 and all NaNs as one value), binary in a binary slot,
+    everything else as canonical text (wall-clock timestamps included, which
+    an instant would merge inside daylight-saving gaps)."""
+    l = d = s = b = None
     if isinstance(dtype, T.StringType):
-        text = c
+        s = ref
     elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-        whole = c.cast("bigint")
+        l = f"CAST({ref} AS BIGINT)"
     elif isinstance(dtype, T.DateType):
-        whole = F.unix_date(c).cast("bigint")
+        l = f"CAST(unix_date({ref}) AS BIGINT)"
     elif isinstance(dtype, T.TimestampType):
-        whole = F.unix_micros(c)
+        l = f"unix_micros({ref})"
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-        dec = c.cast("double")
+        d = f"CAST({ref} AS DOUBLE)"
     elif isinstance(dtype, T.BinaryType):
-        raw = c
+        b = ref
     elif isinstance(dtype, (T.StructType, T.ArrayType)):
-        text = F.to_json(c)
-    else:
-        text = c.cast("string")
-    slot = lambda v, t: (v if v is not None else F.lit(None)).cast(t)
-    return F.struct(
-        slot(whole, "bigint").alias("l"), slot(dec, "double").alias("d"),
-        slot(text, "string").alias("s"), slot(raw, "binary").alias("b"),
+        s = f"to_json({ref})"
+    elif not isinstance(dtype, T.MapType):
+        s = f"CAST({ref} AS STRING)"
+    return (l or "CAST(NULL AS BIGINT)", d or "CAST(NULL AS DOUBLE)",
+            s or "CAST(NULL AS STRING)", b or "CAST(NULL AS BINARY)")
+
+
+def _profile_entry(i: int, f: T.StructField) -> Column:
+    """One (column, not-null, key, numeric value) entry, as one SQL expression
+    (a single call per column keeps plan building fast for wide tables)."""
+    ref = _q(f.name)
+    l, d, s, b = _key_slots(ref, f.dataType)
+    x = f"CAST({ref} AS DOUBLE)" if isinstance(f.dataType, T.NumericType) else "CAST(NULL AS DOUBLE)"
+    return F.expr(
+        f"named_struct('_i', {i}, '_nn', {ref} IS NOT NULL, "
+        f"'_v', named_struct('l', {l}, 'd', {d}, 's', {s}, 'b', {b}), '_x', {x})"
     )
 
 
@@ -66,26 +73,18 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
 
     Plan (the same for 5 or 500 columns): every row is turned into one
     ``(column, value key, numeric value)`` entry per column by a single
-    ``inline``; the moments are one ``groupBy(column)`` with six partial
-    aggregates, and the exact distinct counts are a ``distinct`` on
-    (column, value) followed by a count per column.  Both aggregates combine
-    map-side before their shuffles, so no column, however hot or wide, meets
-    in one task.  ``approx=True`` replaces the distinct step by a
-    HyperLogLog sketch in the moments aggregate (one pass instead of two).
+    ``inline``.  Exact: a partial ``groupBy(column, key)`` builds the
+    distinct-value table with counts; counts, distinct counts, mean, min and
+    max come from it per column, and the variance from a second pass over the
+    same table around the broadcast per-column means (one row per column).
+    Spark reuses the value table's exchange, so the data is scanned once.
+    ``approx=True``: one ``groupBy(column)`` with a HyperLogLog sketch.
+    Every aggregate combines map-side before its shuffle, so no column,
+    however hot or wide, meets in one task.
     """
+    spark = df.sparkSession
     fields = list(df.schema.fields)
-    entries = []
-    for i, f in enumerate(fields):
-        c = F.col(_q(f.name))
-        comparable = not isinstance(f.dataType, T.MapType)
-        numeric = isinstance(f.dataType, T.NumericType)
-        entries.append(F.struct(
-            F.lit(i).alias("_i"),
-            c.isNotNull().alias("_nn"),
-            (_canonical_key(c, f.dataType) if comparable else F.lit(None).cast(_KEY_TYPE)).alias("_v"),
-            (c.cast("double") if numeric else F.lit(None).cast("double")).alias("_x"),
-        ))
-    long = df.select(F.inline(F.array(*entries)))
+    long = df.select(F.inline(F.array(*[_profile_entry(i, f) for i, f in enumerate(fields)])))
 
     nulls = F.col("_rows") - F.col("_n")
     if approx:
@@ -124,29 +123,24 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
             "_sd", F.when(F.col("_nx") > 1, F.sqrt(F.col("_m2") / (F.col("_nx") - 1)))
         )
 
-    # every column gets a row, also for an empty table (no groups there)
-    positions = df.sparkSession.range(len(fields)).select(F.col("id").cast("int").alias("_i"))
-    stats = positions.join(stats, "_i", "left").fillna(0, subset=["_rows", "_n", "_d"])
-
-    # per-column constants: name, type, and which columns are numeric / comparable
-    meta = [
-        (i, f.name, f.dataType.simpleString(), isinstance(f.dataType, T.NumericType),
-         not isinstance(f.dataType, T.MapType))
-        for i, f in enumerate(fields)
-    ]
-    def pick(values: list) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_i") + 1)
+    # per-column constants, one row per column; every column gets a row, also
+    # for an empty table (which has no groups)
+    meta = spark.createDataFrame(
+        [(i, f.name, f.dataType.simpleString(), isinstance(f.dataType, T.NumericType),
+          not isinstance(f.dataType, T.MapType)) for i, f in enumerate(fields)],
+        "_i int, column string, datatype string, _num boolean, _cmp boolean",
+    )
+    stats = meta.join(stats, "_i", "left").fillna(0, subset=["_rows", "_n", "_d"])
 
-    is_num = pick([m[3] for m in meta])
-    comparable = pick([m[4] for m in meta])
+    is_num = F.col("_num")
     mean, sd = F.col("_avg"), F.col("_sd")
     if digits is not None:
         mean, sd = F.round(mean, digits), F.round(sd, digits)
     num = lambda v: F.when(is_num, v).otherwise(F.lit(None).cast("double"))
     return stats.orderBy("_i").select(
-        pick([m[1] for m in meta]).alias("column"),
-        pick([m[2] for m in meta]).alias("datatype"),
-        F.when(comparable, F.col("_d")).cast("bigint").alias("distinct_count"),
+        "column",
+        "datatype",
+        F.when(F.col("_cmp"), F.col("_d")).cast("bigint").alias("distinct_count"),
         F.when(is_num, F.col("_n")).otherwise(F.col("_rows")).cast("bigint").alias("count"),
         num(mean).alias("mean"),
         num(sd).alias("stddev"),
