@@ -190,24 +190,21 @@ def schema_conformance(
             conv = safe_try_cast(c, dtype, types.get(name))
         entries.append(F.struct(F.lit(i).alias("_i"), (c.isNotNull() & conv.isNull()).alias("_bad")))
 
-    positions = df.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("_i"))
+    checked_idx = {i for i, _ in checked}
+    # per-column constants, one row per column of either side
+    meta = df.sparkSession.createDataFrame(
+        [(i, n, n in types, declared.get(n) is not None, declared.get(n), i in checked_idx)
+         for i, n in enumerate(names)],
+        "_i int, column string, in_table boolean, in_schema boolean, declared_type string, _chk boolean",
+    )
     if entries:
         bad = df.select(F.inline(F.array(*entries))).groupBy("_i").agg(F.count_if("_bad").alias("_b"))
-        out = positions.join(bad, "_i", "left")
+        out = meta.join(bad, "_i", "left")
     else:
-        out = positions.withColumn("_b", F.lit(None).cast("bigint"))
-    checked_idx = {i for i, _ in checked}
-
-    def pick(values: list) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_i") + 1)
-
+        out = meta.withColumn("_b", F.lit(None).cast("bigint"))
     return out.orderBy("_i").select(
-        pick(names).alias("column"),
-        pick([n in types for n in names]).alias("in_table"),
-        pick([declared.get(n) is not None for n in names]).alias("in_schema"),
-        pick([declared.get(n) for n in names]).cast("string").alias("declared_type"),
-        F.when(pick([i in checked_idx for i in range(len(names))]), F.coalesce(F.col("_b"), F.lit(0)))
-        .cast("bigint").alias("bad_values"),
+        "column", "in_table", "in_schema", "declared_type",
+        F.when(F.col("_chk"), F.coalesce(F.col("_b"), F.lit(0))).cast("bigint").alias("bad_values"),
     )
 
 
