@@ -20,9 +20,6 @@ PROFILE_SCHEMA = (
 )
 
 
-_KEY_TYPE = "struct<l:bigint,d:double,s:string,b:binary>"
-
-
 def _key_slots(ref: str, dtype: T.DataType) -> tuple[str, str, str, str]:
     """SQL for the typed slots (l, d, s, b) of a grouping key that is equal
     exactly when two values of one column are equal under Spark's grouping
