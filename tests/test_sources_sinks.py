@@ -112,3 +112,13 @@ def test_write_monthly_tables_named_per_month(spark):
     locs = write_monthly_tables(spark, root, "t", lambda d: d.agg(F.count("*").alias("n")), out, "t_summary", 2, 3)
     assert [os.path.basename(p) for p in locs] == ["t_summary_02", "t_summary_03"]
     assert [spark.read.parquet(p).first().n for p in locs] == [10, 15]
+
+
+def test_partitioned_sinks_and_typed_csv(spark, person):
+    root = scratch_path(spark, "sinks-part") + "/"
+    to_parquet(person, root, "by_gender", partition_by=["gender"])
+    back = read_parquet(spark, root, "by_gender")
+    assert sorted(r.gender for r in back.select("gender").distinct().collect()) == ["Female", "Male"]
+    to_csv(person, root, "semi", sep=";", partition_by=["gender"])
+    typed = read_csv(spark, root, "semi", sep=";", schema="key int, name string, age int, occupation string, gender string")
+    assert typed.filter("gender = 'Male'").count() == 2 and dict(typed.dtypes)["age"] == "int"
