@@ -106,6 +106,15 @@ def one_hot(
     ``drop_last``).  ``as_columns`` spreads the vector into ``<out>_<i>``
     double columns for relational sinks."""
     out = output_col or f"{index_col}_vec"
+    n_values = df.schema[index_col].metadata.get("ml_attr", {}).get("num_vals")
+    if as_columns and n_values is not None:
+        # the category count is known: plain comparisons, no vector round trip
+        width = n_values - (1 if drop_last else 0)
+        idx = F.col(_q(index_col))
+        return df.select(
+            *[_q(c) for c in df.columns],
+            *[(idx == float(k)).cast("double").alias(f"{out}_{k}") for k in range(width)],
+        )
     model = OneHotEncoder(inputCols=[index_col], outputCols=[out], dropLast=drop_last).fit(df)
     encoded = model.transform(df)
     if not as_columns:

@@ -36,3 +36,10 @@ def test_matches_ml_string_indexer(spark):
     theirs = ml.transform(part).select("p_name", "i").distinct()
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
     assert ours.agg(F.max("i")).first()[0] == len(ml.labels) - 1
+
+
+def test_one_hot_without_metadata_fits(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (1.0,)], "i double")
+    cols = one_hot(df, "i", "v", as_columns=True)
+    assert cols.columns == ["i", "v_0", "v_1"]
+    assert [(r.v_0, r.v_1) for r in cols.collect()] == [(1.0, 0.0), (0.0, 1.0), (0.0, 0.0), (0.0, 1.0)]
