@@ -126,3 +126,13 @@ def test_join_mapped_duplicate_right_names_raise(spark):
     right = spark.createDataFrame([(1, "x", "y")], "rk int, p string, q string")
     with pytest.raises(ValueError, match="duplicate"):
         join_mapped(left, right, {"k": "rk"}, sel=["rk", "p", "q"], rename={"p": "q"})
+
+
+def test_hot_keys_bounds(spark):
+    from tableflow.operators.joins import hot_keys
+
+    df = spark.range(100).selectExpr("id % 4 AS k")
+    assert sorted(hot_keys(df, ["k"], 0.2)) == [(0,), (1,), (2,), (3,)]
+    assert hot_keys(df, ["k"], 0.5) == []
+    with pytest.raises(ValueError):
+        hot_keys(df, ["k"], 0)
