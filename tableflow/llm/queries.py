@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import license_index, mixture, quality_ledger, url_rules
+from tableflow.llm import langid, license_index, mixture, packing, pii, quality_ledger, url_rules
 from tableflow.llm.common import table
 
 #: The policy that the quality query and the pipeline apply.
 POLICY = "full-1"
 #: Source weights repeat by the source's place.
 WEIGHTS = (1, 2, 3)
+#: The packing query's vocabulary file.
+TOKENIZER = "byte_bpe_50k.json"
 #: Rules of the URL query.
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/"))
@@ -23,6 +26,15 @@ def weight_by_place(place: int, _name: str | None) -> float:
     return float(WEIGHTS[place % len(WEIGHTS)])
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers; a path is taken as it is."""
+    if os.path.isabs(name):
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule ledger of all documents with the verdict of the current policy."""
     ledger = quality_ledger.evaluate_rules(table(spark, sf_dir, "documents"))
@@ -53,5 +65,36 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, URL_RULES))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(tokenizer))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = langid.fit(docs, ~held_out & F.col("doc_id").isNotNull())
+    return langid.predict(docs, model, keep=[held_out.alias("held_out")])
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, plain and disguised."""
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s.getField("disguised"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s.getField("kind"), s.getField("start").cast("string"), s.getField("end").cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s.getField("kind") == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_license_scan, op7_url_rules)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op2_source_mix, op3_license_scan, op4_best_fit_packing, op6_language_id, op7_url_rules,
+        op10_personal_data)}
