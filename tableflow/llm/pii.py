@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -149,10 +150,14 @@ _AT_WORD, _DOT_WORD = r"(?:at|arroba|ät|chez)", r"(?:dot|punkt|punto|point)"
 _AT_BRACKET = re.compile(rf"{_OPEN}(?:{_AT_WORD}|@){_CLOSE}", re.I)
 _DOT_BRACKET = re.compile(rf"{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}", re.I)
 _NAME = r"[A-Za-z0-9_%+-]++"
-_DOT = rf"(?:[ ]{_DOT_WORD}[ ]|{_OPEN}{_DOT_WORD}{_CLOSE})"
-#: ``name at host dot com``: spoken words count only in an address whose host has a spoken dot.
-_SPOKEN = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:\.|{_DOT}){_NAME}){{0,4}}(?:[ ]{_AT_WORD}[ ]|{_OPEN}{_AT_WORD}{_CLOSE}|@)"
-                     rf"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){{0,4}}{_DOT}[A-Za-z0-9-]++(?:(?:\.|{_DOT})[A-Za-z0-9-]++){{0,4}}", re.I)
+_DOT = rf"(?:[ ](?:dot|punkt|punto)[ ]|{_OPEN}{_DOT_WORD}{_CLOSE})"
+#: Last labels that an address spelled in words may have.
+_LAST_LABEL = ("(?:com|net|org|edu|gov|mil|int|info|biz|name|io|ai|co|dev|app|eu|us|uk|ca|au|nz|in|jp|cn|kr|br|mx|ar|cl|de|at|"
+               "ch|fr|be|nl|lu|es|pt|it|pl|cz|dk|se|no|fi|ie|ru)")
+#: ``name at host dot com``: words count only in an address with a dot in words and a usual last label.
+_SPOKEN = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:\.|{_DOT}){_NAME}){{0,4}}(?:[ ](?:at|arroba)[ ]|{_OPEN}{_AT_WORD}{_CLOSE}|@)"
+                     rf"(?=[A-Za-z0-9.-]++{_DOT})"
+                     rf"[A-Za-z0-9-]++(?:(?:\.|{_DOT})[A-Za-z0-9-]++){{0,5}}(?:\.|{_DOT}){_LAST_LABEL}(?![A-Za-z0-9-])", re.I)
 _SPOKEN_PART = re.compile(rf"[ ]({_AT_WORD}|{_DOT_WORD})[ ]", re.I)
 _HINT = re.compile(rf"[\[({{<][ \t]*(?:{_AT_WORD}|{_DOT_WORD}|@|\.)[ \t]*[\])}}>]|[ ]{_DOT_WORD}[ ]", re.I)
 
@@ -169,7 +174,12 @@ _SPELLED = "|".join(sorted(_DIGIT_OF, key=lambda w: (-len(w), w)))
 #: Seven spelled digits or more, with a plus before and dots between if spelled too.
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:plus|más|\+)[ -]?)?(?:{_SPELLED})(?:[ ,-]{{1,2}}(?:(?:dot|point|punkt|punto)[ ])?"
                         rf"(?:{_SPELLED})){{6,}}(?!\w)", re.I)
-_DIGIT_WORD = re.compile(rf"(?:{_SPELLED})(?!\w)", re.I)
+
+
+def _may_spell(text: str) -> bool:
+    """Whether seven spelled digits can follow each other: all but the outer two are words of their own."""
+    words = text.lower().replace("-", " ").replace(",", " ").split()
+    return sum(map(_DIGIT_OF.__contains__, words)) >= 5
 
 
 def _digits(m: re.Match) -> str:
@@ -182,7 +192,8 @@ def _digits(m: re.Match) -> str:
 
 def normalise(text: str) -> Mapped | None:
     """The text without disguises, or None if it shows no sign of any."""
-    odd, hint, run = _ODD.search(text), _HINT.search(text), _DIGIT_RUN.search(text)
+    odd, hint = _ODD.search(text), _HINT.search(text)
+    run = _may_spell(text) and _DIGIT_RUN.search(text)
     if not (odd or hint or run):
         return None
     mapped = Mapped.of(text)
@@ -202,26 +213,25 @@ def normalise(text: str) -> Mapped | None:
 
         mapped = mapped.rewrite(_SPOKEN_PART, sign)
         mapped = mapped.rewrite(_AT_BRACKET, lambda m: "@").rewrite(_DOT_BRACKET, lambda m: ".")
-    return mapped.rewrite(_DIGIT_RUN, _digits)
+    return mapped.rewrite(_DIGIT_RUN, _digits) if run or odd else mapped
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     """``(kind, start, end, disguised)`` by kind, then start.
 
-    Plain spans always stay; a disguised one is added unless a span of its kind
-    already covers a character of it.  A null or empty text has none.
+    Plain spans always stay; a disguised one is added if it reaches beyond those
+    of its kind that it meets.  A null or empty text has none.
     """
     if not text:
         return []
     found = [(*s, False) for s in plain_spans(text)]
     mapped = normalise(text)
     if mapped:
-        taken: dict[str, set[tuple[int, int]]] = {}
-        for k, s, e, _ in found:
-            taken.setdefault(k, set()).add((s, e))
+        taken = {k: sorted((s, e) for x, s, e, _ in found if x == k) for k in KINDS}
         for kind, s, e in plain_spans(mapped.text):
             a, b = mapped.source(s, e)
-            if not any(x < b and a < y for x, y in taken.get(kind, ())):
+            before = bisect_right(taken[kind], (a, len(text))) - 1
+            if before < 0 or taken[kind][before][1] < b:
                 found.append((kind, a, b, True))
     return sorted(found, key=lambda f: (KINDS.index(f[0]), f[1], f[2]))
 
