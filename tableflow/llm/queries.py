@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import langid, license_index, mixture, packing, pii, quality_ledger, url_rules
+from tableflow.llm import langid, license_index, mixture, ngram_join, packing, pii, quality_ledger, url_rules
 from tableflow.llm.common import table
 
 #: The policy that the quality query and the pipeline apply.
@@ -78,6 +78,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=[held_out.alias("held_out")])
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents on 4-word n-grams at a Jaccard similarity of 0.85."""
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), 4, 85).drop("rowkey")
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents, plain and disguised."""
     found = pii.detect(table(spark, sf_dir, "documents"))
@@ -97,4 +102,4 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_source_mix, op3_license_scan, op4_best_fit_packing, op6_language_id, op7_url_rules,
-        op10_personal_data)}
+        op8_ngram_jaccard, op10_personal_data)}
