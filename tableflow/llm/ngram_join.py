@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.common import col, lower_words_of, prepared, stored
+from tableflow.llm.common import WORD, col, fresh, lower_words_of, prepared, stored
 from tableflow.llm.graph import components
 
 #: Buckets of the counting sketch; it is broadcast (4 bytes each).
@@ -323,14 +323,15 @@ def _block_links(entries: DataFrame, tokens: DataFrame, percent: int, clusters:
 
 def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``doc_id, rowkey, n_shingles, component_id``: one row per input row.
+    """``doc_id, rowkey, n_shingles, component_id, component``: one row per input row.
 
     Documents link when ``100 * |intersection| >= percent * |union|`` of their
     distinct ``size``-word n-grams (A-Z lower-cased); a shorter text is one n-gram
     of all its words.  ``component_id`` is the smallest id reachable by links.
     Null, empty and blank texts have an empty set and link with nothing.  Null ids
     stay null; a component of null ids only has a null ``component_id``.
-    ``rowkey`` is the hash of id and text (:func:`row_key`).  Identity of sets and
+    ``rowkey`` is the hash of id and text (:func:`row_key`), ``component`` numbers the
+    classes (null for empty sets).  Other columns are not carried.  Identity of sets and
     n-grams is that of 64-bit hashes.
     """
     prepared(docs.sparkSession)
@@ -353,10 +354,27 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     known = (nodes.select("fp", "first_id").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     lowest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = known.select("fp", "root").join(lowest, "root").select("fp", "component_id")
+    classes = known.select("fp", "root").join(lowest, "root").select("fp", "component_id", "root")
     return (rows.select("doc_id", "rowkey", F.col("n").alias("n_shingles"), "fp").join(classes, "fp", "left")
             .select("doc_id", "rowkey", "n_shingles",
-                    F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+                    F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                    F.col("root").alias("component")))
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each class: that of the smallest id (null last).
+
+    Texts without words have no class and all stay.
+    """
+    classes = jaccard_classes(docs, size, percent, id_col, text_col).where("component IS NOT NULL")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rowkey")
+    key, kept_key = fresh(docs.columns, "_rowkey"), fresh(docs.columns, "_kept_rowkey")
+    kept = classes.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.rowkey").alias(kept_key))
+    chosen = (docs.withColumn(key, row_key(id_col, text_col)).join(kept, F.col(key) == F.col(kept_key))
+              .dropDuplicates([key]).drop(key, kept_key))
+    wordless = docs.where(~F.coalesce(F.rlike(col(text_col), F.lit(WORD)), F.lit(False)))
+    return chosen.unionByName(wordless)
 
 
 def row_key(id_col: str, text_col: str) -> Column:

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import langid, license_index, mixture, ngram_join, packing, pii, quality_ledger, url_rules
+from tableflow.llm import (langid, license_index, mixture, ngram_join, packing, pii, pq_dedup, quality_ledger,
+                            sentence_spans, url_rules)
 from tableflow.llm.common import table
 
 #: The policy that the quality query and the pipeline apply.
@@ -70,6 +71,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str = TOKE
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(tokenizer))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all embeddings within a label, at a cosine of 0.98."""
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -80,7 +86,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents on 4-word n-grams at a Jaccard similarity of 0.85."""
-    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), 4, 85).drop("rowkey")
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), 4, 85).drop("rowkey", "component")
+
+
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that an earlier one has."""
+    return sentence_spans.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,5 +112,6 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op2_source_mix, op3_license_scan, op4_best_fit_packing, op6_language_id, op7_url_rules,
-        op8_ngram_jaccard, op10_personal_data)}
+        op1_quality_rules, op2_source_mix, op3_license_scan, op4_best_fit_packing, op5_embedding_dedup,
+        op6_language_id, op7_url_rules,
+        op8_ngram_jaccard, op9_sentence_spans, op10_personal_data)}
