@@ -71,11 +71,11 @@ def repeated_window_words(words: list[bytes], width: int = WINDOW) -> int:
     while span < width:
         step = min(span, width - span)
         key = rank[:-step] * n + rank[step:]
-        _, rank, counts = np.unique(key, return_inverse=True, return_counts=True)
-        if len(counts) == len(key):
+        distinct, rank = np.unique(key, return_inverse=True)
+        if len(distinct) == len(key):
             return 0
         span += step
-    starts = np.flatnonzero(counts[rank] > 1)
+    starts = np.flatnonzero(np.bincount(rank)[rank] > 1)
     edges = np.zeros(n + 1, np.int64)
     edges[starts] += 1
     edges[starts + width] -= 1

@@ -1,0 +1,70 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tableflow.llm import langid as L
+from tableflow.llm.queries import op6_language_id
+from tests.llm.helpers import SF_SMALL, odd_documents
+
+
+def test_held_out_accuracy(spark):
+    """Measured on documents the model never saw, at two sizes."""
+    for sf in (SF_SMALL, "/root/testdata/sf0.01"):
+        docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+        out = op6_language_id(spark, sf).collect()
+        assert len(out) == len(docs)
+        for r in out:
+            assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
+        tested = [r for r in out if r.held_out and docs[r.doc_id].lang is not None and docs[r.doc_id].text]
+        assert sum(r.lang_pred == docs[r.doc_id].lang for r in tested) >= 0.97 * len(tested)
+
+
+def _fit(spark, rows, **options):
+    df = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    return L.fit(df, F.lit(True), **options)
+
+
+def test_known_words_then_shorter_grams(spark):
+    model = _fit(spark, [("the thing and the other", "en"), ("der ding und das andere", "de")])
+    assert model.languages == ["de", "en"]
+    assert model.predict("THE the")[0] == "en" and model.predict("und")[0] == "de"
+    assert model.places[0].get("thing") is not None and model.places[0].get("thinging") is None
+    assert model.predict("thinging")[0] == "en"  # unseen: its longest known n-grams decide
+    assert np.array_equal(model.backoff("thinging"),
+                          model.scores[5][[model.places[5][g] for g in L.grams_of("thinging", 5) if g in model.places[5]]]
+                          .mean(axis=0))
+    assert not model.backoff("ЖЖЖ").any()
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "123 !? _ 4", "___"])
+def test_no_letters_is_undetermined(spark, text):
+    assert _fit(spark, [("a b", "en"), ("c d", "de")]).predict(text) == ("und", 0.0)
+
+
+def test_ties_go_to_the_first_language_and_no_training_rows(spark):
+    model = _fit(spark, [("same words", "xx"), ("same words", "aa")])
+    assert model.predict("same")[0] == "aa" and model.predict("same")[1] == pytest.approx(0.5)
+    assert _fit(spark, [("a", None)]).predict("a") == ("und", 0.0)
+
+
+def test_model_is_bounded(spark):
+    model = _fit(spark, [("alpha beta gamma delta epsilon zeta", "en"), ("un deux trois quatre cinq six", "fr")], words=3, grams=5)
+    assert len(model.places[0]) <= 6 and all(len(p) <= 10 for p in model.places[1:])
+
+
+def test_odd_rows(spark):
+    df = odd_documents(spark)
+    model = L.fit(df, F.lit(True))
+    rows = L.predict(df, model).collect()
+    assert len(rows) == df.count() and sum(r.lang_pred == "und" for r in rows) == 4
+    assert L.predict(df.limit(0), L.fit(df.limit(0), F.lit(True))).count() == 0
+
+
+def test_predictions_ignore_language_and_source(spark):
+    df = odd_documents(spark)
+    model = L.fit(df, F.lit(True))
+    a = [(r.lang_pred, r.score) for r in L.predict(df, model).collect()]
+    b = [(r.lang_pred, r.score) for r in L.predict(df.withColumn("lang", F.lit("zz")).withColumn("source", F.lit("q")), model).collect()]
+    assert a == b

@@ -1,0 +1,87 @@
+from collections import Counter
+
+import pytest
+
+from tableflow.llm import quality_ledger as Q
+from tests.llm.helpers import documents, odd_documents, words
+
+
+def brute_repeat(w, k=8):
+    runs = [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
+    seen = Counter(runs)
+    return len({p for i, r in enumerate(runs) if seen[r] > 1 for p in range(i, i + k)})
+
+
+def brute(text):
+    text = text or ""
+    w = words(text)
+    lines = [x for x in text.split("\n") if words(x)]
+    return {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in "#*$%&|<>" for c in text),
+            "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": brute_repeat(w),
+            "n_adjacent": sum(a == b for a, b in zip(w, w[1:])),
+            "n_letters": sum(c.isascii() and c.isalpha() for c in text),
+            "n_capitals": sum(c.isascii() and c.isupper() for c in text)}
+
+
+def test_measurements_match_brute_force(spark):
+    df = documents(spark)
+    texts = {r.doc_id: r.text for r in df.collect()}
+    for r in Q.evaluate_rules(df).collect():
+        assert {m: r[m] for m in Q.MEASURES} == brute(texts[r.doc_id])
+
+
+@pytest.mark.parametrize("text", ["", "a", "a b c d e f g h", "a b c d e f g h " * 2, "a " * 9, "x " * 100,
+                                  "a b c d e f g h i " * 3 + "tail", "\x1f a\x1fb \x85 c\xa0d\n\n\r\n"])
+def test_odd_texts(text):
+    assert dict(zip(Q.MEASURES, Q.measure(text))) == brute(text)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 5, 8])
+def test_window_widths(width):
+    w = [b"%d" % (k * k % 7) for k in range(60)]
+    runs = Counter(tuple(w[i:i + width]) for i in range(len(w) - width + 1))
+    want = len({p for i in range(len(w) - width + 1) if runs[tuple(w[i:i + width])] > 1 for p in range(i, i + width)})
+    assert Q.repeated_window_words(w, width) == want
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    df = odd_documents(spark)
+    rows = Q.evaluate_rules(df).collect()
+    assert len(rows) == df.count()
+    empty = [r for r in rows if r.n_words == 0]
+    assert len(empty) == 4 and all(r.failed_bits & 1 for r in empty)
+    assert Q.evaluate_rules(df.limit(0)).count() == 0
+
+
+def test_policies_and_ablations(spark):
+    ledger = Q.evaluate_rules(documents(spark)).cache()
+    mask = Q.policy_mask(Q.POLICIES["full-1"])
+    bits = [r.failed_bits for r in ledger.collect()]
+    got = {r.rule: r for r in Q.ablations(ledger, mask).collect()}
+    for k, rule in enumerate(Q.RULES):
+        assert got[rule.name].rejected == sum(b >> k & 1 for b in bits)
+        assert got[rule.name].only_this_rule == sum(b == 1 << k for b in bits)
+        assert got[rule.name].kept_without == sum(not b & ~(1 << k) for b in bits)
+    base = Q.policy_mask(Q.POLICIES["base-1"])
+    assert [r.kept for r in Q.apply_policy(ledger, base).collect()] == [not b & 3 for b in bits]
+
+
+def test_keep_good_keeps_columns_and_clean_rows(spark):
+    df = documents(spark)
+    mask = Q.policy_mask(Q.POLICIES["full-1"])
+    kept = Q.keep_good(df, mask)
+    assert kept.columns == df.columns
+    good = {r.doc_id for r in Q.apply_policy(Q.evaluate_rules(df), mask).where("kept").collect()}
+    assert {r.doc_id for r in kept.collect()} == good
+    odd = Q.keep_good(odd_documents(spark), 1)
+    assert {r.doc_id for r in odd.collect()} == {5, 6} and odd.columns == odd_documents(spark).columns
+
+
+def test_labelled_good_documents_stay(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    both = Q.apply_policy(Q.evaluate_rules(df), Q.policy_mask(Q.POLICIES["full-1"])).join(labels, "doc_id").collect()
+    long_good = [r for r in both if r.quality == 1 and r.n_words >= 20]
+    bad = [r for r in both if r.quality == 0]
+    assert sum(r.kept for r in long_good) >= 0.98 * len(long_good)
+    assert sum(not r.kept for r in bad) >= 0.95 * len(bad)

@@ -1,0 +1,86 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+from tableflow.llm import sentence_spans as S
+from tests.llm.helpers import LOWER, documents, odd_documents
+
+
+def brute(rows):
+    """Sentences to remove by row number, runs compared as word tuples in one table."""
+    seen, cut = defaultdict(list), {}
+    for k, (i, text) in enumerate(rows):
+        w = (text or "").encode().translate(LOWER).split()
+        _, spans, ends = S.runs(text)
+        starts = [0, *(e + 1 for e in ends[:-1])]
+        for a, b in spans:
+            seen[tuple(w[starts[a]:ends[b] + 1])].append((i is None, i or 0, k, a, b))
+    for found in seen.values():
+        for _, _, k, a, b in sorted(found)[1:]:
+            cut.setdefault(k, set()).update(range(a, b + 1))
+    return cut
+
+
+def _check(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    got = {r.doc_id: r for r in S.remove_repeats(df).collect()}
+    for k, (i, text) in enumerate(rows):
+        r = got[i]
+        assert r.n_removed == len(want.get(k, ()))
+        kept, at = "", 0
+        for s in r.removed:
+            kept, at = kept + text[at:s.start], s.end
+        assert r.text == (None if text is None else kept + text[at:])
+    return got
+
+
+def test_whole_table(spark):
+    _check(spark, [(r.doc_id, r.text) for r in documents(spark).select("doc_id", "text").orderBy("doc_id").collect()])
+
+
+def _prose(rng, n):
+    w = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    return " ".join(x + rng.choice([".", "", "", "", "", ","]) for x in w)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_planted_passages_are_taken_out_of_all_but_the_first(spark, seed):
+    """Passages of over 50 words, placed in the middle of sentences too."""
+    rng = random.Random(seed)
+    passages = [_prose(rng, rng.randint(51, 90)) for _ in range(5)]
+    rows = []
+    for i in range(60):
+        p = passages[i % 5] if i < 40 else ""
+        rows.append((i, f"{_prose(rng, rng.randint(5, 60))} {p}{rng.choice([' ', '. ', chr(10)])}{_prose(rng, 30)}"))
+    got = _check(spark, rows)
+    for i in range(60):
+        p = passages[i % 5]
+        if i < 5:
+            assert p in got[i].text
+        elif i < 40:
+            lost = sum(s.end - s.start for s in got[i].removed)
+            assert p not in got[i].text and lost >= 0.5 * len(p)
+        else:
+            assert got[i].n_removed == 0
+
+
+def test_sentences_cover_the_text_and_do_not_depend_on_what_stands_before():
+    rng = random.Random(5)
+    text = _prose(rng, 300)
+    assert S.cut_text(text, set())[0] == text and S.cut_text(text, set(range(400)))[0] == ""
+    a, b = S.runs(text)[0], S.runs("Another beginning of words. " + text)[0]
+    assert len(set(a.tolist()) - set(b.tolist())) <= 2
+
+
+def test_odd_rows(spark):
+    df = odd_documents(spark)
+    rows = S.remove_repeats(df).collect()
+    assert len(rows) == df.count()
+    for r in rows:
+        if r.text is None:
+            assert r.n_sentences == 0 and r.removed == []
+    assert S.remove_repeats(df.limit(0)).count() == 0
+    twice = spark.createDataFrame([(1, _prose(random.Random(1), 80))] * 2 + [(None, _prose(random.Random(1), 80))], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_removed > 0) for r in S.remove_repeats(twice).collect()) == [("1", False), ("1", False), ("None", True)]
