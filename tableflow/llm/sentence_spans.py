@@ -9,7 +9,6 @@ occurrence of a run stays; sentences that any later one covers are removed.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +20,12 @@ from pyspark.sql import functions as F
 from tableflow.llm.common import col, fresh, prepared, stored
 from tableflow.llm.ngram_join import _bitmap, _in_bitmap, row_key
 
-#: A run is the shortest of two sentences or more that has this many words.
-SPAN_WORDS = 20
-SPAN_SENTENCES = 2
+#: A run is the shortest of three sentences or more that has this many words.
+SPAN_WORDS = 24
+SPAN_SENTENCES = 3
 #: A sentence has this many words at least (shorter ones join the next); one word in CUT_EVERY ends it early.
-SENTENCE_WORDS = 4
-CUT_EVERY = 16
+SENTENCE_WORDS = 2
+CUT_EVERY = 4
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -62,28 +61,26 @@ def sentence_ends(words: list[bytes], line_ends: np.ndarray, hashes: np.ndarray)
     return ends
 
 
-def runs(text: str | None) -> tuple[np.ndarray, list[tuple[int, int]], list[int]]:
-    """Hashes of all runs, the first and last sentence of each, and the last word of each sentence."""
+def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Hashes of all runs, the first and last sentence of each (n x 2), and the last word of each sentence."""
     words, line_ends = _words((text or "").encode("utf-8", "surrogatepass"))
+    none = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
     if not words:
-        return np.zeros(0, np.uint64), [], []
+        return *none, []
     n = len(words)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     ends = sentence_ends(words, line_ends, hashes)
-    starts = [0, *(e + 1 for e in ends[:-1])]
-    spans = []
-    for i, s in enumerate(starts):
-        j = max(i + SPAN_SENTENCES - 1, bisect_left(ends, s + SPAN_WORDS - 1))
-        if j >= len(ends):
-            break
-        spans.append((i, j))
-    if not spans:
-        return np.zeros(0, np.uint64), [], ends
+    last_words = np.array(ends)
+    starts = np.concatenate([np.zeros(1, np.int64), last_words[:-1] + 1])
+    last = np.maximum(np.searchsorted(last_words, starts + SPAN_WORDS - 1), np.arange(len(ends)) + SPAN_SENTENCES - 1)
+    last = last[last < len(ends)]
+    if not len(last):
+        return *none, ends
+    spans = np.column_stack([np.arange(len(last)), last])
     power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _MUL)]))
     inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _INVERSE)]))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n])])
-    first = np.array([starts[i] for i, _ in spans])
-    past = np.array([ends[j] + 1 for _, j in spans])
+    first, past = starts[:len(last)], last_words[last] + 1
     h = (total[past] - total[first]) * inverse[first] + (past - first).astype(np.uint64)
     h = (h ^ (h >> np.uint64(29))) * _MIX
     return h ^ (h >> np.uint64(32)), spans, ends
@@ -105,18 +102,18 @@ def _run_table(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, run, first, last = [], [], [], []
-            for k, t in enumerate(batch.column("text")):
+            count, run, span = [], [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)]
+            for t in batch.column("text"):
                 h, spans, _ = runs(t.as_py())
-                for x in np.flatnonzero(_in_bitmap(held.value, short(h))).tolist():
-                    row.append(k)
-                    run.append(int(h[x].view(np.int64)))
-                    first.append(spans[x][0])
-                    last.append(spans[x][1])
-            at = pa.array(row, pa.int64())
+                kept = _in_bitmap(held.value, short(h))
+                run.append(h[kept])
+                span.append(spans[kept])
+                count.append(len(run[-1]))
+            at = pa.array(np.repeat(np.arange(len(count)), count), pa.int64())
+            span = np.concatenate(span).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(run, pa.int64()), batch.column("doc_id").take(at), batch.column("rowkey").take(at),
-                 pa.array(first, pa.int32()), pa.array(last, pa.int32())], ["run64", "doc_id", "rowkey", "first", "last"])
+                [pa.array(np.concatenate(run).view(np.int64)), batch.column("doc_id").take(at), batch.column("rowkey").take(at),
+                 pa.array(span[:, 0]), pa.array(span[:, 1])], ["run64", "doc_id", "rowkey", "first", "last"])
 
     if held is None:
         return texts.select("text").mapInArrow(all_runs, "run int")
