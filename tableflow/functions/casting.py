@@ -1,24 +1,57 @@
-"""NULL-on-failure casts that stay fast on dirty text.
+"""NULL-on-failure casts that stay fast on dirty text and keep readable values.
 
-``try_cast`` of text to an integral type raises and catches an exception
-for every bad value (tens of microseconds each).  A regex check of the only
-shape such a cast accepts - optional blanks/control characters, a sign and
-ASCII digits - rejects the rest first; values that pass still go through
-``try_cast`` (overflow, exact rules), so the result is the same.
+``try_cast`` of text to an integral type raises and catches an exception for
+every bad value (tens of microseconds each), and turns ``12.7`` into NULL.  A
+regex first finds the whole-number part of plain decimal text; only that part is
+cast, so fractions are cut off, overflow gives NULL, and text of any other shape
+never reaches the cast.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _INTEGRAL = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
-_INTEGRAL_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+_NUMBER_TEXT = r"^[\x00-\x20]*(?:[+-]?[0-9]+(?:\.[0-9]*)?|[+-]?\.[0-9]+)[\x00-\x20]*$"
+_WHOLE_PART = r"[+-]?[0-9]+(?=[.\x00-\x20]|$)"
+# pattern letters whose digits may be fewer than written, and what text they match
+_FIELDS = {"y": r"[0-9]{4}", "M": r"[0-9]{1,2}", "d": r"[0-9]{1,2}", "H": r"[0-9]{1,2}", "m": r"[0-9]{1,2}", "s": r"[0-9]{1,2}"}
 
 
 def safe_try_cast(c: Column, target: str, source_type: str | None = None) -> Column:
-    """``c.try_cast(target)``, with a pre-check for text -> integral casts."""
-    cast = c.try_cast(target)
+    """``c.try_cast(target)``; text to an integral type keeps the part before the point."""
     if source_type == "string" and target.lower() in _INTEGRAL:
-        return F.when(c.rlike(_INTEGRAL_TEXT), cast)
-    return cast
+        whole = F.when(c.rlike(r"^[\x00-\x20]*[+-]?\."), F.lit("0")).otherwise(F.regexp_extract(c, _WHOLE_PART, 0))
+        return F.when(c.rlike(_NUMBER_TEXT), whole.try_cast(target))
+    return c.try_cast(target)
+
+
+def relaxed_pattern(fmt: str) -> tuple[str, str] | None:
+    """A regex for text that begins like ``fmt`` and the pattern that reads it, or
+    None if ``fmt`` has other than plain numeric fields."""
+    regex, pattern = "", ""
+    for field in re.findall(r"([A-Za-z])(\1*)|([^A-Za-z])", fmt):
+        letter, more, other = field
+        if other:
+            if other == "'":
+                return None
+            regex, pattern = regex + re.escape(other), pattern + other
+        elif letter not in _FIELDS or (letter == "M" and len(more) > 1) or (letter == "y" and len(more) != 3):
+            return None
+        else:
+            regex, pattern = regex + _FIELDS[letter], pattern + (letter * 4 if letter == "y" else letter)
+    return rf"^\s*({regex})", pattern
+
+
+def try_text_to_timestamp(c: Column, fmt: str) -> Column:
+    """Text read by ``fmt``, else by the same fields with fewer digits and any text after them; else NULL."""
+    strict = F.try_to_timestamp(c, F.lit(fmt))
+    relaxed = relaxed_pattern(fmt)
+    if relaxed is None:
+        return strict
+    regex, pattern = relaxed
+    head = F.nullif(F.regexp_extract(c, regex, 1), F.lit(""))
+    return F.coalesce(strict, F.try_to_timestamp(head, F.lit(pattern)))

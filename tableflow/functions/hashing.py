@@ -7,8 +7,6 @@ so the salt of a key is the same as the one a JVM bulk loader computes (keys
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,23 +15,32 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_WRAP = 1 << 32
+
+
 def java_string_hash(key: str | Column) -> Column:
     """Java ``String.hashCode`` of a string column, as a signed int in a bigint.
 
-    Computed by the JVM's own ``Objects.hashCode`` through ``java_method``
-    (exact for every character, UTF-16 rule included, and several times
-    cheaper per row than folding the characters in SQL).  NULL stays NULL.
+    A fold over the characters; one beyond U+FFFF counts as its two UTF-16 units.
+    Deterministic, so filters pass it and it can be a join key.  NULL stays NULL.
     """
     k = _col(key).cast("string")
-    h = F.call_function("java_method", F.lit("java.util.Objects"), F.lit("hashCode"), k)
-    return F.when(k.isNotNull(), h.cast("bigint"))
+
+    def step(total: Column, char: Column) -> Column:
+        point = F.ascii(char).cast("bigint")
+        beyond = point - 0x10000
+        pair = (total * 31 + F.shiftright(beyond, 10) + 0xD800) * 31 + beyond.bitwiseAND(F.lit(0x3FF)) + 0xDC00
+        return F.when(point < 0x10000, total * 31 + point).otherwise(pair) % _WRAP
+
+    unsigned = F.aggregate(F.split(k, ""), F.lit(0).cast("bigint"), step)
+    return F.when(unsigned >= _WRAP // 2, unsigned - _WRAP).otherwise(unsigned)
 
 
 def digits_required(modulus: int) -> int:
-    """Width of the zero-padded salt: digits of ``modulus - 1``."""
+    """Width of the zero-padded salt: that of the largest one."""
     if modulus < 2:
         raise ValueError("salting needs at least 2 buckets")
-    return int(math.log10(modulus - 1) + 1)
+    return len(str(modulus - 1))
 
 
 def salt_prefix(key: str | Column, modulus: int, hash_col: Column | None = None) -> Column:

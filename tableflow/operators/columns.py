@@ -15,7 +15,7 @@ from tableflow.defaults import (
     DEFAULT_NA,
     DEFAULT_TIME_FORMAT,
 )
-from tableflow.functions.casting import safe_try_cast
+from tableflow.functions.casting import safe_try_cast, try_text_to_timestamp
 from tableflow.functions.conditions import Predicate, case_chain
 from tableflow.functions.text import safe_name
 
@@ -56,9 +56,10 @@ def cast_schema(
     """Cast columns by a declared ``{column: type}`` map.
 
     Timestamp columns are parsed with ``time_format`` (or their own entry in
-    ``specify_format``) to whole seconds.  Bad values become NULL under ANSI
-    mode too (``try_cast`` / ``try_to_timestamp``).  Columns not in the map
-    are kept; map entries not in ``df`` are ignored.
+    ``specify_format``) to whole seconds; one-digit days and months and text
+    after the fields are accepted.  Text to an integral type keeps the part
+    before the point.  Bad values and overflow become NULL under ANSI mode too.
+    Columns not in the map are kept; map entries not in ``df`` are ignored.
     """
     specify_format = specify_format or {}
     types = dict(df.dtypes)
@@ -73,7 +74,7 @@ def cast_schema(
             source = types.get(name, "")
             if source == "string":
                 fmt = specify_format.get(name, time_format)
-                parsed = F.try_to_timestamp(c, F.lit(fmt))
+                parsed = try_text_to_timestamp(c, fmt)
             elif source.startswith(("timestamp", "date")):
                 parsed = c.cast("timestamp")  # already a point in time: no pattern
             else:
@@ -86,18 +87,17 @@ def cast_schema(
 
 
 def select_rename(sel: Sequence[str] | str = "*", rename: Mapping[str, str] | None = None) -> list[Any]:
-    """Column list for the right side of a join.
+    """Projection of a join's right side: what to select, each under its new name.
 
-    No ``rename``: ``sel`` unchanged.  ``sel='*'`` with ``rename``: only the
-    renamed columns.  A list with ``rename``: renamed columns first, then the
-    rest of ``sel``.
+    The names are those renamed, in the map's order, then what else ``sel`` asks
+    for.  A single name may be given as text; ``'*'`` adds nothing to a rename
+    map and means every column without one.
     """
+    asked = [sel] if isinstance(sel, str) else list(sel)
     if not rename:
-        return [sel] if isinstance(sel, str) else list(sel)
-    aliased = [F.col(_q(old)).alias(new) for old, new in rename.items()]
-    if sel == "*":
-        return aliased
-    return aliased + [s for s in sel if s not in rename]
+        return asked
+    new_names = {**rename, **{name: None for name in asked if name != "*" and name not in rename}}
+    return [name if new is None else F.col(_q(name)).alias(new) for name, new in new_names.items()]
 
 
 def with_case(
