@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tableflow.sources.files import CSV_FORMAT
 
 
 def _join_path(path: str, name: str) -> str:
@@ -12,16 +16,32 @@ def _join_path(path: str, name: str) -> str:
 
 
 def to_csv(df: DataFrame, path: str, table_name: str = "", mode: str = "overwrite",
-           partition_by: Sequence[str] = (), **options: str) -> str:
-    """CSV with a header line; returns the written location."""
+           partition_by: Sequence[str] = (), multi_line: bool = False, **options: Any) -> str:
+    """CSV with a header line; returns the written location.
+
+    Values come back from ``read_csv`` as they were: quotes are doubled, blanks
+    kept, NULL is ``\\N`` (a text of just that would read as NULL) and an empty
+    text stays one.  A line break in a text fails the write, since readers split
+    files at line ends; with ``multi_line`` it is quoted and must be read with
+    ``multiLine=True``.
+    """
     loc = _join_path(path, table_name)
-    w = df.write.mode(mode).options(header=True, **options)
+    if not multi_line:
+        df = df.withColumns({name: _one_line(name) for name, kind in df.dtypes if kind == "string"})
+    form = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, **CSV_FORMAT}
+    w = df.write.mode(mode).options(header=True, **{**form, **options})
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(loc)
     return loc
 
 
+def _one_line(name: str) -> Column:
+    c = F.col(quote_ident_part(name))
+    message = F.lit(f"line break in column {name}: write with multi_line=True")
+    return F.when(c.rlike(r"[\r\n]"), F.raise_error(message).cast("string")).otherwise(c)
+
+
 def to_parquet(df: DataFrame, path: str, table_name: str = "", mode: str = "overwrite",
                partition_by: Sequence[str] = ()) -> str:
     loc = _join_path(path, table_name)
@@ -54,9 +74,14 @@ def to_postgres(df: DataFrame, host: str, database: str, table: str, user: str,
     to_jdbc(df, postgres_url(host, database), table, mode=mode, properties=props)
 
 
+def quote_ident_part(name: str) -> str:
+    """One name in backticks, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quote_ident(name: str) -> str:
     """Backtick-quote each part of a (possibly qualified) table name."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    return ".".join(quote_ident_part(part) for part in name.split("."))
 
 
 def create_table_if_missing(spark: SparkSession, name: str, ddl_schema: str, path: str,

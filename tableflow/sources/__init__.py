@@ -3,7 +3,7 @@
 from tableflow.sources.files import inline_table, read_csv, read_jdbc, read_parquet
 from tableflow.sources.monthly import (
     month_labels,
-    read_month,
+    month_reader,
     read_monthly_output,
     readin_monthly,
     split_by_month,

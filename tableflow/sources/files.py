@@ -6,9 +6,10 @@ from collections.abc import Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.types import _parse_datatype_string
+
+
+# How CSV files written by this package mark quotes and NULL.
+CSV_FORMAT = {"escape": '"', "nullValue": "\\N"}
 
 
 def _join_path(path: str, fname: str) -> str:
@@ -26,8 +27,13 @@ def read_csv(
     **options: Any,
 ) -> DataFrame:
     """CSV with a header row; all columns text unless a schema is given or
-    inferred (inference costs a full extra pass; declare a schema at scale)."""
-    reader = spark.read.options(header=True, sep=sep, **options)
+    inferred (inference costs a full extra pass; declare a schema at scale).
+
+    Quotes are doubled, NULL is ``\\N`` and an empty field an empty text, as
+    ``to_csv`` writes them; pass ``nullValue=""`` for files that leave NULLs
+    empty.  ``multiLine=True`` reads quoted line breaks; such files are not split.
+    """
+    reader = spark.read.options(header=True, sep=sep, **{**CSV_FORMAT, **options})
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -39,27 +45,15 @@ def read_parquet(spark: SparkSession, path: str, fname: str = "") -> DataFrame:
     return spark.read.parquet(_join_path(path, fname))
 
 
-# Literal tables up to this many rows are planned as constants.
-INLINE_LITERAL_ROWS = 10000
-
-
 def inline_table(spark: SparkSession, rows: Iterable[Sequence[Any]], schema: str) -> DataFrame:
     """Small literal table (lookup maps, labels); not for data that grows.
 
-    The rows are planned as one literal array, so Catalyst knows the table is
-    tiny and broadcasts it in joins by itself (a frame made from a Python list
-    has no size statistics and would make the other side shuffle).
+    Values are checked against the schema, whatever their number.  The checked
+    rows are handed over as an Arrow table, which Spark plans as a local relation
+    of known size, so it can broadcast it in joins by itself.
     """
-    data = [tuple(r) for r in rows]
-    struct = _parse_datatype_string(schema)
-    if not isinstance(struct, T.StructType) or not data or len(data) > INLINE_LITERAL_ROWS:
-        return spark.createDataFrame(data, schema=schema)
-    arr = F.array(*[
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, struct.fields)])
-        for row in data
-    ])
-    out = spark.range(1).select(F.inline(arr))
-    return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in struct.fields])
+    checked = spark.createDataFrame([tuple(r) for r in rows], schema=schema)
+    return spark.createDataFrame(checked.toArrow(), schema=checked.schema)
 
 
 def read_jdbc(

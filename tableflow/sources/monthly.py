@@ -21,23 +21,29 @@ from tableflow.operators.columns import safe_names
 MonthFn = Callable[[DataFrame], DataFrame]
 
 
-def month_labels(start_month: int = 1, end_month: int = 12) -> list[str]:
+#: Label of rows without a date.
+UNDATED = "00"
+
+
+def month_labels(start_month: int = 1, end_month: int = 12, undated: bool = False) -> list[str]:
+    """``01`` .. ``12``; ``undated`` puts the label of rows without a date first."""
     if not 1 <= start_month <= end_month <= 12:
         raise ValueError("months must satisfy 1 <= start <= end <= 12")
-    return [f"{m:02d}" for m in range(start_month, end_month + 1)]
+    return [UNDATED] * undated + [f"{m:02d}" for m in range(start_month, end_month + 1)]
+
 
+def month_reader(spark: SparkSession, path: str, table: str, layout: str = "suffix") -> Callable[[str], DataFrame]:
+    """Month label to its rows: ``<path>/<table>_MM`` (suffix) or ``<path>/<table>/month=MM`` (hive).
 
-def read_month(spark: SparkSession, path: str, table: str, month: str, layout: str = "suffix") -> DataFrame:
-    """One month: ``<path>/<table>_MM`` (suffix) or ``<path>/<table>/month=MM`` (hive)."""
+    A ``hive`` table is listed once; each month is a filter on the partition
+    column, which prunes every other month's files.
+    """
     if layout == "suffix":
-        return spark.read.parquet(os.path.join(path, f"{table}_{month}"))
+        return lambda mm: spark.read.parquet(os.path.join(path, f"{table}_{mm}"))
     if layout == "hive":
-        base = os.path.join(path, table)
-        return (
-            spark.read.option("basePath", base)
-            .parquet(os.path.join(base, f"month={month}"))
-            .drop("month")
-        )
+        whole = spark.read.parquet(os.path.join(path, table))
+        label = F.lpad(F.col("month").cast("string"), 2, "0")
+        return lambda mm: whole.filter(label == mm).drop("month")
     raise ValueError("layout must be 'suffix' or 'hive'")
 
 
@@ -49,26 +55,16 @@ def readin_monthly(
     start_month: int = 1,
     end_month: int = 12,
     layout: str = "suffix",
+    undated: bool = False,
 ) -> DataFrame:
     """Apply ``fn`` to each month's table separately; union with a ``month`` column.
 
-    ``hive`` layout: the partitioned table is listed once and each month is a
-    filter on the partition column, which prunes every other month's files.
+    ``undated`` also takes the rows without a date, under the label ``00``.
     """
-    if layout == "hive":
-        whole = spark.read.parquet(os.path.join(path, table))
-        month_text = F.lpad(F.col("month").cast("string"), 2, "0")
-
-        def month_source(mm: str) -> DataFrame:
-            return whole.filter(month_text == mm).drop("month")
-    else:
-        def month_source(mm: str) -> DataFrame:
-            return read_month(spark, path, table, mm, layout)
-
+    month_source = month_reader(spark, path, table, layout)
     parts = []
-    for mm in month_labels(start_month, end_month):
-        month_df = month_source(mm).transform(fn)
-        parts.append(safe_names(month_df).withColumn("month", F.lit(mm)))
+    for mm in month_labels(start_month, end_month, undated):
+        parts.append(safe_names(month_source(mm).transform(fn)).withColumn("month", F.lit(mm)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -87,22 +83,24 @@ def write_monthly_tables(
     layout: str = "suffix",
     mode: str = "overwrite",
     concurrent_jobs: int = 4,
+    undated: bool = False,
 ) -> list[str]:
     """Per month: read, apply ``fn``, write ``<output_dir>/<table_name>_MM``.
 
     Output named per month like the input.  Each write is its own job and
     computes only its month (the months together are one pass over the
     input); up to ``concurrent_jobs`` month jobs are submitted at once, so
-    small months do not leave the cluster idle.  Returns the written
-    locations in month order.
+    small months do not leave the cluster idle.  The input is listed once.
+    Returns the written locations in month order (``undated``: ``00`` first).
     """
+    month_source = month_reader(spark, path, table, layout)
+
     def one(mm: str) -> str:
-        out = readin_monthly(spark, path, table, fn, int(mm), int(mm), layout).drop("month")
         loc = os.path.join(output_dir, f"{table_name}_{mm}")
-        out.write.mode(mode).parquet(loc)
+        safe_names(month_source(mm).transform(fn)).write.mode(mode).parquet(loc)
         return loc
 
-    months = month_labels(start_month, end_month)
+    months = month_labels(start_month, end_month, undated)
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
         return list(pool.map(one, months))
 
@@ -129,7 +127,8 @@ def read_monthly_output(spark: SparkSession, output_dir: str) -> DataFrame:
 
 
 def split_by_month(df: DataFrame, date_col: str, output_dir: str, table: str) -> str:
-    """Lay a table out as ``<output_dir>/<table>/month=MM`` in one job."""
+    """Lay a table out as ``<output_dir>/<table>/month=MM`` in one job; rows without a date under ``00``."""
     base = os.path.join(output_dir, table)
-    write_monthly(df.withColumn("month", F.date_format(F.col(date_col), "MM")), base)
+    month = F.coalesce(F.date_format(F.col(date_col), "MM"), F.lit(UNDATED))
+    write_monthly(df.withColumn("month", month), base)
     return base

@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,7 +38,9 @@ from tableflow.functions.text import chunk_text, split_lines
 
 
 # Charsets Spark's encode/decode accept without the legacy Java-charset switch.
-_STANDARD_CHARSETS = {"utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32"}
+_STANDARD_CHARSETS = {"utf-8", "us-ascii", "iso-8859-1"}
+# Lines end at one byte, which cuts characters of these in half.
+_WIDE_CHARSETS = ("utf-16", "utf16", "utf-32", "utf32", "ucs-2", "ucs2", "ucs-4", "ucs4")
 
 
 @dataclass(frozen=True)
@@ -53,6 +56,14 @@ class FlowSpec:
     max_files_per_trigger: int | None = 1000
     archive_dir: str | None = None
 
+    def __post_init__(self) -> None:
+        _check_charset(self.charset)
+
+
+def _check_charset(charset: str | None) -> None:
+    if charset is not None and charset.lower().replace("_", "-").removeprefix("x-").startswith(_WIDE_CHARSETS):
+        raise ValueError(f"charset {charset}: lines are split at single bytes; convert the files first")
+
 
 def _needs_legacy_charsets(charset: str | None) -> bool:
     return charset is not None and charset.lower() not in _STANDARD_CHARSETS
@@ -86,7 +97,8 @@ def chunk_lines(lines: DataFrame, max_line_length: int, col: str = "value") -> D
 
 def spool_stream(spark: SparkSession, spec: FlowSpec) -> DataFrame:
     """Streaming frame (basename, value) of one spool directory."""
-    reader = spark.readStream.format("text")
+    # only a line feed ends a line: a carriage return is part of it
+    reader = spark.readStream.format("text").option("lineSep", "\n")
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", spec.max_files_per_trigger)
     if spec.archive_dir:
@@ -119,15 +131,28 @@ def start_flow(spark: SparkSession, name: str, spec: FlowSpec) -> StreamingQuery
 def run_flows(spark: SparkSession, flows: Mapping[str, FlowSpec], wait: bool = True) -> dict[str, StreamingQuery]:
     """One streaming query per flow; with ``wait`` block until every
     run-to-completion (``available_now``) flow has finished.  Continuous flows
-    keep running; stop them through the returned handles."""
-    queries = {name: start_flow(spark, name, spec) for name, spec in flows.items()}
+    keep running; stop them through the returned handles.  If a flow fails (to
+    start or later), the others that wait are let finish, every flow still
+    running is stopped, and one error names all that failed."""
+    queries: dict[str, StreamingQuery] = {}
+    failed: dict[str, str] = {}
+    for name, spec in flows.items():
+        try:
+            queries[name] = start_flow(spark, name, spec)
+        except Exception as e:  # noqa: BLE001
+            failed[name] = str(e)
+            break
     if wait:
         for name, q in queries.items():
-            if not flows[name].available_now:
-                continue
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise RuntimeError(f"flow {q.name} failed: {q.exception()}")
+            if flows[name].available_now:
+                try:
+                    q.awaitTermination()
+                except StreamingQueryException as e:
+                    failed[name] = str(e)
+    if failed:
+        for q in queries.values():
+            q.stop()
+        raise RuntimeError("; ".join(f"flow {name} failed: {text}" for name, text in failed.items()))
     return queries
 
 
@@ -136,7 +161,8 @@ def read_flow_output(spark: SparkSession, spec: FlowSpec) -> DataFrame:
 
     ``basename`` stays text even for file names that look like numbers.
     """
-    return spark.read.schema("value string, basename string").text(os.path.join(spec.sink_dir, "data"))
+    reader = spark.read.schema("value string, basename string").option("lineSep", "\n")
+    return reader.text(os.path.join(spec.sink_dir, "data"))
 
 
 def write_spool(
@@ -154,6 +180,7 @@ def write_spool(
     handed over as a global temporary view, so the caller's session settings
     are never changed.
     """
+    _check_charset(charset)
     spark = docs.sparkSession
     view = None
     if _needs_legacy_charsets(charset):
@@ -167,7 +194,7 @@ def write_spool(
         )
         if charset is not None and charset.lower().replace("-", "") != "utf8":
             lines = lines.withColumn("value", F.encode(F.col("value"), charset).cast("string"))
-        lines.write.mode("overwrite").partitionBy(flow_col).text(spool_root)
+        lines.write.mode("overwrite").partitionBy(flow_col).text(spool_root, lineSep="\n")
     finally:
         if view is not None:
             spark.catalog.dropGlobalTempView(view)
