@@ -18,6 +18,7 @@ from tableflow.operators.cells import (
     salt_cells,
     scan_columns,
     upsert_cells,
+    write_cells,
     write_bulk,
 )
 from tableflow.operators.columns import (

@@ -21,6 +21,9 @@ from tableflow.functions.hashing import java_string_hash, salt_prefix
 from tableflow.operators.columns import _q
 
 CELL_COLUMNS = ("rowkey", "family", "qualifier", "value")
+#: Size that a file of a bulk load aims at, and the most partitions derived from an estimate.
+FILE_BYTES = 256 << 20
+MAX_FILES = 100_000
 
 
 def _cell_value(df: DataFrame, name: str, value_format: str) -> Column:
@@ -86,6 +89,13 @@ def salt_of(salted: str | Column) -> Column:
     return F.split(c, ":").getItem(0)
 
 
+def _partitions_for(df: DataFrame) -> int:
+    """Partitions of about ``FILE_BYTES`` by the optimizer's size estimate."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, min(MAX_FILES, -(-size // FILE_BYTES)))
+
+
 def bulk_layout(salted_cells: DataFrame, num_files: int | None = None, ordering: str = "range") -> DataFrame:
     """Order cells for a bulk load.
 
@@ -101,13 +111,13 @@ def bulk_layout(salted_cells: DataFrame, num_files: int | None = None, ordering:
     files and all cells of a row stay in one file; each file is sorted, but
     files of one salt overlap in key range.
 
-    ``num_files`` sets the number of partitions (size it to the data, e.g.
-    total bytes / 256 MB); it defaults to ``spark.sql.shuffle.partitions``.
+    ``num_files`` sets the number of partitions; it defaults to the planned size
+    of the cells over ``FILE_BYTES``, at least ``spark.sql.shuffle.partitions``.
     Sorting leads with ``salt`` (a prefix of ``salted``, so the order is the
     same) so the per-salt partitioned writer keeps this order.
     """
     keys = ["salted", "qualifier", "value"]
-    parts = num_files or int(salted_cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = num_files or _partitions_for(salted_cells)
     if ordering == "range":
         spread = salted_cells.repartitionByRange(parts, *keys)
     elif ordering == "hash":
@@ -134,6 +144,14 @@ def read_bulk(spark: SparkSession, path: str, value_type: str = "string") -> Dat
     return spark.read.schema(schema).parquet(path)
 
 
+def write_cells(cells: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite") -> None:
+    """Store cells ordered by (qualifier, value, row key), so that column and prefix
+    scans skip the row groups without a match."""
+    keys = ["qualifier", "value", "rowkey"]
+    spread = cells.select(*CELL_COLUMNS).repartitionByRange(num_files or _partitions_for(cells), *keys)
+    spread.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+
+
 def scan_columns(cells: DataFrame, qualifiers: Sequence[str], family: str = DEFAULT_FAMILY) -> DataFrame:
     """Column projection on a cell table (filters reach the parquet scan)."""
     return cells.filter((F.col("family") == family) & F.col("qualifier").isin(list(qualifiers)))

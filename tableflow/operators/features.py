@@ -10,6 +10,7 @@ driver round trip is one small per-partition count table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
@@ -18,9 +19,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableflow.operators.columns import _q
-from tableflow.session import ensure_checkpoint_dir
+from tableflow.operators.joins import split_skew_join
+from tableflow.session import broadcast_limit, ensure_checkpoint_dir
 
 _HANDLE = ("error", "skip", "keep")
+# what a label row takes besides its text
+_ROW_BYTES = 48
+# labels with this share of the rows are split when the label table is too large to broadcast
+_HOT_SHARE = 0.01
+_CHECKED = "_checked_index"
 
 
 def label_index(df: DataFrame, column: str, num_partitions: int | None = None) -> DataFrame:
@@ -69,17 +76,30 @@ def string_index(
     """Add ``output_col`` (double) = frequency rank of the ``column`` label.
 
     NULL labels: ``'error'`` fails the job, ``'skip'`` drops the row,
-    ``'keep'`` gives them the index after the last label.
+    ``'keep'`` gives them the index after the last label.  The label table is
+    broadcast if its measured size is under Spark's broadcast threshold; else
+    labels with a large share of the rows are split before the join.
     """
     if handle_invalid not in _HANDLE:
         raise ValueError(f"handle_invalid must be one of {_HANDLE}")
     out = output_col or f"{column}_idx"
-    labels = label_index(df, column).select(F.col("label").alias("_lbl"), F.col("index").alias("_idx"))
-    # one scalar from the (checkpointed, label-sized) table: the category count
-    n_labels = labels.count()
+    found = label_index(df, column)
+    text_bytes = F.octet_length(F.col("label").cast("string"))
+    # one row from the (checkpointed, label-sized) table: category count and size
+    measured = found.agg(F.count("*").alias("n"), F.sum(text_bytes + _ROW_BYTES).alias("size"),
+                         F.sum("label_count").alias("rows")).first()
+    n_labels = measured["n"]
     c = F.col(_q(column))
     src = df.filter(c.isNotNull()) if handle_invalid == "skip" else df
-    joined = src.join(labels, c == F.col("_lbl"), "left")
+    if (measured["size"] or 0) <= broadcast_limit(df.sparkSession):
+        labels = found.select(F.col("label").alias("_lbl"), F.col("index").alias("_idx"))
+        joined = src.join(F.broadcast(labels), c == F.col("_lbl"), "left").drop("_lbl")
+    else:
+        # at most 1 / _HOT_SHARE labels can have so many rows
+        least = math.ceil(measured["rows"] * _HOT_SHARE)
+        hot = [(r["label"],) for r in found.filter(F.col("label_count") >= least).select("label").collect()]
+        labels = found.select(F.col("label").alias(column), F.col("index").alias("_idx"))
+        joined = split_skew_join(src, labels, column, "left", hot).select(*[_q(x) for x in src.columns], "_idx")
     if handle_invalid == "keep":
         idx = F.when(c.isNull(), F.lit(float(n_labels))).otherwise(F.col("_idx"))
     elif handle_invalid == "error":
@@ -91,8 +111,19 @@ def string_index(
     # nominal-attribute metadata (as an ML indexer writes it) lets encoders size
     # their output without another pass over the data
     n_values = n_labels + (1 if handle_invalid == "keep" else 0)
-    meta = {"ml_attr": {"type": "nominal", "name": out, "num_vals": n_values}}
-    return joined.withColumn(out, idx.alias(out, metadata=meta)).drop("_lbl", "_idx")
+    return joined.withColumn(out, idx.alias(out, metadata=_nominal(out, n_values))).drop("_idx")
+
+
+def _nominal(name: str, n: int) -> dict:
+    return {"ml_attr": {"type": "nominal", "name": name, "num_vals": n}}
+
+
+def category_count(df: DataFrame, index_col: str) -> int:
+    """Categories of an index column: from its metadata, else its largest value + 1 (one job)."""
+    n = df.schema[index_col].metadata.get("ml_attr", {}).get("num_vals")
+    if n is None:
+        n = int(df.agg(F.coalesce(F.max(_q(index_col)), F.lit(-1)).alias("m")).first()["m"]) + 1
+    return n
 
 
 def one_hot(
@@ -101,34 +132,40 @@ def one_hot(
     output_col: str | None = None,
     drop_last: bool = True,
     as_columns: bool = False,
+    handle_invalid: str = "error",
 ) -> DataFrame:
-    """One-hot encode an index column (the last category is all zeros when
-    ``drop_last``).  ``as_columns`` spreads the vector into ``<out>_<i>``
-    double columns for relational sinks."""
-    out = output_col or f"{index_col}_vec"
-    n_values = df.schema[index_col].metadata.get("ml_attr", {}).get("num_vals")
-    if as_columns and n_values is not None:
-        # the category count is known: plain comparisons, no vector round trip
-        width = n_values - (1 if drop_last else 0)
-        idx = F.col(_q(index_col))
-        return df.select(
-            *[_q(c) for c in df.columns],
-            *[(idx == float(k)).cast("double").alias(f"{out}_{k}") for k in range(width)],
-        )
-    model = OneHotEncoder(inputCols=[index_col], outputCols=[out], dropLast=drop_last).fit(df)
-    encoded = model.transform(df)
-    if not as_columns:
-        return encoded
-    width = model.categorySizes[0] - (1 if drop_last else 0)
-    arr = vector_to_array(F.col(out))
-    return encoded.select(
-        *[_q(c) for c in df.columns], *[arr[i].alias(f"{out}_{i}") for i in range(width)]
-    )
-
+    """One-hot encode an index column (the last category is all zeros when ``drop_last``).
 
-def assemble(df: DataFrame, input_cols: Sequence[str], output_col: str = "features", as_array: bool = False) -> DataFrame:
-    """Concatenate numeric / vector columns into one feature vector."""
-    res = VectorAssembler(inputCols=list(input_cols), outputCol=output_col, handleInvalid="keep").transform(df)
+    ``as_columns`` gives ``<out>_<i>`` double columns for relational sinks, else a
+    vector.  An index that is NULL or no category fails the job; ``'keep'`` makes
+    these one more category.  Both forms and both ways to know the number of
+    categories follow this rule.
+    """
+    if handle_invalid not in ("error", "keep"):
+        raise ValueError("handle_invalid must be 'error' or 'keep'")
+    out = output_col or f"{index_col}_vec"
+    n, c = category_count(df, index_col), F.col(_q(index_col))
+    known = F.coalesce(c.between(0, n - 1) & (c == F.floor(c)), F.lit(False))
+    extra = F.lit(float(n)) if handle_invalid == "keep" else \
+        F.raise_error(F.concat(F.lit(f"no category in {index_col}: "), F.coalesce(c.cast("string"), F.lit("NULL")))).cast("double")
+    idx = F.when(known, c.cast("double")).otherwise(extra)
+    n += handle_invalid == "keep"
+    if as_columns:
+        width = n - (1 if drop_last else 0)
+        checked = df.withColumn(_CHECKED, idx)
+        return checked.select(*[_q(x) for x in df.columns],
+                              *[(F.col(_CHECKED) == float(k)).cast("double").alias(f"{out}_{k}") for k in range(width)])
+    checked = df.withColumn(_CHECKED, idx.alias(_CHECKED, metadata=_nominal(_CHECKED, n)))
+    return OneHotEncoder(inputCols=[_CHECKED], outputCols=[out], dropLast=drop_last).fit(checked).transform(checked).drop(_CHECKED)
+
+
+def assemble(df: DataFrame, input_cols: Sequence[str], output_col: str = "features", as_array: bool = False,
+             handle_invalid: str = "error") -> DataFrame:
+    """Concatenate numeric / vector columns into one feature vector.
+
+    A NULL or NaN input fails the job; ``'skip'`` drops its row, ``'keep'`` gives NaN.
+    """
+    res = VectorAssembler(inputCols=list(input_cols), outputCol=output_col, handleInvalid=handle_invalid).transform(df)
     if as_array:
         res = res.withColumn(output_col, vector_to_array(F.col(output_col)))
     return res

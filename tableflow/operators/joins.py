@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.operators.columns import _q, duplicate_names, select_rename
+from tableflow.session import ensure_checkpoint_dir
 
 JOIN_TYPES = ("inner", "left", "right", "full", "left_semi", "left_anti")
 _ALIASES = {
@@ -144,16 +145,15 @@ def join_mapped(
 def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01) -> list[tuple]:
     """Key values holding at least ``min_share`` of the rows of ``df``.
 
-    A distributed count per key; at most ``1 / min_share`` values can pass,
-    so the list brought to the driver has a proven bound.
+    One job: a distributed count per key, compared with its own total.  As each
+    value has ``ceil(total * min_share)`` rows or more, at most ``1 / min_share``
+    of them can pass, so the list brought to the driver has a proven bound.
     """
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
-    total = df.count()
-    threshold = max(1, int(total * min_share))
     counts = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") >= threshold).limit(int(1 / min_share) + 1).collect()
-    return [tuple(r[k] for k in keys) for r in hot]
+    least = counts.agg(F.ceil(F.sum("_n") * F.lit(min_share)).alias("_least")).scalar()
+    return [tuple(r[k] for k in keys) for r in counts.filter(F.col("_n") >= least).collect()]
 
 
 def split_skew_join(
@@ -167,27 +167,33 @@ def split_skew_join(
 ) -> DataFrame:
     """Equi-join that spreads hot key values of the left side over ``buckets``.
 
-    Rows of hot keys get a bucket from a hash of the whole left row; the
-    matching right rows (few per key: the right side is the dimension) are
-    copied once per bucket, so one hot key is joined by ``buckets`` tasks.
-    Cold keys take the ordinary join.  ``how`` in inner/left/left_semi/
-    left_anti; the result equals ``left.join(right, on, how)``.
+    Rows of hot keys are dealt to buckets by their place in the input, so equal
+    rows spread too, and written to the checkpoint folder with their bucket, so
+    a repeated task cannot deal them differently.  The matching right rows (few
+    per key: the right side is the dimension) are copied once per bucket, so one
+    hot key is joined by ``buckets`` tasks.  Cold keys take the ordinary join.
+    ``how`` in inner/left/left_semi/left_anti; the result equals
+    ``left.join(right, on, how)``.  A ``full`` join cannot be split like this,
+    and adaptive execution does not split one either: union an anti join of the
+    right side instead.
     """
     how = _how(how)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("split_skew_join keeps the left side whole: use inner/left/left_semi/left_anti")
     keys = [on] if isinstance(on, str) else list(on)
     hot = list(hot) if hot is not None else hot_keys(left, keys, min_share)
+    # a NULL never matches, so a hot NULL key needs no partner: the cold join keeps its rows
+    hot = [h for h in hot if all(v is not None for v in h)]
     if not hot:
         return left.join(right, on=keys, how=how)
     key_struct = F.struct(*[F.col(_q(k)) for k in keys])
     hot_lit = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, h)]) for h in hot])
-    # NULL keys are cold (they never match, but left/anti joins keep them)
     is_hot = F.coalesce(F.array_contains(hot_lit, key_struct), F.lit(False))
     bucket = "_skew_bucket"
+    ensure_checkpoint_dir(left.sparkSession)
     left_hot = left.filter(is_hot).withColumn(
-        bucket, F.pmod(F.xxhash64(*[F.col(_q(c)) for c in left.columns]), F.lit(buckets)).cast("int")
-    )
+        bucket, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int")
+    ).checkpoint()
     right_hot = right.filter(is_hot).withColumn(bucket, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     hot_part = left_hot.join(right_hot, on=[*keys, bucket], how=how).drop(bucket)
     cold_part = left.filter(~is_hot).join(right.filter(~is_hot), on=keys, how=how)

@@ -20,6 +20,11 @@ PROFILE_SCHEMA = (
 )
 
 
+# nested times to the microsecond
+_EXACT_TIMES = ("map('timestampFormat', \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\", "
+                "'timestampNTZFormat', \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")")
+
+
 def _key_slots(ref: str, dtype: T.DataType) -> tuple[str, str, str, str]:
     """SQL for the typed slots (l, d, s, b) of a grouping key that is equal
     exactly when two values of one column are equal under Spark's grouping
@@ -42,7 +47,7 @@ def _key_slots(ref: str, dtype: T.DataType) -> tuple[str, str, str, str]:
     elif isinstance(dtype, T.BinaryType):
         b = ref
     elif isinstance(dtype, (T.StructType, T.ArrayType)):
-        s = f"to_json({ref})"
+        s = f"to_json({ref}, {_EXACT_TIMES})"
     elif not isinstance(dtype, T.MapType):
         s = f"CAST({ref} AS STRING)"
     return (l or "CAST(NULL AS BIGINT)", d or "CAST(NULL AS DOUBLE)",
@@ -70,55 +75,34 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
 
     Plan (the same for 5 or 500 columns): every row is turned into one
     ``(column, value key, numeric value)`` entry per column by a single
-    ``inline``.  Exact: a partial ``groupBy(column, key)`` builds the
-    distinct-value table with counts; counts, distinct counts, mean, min and
-    max come from it per column, and the variance from a second pass over the
-    same table around the broadcast per-column means (one row per column).
-    Spark reuses the value table's exchange, so the data is scanned once.
-    ``approx=True``: one ``groupBy(column)`` with a HyperLogLog sketch.
-    Every aggregate combines map-side before its shuffle, so no column,
-    however hot or wide, meets in one task.
+    ``inline``.  Counts and moments are one ``groupBy(column)`` that combines
+    map-side, so no value is shuffled for them.  Exact distinct counts shuffle
+    each task's distinct (column, value key) pairs, from a second scan;
+    ``approx=True`` folds a HyperLogLog sketch into the first aggregate instead
+    and is the choice for wide or large tables.  No column, however hot or wide,
+    meets in one task.
     """
     spark = df.sparkSession
     fields = list(df.schema.fields)
     long = df.select(F.inline(F.array(*[_profile_entry(i, f) for i, f in enumerate(fields)])))
 
     nulls = F.col("_rows") - F.col("_n")
+    sketch = [F.approx_count_distinct(F.when(F.col("_nn"), F.col("_v")), rsd).alias("_a")] if approx else []
+    stats = long.groupBy("_i").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if("_nn").alias("_n"),
+        F.avg("_x").alias("_avg"),
+        F.stddev_samp("_x").alias("_sd"),
+        F.min("_x").alias("_min"),
+        F.max("_x").alias("_max"),
+        *sketch,
+    )
     if approx:
-        stats = long.groupBy("_i").agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count_if("_nn").alias("_n"),
-            F.avg("_x").alias("_avg"),
-            F.stddev_samp("_x").alias("_sd"),
-            F.min("_x").alias("_min"),
-            F.max("_x").alias("_max"),
-            F.approx_count_distinct(F.when(F.col("_nn"), F.col("_v")), rsd).alias("_a"),
-        ).withColumn("_d", F.col("_a") + F.when(nulls > 0, 1).otherwise(0))
+        stats = stats.withColumn("_d", F.col("_a") + F.when(nulls > 0, 1).otherwise(0))
     else:
-        # one scan: the distinct (column, value) table with each value's count;
-        # a NULL value is one group, and _x is a function of the value
-        values = long.groupBy("_i", "_v", "_nn").agg(
-            F.count(F.lit(1)).alias("_c"), F.max("_x").alias("_x")
-        )
-        wx = F.col("_c") * F.col("_x")
-        level = values.groupBy("_i").agg(
-            F.sum("_c").alias("_rows"),
-            F.sum(F.when(F.col("_nn"), F.col("_c")).otherwise(0)).alias("_n"),
-            F.count(F.lit(1)).alias("_d"),
-            (F.sum(wx) / F.sum(F.when(F.col("_x").isNotNull(), F.col("_c")))).alias("_avg"),
-            F.min("_x").alias("_min"),
-            F.max("_x").alias("_max"),
-        )
-        # variance from squared deviations around the mean (stable), over the
-        # same value table; the means are one row per column (broadcast bound)
-        means = F.broadcast(level.select("_i", F.col("_avg").alias("_mu")))
-        dev = values.join(means, "_i").groupBy("_i").agg(
-            F.sum(F.col("_c") * F.pow(F.col("_x") - F.col("_mu"), 2)).alias("_m2"),
-            F.sum(F.when(F.col("_x").isNotNull(), F.col("_c"))).alias("_nx"),
-        )
-        stats = level.join(F.broadcast(dev), "_i").withColumn(
-            "_sd", F.when(F.col("_nx") > 1, F.sqrt(F.col("_m2") / (F.col("_nx") - 1)))
-        )
+        # a NULL is one value
+        distinct = long.select("_i", "_v", "_nn").distinct().groupBy("_i").agg(F.count(F.lit(1)).alias("_d"))
+        stats = stats.join(F.broadcast(distinct), "_i")
 
     # per-column constants, one row per column; every column gets a row, also
     # for an empty table (which has no groups)

@@ -62,6 +62,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which Spark broadcasts a join side by itself; -1 for never."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the shared checkpoint dir."""
     root = ensure_checkpoint_dir(spark)
