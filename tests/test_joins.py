@@ -63,27 +63,17 @@ def test_join_alias_does_not_mutate():
     assert join_alias(["a"], {"a": "b"}) == ["a"]
 
 
-def test_notebook_join_example(spark):
-    # X6 join side and the composite-key join of the transformation example
-    houses = spark.createDataFrame(
-        [("H1", "Low", "200k - 250k"), ("H2", "Low", "300k - 350k"), ("H3", "High", "350k - 400k"),
-         ("H4", "High", "Others")],
-        "`House Name` string, prize_range string, price_category string",
-    )
-    labels = spark.createDataFrame(
-        [("Low", "200k - 250k", "Cheap", "Extra1"), ("Low", "250k - 300k", "Middle Low", "Extra2"),
-         ("Low", "300k - 350k", "Middle", "Extra3"), ("High", "350k - 400k", "High", "Extra4")],
-        "prize_range string, category string, drill string, UnwantCol string",
-    )
-    out = join_mapped(houses, labels, {"prize_range": "prize_range", "price_category": "category"},
-                      sel=["prize_range", "category", "drill"], rename={"drill": "drill_cate"})
-    got = {r["House Name"]: r.drill_cate for r in out.collect()}
-    assert got == {"H1": "Cheap", "H2": "Middle", "H3": "High", "H4": None}
-    assert out.columns == ["House Name", "prize_range", "price_category", "drill_cate"]
-    kept = join_mapped(houses, labels, {"prize_range": "prize_range", "price_category": "category"},
-                       sel=["prize_range", "category", "drill"],
-                       rename={"drill": "drill_cate", "prize_range": "RANGE_RENAMED"}, drop=False)
-    assert "RANGE_RENAMED" in kept.columns and "category" in kept.columns
+def test_composite_map_renames_and_drops_right_keys(spark):
+    left = spark.createDataFrame([(1, "x", 5), (1, "y", 6), (2, "x", 7), (None, "x", 8), (2, None, 9)],
+                                 "shop int, item string, sold int")
+    right = spark.createDataFrame([(1, "x", "red", 0), (2, "x", "blue", 0), (2, "y", "green", 0), (None, "x", "grey", 0)],
+                                  "shop int, article string, colour string, unused int")
+    out = join_mapped(left, right, {"shop": "shop", "item": "article"}, sel=["shop", "article", "colour"], rename={"colour": "hue"})
+    assert out.columns == ["shop", "item", "sold", "hue"]
+    assert {r.sold: r.hue for r in out.collect()} == {5: "red", 6: None, 7: "blue", 8: None, 9: None}
+    kept = join_mapped(left, right, {"shop": "shop", "item": "article"}, sel=["shop", "article", "colour"],
+                       rename={"colour": "hue", "shop": "place"}, drop=False)
+    assert kept.columns == ["shop", "item", "sold", "hue", "place", "article"]
 
 
 def test_bad_join_type(spark, n1):

@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tableflow.plans.oracles import oracles
+from tableflow.plans.queries import registry
 from tableflow.plans.tables import TABLES
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {name: E.queries()[name] for name in registry()}
+ORACLES = oracles()
 
 
 def _norm(v):
@@ -36,6 +38,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(E.oracle_sql())
 
 
 def test_entry(spark):

@@ -14,7 +14,7 @@ def test_csv_round_trip_all_text(spark, person):
     to_csv(person, root, "person")
     back = read_csv(spark, root, "person")
     assert back.dtypes == [(c, "string") for c in person.columns]
-    assert sorted(r.name for r in back.collect()) == ["Andy", "Harry", "Jane", "Janice"]
+    assert sorted(r.name for r in back.collect()) == ["Lin", "Noor", "Oskar", "Teo"]
     typed = read_csv(spark, root, "person", infer_schema=True)
     assert dict(typed.dtypes)["age"] == "int"
 
@@ -118,7 +118,7 @@ def test_partitioned_sinks_and_typed_csv(spark, person):
     root = scratch_path(spark, "sinks-part") + "/"
     to_parquet(person, root, "by_gender", partition_by=["gender"])
     back = read_parquet(spark, root, "by_gender")
-    assert sorted(r.gender for r in back.select("gender").distinct().collect()) == ["Female", "Male"]
+    assert sorted(r.gender for r in back.select("gender").distinct().collect()) == ["f", "m"]
     to_csv(person, root, "semi", sep=";", partition_by=["gender"])
     typed = read_csv(spark, root, "semi", sep=";", schema="key int, name string, age int, occupation string, gender string")
-    assert typed.filter("gender = 'Male'").count() == 2 and dict(typed.dtypes)["age"] == "int"
+    assert typed.filter("gender = 'm'").count() == 2 and dict(typed.dtypes)["age"] == "int"
