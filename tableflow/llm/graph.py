@@ -16,7 +16,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.col("u"), F.min("b")).alias("m"))
     return (both.where("b > a").join(least, F.col("a") == F.col("u"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -34,13 +34,19 @@ def components(edges: DataFrame) -> DataFrame:
     written to the checkpoint folder, so lineage stays short; stars are joined by
     node, where a node of very many edges can be split by adaptive execution.
     """
-    now = stored(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct())
-    seen = None
+    now = stored(edges.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
+                 .where("a <> b").distinct())
     for _ in range(MAX_ROUNDS):
-        now = stored(_small_star(_large_star(now)))
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        if _settled(now):
             roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
-        seen = state
+        now = stored(_small_star(_large_star(now)))
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Every node is tied to one smaller node at most, which is tied to none: all are stars."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")),
+                                          F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    ties = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.count("*").alias("all"))
+    return ties.where("up > 1 OR (up = 1 AND all > 1)").isEmpty()

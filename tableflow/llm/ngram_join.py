@@ -6,17 +6,18 @@ first: by how often their bucket of a counting sketch occurs, then by hash.  Two
 sets as similar as asked must share an n-gram among the first few of both
 (their prefixes), so only prefixes are matched to find candidates.
 
-For candidates the order is cut into fragments: overlaps are counted in each
-fragment on its own and summed per pair.  Short posting lists give pairs, whose
-fragments are joined.  The nodes of long lists (large groups of near copies) are
-never paired in a table: they are dealt into blocks, and a task counts the
-overlaps of two blocks fragment by fragment and returns only a spanning forest
-of the links.  Nothing is capped: every pair that can be similar is counted in
-one of the two ways.
+Candidates are dealt into units of two bounded blocks of nodes.  A unit's task cuts
+the order into fragments, counts the overlaps in each fragment on its own, sums
+them per pair and returns a spanning forest of the links.  Short posting lists give
+candidate pairs, and two blocks meet where a pair joins them.  The nodes of long
+lists (large groups of near copies) are never paired in a table: their blocks all
+meet, unless their lengths rule it out.  Nothing is capped: every pair that can be
+similar is counted in some unit.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,15 +31,16 @@ from tableflow.llm.common import WORD, col, fresh, lower_words_of, prepared, sto
 from tableflow.llm.graph import components
 
 #: Buckets of the counting sketch; it is broadcast (4 bytes each).
-SKETCH_BUCKETS = 1 << 20
+SKETCH_BUCKETS = 1 << 21
 SKETCH_CHUNK = 4096
+#: Documents whose n-grams a worker holds at once when counting.
+SKETCH_ROWS = 1000
 #: Bits of the membership maps that spare later steps most rows; broadcast, harmless when full.
 MAP_BITS = 1 << 25
 #: Posting lists up to this long are paired, longer ones go to blocks.
 SHORT_LIST = 64
 BLOCK_NODES = 256
-#: Fragments that the order is cut into when pairs are counted, and n-grams per fragment in a block.
-FRAGMENTS = 8
+#: N-grams per fragment, of those that both blocks of a unit have.
 BLOCK_FRAGMENT = 2048
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -80,8 +82,8 @@ def _sketch(texts: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH_BUCKETS, np.int64)
         for batch in batches:
-            held = [shingle_hashes(lower_words_of(t), size) for t in _texts(batch, "text")]
-            if held:
+            for k in range(0, batch.num_rows, SKETCH_ROWS):
+                held = [shingle_hashes(lower_words_of(t), size) for t in _texts(batch.slice(k, SKETCH_ROWS), "text")]
                 bucket = (np.concatenate(held) & np.uint64(SKETCH_BUCKETS - 1)).astype(np.int64)
                 total += np.bincount(bucket, minlength=SKETCH_BUCKETS)
         if total.any():
@@ -89,17 +91,17 @@ def _sketch(texts: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(chunks)), pa.int32()),
                  pa.array([TaskContext.get().partitionId() % 32] * len(chunks), pa.int32()),
-                 pa.array([c.tobytes() for c in chunks], pa.binary())], ["chunk", "lot", "counts"])
+                 pa.array([zlib.compress(c.tobytes(), 1) for c in chunks], pa.binary())], ["chunk", "lot", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), np.int64) for c in rows["counts"])
-        return rows.slice(0, 1).set_column(2, "counts", pa.array([total.tobytes()], pa.binary()))
+        total = sum(np.frombuffer(zlib.decompress(c.as_py()), np.int64) for c in rows["counts"])
+        return rows.slice(0, 1).set_column(2, "counts", pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
 
     schema = "chunk int, lot int, counts binary"
     part = texts.mapInArrow(count, schema).groupBy("chunk", "lot").applyInArrow(add, schema)
     out = np.zeros(SKETCH_BUCKETS, np.int64)
     for row in part.groupBy("chunk").applyInArrow(add, schema).collect():  # SKETCH_BUCKETS counts at most
-        out[row["chunk"] * SKETCH_CHUNK:][:SKETCH_CHUNK] = np.frombuffer(row["counts"], np.int64)
+        out[row["chunk"] * SKETCH_CHUNK:][:SKETCH_CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
 
 
@@ -174,62 +176,48 @@ def _required(a: Column, b: Column, percent: int) -> Column:
 
 
 def _short_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of short posting lists that length and position allow."""
-    short = entries.where(F.col("c") <= SHORT_LIST)
-    a = short.select("token", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    b = short.select("token", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    most = F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    close = F.col("nb") * percent <= F.col("na") * 100
-    return (a.join(b, "token").where(ordered & close & (most >= _required(F.col("na"), F.col("nb"), percent)))
-            .select("a", "b", "na", "nb").distinct())
+    """``a, b``: pairs that share n-grams of short posting lists and can be similar.
+
+    Length and the places of each shared n-gram bound the overlap.  So does the
+    number of shared prefix n-grams: the prefix that ends first in the order
+    misses only what lies behind it.  Shared n-grams of long lists are not
+    counted here; both nodes can have at most the fewer of theirs in common.
+    """
+    lists = F.col("c") <= SHORT_LIST
+    a = entries.where(lists).select("token", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    b = entries.where(lists).select("token", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    na, nb = F.col("na"), F.col("nb")
+    most = F.least("pa", "pb") + F.least(na - F.col("pa"), nb - F.col("pb"))
+    ordered = (na < nb) | ((na == nb) & (F.col("a") < F.col("b")))
+    need = _required(na, nb, percent)
+    shared = (a.join(b, "token").where(ordered & (nb * percent <= na * 100) & (most >= need))
+              .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared")))
+    unlisted = entries.where(~lists).groupBy("fp").agg(F.count("*").alias("more"))
+    both = (shared.join(unlisted.select(F.col("fp").alias("a"), F.col("more").alias("more_a")), "a", "left")
+            .join(unlisted.select(F.col("fp").alias("b"), F.col("more").alias("more_b")), "b", "left"))
+    others = F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0)))
+    behind = F.ceil(F.greatest(na, nb) * percent / F.lit(100)) - 1
+    return both.where(F.col("shared") + others + behind >= need).select("a", "b")
 
 
 def _tokens(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``fp, tokens`` of the nodes whose row key is wanted; only their texts are read again in full."""
+    """``fp, tokens`` of the nodes whose row key is wanted (and of some others)."""
     held = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, "rowkey"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column("rowkey").to_numpy()
-            fp, held_tokens, keys = [], [], []
+            fp, held_tokens = [], []
             for k in np.flatnonzero(_in_bitmap(held.value, key)).tolist():
                 tokens = shingle_hashes(lower_words_of(batch.column("text")[k].as_py()), size)
                 if len(tokens):
-                    keys.append(int(key[k]))
                     fp.append(int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64)))
                     held_tokens.append(tokens.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(fp, pa.int64()),
-                                              pa.array(held_tokens, pa.binary())], ["rowkey", "fp", "tokens"])
-
-    found = docs.select("rowkey", "text").mapInArrow(read, "rowkey long, fp long, tokens binary")
-    return found.join(wanted.select("rowkey").distinct(), "rowkey").drop("rowkey").dropDuplicates(["fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(held_tokens, pa.binary())],
+                                             ["fp", "tokens"])
 
-
-def _pair_links(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose overlaps, counted fragment by fragment and summed, reach the threshold."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = np.array([(k << 64) // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
-        for batch in batches:
-            fp, fragment, held = [], [], []
-            for node, data in zip(batch.column("fp").to_pylist(), batch.column("tokens")):
-                sorted_tokens = np.frombuffer(data.as_py(), np.uint64)
-                for f, part in enumerate(np.split(sorted_tokens, np.searchsorted(sorted_tokens, bounds))):
-                    if len(part):
-                        fp.append(node)
-                        fragment.append(f)
-                        held.append(part.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(fragment, pa.int32()),
-                                              pa.array(held, pa.list_(pa.int64()))], ["fp", "fragment", "part"])
-
-    nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
-    parts = tokens.join(nodes, "fp").mapInArrow(cut, "fp long, fragment int, part array<long>")
-    left = parts.select(F.col("fp").alias("a"), "fragment", F.col("part").alias("part_a"))
-    right = parts.select(F.col("fp").alias("b"), "fragment", F.col("part").alias("part_b"))
-    counted = (pairs.join(left, "a").join(right, ["b", "fragment"])
-               .select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).alias("overlap"))
-               .groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")))
-    return counted.where(F.col("overlap") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+    found = docs.select("rowkey", "text").mapInArrow(read, "fp long, tokens binary")
+    return found.dropDuplicates(["fp"])
 
 
 def block_overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -272,53 +260,92 @@ def spanning(pairs: np.ndarray, size: int) -> list[tuple[int, int]]:
     return [(find(x), x) for x in range(size) if find(x) != x]
 
 
-def _block_links(entries: DataFrame, tokens: DataFrame, percent: int, clusters: DataFrame) -> DataFrame:
-    """Links among the nodes of long posting lists, as spanning forests of pairs of blocks."""
-    ratio = float(np.log(100 / percent))
-    nodes = (clusters.join(entries.select(F.col("fp").alias("node"), "n").distinct(), "node")
-             .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio) + F.lit(1e-9)).cast("int")))
-    nodes = stored(nodes.select("root", "band", "node", "n"))
-    sizes = nodes.groupBy("root", "band").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+_UNIT = ("root", "low", "i", "high", "j")
 
-    def of(shift: int, name: str) -> DataFrame:
-        return sizes.select("root", (F.col("band") + shift).alias("band"), F.col("blocks").alias(name))
 
-    dealt = (nodes.join(sizes, ["root", "band"]).join(of(-1, "above"), ["root", "band"], "left")
-             .join(of(1, "below"), ["root", "band"], "left")
+def _pair_units(pairs: DataFrame) -> DataFrame:
+    """Nodes of candidate pairs dealt into units: ``root, low, i, high, j, side, node``.
+
+    A pair goes with the smallest candidate of its two nodes, so groups of copies
+    mostly meet in one unit.  Small groups share a unit, a large one is cut into
+    blocks, and two blocks meet if a pair joins them.
+    """
+    least = (pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+             .groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("least")))
+    grouped = stored(pairs.join(least.select(F.col("node").alias("a"), F.col("least").alias("least_a")), "a")
+                     .join(least.select(F.col("node").alias("b"), F.col("least").alias("least_b")), "b")
+                     .select("a", "b", F.least("least_a", "least_b").alias("root")))
+    sizes = stored(grouped.select("root", F.explode(F.array("a", "b")).alias("node")).distinct()
+                   .groupBy("root").agg(F.count("*").alias("size")))
+    few = F.col("size") <= BLOCK_NODES // 4
+    shared = max(1, -(-(sizes.where(few).agg(F.sum("size")).first()[0] or 0) // BLOCK_NODES))
+
+    def block(node: str) -> Column:
+        own = F.pmod(F.xxhash64(node), F.ceil(F.col("size") / BLOCK_NODES))
+        return F.when(few, F.pmod(F.xxhash64("root"), F.lit(shared))).otherwise(own).cast("int")
+
+    first, last = F.least("at_a", "at_b"), F.greatest("at_a", "at_b")
+    ends = F.explode(F.array(*[F.struct(F.when(F.col(f"at_{x}") == first, F.lit(0)).otherwise(F.lit(1)).alias("side"),
+                                        F.col(x).alias("node")) for x in "ab"])).alias("end")
+    return (grouped.join(sizes, "root").withColumns({"at_a": block("a"), "at_b": block("b")})
+            .withColumn("low", F.when(few, F.lit(-1)).otherwise(F.lit(0)))
+            .select(F.when(few, F.lit(0)).otherwise(F.col("root")).alias("root"), "low", first.alias("i"),
+                    F.col("low").alias("high"), last.alias("j"), ends)
+            .select(*_UNIT, "end.side", "end.node").distinct())
+
+
+def _list_units(entries: DataFrame, percent: int) -> DataFrame:
+    """Nodes of long posting lists dealt into units.
+
+    Lists with the same smallest node are one group; of its blocks every two meet
+    whose lengths can be similar.
+    """
+    leaders = entries.groupBy("token").agg(F.min("fp").alias("root"))
+    ratio = float(np.log(100 / percent))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio) + F.lit(1e-9)).cast("int")
+    nodes = stored(entries.join(leaders, "token").select("root", band.alias("band"), F.col("fp").alias("node")).distinct())
+    # at most a row per band in a map: lengths grow by a factor from band to band
+    sizes = (nodes.groupBy("root", "band").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+             .groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("bands")))
+    here, above, below = (F.coalesce(F.try_element_at("bands", F.col("band") + k), F.lit(0)) for k in (0, 1, -1))
+    dealt = (nodes.join(sizes, "root").withColumns({"blocks": here, "above": above, "below": below})
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
 
     def unit(side: int, low: Column, i: Column, high: Column, j: Column) -> Column:
-        return F.struct(F.lit(side).alias("side"), low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"))
+        return F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), F.lit(side).alias("side"))
 
-    def over(first: Column | int, last: Column, make) -> Column:
-        first = F.lit(first) if isinstance(first, int) else first
-        return F.when(last >= first, F.transform(F.sequence(first, last), make)).otherwise(F.array())
+    def over(first: Column, past: Column, make) -> Column:
+        return F.when(past > first, F.transform(F.sequence(first, past - 1), make)).otherwise(F.array())
 
-    band, block, one = F.col("band"), F.col("block"), F.lit(1)
+    band, block, zero = F.col("band"), F.col("block"), F.lit(0)
     units = F.concat(
-        over(block, F.col("blocks") - 1, lambda j: unit(0, band, block, band, j)),
-        over(0, block - 1, lambda j: unit(1, band, j, band, block)),
-        over(0, F.coalesce("above", F.lit(0)) - 1, lambda j: unit(0, band, block, band + one, j)),
-        over(0, F.coalesce("below", F.lit(0)) - 1, lambda j: unit(1, band - one, j, band, block)))
-    work = (dealt.select("root", "node", "n", F.explode(units).alias("u")).select("root", "node", "n", "u.*")
-            .join(tokens.withColumnRenamed("fp", "node"), "node"))
+        over(block, F.col("blocks"), lambda j: unit(0, band, block, band, j)),
+        over(zero, block, lambda i: unit(1, band, i, band, block)),
+        over(zero, F.col("above"), lambda j: unit(0, band, block, band + 1, j)),
+        over(zero, F.col("below"), lambda i: unit(1, band - 1, i, band, block)))
+    return dealt.select("root", "node", F.explode(units).alias("u")).select("root", "u.low", "u.i", "u.high", "u.j", "u.side", "node")
+
+
+def _unit_links(units: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links within the units, as spanning forests ``a, b``."""
+    work = units.join(tokens.withColumnRenamed("fp", "node"), "node")
 
     def link(rows: pa.Table) -> pa.Table:
-        side, n, node = (rows[c].to_numpy() for c in ("side", "n", "node"))
+        side, node = rows["side"].to_numpy(), rows["node"].to_numpy()
         sets = [np.frombuffer(t.as_py(), np.uint64) for t in rows["tokens"]]
+        n = np.array([len(s) for s in sets])
         left = np.flatnonzero(side == 0)
         same = rows["low"][0] == rows["high"][0] and rows["i"][0] == rows["j"][0]
         right = left if same else np.flatnonzero(side == 1)
-        if not len(left) or not len(right):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        shared = block_overlaps([sets[k] for k in left], [sets[k] for k in right])
-        linked = (100 + percent) * shared >= percent * (n[left][:, None] + n[right][None, :])
-        hits = np.argwhere(linked)
-        forest = spanning(np.column_stack([left[hits[:, 0]], right[hits[:, 1]]]), len(node))
+        forest = []
+        if len(left) and len(right):
+            shared = block_overlaps([sets[k] for k in left], [sets[k] for k in right])
+            hits = np.argwhere((100 + percent) * shared >= percent * (n[left][:, None] + n[right][None, :]))
+            forest = spanning(np.column_stack([left[hits[:, 0]], right[hits[:, 1]]]), len(node))
         return pa.table({"a": pa.array([int(node[x]) for x, _ in forest], pa.int64()),
                          "b": pa.array([int(node[y]) for _, y in forest], pa.int64())})
 
-    return work.groupBy("root", "low", "i", "high", "j").applyInArrow(link, "a long, b long")
+    return work.groupBy(*_UNIT).applyInArrow(link, "a long, b long")
 
 
 def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -343,13 +370,10 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         F.first("prefix").alias("prefix")))
     entries = stored(_shared_entries(nodes))
     pairs = stored(_short_pairs(entries, percent))
-    long_lists = entries.where(F.col("c") > SHORT_LIST)
-    leaders = long_lists.groupBy("token").agg(F.min("fp").alias("a"))
-    clusters = components(long_lists.join(leaders, "token").select("a", F.col("fp").alias("b")))
-    wanted = (pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp")))
-              .union(clusters.select(F.col("node").alias("fp"))).distinct().join(nodes.select("fp", "rowkey"), "fp"))
-    tokens = stored(_tokens(texts, stored(wanted.select("rowkey")), size))
-    links = _pair_links(pairs, tokens, percent).union(_block_links(long_lists, tokens, percent, clusters))
+    units = stored(_pair_units(pairs).union(_list_units(entries.where(F.col("c") > SHORT_LIST), percent)))
+    wanted = units.select(F.col("node").alias("fp")).distinct().join(nodes.select("fp", "rowkey"), "fp")
+    tokens = stored(_tokens(texts, wanted, size))
+    links = _unit_links(units, tokens, percent)
     labels = components(links)
     known = (nodes.select("fp", "first_id").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
