@@ -87,7 +87,11 @@ def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
 
 
 def _run_table(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
-    """``run`` (32 bits) for all runs, or ``run64, doc_id, rowkey, first, last`` for those in the bitmap."""
+    """``run`` (32 bits) for all runs, or ``run64, doc_id, rowkey, first, last`` for those in the bitmap.
+
+    A run that a text repeats is listed where it first stands: the others are
+    later ones whatever the corpus holds.
+    """
     held = texts.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
     kind = dict(texts.dtypes)["doc_id"]
 
@@ -96,7 +100,7 @@ def _run_table(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
 
     def all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [short(runs(t.as_py())[0]) for t in batch.column("text")]
+            found = [np.unique(short(runs(t.as_py())[0])) for t in batch.column("text")]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["run"])
 
@@ -105,7 +109,8 @@ def _run_table(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
             count, run, span = [], [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)]
             for t in batch.column("text"):
                 h, spans, _ = runs(t.as_py())
-                kept = _in_bitmap(held.value, short(h))
+                first = np.unique(h, return_index=True)[1]
+                kept = first[_in_bitmap(held.value, short(h[first]))]
                 run.append(h[kept])
                 span.append(spans[kept])
                 count.append(len(run[-1]))
@@ -156,12 +161,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("rowkey"), col(text_col).alias("text"))
     counted = stored(_run_table(texts, None).groupBy("run").agg(F.count("*").alias("c")).where("c > 1").select("run"))
     places = stored(_run_table(texts, _bitmap(counted, "run")))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rowkey", "first")
-    firsts = (places.groupBy("run64").agg(F.min(order).alias("at"), F.max(order).alias("to")).where("at <> to")
-              .select("run64", F.col("at.rowkey").alias("first_key"), F.col("at.first").alias("first_at")))
-    later = (places.join(firsts, "run64").where((F.col("rowkey") != F.col("first_key")) | (F.col("first") != F.col("first_at")))
-             .select("rowkey", F.explode(F.sequence("first", "last")).alias("sentence")).distinct())
-    gone = later.groupBy(F.col("rowkey").alias("gone_key")).agg(F.collect_list("sentence").alias("gone"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rowkey")
+    firsts = stored(places.groupBy("run64").agg(F.min(order).alias("at"), F.max(order).alias("to")).where("at <> to")
+                    .select("run64", F.col("at.rowkey").alias("first_key")))
+    # a run of very many documents is one key: both sides are dealt anew, so it can be split
+    later = (places.join(firsts, "run64").where(F.col("rowkey") != F.col("first_key"))
+             .select("rowkey", F.struct("first", "last").alias("run")))
+    # rows alike in id and text repeat the same runs: a set
+    gone = later.groupBy(F.col("rowkey").alias("gone_key")).agg(F.collect_set("run").alias("gone"))
     joined = texts.join(gone, F.col("rowkey") == F.col("gone_key"), "left").select("doc_id", "text", "gone")
     out_id = fresh(["text", "n_sentences", "n_removed", "removed"], id_col)
     kind = dict(texts.dtypes)["doc_id"]
@@ -169,10 +176,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new, total, removed, spans = [], [], [], []
-            for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
-                total.append(len(runs(text)[2]))
-                removed.append(len(gone or ()))
-                kept, taken = cut_text(text, set(gone)) if gone else (text, [])
+            for held_text, found in zip(batch.column("text"), batch.column("gone")):
+                text = held_text.as_py()
+                h, places, ends = runs(text)
+                gone = {k for r in found.as_py() or () for k in range(r["first"], r["last"] + 1)}
+                again = np.ones(len(h), bool)
+                again[np.unique(h, return_index=True)[1]] = False
+                for a, b in places[again].tolist():
+                    gone.update(range(a, b + 1))
+                total.append(len(ends))
+                removed.append(len(gone))
+                kept, taken = cut_text(text, gone) if gone else (text, [])
                 new.append(kept)
                 spans.append([{"start": s, "end": e} for s, e in taken])
             yield pa.RecordBatch.from_arrays(
