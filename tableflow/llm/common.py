@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 from pathlib import Path
@@ -48,21 +48,31 @@ def lower_words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_LOWER_BYTES).split() if text else []
 
 
+#: Texts that a worker gets at once: whole texts are large rows.
+TEXT_ROWS = 2000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session, with a checkpoint folder (the cluster's if it names one) and
     this package sent to its Python workers, once per application."""
-    ensure_checkpoint_dir(spark)
+    folder = ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
+    if spark.conf.get(_ARROW_ROWS) == "10000":  # Spark's default; a session's own choice stays
+        spark.conf.set(_ARROW_ROWS, str(TEXT_ROWS))
     if sc.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent
-        bundle = Path(tempfile.mkdtemp(prefix="tableflow-")) / "tableflow_package.zip"
-        with zipfile.ZipFile(bundle, "w") as z:  # the driver serves it to the executors
+        bundle = io.BytesIO()
+        with zipfile.ZipFile(bundle, "w") as z:
             for source in sorted(package.rglob("*.py")):
                 z.write(source, source.relative_to(package.parent))
-        sc.addPyFile(str(bundle))
+        # kept in the shared folder, from where every executor can fetch it
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder, "tableflow_package.zip")
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+        out.write(bundle.getvalue())
+        out.close()
+        sc.addPyFile(path.toString())
         _shipped.add(sc.applicationId)
     return spark
 
