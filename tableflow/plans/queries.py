@@ -353,7 +353,8 @@ def _orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     date = F.col("o_orderdate")
     return o.select(
-        F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderstatus") == "F", F.lit(".7")).otherwise(F.lit(""))).alias("o_orderkey"),
+        F.concat(F.col("o_orderkey").cast("string"),
+                 F.when(F.col("o_orderstatus") == "F", F.lit(".7")).otherwise(F.lit(""))).alias("o_orderkey"),
         F.col("o_totalprice").cast("string").alias("o_totalprice"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(date, "d/M/yyyy"))
         .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(date, "dd/MM/yyyy 10:00"))

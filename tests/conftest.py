@@ -12,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", app="tableflow-tests", **{"spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "2000"})
+    s = build_session(master="local[4]", app="tableflow-tests",
+                      **{"spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "2000"})
     yield s
     s.stop()
 
