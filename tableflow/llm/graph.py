@@ -11,28 +11,41 @@ from tableflow.llm.common import stored
 MAX_ROUNDS = 60
 
 
+#: Copies of the one row per key in :func:`spread_join`.
+SALTS = 4
+
+
+def spread_join(rows: DataFrame, single: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` joined by ``key`` with ``single``, which has one row for each key.
+
+    Both sides are dealt anew by key and a salt from ``by``: rows of a very frequent
+    key are spread, and what is left of a skew is split by adaptive execution.
+    """
+    copies = single.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [key, "_salt"]).drop("_salt")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node of its neighbourhood."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.col("u"), F.min("b")).alias("m"))
-    return (both.where("b > a").join(least, F.col("a") == F.col("u"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    return spread_join(both.where("b > a"), least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-    tied = down.join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return tied.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    tied = spread_join(down, least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable, for every node of an edge ``a, b`` (long).
 
     Loops and repeated edges change nothing; nulls are left out.  Each round is
-    written to the checkpoint folder, so lineage stays short; stars are joined by
-    node, where a node of very many edges can be split by adaptive execution.
+    written to the checkpoint folder, so lineage stays short.
     """
     now = stored(edges.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
                  .where("a <> b").distinct())

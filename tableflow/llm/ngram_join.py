@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.common import WORD, col, fresh, lower_words_of, prepared, stored
-from tableflow.llm.graph import components
+from tableflow.llm.graph import components, spread_join
 
 #: Buckets of the counting sketch; it is broadcast (4 bytes each).
 SKETCH_BUCKETS = 1 << 21
@@ -378,7 +378,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     known = (nodes.select("fp", "first_id").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     lowest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = known.select("fp", "root").join(lowest, "root").select("fp", "component_id", "root")
+    classes = spread_join(known.select("fp", "root"), lowest, "root", "fp").select("fp", "component_id", "root")
     return (rows.select("doc_id", "rowkey", F.col("n").alias("n_shingles"), "fp").join(classes, "fp", "left")
             .select("doc_id", "rowkey", "n_shingles",
                     F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

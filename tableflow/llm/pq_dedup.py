@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.common import col, fresh, prepared, stored
-from tableflow.llm.graph import components
+from tableflow.llm.graph import components, spread_join
 from tableflow.llm.ngram_join import spanning
 
 #: Vectors that the quantisers are fitted on at most, chosen by hash.
@@ -167,7 +167,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     known = (nodes.select("node", "first_id", "copies").join(direct, "node", "left")
              .join(roots, F.col("node") == F.col("member"), "left").withColumn("root", F.coalesce("root", "node")))
     lowest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = known.join(lowest, "root").select("node", "component_id",
+    classes = spread_join(known, lowest, "root", "node").select("node", "component_id",
                                                 (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out_id = fresh(["n_links", "component_id", "kept"], id_col)
     return ids.join(classes, "node", "left").select(
