@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -82,12 +83,12 @@ class Mapped:
     """A text whose character ``k`` stands for source characters ``begins[k]`` up to ``ends[k]``."""
 
     text: str
-    begins: list[int]
-    ends: list[int]
+    begins: array
+    ends: array
 
     @staticmethod
     def of(text: str) -> Mapped:
-        return Mapped(text, list(range(len(text))), list(range(1, len(text) + 1)))
+        return Mapped(text, array("q", range(len(text))), array("q", range(1, len(text) + 1)))
 
     def rewrite(self, pattern: re.Pattern, write: Callable[[re.Match], str | None]) -> Mapped:
         """Every match replaced by what ``write`` gives (None: left alone).
@@ -95,7 +96,7 @@ class Mapped:
         A replacement as long as the number of the match's ``items`` maps item by
         item; any other one stands for the whole match.
         """
-        text, begins, ends, done = [], [], [], 0
+        text, begins, ends, done = [], array("q"), array("q"), 0
         for m in pattern.finditer(self.text):
             new = write(m)
             if new is None:
@@ -108,8 +109,8 @@ class Mapped:
             if len(parts) != len(new):
                 parts = [(s, e)] * len(new)
             text.append(new)
-            begins += [self.begins[a] for a, _ in parts]
-            ends += [self.ends[b - 1] for _, b in parts]
+            begins.extend(self.begins[a] for a, _ in parts)
+            ends.extend(self.ends[b - 1] for _, b in parts)
             done = e
         if not done:
             return self
