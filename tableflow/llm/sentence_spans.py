@@ -1,7 +1,8 @@
 """Removing repeated passages by sliding spans of sentences.
 
 A text is cut into sentences; a long one is cut further after words chosen by
-their hash, so a passage is cut alike wherever it stands.  Every run of several
+their hash.  Whether a word ends a sentence depends on that word and its line end
+alone, so a passage is cut alike wherever it stands.  Every run of several
 consecutive sentences is hashed and looked up in the whole corpus.  The first
 occurrence of a run stays; sentences that any later one covers are removed.
 """
@@ -23,8 +24,7 @@ from tableflow.llm.ngram_join import _bitmap, _in_bitmap, row_key
 #: A run is the shortest of three sentences or more that has this many words.
 SPAN_WORDS = 24
 SPAN_SENTENCES = 3
-#: A sentence has this many words at least (shorter ones join the next); one word in CUT_EVERY ends it early.
-SENTENCE_WORDS = 2
+#: One word in CUT_EVERY ends a sentence early.
 CUT_EVERY = 4
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -51,14 +51,8 @@ def sentence_ends(words: list[bytes], line_ends: np.ndarray, hashes: np.ndarray)
     """The last word of every sentence."""
     mark = np.fromiter((w[-1] for w in words), np.uint8, len(words))
     stop = line_ends | (mark == 46) | (mark == 33) | (mark == 63) | (hashes % np.uint64(CUT_EVERY) == 0)
-    ends, last = [], -1
-    for k in np.flatnonzero(stop).tolist():
-        if k - last >= SENTENCE_WORDS:
-            ends.append(k)
-            last = k
-    if words and last != len(words) - 1:
-        ends.append(len(words) - 1)
-    return ends
+    stop[-1:] = True
+    return np.flatnonzero(stop).tolist()
 
 
 def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:

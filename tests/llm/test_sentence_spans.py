@@ -74,6 +74,16 @@ def test_sentences_cover_the_text_and_do_not_depend_on_what_stands_before():
     assert len(set(a.tolist()) - set(b.tolist())) <= 2
 
 
+@pytest.mark.parametrize("end", ["\n", ". ", "! "])
+def test_lists_where_every_word_ends_a_sentence_are_found_at_any_offset(spark, end):
+    rng = random.Random(6)
+    listed = end.join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(200)) + end
+    rows = [(i, "".join(f"w{i}x{k}{end}" for k in range(i)) + listed) for i in range(1, 6)]
+    got = _check(spark, rows)
+    assert got[1].n_removed == 0
+    assert all(listed[:-1] not in got[i].text and got[i].n_removed >= 200 for i in range(2, 6))
+
+
 def test_odd_rows(spark):
     df = odd_documents(spark)
     rows = S.remove_repeats(df).collect()
