@@ -1,11 +1,12 @@
 """License scan by a positional rare-token index (DataFrame functions only).
 
-The index holds, for the rarest words of every license template, the template
-and the word's place in it; rarity is the document frequency measured over the
-scanned corpus.  A file's words are looked up, each posting gives the place
-where its template would have to start, the other rare words of the template
-must stand at their relative places, and the template's mandatory key phrase is
-verified word by word.  Everything happens inside the file's own row: the scan
+The index holds, for the rarest word of every license template's mandatory key
+phrase, the template and the word's place in the phrase; rarity is the document
+frequency measured over the scanned corpus.  A file's words are looked up, each
+posting gives the place where the key phrase would have to start, the phrase's
+other rare words must stand at their relative places, then the whole phrase and
+the template's other words are verified.  No place with the key phrase is passed
+over, whatever else of the template is missing.  Everything happens inside the file's own row: the scan
 has no shuffle, and the document-frequency pass one of at most a vocabulary of rows.
 """
 
@@ -78,7 +79,7 @@ TEMPLATES = (
              "unencumbered software released into the public domain"),
     Template("all-rights-reserved", "All rights reserved.", "all rights reserved"),
 )
-#: Rare words of a template that the index holds.
+#: Rare words of a key phrase that are compared first; the rarest is the index word.
 RARE_WORDS = 3
 #: Share of a template's words that must stand at their places.
 MIN_MATCH = 0.5
@@ -96,8 +97,8 @@ def word_frequencies(docs: DataFrame, vocabulary: Sequence[str], text_col: str =
 
 
 def rare_places(template: Template, idf: dict[str, float], n: int) -> list[int]:
-    """Places of the ``n`` rarest distinct words of a template, rarest first; ties to the earlier place."""
-    words = template.words
+    """Places in the key phrase of its ``n`` rarest distinct words, rarest first; ties to the earlier place."""
+    words = template.key_words
     first = {w: i for i, w in reversed(list(enumerate(words)))}
     return [first[w] for w in sorted(first, key=lambda w: (-idf.get(w, math.inf), first[w]))[:n]]
 
@@ -107,7 +108,7 @@ def _strings(words: Sequence[str]) -> Column:
 
 
 def _lookup(words: Column, places: dict[str, list[tuple[int, int]]]) -> Column:
-    """``template * 2**32 + start`` for every indexed word of the row, starts below 0 left out."""
+    """``template * 2**32 + start of its key phrase`` for every indexed word of the row, starts below 0 left out."""
     anchors = _strings(sorted(places))
     posting = F.create_map(*[x for w in sorted(places) for x in (
         F.lit(w), F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.lit(p).cast("long").alias("p"))
@@ -140,8 +141,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         places: dict[str, list[tuple[int, int]]] = {}
         chosen = [rare_places(t, idf, n) for t in found]
         for k, t in enumerate(found):
-            for p in chosen[k]:
-                places.setdefault(t.words[p], []).append((k, p))
+            places.setdefault(t.key_words[chosen[k][0]], []).append((k, chosen[k][0]))
         return places, chosen
 
     exact_index, _ = postings(phrases, 1)
@@ -174,12 +174,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     def plausible(c: Column) -> Column:
         t, s = template_of(c, fuzzy_list), start_of(c)
         rare = t.getField("rare")
-        agree = F.size(F.filter(rare, lambda p: word_at(s + p) == F.get(t.getField("words"), p)))
-        key = F.slice(F.col("_words"), s + t.getField("key_at") + 1, F.size(t.getField("key")))
-        return (2 * agree >= F.size(rare)) & (key == t.getField("key"))
+        agree = F.forall(rare, lambda p: F.coalesce(word_at(s + p) == F.get(t.getField("key"), p), F.lit(False)))
+        key = F.slice(F.col("_words"), s + 1, F.size(t.getField("key")))
+        return agree & (key == t.getField("key")) & (s >= t.getField("key_at"))
 
     def scored(c: Column) -> Column:
-        t, s = template_of(c, fuzzy_list), start_of(c)
+        t = template_of(c, fuzzy_list)
+        s = start_of(c) - t.getField("key_at")
         hits = F.filter(F.transform(t.getField("words"), lambda w, i: word_at(s + i) == w), lambda same: same)
         return F.struct(t.getField("label").alias("label"), s.cast("long").alias("start"),
                         (F.size(hits) / F.size(t.getField("words"))).alias("matched"))

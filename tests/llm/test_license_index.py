@@ -42,6 +42,14 @@ def test_every_place_is_found_whatever_is_rare(spark):
     assert [len(got[k].places) for k in range(33, 35)] == [2, 2] and not any(got[k].places for k in range(33))
 
 
+def test_notices_whose_tail_is_cut_off_keep_their_label(spark):
+    """No other file lends the words that are missing, and none changes the labels."""
+    cut = "Permission is hereby granted, free of charge, to any person obtaining a copy"
+    for others in ([], ["associated"], ["software and associated documentation files"] * 3):
+        got = _scan(spark, [cut, *others])
+        assert got[0].labels == "mit" and got[0].score == 0.65
+
+
 def test_odd_rows(spark):
     df = odd_documents(spark)
     rows = L.scan(df).collect()
