@@ -128,7 +128,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
 
     ``places`` lists every exact place of a phrase (``label, start``), ``found``
     every verified template place (``label, start, matched``, the share of its
-    words that stand in place).  Labels are distinct, sorted and comma-joined, ''
+    words that stand in place).  A text may begin or end inside a template: its
+    words beyond the text count as missing, and ``start`` can be below 0.  Labels are distinct, sorted and comma-joined, ''
     if none; ``score`` is 1 with an exact phrase, else the best ``matched``, else
     0.  A null text is empty; null ids and repeated rows stay; an empty table
     gives an empty result; other columns are not carried.
@@ -176,7 +177,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         rare = t.getField("rare")
         agree = F.forall(rare, lambda p: F.coalesce(word_at(s + p) == F.get(t.getField("key"), p), F.lit(False)))
         key = F.slice(F.col("_words"), s + 1, F.size(t.getField("key")))
-        return agree & (key == t.getField("key")) & (s >= t.getField("key_at"))
+        return agree & (key == t.getField("key"))
 
     def scored(c: Column) -> Column:
         t = template_of(c, fuzzy_list)

@@ -42,6 +42,13 @@ def test_every_place_is_found_whatever_is_rare(spark):
     assert [len(got[k].places) for k in range(33, 35)] == [2, 2] and not any(got[k].places for k in range(33))
 
 
+def test_texts_that_begin_inside_a_template(spark):
+    got = _scan(spark, ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "GNU Lesser General Public License",
+                        "the GNU Affero General Public License", "Mozilla Public License"])
+    assert [[(f.label, f.start) for f in got[k].found] for k in range(4)] == [[("gpl-3", -3)], [("lgpl", -5)], [("agpl", -4)], []]
+    assert got[0].score == 6 / 9 and got[1].score == 0.5 and got[0].labels == "gpl-3"
+
+
 def test_notices_whose_tail_is_cut_off_keep_their_label(spark):
     """No other file lends the words that are missing, and none changes the labels."""
     cut = "Permission is hereby granted, free of charge, to any person obtaining a copy"
