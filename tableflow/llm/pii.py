@@ -15,12 +15,14 @@ from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.common import col, fresh, prepared
+from tableflow.llm.top_labels import TOP_LABELS
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -120,7 +122,7 @@ class Mapped:
         return self.begins[start], self.ends[end - 1]
 
 
-_ITEM = re.compile(r"\w+|\+")
+_ITEM = re.compile(r"[0-9]|[^\W0-9]+|[+.]")
 
 # Letters of other scripts that look like Latin ones.
 LOOK_ALIKES = {
@@ -152,10 +154,9 @@ _AT_BRACKET = re.compile(rf"{_OPEN}(?:{_AT_WORD}|@){_CLOSE}", re.I)
 _DOT_BRACKET = re.compile(rf"{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}", re.I)
 _NAME = r"[A-Za-z0-9_%+-]++"
 _DOT = rf"(?:[ ](?:dot|punkt|punto)[ ]|{_OPEN}{_DOT_WORD}{_CLOSE})"
-#: Last labels that an address spelled in words may have.
-_LAST_LABEL = ("(?:com|net|org|edu|gov|mil|int|info|biz|name|io|ai|co|dev|app|eu|us|uk|ca|au|nz|in|jp|cn|kr|br|mx|ar|cl|de|at|"
-               "ch|fr|be|nl|lu|es|pt|it|pl|cz|dk|se|no|fi|ie|ru)")
-#: ``name at host dot com``: words count only in an address with a dot in words and a usual last label.
+#: Last labels that an address spelled in words may have.
+_LAST_LABEL = rf"(?:{'|'.join(sorted(TOP_LABELS, key=lambda w: (-len(w), w)))}|xn--[a-z0-9-]+)"
+#: ``name at host dot com``: words count only in an address with a dot in words and a last label that exists.
 _SPOKEN = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:\.|{_DOT}){_NAME}){{0,4}}(?:[ ](?:at|arroba)[ ]|{_OPEN}{_AT_WORD}{_CLOSE}|@)"
                      rf"(?=[A-Za-z0-9.-]++{_DOT})"
                      rf"[A-Za-z0-9-]++(?:(?:\.|{_DOT})[A-Za-z0-9-]++){{0,5}}(?:\.|{_DOT}){_LAST_LABEL}(?![A-Za-z0-9-])", re.I)
@@ -175,6 +176,14 @@ _SPELLED = "|".join(sorted(_DIGIT_OF, key=lambda w: (-len(w), w)))
 #: Seven spelled digits or more, with a plus before and dots between if spelled too.
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:plus|más|\+)[ -]?)?(?:{_SPELLED})(?:[ ,-]{{1,2}}(?:(?:dot|point|punkt|punto)[ ])?"
                         rf"(?:{_SPELLED})){{6,}}(?!\w)", re.I)
+_DOT_SIGN = r"(?:[ ,-]{1,2}(?:dot|point|punkt|punto)[ ,-]{1,2}|\.)"
+#: Spelled and plain digits in one run.
+_MIXED_RUN = re.compile(rf"(?<!\w)(?:(?:plus|más|\+)[ -]?)?(?:{_SPELLED}|[0-9]++)"
+                        rf"(?:(?:{_DOT_SIGN}|[ ,()-]{{1,3}})(?:{_SPELLED}|[0-9]++))+(?!\w)", re.I)
+_ONE_DIGIT = rf"(?:{_SPELLED}|[0-9](?![0-9]))"
+_NUMBER = rf"(?:[0-9]{{2,3}}(?![0-9])|{_ONE_DIGIT}(?:[ ,-]{{1,2}}{_ONE_DIGIT}){{0,2}})"
+#: Four numbers of up to three digits with dots between, within such a run.
+_SPELLED_IP = re.compile(rf"(?<!\w){_NUMBER}(?:{_DOT_SIGN}{_NUMBER}){{3}}(?!\w)", re.I)
 
 
 def _may_spell(text: str) -> bool:
@@ -187,16 +196,29 @@ def _digits(m: re.Match) -> str:
     out = []
     for w in _ITEM.findall(m[0]):
         w = w.lower()
-        out.append(_DIGIT_OF.get(w) or _SIGN_OF.get(w) or ("+" if w == "+" else "."))
+        out.append(w if w == "+" or w.isdecimal() else _DIGIT_OF.get(w) or _SIGN_OF.get(w) or ".")
     return "".join(out)
 
 
-def normalise(text: str) -> Mapped | None:
-    """The text without disguises, or None if it shows no sign of any."""
+def _joined(m: re.Match) -> str | None:
+    """The digits of a run with a word in it that can be an identifier: seven, or four numbers with dots."""
+    new = _digits(m)
+    dots = new.count(".")
+    if not any(map(str.isalpha, m[0])) or (dots < 3 and len(new) - dots - new.count("+") < 7):
+        return None
+    return new
+
+
+def normalise(text: str) -> list[Mapped]:
+    """Readings of the text without disguises, none if it shows no sign of any.
+
+    The first joins digits that are all spelled; the others, where they differ, four
+    numbers with dots, then spelled and plain digits alike.
+    """
     odd, hint = _ODD.search(text), _HINT.search(text)
     run = _may_spell(text) and _DIGIT_RUN.search(text)
-    if not (odd or hint or run):
-        return None
+    if not (odd or hint or run or any(map(_joined, _MIXED_RUN.finditer(text)))):
+        return []
     mapped = Mapped.of(text)
     if odd:
         mapped = mapped.rewrite(_ODD, _plain_character)
@@ -214,7 +236,9 @@ def normalise(text: str) -> Mapped | None:
 
         mapped = mapped.rewrite(_SPOKEN_PART, sign)
         mapped = mapped.rewrite(_AT_BRACKET, lambda m: "@").rewrite(_DOT_BRACKET, lambda m: ".")
-    return mapped.rewrite(_DIGIT_RUN, _digits) if run or odd else mapped
+    others = [mapped.rewrite(p, _joined) for p in (_SPELLED_IP, _MIXED_RUN)]
+    first = mapped.rewrite(_DIGIT_RUN, _digits) if run or odd else mapped
+    return [first, *(m for m in others if m is not mapped)]
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
@@ -226,13 +250,13 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     if not text:
         return []
     found = [(*s, False) for s in plain_spans(text)]
-    mapped = normalise(text)
-    if mapped:
+    for mapped in normalise(text):
         taken = {k: sorted((s, e) for x, s, e, _ in found if x == k) for k in KINDS}
+        reach = {k: list(accumulate((e for _, e in v), max)) for k, v in taken.items()}
         for kind, s, e in plain_spans(mapped.text):
             a, b = mapped.source(s, e)
             before = bisect_right(taken[kind], (a, len(text))) - 1
-            if before < 0 or taken[kind][before][1] < b:
+            if before < 0 or reach[kind][before] < b:
                 found.append((kind, a, b, True))
     return sorted(found, key=lambda f: (KINDS.index(f[0]), f[1], f[2]))
 

@@ -47,6 +47,32 @@ def test_disguises_map_back_to_their_source(text, kind, disguise):
     assert disguise not in P.redact(text) and f"[{kind}]" in P.redact(text)
 
 
+@pytest.mark.parametrize("kind,disguise", [
+    ("ip", "one two seven dot zero dot zero dot one"), ("ip", "one zero dot zero dot zero dot one"), ("ip", "eight dot eight dot eight dot eight"),
+    ("ip", "127 dot 0 dot zero dot 1"), ("ip", "one nine two dot 168 dot zero dot one"),
+    ("phone", "plus one 212 five five five 0199"), ("phone", "+1 (212) five five five 0199"),
+    ("card", "four 111 1111 1111 111 one"), ("card", "four one one one one one one one 1111 1111"),
+    *[("email", f"jane at host dot {last}") for last in ("gr", "tr", "za", "ua", "hu", "ro", "xyz", "museum")]])
+def test_short_and_mixed_runs_and_all_top_labels(kind, disguise):
+    for text in (disguise, f"see {disguise}, thanks", f"in 80 cases ({disguise})"):
+        at = text.index(disguise)
+        spans = P.find_spans(text)
+        assert [x for x in spans if x[0] == kind] == [(kind, at, at + len(disguise), True)], text
+        assert disguise not in P.redact(text)
+
+
+def test_plain_digits_beside_a_spelled_run_do_not_hide_it():
+    for text, kind in (("four" + " one" * 15 + " 3 times", "card"), ("port 80 one two seven dot 0 dot 0 dot 1", "ip"),
+                       ("10 one two seven dot zero dot zero dot one", "ip")):
+        assert f"[{kind}]" in P.redact(text)
+
+
+@pytest.mark.parametrize("text", ["one dot two dot three", "chapter 2, one of 3", "four two 1 three 55", "version 1.2 point three",
+                                  "300 dot one dot one dot one"])
+def test_short_runs_that_are_no_identifier_stay(text):
+    assert P.find_spans(text) == [] and P.redact(text) == text
+
+
 @pytest.mark.parametrize("text", ["look at example.com", "point et chez lui point final", "meet at noon dot then", "one two three four five six",
                                   "Ж (at) К", "a (.) b", "1.2.3", "256.1.1.1", "4111111111111112", "+12 34", "", "@", "a@b"])
 def test_clean_texts_stay(text):
