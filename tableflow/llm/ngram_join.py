@@ -1,4 +1,4 @@
-"""Exact Jaccard join on word n-grams by vertical partitioning.
+"""Exact Jaccard join on word n-grams by prefix filtering with block verification.
 
 A document's set is its distinct n-grams, as 64-bit hashes.  Documents with
 equal sets are one node.  All n-grams have one global order, roughly rarest
@@ -7,8 +7,8 @@ sets as similar as asked must share an n-gram among the first few of both
 (their prefixes), so only prefixes are matched to find candidates.
 
 Candidates are dealt into units of two bounded blocks of nodes.  A unit's task cuts
-the order into fragments, counts the overlaps in each fragment on its own, sums
-them per pair and returns a spanning forest of the links.  Short posting lists give
+the n-grams that both blocks have, in order of their hashes, into chunks, sums the
+overlaps of the chunks per pair and returns a spanning forest of the links.  Short posting lists give
 candidate pairs, and two blocks meet where a pair joins them.  The nodes of long
 lists (large groups of near copies) are never paired in a table: their blocks all
 meet, unless their lengths rule it out.  Nothing is capped: every pair that can be
