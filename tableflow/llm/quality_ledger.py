@@ -105,10 +105,12 @@ def _measured(text: Column) -> Column:
     return F.pandas_udf(_measure_batch, ", ".join(f"{m} long" for m in MEASURES))(text)
 
 
-def _bits(rules: Iterable[Rule]) -> Column:
+def _bits(rules: Iterable[Rule], held: str | None = None) -> Column:
+    """The failure bits of the measurements, which stand in the struct ``held`` if given."""
     total = F.lit(0).cast("long")
     for k, rule in enumerate(rules):
-        total = total.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
+        fails = rule.fails if held is None else re.sub(rf"\b({'|'.join(MEASURES)})\b", rf"{held}.\1", rule.fails)
+        total = total.bitwiseOR(F.when(F.expr(fails), F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
     return total
 
 
@@ -159,9 +161,4 @@ def keep_good(docs: DataFrame, mask: int, text_col: str = "text",
     """The rows of ``docs``, all columns, that the policy keeps."""
     held = fresh(docs.columns, "_ledger")
     marked = docs.withColumn(held, _measured(col(text_col)))
-    fails = F.lit(False)
-    for k, rule in enumerate(rules):
-        if mask >> k & 1:
-            condition = re.sub(rf"\b({'|'.join(MEASURES)})\b", rf"{held}.\1", rule.fails)
-            fails = fails | F.expr(condition)
-    return marked.where(~fails).drop(held)
+    return marked.where(_bits(rules, held).bitwiseAND(F.lit(mask).cast("long")) == 0).drop(held)

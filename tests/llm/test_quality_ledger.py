@@ -77,6 +77,13 @@ def test_keep_good_keeps_columns_and_clean_rows(spark):
     assert {r.doc_id for r in odd.collect()} == {5, 6} and odd.columns == odd_documents(spark).columns
 
 
+def test_keep_good_filters_by_the_bits_of_the_ledger(spark, monkeypatch):
+    asked, bits = [], Q._bits
+    monkeypatch.setattr(Q, "_bits", lambda *a: asked.append(a[0]) or bits(*a))
+    Q.keep_good(documents(spark), 3)
+    assert asked == [Q.RULES]
+
+
 def test_labelled_good_documents_stay(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
