@@ -118,5 +118,60 @@ FROM q LEFT JOIN best USING (r)
 """
 
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+m AS (SELECT doc_id, part, CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE l.good) AS good, count(*) FILTER (WHERE l.toxic) AS toxic
+      FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.name || b.name || g.name || h.name || i.name AS filter_order, [a.bit, b.bit, g.bit, h.bit, i.bit] AS bits
+      FROM f a, f b, f g, f h, f i WHERE a.bit | b.bit | g.bit | h.bit | i.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, list_sum([0] || bits[1:step - 1])::INTEGER AS before
+      FROM (SELECT *, unnest(range(1, 6)) AS step FROM o)),
+t AS (SELECT part, filter_order, step, bit, sum(n) FILTER (WHERE mask & (bit | before) = 0) AS kept,
+             sum(n) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS removed,
+             sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0) AS redundant, sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+             sum(good) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS good_lost,
+             sum(toxic) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM t
+"""
+
+
+def _op12(rounds: int = 5) -> str:
+    """Assignment and update, written out for every round."""
+    def nearest(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (SELECT r, vec_id, any_value(x) AS x, min(64 * d + k) % 64 AS k, min(64 * d + k) // 64 AS d FROM
+  (SELECT r, vec_id, v.x AS x, k, list_sum(list_transform(range(1, 65), lambda j: (v.x[j] - c{i}.x[j]) * (v.x[j] - c{i}.x[j])))::BIGINT AS d
+   FROM v, c{i}) GROUP BY r, vec_id)"""
+
+    def moved(i: int) -> str:
+        return f"""c{i + 1} AS MATERIALIZED (SELECT c{i}.k, coalesce(n.x, c{i}.x) AS x FROM c{i} LEFT JOIN
+  (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS x FROM
+    (SELECT k, j, sum(x[j])::BIGINT AS s, count(*) AS n FROM (SELECT k, x, unnest(range(1, 65)) AS j FROM a{i}) GROUP BY k, j)
+   GROUP BY k) n USING (k))"""
+
+    parts = [f"{nearest(i)},\n{moved(i)}" for i in range(rounds)] + [nearest(rounds)]
+    return r"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS k, x FROM
+  (SELECT sha256('2:' || vec_id) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h LIMIT 40)),
+""" + ",\n".join(parts) + f"""
+SELECT vec_id, a{rounds}.k::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a{rounds}.k)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (k)
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op3_license_scan": OP3, "op7_url_rules": OP7}
+    return {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op3_license_scan": OP3, "op7_url_rules": OP7,
+            "op11_filter_audit": OP11, "op12_bisector_clusters": _op12()}

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import (langid, license_index, mixture, ngram_join, packing, pii, pq_dedup, quality_ledger,
-                            sentence_spans, url_rules)
+from tableflow.llm import (bisector_clusters, filter_audit, langid, license_index, mixture, ngram_join, packing, pii,
+                            pq_dedup, quality_ledger, sentence_spans, url_rules, word_bpe)
 from tableflow.llm.common import table
 
 #: The policy that the quality query and the pipeline apply.
@@ -18,6 +18,8 @@ POLICY = "full-1"
 WEIGHTS = (1, 2, 3)
 #: The packing query's vocabulary file.
 TOKENIZER = "byte_bpe_50k.json"
+#: The vocabulary file of the encoding query.
+WORD_VOCABULARY = "word_bpe_49k.json"
 #: Rules of the URL query.
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/"))
@@ -110,8 +112,29 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step of every order of five filters over all documents."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings of 64 finite components in 40 clusters after five rounds."""
+    placed, centroids = bisector_clusters.cluster(table(spark, sf_dir, "embeddings"))
+    return bisector_clusters.with_inertia(placed, centroids)
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str, tokenizer: str = WORD_VOCABULARY) -> DataFrame:
+    """Digests of the token ids of all documents and of the texts decoded from them."""
+    path = tokenizer_path(tokenizer)
+    coded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_source_mix, op3_license_scan, op4_best_fit_packing, op5_embedding_dedup,
         op6_language_id, op7_url_rules,
-        op8_ngram_jaccard, op9_sentence_spans, op10_personal_data)}
+        op8_ngram_jaccard, op9_sentence_spans, op10_personal_data, op11_filter_audit, op12_bisector_clusters,
+        op13_word_bpe)}

@@ -11,7 +11,8 @@ from tests.llm.helpers import SF_SMALL
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
 NAMES = ["op1_quality_rules", "op2_source_mix", "op3_license_scan", "op4_best_fit_packing", "op5_embedding_dedup",
-         "op6_language_id", "op7_url_rules", "op8_ngram_jaccard", "op9_sentence_spans", "op10_personal_data"]
+         "op6_language_id", "op7_url_rules", "op8_ngram_jaccard", "op9_sentence_spans", "op10_personal_data",
+         "op11_filter_audit", "op12_bisector_clusters", "op13_word_bpe"]
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,8 @@ def test_query_matches_its_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name,table", [("op5_embedding_dedup", "embeddings"), ("op6_language_id", "documents"),
                                         ("op8_ngram_jaccard", "documents"), ("op9_sentence_spans", "documents"),
-                                        ("op10_personal_data", "documents")])
+                                        ("op10_personal_data", "documents"), ("op12_bisector_clusters", "embeddings"),
+                                        ("op13_word_bpe", "documents")])
 def test_a_row_for_every_row(spark, name, table):
     assert E.queries()[name](spark, SF_SMALL).count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
 
