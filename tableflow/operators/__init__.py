@@ -31,8 +31,8 @@ from tableflow.operators.columns import (
     select_rename,
     with_case,
 )
-from tableflow.operators.features import assemble, label_index, one_hot, string_index
-from tableflow.operators.joins import join_alias, join_mapped, join_on
+from tableflow.operators.features import assemble, fit_labels, index_labels, label_index, one_hot, read_labels, string_index
+from tableflow.operators.joins import join_alias, join_mapped, join_on, split_skew_join
 from tableflow.operators.quality import (
     data_profile,
     encoding_profile,

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableflow.operators.columns import _q
@@ -28,6 +28,7 @@ _ROW_BYTES = 48
 # labels with this share of the rows are split when the label table is too large to broadcast
 _HOT_SHARE = 0.01
 _CHECKED = "_checked_index"
+_LABEL, _INDEX = "_fitted_label", "_fitted_index"
 
 
 def label_index(df: DataFrame, column: str, num_partitions: int | None = None) -> DataFrame:
@@ -114,6 +115,64 @@ def string_index(
     return joined.withColumn(out, idx.alias(out, metadata=_nominal(out, n_values))).drop("_idx")
 
 
+def fit_labels(df: DataFrame, column: str, path: str) -> DataFrame:
+    """Write the label dictionary of ``column`` to ``path`` (parquet, replaced if there) and read it back.
+
+    ``label, label_count, index`` as in :func:`label_index`: a fitted dictionary that
+    :func:`index_labels` applies to any other table or stream.
+    """
+    label_index(df, column).write.mode("overwrite").parquet(path)
+    return read_labels(df.sparkSession, path)
+
+
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    """A dictionary written by :func:`fit_labels`."""
+    return spark.read.parquet(path)
+
+
+def index_labels(
+    df: DataFrame,
+    labels: DataFrame,
+    column: str,
+    output_col: str | None = None,
+    handle_unseen: str = "error",
+) -> DataFrame:
+    """Add ``output_col`` (double): the index that the fitted ``labels`` give to ``column``.
+
+    The column is compared as the dictionary's type.  NULL, and a label that the
+    dictionary does not have: ``'error'`` fails the job, ``'skip'`` drops the row,
+    ``'keep'`` gives the index after the last label.  A dictionary whose measured size
+    is under Spark's broadcast threshold is broadcast; a larger one is joined with the
+    hot labels of ``df`` split, or, where ``df`` is a stream, shuffled with each batch.
+    """
+    if handle_unseen not in _HANDLE:
+        raise ValueError(f"handle_unseen must be one of {_HANDLE}")
+    out = output_col or f"{column}_idx"
+    size = F.octet_length(F.col("label").cast("string")) + _ROW_BYTES
+    measured = labels.agg(F.count("*").alias("n"), F.sum(size).alias("size")).first()
+    n = measured["n"]
+    label_type = labels.schema["label"].dataType
+    c = F.col(_q(column))
+    known = labels.select(F.col("label").alias(_LABEL), F.col("index").alias(_INDEX))
+    keyed = df.withColumn(_LABEL, c.try_cast(label_type))
+    if (measured["size"] or 0) <= broadcast_limit(df.sparkSession):
+        joined = keyed.join(F.broadcast(known), _LABEL, "left")
+    elif df.isStreaming:
+        joined = keyed.join(known, _LABEL, "left")
+    else:
+        joined = split_skew_join(keyed, known, _LABEL, "left", min_share=_HOT_SHARE)
+    found = F.col(_INDEX)
+    if handle_unseen == "skip":
+        joined, idx = joined.where(found.isNotNull()), found
+    elif handle_unseen == "keep":
+        idx = F.coalesce(found, F.lit(float(n)))
+    else:
+        what = F.concat(F.lit(f"label of {column} not in the dictionary: "), F.coalesce(c.cast("string"), F.lit("NULL")))
+        idx = F.coalesce(found, F.raise_error(what).cast("double"))
+    n_values = n + (handle_unseen == "keep")
+    return joined.select(*[_q(x) for x in df.columns], idx.alias(out, metadata=_nominal(out, n_values)))
+
+
 def _nominal(name: str, n: int) -> dict:
     return {"ml_attr": {"type": "nominal", "name": name, "num_vals": n}}
 

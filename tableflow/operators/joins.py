@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.operators.columns import _q, duplicate_names, select_rename
@@ -156,6 +156,32 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01) -> lis
     return [tuple(r[k] for k in keys) for r in counts.filter(F.col("_n") >= least).collect()]
 
 
+def _one_of(df: DataFrame, keys: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Whether a row's key is one of a (bounded) list of values; never NULL."""
+    if not values:
+        return F.lit(False)
+    types = dict(df.dtypes)
+    known = F.array(*[F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, h)]) for h in values])
+    return F.coalesce(F.array_contains(known, F.struct(*[F.col(_q(k)) for k in keys])), F.lit(False))
+
+
+def _present(df: DataFrame, keys: Sequence[str], values: Sequence[tuple]) -> set[tuple]:
+    """Which of a bounded list of key values have a row: one flag per key, combined map-side."""
+    found = df.where(_one_of(df, keys, values)).select(*[_q(k) for k in keys]).distinct()
+    return {tuple(r) for r in found.collect()}
+
+
+def _dealt(df: DataFrame, keys: Sequence[str], own: str, other: str, split_here: Sequence[tuple],
+           split_there: Sequence[tuple], buckets: int) -> DataFrame:
+    """Rows of hot keys with their own bucket, copied to all buckets that the other side has for their key."""
+    here = F.when(_one_of(df, keys, split_here), F.pmod(F.col(_PLACE), F.lit(buckets)).cast("int")).otherwise(F.lit(0))
+    last = F.when(_one_of(df, keys, split_there), F.lit(buckets - 1)).otherwise(F.lit(0))
+    return df.withColumn(own, here).withColumn(other, F.explode(F.sequence(F.lit(0), last))).drop(_PLACE)
+
+
+_PLACE, _LEFT_BUCKET, _RIGHT_BUCKET = "_skew_place", "_skew_left", "_skew_right"
+
+
 def split_skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -165,36 +191,61 @@ def split_skew_join(
     buckets: int = 32,
     min_share: float = 0.01,
 ) -> DataFrame:
-    """Equi-join that spreads hot key values of the left side over ``buckets``.
-
-    Rows of hot keys are dealt to buckets by their place in the input, so equal
-    rows spread too, and written to the checkpoint folder with their bucket, so
-    a repeated task cannot deal them differently.  The matching right rows (few
-    per key: the right side is the dimension) are copied once per bucket, so one
-    hot key is joined by ``buckets`` tasks.  Cold keys take the ordinary join.
-    ``how`` in inner/left/left_semi/left_anti; the result equals
-    ``left.join(right, on, how)``.  A ``full`` join cannot be split like this,
-    and adaptive execution does not split one either: union an anti join of the
-    right side instead.
+    """Equi-join of any type that spreads hot key values of either side over ``buckets``.
+
+    A key is hot where it holds ``min_share`` of the rows of a side; ``hot`` names
+    hot keys of the left side instead, and then only those are split.  Both sides
+    are written to the checkpoint folder once, each row with its place there, and
+    all parts are read from that: a repeated task cannot deal rows differently.
+    Rows of a hot key are dealt to buckets by their place on the side where it is
+    hot and copied to all buckets on the other, so one key is joined by many
+    tasks.  In an equi-join a row has a partner exactly if its key has a row on
+    the other side; one flag per hot key tells which hot rows stay without one,
+    so ``left``, ``right``, ``full``, semi and anti joins need no look at the
+    copies.  Rows with a NULL in their key match nothing and are not shuffled.
+    Cold keys take the ordinary join.  The result equals ``left.join(right, on, how)``.
     """
     how = _how(how)
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("split_skew_join keeps the left side whole: use inner/left/left_semi/left_anti")
     keys = [on] if isinstance(on, str) else list(on)
-    hot = list(hot) if hot is not None else hot_keys(left, keys, min_share)
-    # a NULL never matches, so a hot NULL key needs no partner: the cold join keeps its rows
-    hot = [h for h in hot if all(v is not None for v in h)]
-    if not hot:
-        return left.join(right, on=keys, how=how)
-    key_struct = F.struct(*[F.col(_q(k)) for k in keys])
-    hot_lit = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, h)]) for h in hot])
-    is_hot = F.coalesce(F.array_contains(hot_lit, key_struct), F.lit(False))
-    bucket = "_skew_bucket"
+    one_sided = how in ("left_semi", "left_anti")
+    if one_sided:
+        right = right.select(*[_q(k) for k in keys])
+    else:
+        right = _guard_clash(left, right, set(keys), None)
     ensure_checkpoint_dir(left.sparkSession)
-    left_hot = left.filter(is_hot).withColumn(
-        bucket, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int")
-    ).checkpoint()
-    right_hot = right.filter(is_hot).withColumn(bucket, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    hot_part = left_hot.join(right_hot, on=[*keys, bucket], how=how).drop(bucket)
-    cold_part = left.filter(~is_hot).join(right.filter(~is_hot), on=keys, how=how)
-    return cold_part.unionByName(hot_part)
+    # partition and row number: what the place was when the row was written
+    left = left.withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint()
+    right = right.withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint()
+    split_left = list(hot) if hot is not None else hot_keys(left, keys, min_share)
+    split_right = [] if hot is not None or one_sided else hot_keys(right, keys, min_share)
+    split_left, split_right = ([h for h in split if all(v is not None for v in h)] for split in (split_left, split_right))
+    values = list(dict.fromkeys([*split_left, *split_right]))
+
+    no_null = F.lit(True)
+    for k in keys:
+        no_null = no_null & F.col(_q(k)).isNotNull()
+
+    def cold(df: DataFrame) -> DataFrame:
+        return df.where(no_null & ~_one_of(df, keys, values)).drop(_PLACE)
+
+    def hot_rows(df: DataFrame, of: Sequence[tuple] | None = None) -> DataFrame:
+        return df.where(_one_of(df, keys, values if of is None else of))
+
+    parts = [cold(left).join(cold(right), on=keys, how=how)]
+    names = parts[0].columns
+    in_left, in_right = (_present(df, keys, values) for df in (left, right)) if values else (set(), set())
+    if values and not one_sided:
+        grid = [*keys, _LEFT_BUCKET, _RIGHT_BUCKET]
+        left_hot = _dealt(hot_rows(left), keys, _LEFT_BUCKET, _RIGHT_BUCKET, split_left, split_right, buckets)
+        right_hot = _dealt(hot_rows(right), keys, _RIGHT_BUCKET, _LEFT_BUCKET, split_right, split_left, buckets)
+        parts.append(left_hot.join(right_hot, on=grid, how="inner").drop(_LEFT_BUCKET, _RIGHT_BUCKET))
+    if how == "left_semi":
+        parts.append(hot_rows(left, [v for v in values if v in in_right]))
+    if how in ("left", "full", "left_anti"):
+        parts += [left.where(~no_null), hot_rows(left, [v for v in values if v not in in_right])]
+    if how in ("right", "full"):
+        parts += [right.where(~no_null), hot_rows(right, [v for v in values if v not in in_left])]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part.drop(_PLACE), allowMissingColumns=True)
+    return out.select(*[_q(c) for c in names])

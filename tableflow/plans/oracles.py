@@ -261,6 +261,15 @@ def oracles() -> dict[str, str]:
         "(SELECT key, count(event_id) AS n_key, count(DISTINCT user_id) AS users_key FROM e "
         "GROUP BY key) t ON e.key = t.key"
     )
+    for kind in ("right", "full"):
+        sq[f"join_skew_{kind}"] = (
+            "SELECT coalesce(e.key, c.key) AS key, e.event_id, c.c_custkey, c.c_name FROM "
+            "(SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN event_type "
+            "WHEN event_type <> 'error' THEN event_type || '-' || user_id END AS key FROM events) e "
+            f"{kind} JOIN (SELECT c_custkey, c_name, CASE WHEN c_custkey = 5 THEN 'click' WHEN c_mktsegment = 'MACHINERY' "
+            "THEN 'nothing' WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'purchase-' || c_custkey END AS key FROM customer) c "
+            "ON e.key = c.key"
+        )
     sq["join_composite"] = (
         f"SELECT e.event_id, e.user_id, e.event_type, n.n_events FROM {_EVENTS_E} e LEFT JOIN "
         f"(SELECT user_id, event_type, count(event_id) AS n_events FROM {_EVENTS_E} WHERE event_type <> 'view' "
@@ -344,6 +353,14 @@ def oracles() -> dict[str, str]:
         _PRIORITY_INDEX
         + "SELECT o_orderkey, o_orderpriority, i AS priority_idx FROM orders JOIN l ON l.p = o_orderpriority"
     )
+    early = (
+        "WITH l AS (SELECT o_custkey AS k, CAST(row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1 AS DOUBLE) AS i "
+        "FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY o_custkey) SELECT o_orderkey, o_custkey, "
+    )
+    sq["string_index_fitted"] = (
+        early + "coalesce(i, (SELECT CAST(count(*) AS DOUBLE) FROM l)) AS cust_idx FROM orders LEFT JOIN l ON k = o_custkey"
+    )
+    sq["string_index_stream"] = early + "i AS cust_idx FROM orders JOIN l ON k = o_custkey"
     onehot = ", ".join(f"CAST(i = {k} AS DOUBLE) AS priority_vec_{k}" for k in range(4))
     sq["one_hot"] = (
         _PRIORITY_INDEX

@@ -29,6 +29,8 @@ from tableflow.operators import (
     drop_cols,
     encoding_profile,
     explode_lines,
+    fit_labels,
+    index_labels,
     join_mapped,
     join_on,
     line_profile,
@@ -504,6 +506,22 @@ def q_join_skew_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_skew_join(events, per_key.checkpoint(), "key", how="left", buckets=8, min_share=0.05)
 
 
+def _skew_outer(how: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        kind, user = F.col("event_type"), F.col("user_id").cast("string")
+        key = F.when(kind.isin("click", "view"), kind).when(kind != "error", F.concat_ws("-", kind, user))
+        events = load(spark, sf_dir, "events").select("event_id", key.alias("key"))
+        segment, customer = F.col("c_mktsegment"), F.col("c_custkey")
+        partner = (F.when(customer == 5, "click").when(segment == "MACHINERY", "nothing")
+                   .when(segment != "AUTOMOBILE", F.concat(F.lit("purchase-"), customer.cast("string"))))
+        customers = load(spark, sf_dir, "customer").select(partner.alias("key"), "c_custkey", "c_name")
+        return split_skew_join(events, customers, "key", how=how, buckets=8, min_share=0.05)
+    q.__name__ = f"q_join_skew_{how}"
+    q.__doc__ = f"""A {how} join whose hot keys are on the left ("click", "view", one of them without a partner),
+    on the right ("nothing", without a partner) and NULL on both sides."""
+    return q
+
+
 def _join_how(how: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         left, right = _join_sides(spark, sf_dir)
@@ -612,6 +630,31 @@ def q_string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _indexed_orders(spark, sf_dir).select("o_orderkey", "o_orderpriority", "priority_idx")
 
 
+def _early_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored dictionary of the customers that ordered before 1996."""
+    early = load(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    return fit_labels(early, "o_custkey", scratch_path(spark, "labels"))
+
+
+def q_string_index_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders indexed by a dictionary fitted on the early ones; other customers are one label more."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return index_labels(o, _early_labels(spark, sf_dir), "o_custkey", "cust_idx", handle_unseen="keep")
+
+
+def q_string_index_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of all orders indexed by the fitted dictionary; orders of other customers are left out."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    spool, root = scratch_path(spark, "order-spool"), scratch_path(spark, "order-index")
+    orders.write.parquet(spool)
+    arriving = spark.readStream.schema(orders.schema).parquet(spool)
+    indexed = index_labels(arriving, _early_labels(spark, sf_dir), "o_custkey", "cust_idx", handle_unseen="skip")
+    out = f"{root}/data"
+    (indexed.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+     .trigger(availableNow=True).start(out).awaitTermination())
+    return spark.read.schema(indexed.schema).parquet(out)
+
+
 def q_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = _indexed_orders(spark, sf_dir).select("o_orderkey", "priority_idx")
     return one_hot(idx, "priority_idx", "priority_vec", as_columns=True)
@@ -743,6 +786,8 @@ def registry() -> dict[str, Query]:
         "join_mapped_keep": q_join_mapped_keep,
         "join_select_rename": q_join_select_rename,
         "join_skew_split": q_join_skew_split,
+        "join_skew_right": _skew_outer("right"),
+        "join_skew_full": _skew_outer("full"),
         "join_inner": _join_how("inner"),
         "join_right": _join_how("right"),
         "join_full": _join_how("full"),
@@ -759,6 +804,8 @@ def registry() -> dict[str, Query]:
         "line_chunk": q_line_chunk,
         "encoding_profile": q_encoding_profile,
         "string_index": q_string_index,
+        "string_index_fitted": q_string_index_fitted,
+        "string_index_stream": q_string_index_stream,
         "one_hot": q_one_hot,
         "assemble": q_assemble,
         "stream_spool": q_stream_spool,
