@@ -13,7 +13,8 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,14 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _PLAIN = regex.compile(r"[\t\n\r -~\xa1-\xac\xae-įı-ɏ]*+\Z")
 #: Stands for the end of a word inside token strings; no byte is shown as this character.
 _END = "\n"
+_PREFIX = 3
 _NONE = np.int64(1) << 40
 #: Chunks, and ids of theirs, that a worker remembers from batch to batch; beyond, all are forgotten.
-REMEMBERED, REMEMBERED_IDS = 1 << 19, 1 << 22
-#: Words of more symbols are merged with a heap.
-SHORT_WORD = 24
+REMEMBERED, REMEMBERED_IDS = 3 << 17, 3 << 20
+#: Characters of texts that are cut into chunks at once.
+SLICE_CHARS = 1 << 20
+#: Failing words of up to so many symbols are merged in one array each; longer ones one by one, with a heap.
+WIDTHS = (8, 16, 32)
 
 
 def byte_characters() -> list[str]:
@@ -52,6 +56,7 @@ class WordBPE:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.path = path
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -61,13 +66,7 @@ class WordBPE:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = {a + b for a, b in pairs}
         size = max([*vocab.values(), *(t["id"] for t in spec.get("added_tokens") or ())]) + 1
-        #: What each id decodes to.
-        self.shown = [""] * size
-        for token, i in vocab.items():
-            self.shown[i] = token
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens") or ()}
-        for token, i in self.special.items():
-            self.shown[i] = token
         self._split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self._piece = regex.compile(PIECES)
         self._table = {k: c for k, c in enumerate(byte_characters())}
@@ -88,9 +87,17 @@ class WordBPE:
         order = np.argsort(keys)
         self._size, self._keys = size, np.append(keys[order], np.iinfo(np.int64).max)
         self._ranks = np.append(np.array([r for r, _ in merged.values()], np.int64)[order], _NONE)
+        self._made = np.append(np.array([i for _, i in merged.values()], np.int64)[order], -1)
         self._alphabet = {s: i for i, s in strings.items() if self.rank[i] < 0}
         self._known = self._proper(strings, merged)
-        self._longest = max(map(len, self._known))
+        #: The longest known token by its first characters: no longer one needs a look.
+        self._reach: dict[str, int] = {}
+        for token in self._known:
+            for n in range(1, _PREFIX + 1):
+                self._reach[token[:n]] = max(self._reach.get(token[:n], 0), len(token))
+        self._code = {last: np.full(1 << 9, -1, np.int64) for last in (False, True)}
+        for symbol, i in self._alphabet.items():
+            self._code[symbol.endswith(_END)][ord(symbol[0])] = i
         self._forget()
 
     @staticmethod
@@ -131,9 +138,7 @@ class WordBPE:
         fits, open_ = np.ones(len(a), bool), np.arange(len(a))
         while len(open_):
             x, y = a[open_], b[open_]
-            key = x * self._size + y
-            at = np.searchsorted(self._keys, key)
-            rank = np.where(self._keys[at] == key, self._ranks[at], _NONE)
+            rank, _ = self._pair(x, y)
             clash = (rank < ends_a[open_]) & (rank <= ends_b[open_])
             if limit is not None:  # the pair's own merge is no clash
                 clash &= rank < np.asarray(limit)[open_]
@@ -148,9 +153,10 @@ class WordBPE:
 
     def guess(self, word: str) -> list[int]:
         """Longest known tokens from the left; ``word`` ends in ``_END``."""
-        known, out, at, n = self._known, [], 0, len(word)
+        known, reach, out, at, n = self._known, self._reach, [], 0, len(word)
         while at < n:
-            end = min(n, at + self._longest)
+            start = word[at:at + _PREFIX]
+            end = min(n, at + (reach.get(start) or _PREFIX - 1))
             # a single character is always known; the last one is not parted from the end of the word
             while end == n - 1 or (token := known.get(word[at:end])) is None:
                 end -= 1
@@ -163,20 +169,56 @@ class WordBPE:
         self._memory: dict[str, int] = {}
         self._pool, self._begins = array("i"), array("q", [0])
 
-    def merge(self, word: str) -> list[int]:
-        """The tokens of a word by its merges, lowest rank first, leftmost among equals."""
+    def merge(self, words: list[str]) -> list[list[int]]:
+        """The tokens of words by their merges, lowest rank first, leftmost among equals; all words at once."""
+        out: list[list[int]] = [[] for _ in words]
+        width = np.searchsorted(WIDTHS, [len(w) - 1 for w in words])
+        for k, most in enumerate(WIDTHS):
+            held = np.flatnonzero(width == k)
+            for i, ids in zip(held.tolist(), self._merge_array([words[i] for i in held.tolist()], most)):
+                out[i] = ids
+        for i in np.flatnonzero(width == len(WIDTHS)).tolist():
+            out[i] = self._merge_long(words[i])
+        return out
+
+    def _merge_array(self, words: list[str], width: int) -> list[list[int]]:
+        """A row per word; every round makes the best merge of each word that has one."""
+        if not words:
+            return []
+        length = np.array([len(w) - 1 for w in words])
+        codes = np.frombuffer("".join(w[:-1] for w in words).encode("utf-32-le"), "<u4")
+        ids = np.full((len(words), width + 1), -1, np.int64)
+        filled = np.arange(width + 1) < length[:, None]
+        ids[filled] = self._code[False][codes]
+        ends = np.cumsum(length) - 1
+        ids[np.arange(len(words)), length - 1] = self._code[True][codes[ends]]
+        rank, _ = self._pair(ids[:, :-1], ids[:, 1:])
+        todo, column = np.arange(len(words)), np.arange(width + 1)
+        while True:
+            best = rank[todo].argmin(axis=1)
+            some = rank[todo, best] < _NONE
+            todo, best = todo[some], best[some]
+            if not len(todo):
+                return [row[row >= 0].tolist() for row in ids]
+            _, made = self._pair(ids[todo, best], ids[todo, best + 1])
+            later = np.minimum(column + (column > best[:, None]), width)
+            ids[todo] = np.take_along_axis(ids[todo], later, axis=1)
+            ids[todo, width] = -1
+            ids[todo, best] = made
+            rank[todo] = np.take_along_axis(rank[todo], np.minimum(later[:, :-1], width - 1), axis=1)
+            rank[todo, width - 1] = _NONE
+            for place in (np.maximum(best - 1, 0), np.minimum(best, width - 1)):
+                rank[todo, place] = self._pair(ids[todo, place], ids[todo, place + 1])[0]
+
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of two tokens, or no rank, and what it makes."""
+        key = a * self._size + b
+        at = np.searchsorted(self._keys, key)
+        found = (self._keys[at] == key) & (a >= 0) & (b >= 0)
+        return np.where(found, self._ranks[at], _NONE), self._made[at]
+
+    def _merge_long(self, word: str) -> list[int]:
         ids = [self._alphabet[s] for s in [*word[:-2], word[-2:]]]
-        if len(ids) > SHORT_WORD:
-            return self._merge_long(ids)
-        merges, none = self._merges, (_NONE, 0)
-        while len(ids) > 1:
-            (rank, made), i = min((merges.get(pair, none), i) for i, pair in enumerate(zip(ids, ids[1:])))
-            if rank == _NONE:
-                break
-            ids[i:i + 2] = [made]
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
         n, merges = len(ids), self._merges
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
         heap: list[tuple[int, int, int, int, int]] = []  # rank, place, the pair as it was, what it makes
@@ -212,23 +254,27 @@ class WordBPE:
         inside = owner[1:] == owner[:-1]
         pair, place = np.unique(flat[:-1][inside] * self._size + flat[1:][inside], return_inverse=True)
         fits = self.compatible(pair // self._size, pair % self._size)
-        for k in np.unique(owner[1:][inside][~fits[place]]).tolist():
-            guessed[k] = self.merge(ended[k])
+        failing = np.unique(owner[1:][inside][~fits[place]]).tolist()
+        for k, tokens in zip(failing, self.merge([ended[k] for k in failing])):
+            guessed[k] = tokens
         return guessed
 
     def _pieces(self, chunk: str) -> list[str]:
         """The byte-character words of a lower-case run of plain characters."""
+        if chunk.isascii():
+            return [chunk] if chunk.isalpha() else self._piece.findall(chunk)  # such characters stand for themselves
         return [p.encode().decode("latin-1").translate(self._table) for p in self._piece.findall(chunk)]
 
     def _learn(self, key: Iterable[str], pieces: list[list[str]]) -> None:
         """Tokens of the pieces of each key, remembered."""
-        distinct = {w: k for k, w in enumerate(dict.fromkeys(w for p in pieces for w in p))}
-        tokens = self.words(distinct)
+        distinct = dict.fromkeys(chain.from_iterable(pieces))
+        tokens = dict(zip(distinct, self.words(distinct)))
+        memory, begins, pool = self._memory, self._begins, self._pool
         for c, p in zip(key, pieces):
-            self._memory[c] = len(self._begins) - 1
+            memory[c] = len(begins) - 1
             for w in p:
-                self._pool.extend(tokens[distinct[w]])
-            self._begins.append(len(self._pool))
+                pool.extend(tokens[w])
+            begins.append(len(pool))
 
     def _library_words(self, text: str) -> list[str]:
         """Byte-character words of any text, normalised and cut by the library's tables."""
@@ -247,15 +293,27 @@ class WordBPE:
                 out.append("\n" + part)
         return out
 
-    def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_batch(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """``ids, ends``: all ids of all texts in a row, and how many there are up to the end of each text.
 
         Special strings in a text are their own token.
         """
+        parts, ends, held, chars = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], 0
+        for k, text in enumerate(texts, 1):
+            held.append(text)
+            chars += len(text or "")
+            if chars >= SLICE_CHARS or k == len(texts):
+                ids, until = self._encode_slice(held)
+                ends.append(until + sum(map(len, parts)))
+                parts.append(ids)
+                held, chars = [], 0
+        return np.concatenate(parts), np.concatenate(ends)
+
+    def _encode_slice(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._memory) > REMEMBERED or len(self._pool) > REMEMBERED_IDS:
             self._forget()
         chunks = [self._chunks(t) if t else [] for t in texts]
-        new = [c for c in dict.fromkeys(c for held in chunks for c in held) if c not in self._memory]
+        new = [c for c in dict.fromkeys(chain.from_iterable(chunks)) if c not in self._memory]
         for c in new:
             if c[0] == "\0":
                 self._memory[c] = len(self._begins) - 1
@@ -264,20 +322,32 @@ class WordBPE:
         new = [c for c in new if c[0] != "\0"]
         self._learn(new, [self._library_words(c[1:]) if c[0] == "\n" else self._pieces(c) for c in new])
         count = np.cumsum([0, *map(len, chunks)])
-        place = np.fromiter((self._memory[c] for held in chunks for c in held), np.int64, int(count[-1]))
+        place = np.fromiter(map(self._memory.__getitem__, chain.from_iterable(chunks)), np.int64, int(count[-1]))
         begins, pool = np.array(self._begins), np.array(self._pool, np.int32)
         length = begins[place + 1] - begins[place]
         ends = np.concatenate([[0], np.cumsum(length)])
         within = np.arange(ends[-1]) - np.repeat(ends[:-1], length)
         return pool[np.repeat(begins[place], length) + within], ends[count[1:]]
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """The tokens' strings with blanks between, special ones too: the vocabulary names no decoder."""
-        shown = self.shown
-        return " ".join([shown[i] for i in ids])
+
+def shown_tokens(path: str) -> list[str]:
+    """What each id of the vocabulary at ``path`` decodes to."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    tokens = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens") or ()}}
+    out = [""] * (max(tokens.values()) + 1)
+    for token, i in tokens.items():
+        out[i] = token
+    return out
+
+
+def decoded(ids: Iterable[int], shown: Sequence[str]) -> str:
+    """The tokens' strings with blanks between, special ones too: the vocabulary names no decoder."""
+    return " ".join([shown[i] for i in ids])
 
 
 _loaded: dict[str, WordBPE] = {}
+_shown: dict[str, list[str]] = {}
 
 
 def vocabulary(path: str) -> WordBPE:
@@ -311,7 +381,9 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> Dat
     """``encoded`` with a last column ``decoded``: the text of its ids, null for null."""
     prepared(encoded.sparkSession)
     def run(ids: pa.Array) -> pa.Array:
-        bpe = vocabulary(tokenizer_path)
-        return pa.array([None if i is None else bpe.decode(i) for i in ids.to_pylist()], pa.string())
+        if tokenizer_path not in _shown:
+            _shown[tokenizer_path] = shown_tokens(tokenizer_path)
+        shown = _shown[tokenizer_path]
+        return pa.array([decoded(i.values.to_pylist(), shown) if i.is_valid else None for i in ids], pa.string())
 
     return encoded.withColumn("decoded", F.arrow_udf(run, "string")(col(ids_col)))

@@ -33,7 +33,8 @@ def check(bpe, library, texts):
     want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     got = encoded(bpe, texts)
     assert got == want
-    assert [bpe.decode(i) for i in got] == [library.decode(i, skip_special_tokens=False) for i in want]
+    shown = W.shown_tokens(bpe.path)
+    assert [W.decoded(i, shown) for i in got] == [library.decode(i, skip_special_tokens=False) for i in want]
 
 
 def test_documents_encode_and_decode_as_in_the_library(spark, library):
@@ -86,24 +87,31 @@ def test_verification_is_exact_for_pairs(bpe, library):
     assert 0 < fits.sum() < len(pairs)
     for (x, y), ok in zip(pairs, fits.tolist()):
         if y[0].endswith("\n"):
-            assert ok == (bpe.merge(x[0] + y[0]) == [x[1], y[1]])
+            assert ok == (bpe.merge([x[0] + y[0]]) == [[x[1], y[1]]])
 
 
 def test_only_failing_words_are_merged(bpe, monkeypatch):
     asked, merge = [], bpe.merge
-    monkeypatch.setattr(bpe, "merge", lambda w: asked.append(w) or merge(w))
+    monkeypatch.setattr(bpe, "merge", lambda w: asked.extend(w) or merge(w))
     words = ["the", "house", "of", "singing", "birds", "xqzzhinst", "antheresting"]
     got = bpe.words(words)
-    assert got == [merge(w + "\n") for w in words]
+    assert got == merge([w + "\n" for w in words])
     assert len(asked) < len(words)
-    assert [w[:-1] for w in asked] == [w for w in words if bpe.guess(w + "\n") != merge(w + "\n")]
+    assert [w[:-1] for w in asked] == [w for w in words if [bpe.guess(w + "\n")] != merge([w + "\n"])]
 
 
-def test_short_and_long_merging_agree(bpe):
+def test_merging_at_once_and_one_by_one_agree(bpe):
     rng = random.Random(6)
-    for _ in range(300):
-        w = "".join(rng.choice("aehinst") for _ in range(rng.randint(1, 24))) + "\n"
-        assert bpe.merge(w) == bpe._merge_long([bpe._alphabet[s] for s in [*w[:-2], w[-2:]]])
+    words = ["".join(rng.choice("aehinst") for _ in range(rng.randint(1, 40))) + "\n" for _ in range(800)] + ["a" * n + "\n" for n in range(1, 34)]
+    assert bpe.merge(words) == [bpe._merge_long(w) for w in words]
+    assert bpe.merge([]) == []
+
+
+def test_slices_of_a_batch_do_not_matter(bpe, monkeypatch):
+    texts = ["some words", None, "", "<|endoftext|> more", "words " * 40] * 5
+    whole = encoded(bpe, texts)
+    monkeypatch.setattr(W, "SLICE_CHARS", 30)
+    assert encoded(bpe, texts) == whole and encoded(bpe, []) == []
 
 
 def test_memory_is_bounded(bpe, library, monkeypatch):
