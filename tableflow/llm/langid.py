@@ -2,157 +2,240 @@
 
 A word that the model knows is scored by its log frequency in each language.
 An unseen word falls back to its character n-grams, longest first: the first
-length at which any of its n-grams is known decides.  A document's score is the
-sum over its words.
+length at which any of its n-grams is known decides, by their mean.  A document's
+score is the sum over its words.
 
-The model is fitted on a bounded sample of labelled rows and holds a bounded
-number of words and n-grams per language, so it can be sent to every task.
+The model is fitted on a bounded sample of labelled documents and keeps every
+word and n-gram of that sample.  It is sparse: an item has a score only for the
+languages it was seen in, and each language one default per level for the rest.
+Items are sorted 64-bit hashes, so a batch of texts is looked up at once.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from tableflow.llm.common import col, fresh, prepared, stored
+from tableflow.llm.common import col, fresh, prepared
 
 UNDETERMINED = "und"
-#: Labelled documents per language that the model is fitted on, chosen by hash.
-SAMPLE_DOCS = 4000
-#: Words and, for each length, n-grams kept per language, most frequent first.
-MODEL_WORDS = 40_000
-MODEL_GRAMS = 8_000
+#: Labelled documents that the model is fitted on, chosen by hash: of each language, and in all
+#: (shared evenly by the languages).  They bound the model; nothing of the sample is left out.
+SAMPLE_DOCS, SAMPLE_TOTAL = 2000, 40_000
 LONGEST_GRAM = 5
-#: Languages a model may hold; more is an error.
-MAX_LANGUAGES = 400
 SMOOTHING = 0.5
-_LETTERS = re.compile(r"[^\W\d_]+")
-#: Scores of unseen words that a task keeps before it starts afresh.
-CACHE_WORDS = 200_000
+#: A letter and the marks that belong to it; numerals of any kind are no letters.
+_LETTERS = regex.compile(r"(?:\p{L}\p{M}*+)++")
+_ASCII_LETTERS = re.compile(r"[a-z]+")
+#: Scores held at once while a batch is judged, documents times languages.
+_CELLS = 1 << 22
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def letters_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return _LETTERS.findall(text.lower()) if text else []
+    """Runs of letters with their marks, lower-cased."""
+    if not text:
+        return []
+    lower = text.lower()
+    return (_ASCII_LETTERS if lower.isascii() else _LETTERS).findall(lower)
 
 
-def grams_of(word: str, n: int) -> list[str]:
-    marked = f"^{word}$"
-    return [marked[i:i + n] for i in range(len(marked) - n + 1)]
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Hashed:
+    """Hashes of any windows of many words at once, by prefix sums of a polynomial modulo 2^64."""
+
+    def __init__(self, words: Sequence[str]):
+        marked = "".join(f"^{w}$" for w in words)
+        codes = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        length = np.array([len(w) + 2 for w in words], np.int64)
+        self.ends = np.cumsum(length)
+        self.starts = self.ends - length
+        power = np.cumprod(np.full(len(codes) + 1, _BASE))
+        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(codes + np.uint64(1)) * power[:-1])])
+        self._back = np.cumprod(np.full(len(codes) + 1, np.uint64(pow(int(_BASE), -1, 1 << 64))))
+
+    def windows(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mixed((self._sums[end] - self._sums[start]) * self._back[start] + (end - start).astype(np.uint64))
+
+    def whole(self) -> np.ndarray:
+        """One hash for each word, without its marks."""
+        return self.windows(self.starts + 1, self.ends - 1)
+
+    def grams(self, n: int, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``word, hash`` of all n-grams of the (chosen) words between their marks ``^`` and ``$``."""
+        of = np.arange(len(self.starts)) if of is None else of
+        count = np.maximum(self.ends[of] - self.starts[of] - n + 1, 0)
+        word = np.repeat(of, count)
+        within = np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count)
+        start = self.starts[word] + within
+        return word, self.windows(start, start + n)
+
+
+@dataclass
+class Level:
+    """Items by sorted hash; item k has the languages and gains ``begins[k]`` to ``begins[k + 1]``."""
+
+    items: np.ndarray
+    begins: np.ndarray
+    language: np.ndarray
+    gain: np.ndarray
+    default: np.ndarray
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes, -1 where unknown."""
+        if not len(self.items):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.items, hashes), len(self.items) - 1)
+        return np.where(self.items[at] == hashes, at, -1)
+
+    def entries(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``row, entry``: the entries of every place (row: its number among the places)."""
+        count = self.begins[place + 1] - self.begins[place]
+        row = np.repeat(np.arange(len(place)), count)
+        return row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.begins[place], count)
 
 
 @dataclass
 class Model:
-    """Per-language log scores of words (level 0) and n-grams (level n)."""
+    """Level 0 holds words, level n their n-grams."""
 
     languages: list[str]
-    places: list[dict[str, int]]
-    scores: list[np.ndarray]
-    unseen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def backoff(self, word: str) -> np.ndarray:
-        got = self.unseen.get(word)
-        if got is None:
-            got = np.zeros(len(self.languages), np.float32)
-            for n in range(len(self.places) - 1, 0, -1):
-                known = [k for g in grams_of(word, n) if (k := self.places[n].get(g)) is not None]
-                if known:
-                    got = self.scores[n][known].mean(axis=0)
-                    break
-            if len(self.unseen) >= CACHE_WORDS:
-                self.unseen.clear()
-            self.unseen[word] = got
-        return got
+    levels: list[Level]
+
+    def _word_scores(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of distinct words: level that decides (-1: none) and sparse ``word, language, gain``."""
+        hashed = _Hashed(words)
+        decides = np.full(len(words), -1)
+        place = self.levels[0].find(hashed.whole())
+        decides[place >= 0] = 0
+        found = np.flatnonzero(place >= 0)
+        row, entry = self.levels[0].entries(place[found])
+        parts = [(found[row], self.levels[0].language[entry], self.levels[0].gain[entry])]
+        for n in range(len(self.levels) - 1, 0, -1):
+            left = np.flatnonzero(decides < 0)
+            word, grams = hashed.grams(n, left)
+            place = self.levels[n].find(grams)
+            word, place = word[place >= 0], place[place >= 0]
+            decides[word] = n
+            share = 1 / np.bincount(word, minlength=len(words))[word]
+            row, entry = self.levels[n].entries(place)
+            parts.append((word[row], self.levels[n].language[entry], self.levels[n].gain[entry] * share[row]))
+        word, language, gain = (np.concatenate(p) for p in zip(*parts))
+        order = np.argsort(word, kind="stable")
+        return decides, word[order], language[order], gain[order]
+
+    def predict_batch(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
+        """For every text the best language and its share of the probability; ``und`` and 0 without letters."""
+        known: dict[str, int] = {}
+        token: list[int] = []
+        ends: list[int] = []
+        for text in texts:
+            token += [known.setdefault(w, len(known)) for w in letters_of(text)]
+            ends.append(len(token))
+        best, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        if not known or not self.languages:
+            return best, score
+        tokens, k = np.array(token, np.int64), len(self.languages)
+        decides, word, language, gain = self._word_scores(list(known))
+        begins = np.searchsorted(word, np.arange(len(known) + 1))
+        defaults = np.array([np.zeros(k), *(level.default for level in self.levels)])
+        bounds = np.array([0, *ends])
+        step = max(1, _CELLS // k)
+        for first in range(0, len(texts), step):
+            last = min(first + step, len(texts))
+            part = tokens[bounds[first]:bounds[last]]
+            doc = np.repeat(np.arange(last - first), np.diff(bounds[first:last + 1]))
+            levels = np.bincount(doc * len(defaults) + decides[part] + 1, minlength=(last - first) * len(defaults))
+            total = levels.reshape(last - first, -1) @ defaults
+            count = begins[part + 1] - begins[part]
+            entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - begins[part], count)
+            total += np.bincount(np.repeat(doc, count) * k + language[entry], gain[entry], minlength=total.size).reshape(total.shape)
+            odds = np.exp(total - total.max(axis=1, keepdims=True))
+            winner = np.argmax(odds, axis=1)
+            share = odds[np.arange(len(odds)), winner] / odds.sum(axis=1)
+            for d in np.flatnonzero(np.diff(bounds[first:last + 1])).tolist():
+                best[first + d], score[first + d] = self.languages[winner[d]], share[d]
+        return best, score
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The best language and its share of the probability; ``und`` and 0 without letters."""
-        counts = Counter(letters_of(text))
-        if not counts or not self.languages:
-            return UNDETERMINED, 0.0
-        known, times, total = [], [], np.zeros(len(self.languages))
-        for word, n in counts.items():
-            k = self.places[0].get(word)
-            if k is None:
-                total += n * self.backoff(word)
-            else:
-                known.append(k)
-                times.append(n)
-        if known:
-            total += np.asarray(times, np.float32) @ self.scores[0][known]
-        odds = np.exp(total - total.max())
-        best = int(np.argmax(odds))
-        return self.languages[best], float(odds[best] / odds.sum())
-
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "unseen": {}}
-
-
-def _level(rows: Sequence[tuple[str, str, int]], languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Log frequencies of ``(lang, item, n)``, less their mean over the languages."""
-    places: dict[str, int] = {}
-    for _, item, _ in rows:
-        places.setdefault(item, len(places))
-    counts = np.zeros((len(places), len(languages)))
-    at = {lang: k for k, lang in enumerate(languages)}
-    for lang, item, n in rows:
-        counts[places[item], at[lang]] = n
-    share = (counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * max(1, len(places)))
-    logs = np.log(share)
-    return places, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
-
-
-def _words_batch(texts: pd.Series) -> pd.Series:
-    return pd.Series([[{"w": w, "n": n} for w, n in Counter(letters_of(t)).items()] for t in texts], dtype=object)
-
-
-def _top(counts: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy(F.desc("n"), "item")
-    return counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n).drop("_rank")
+        best, score = self.predict_batch([text])
+        return best[0], float(score[0])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch and language: how often each word and n-gram (by hash) stands there."""
+    for batch in batches:
+        frame = pd.DataFrame({"lang": batch.column(0).to_pylist(), "words": [letters_of(t) for t in batch.column(1).to_pylist()]})
+        for lang, held in frame.groupby("lang", sort=False)["words"]:
+            known: dict[str, int] = {}
+            token = [known.setdefault(w, len(known)) for words in held for w in words]
+            if not token:
+                continue
+            times, hashed = np.bincount(token), _Hashed(list(known))
+            for n in range(LONGEST_GRAM + 1):
+                word, hashes = hashed.grams(n) if n else (np.arange(len(known)), hashed.whole())
+                item, place = np.unique(hashes, return_inverse=True)
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array([lang] * len(item), pa.string()), "level": pa.array(np.full(len(item), n, np.int32)),
+                    "item": pa.array(item.astype(np.int64)),
+                    "n": pa.array(np.bincount(place, times[word], minlength=len(item)).astype(np.int64))})
+
+
+def _level(item: np.ndarray, language: np.ndarray, n: np.ndarray, languages: int) -> Level:
+    """Log frequencies of the items, as gains over the default of each language."""
+    order = np.lexsort([language, item])
+    item, language, n = item[order], language[order], n[order]
+    distinct, begins = np.unique(item, return_index=True)
+    total = np.bincount(language, n, minlength=languages)
+    default = np.log(SMOOTHING / (total + SMOOTHING * max(1, len(distinct))))
+    return Level(distinct, np.append(begins, len(item)).astype(np.int64), language.astype(np.int32),
+                 (np.log(n + SMOOTHING) - np.log(SMOOTHING)).astype(np.float32), default)
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_docs: int = SAMPLE_DOCS, words: int = MODEL_WORDS, grams: int = MODEL_GRAMS) -> Model:
+        sample_docs: int = SAMPLE_DOCS, sample_total: int = SAMPLE_TOTAL) -> Model:
     """A model from the rows where ``learn`` holds and the language is known.
 
-    About ``sample_docs`` documents of each language are used, chosen by a hash
-    of their id; all where there are fewer.
+    About ``sample_docs`` documents of each language are used, fewer if all
+    languages together would have more than ``sample_total``, chosen by a hash of
+    their id; all where there are fewer.  One row per language, and the counted
+    words and n-grams of that sample, reach the driver.
     """
     prepared(docs.sparkSession)
-    labelled = docs.where(learn & col(lang_col).isNotNull())
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy(col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
-             .limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    labelled = docs.where(learn & col(lang_col).isNotNull()).select(
+        col(id_col).cast("string").alias("id"), col(lang_col).cast("string").alias("lang"), col(text_col).alias("text"))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
-    if not languages:
-        return Model([], [{} for _ in range(LONGEST_GRAM + 1)], [np.zeros((0, 0), np.float32)] * (LONGEST_GRAM + 1))
-    part = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(sample_docs / sizes[k]))])
-    chance = F.pmod(F.xxhash64(F.lit("langid"), col(id_col).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.where(chance < F.element_at(part, col(lang_col)))
-    found = sample.select(col(lang_col).alias("lang"),
-                          F.explode(F.pandas_udf(_words_batch, "array<struct<w:string,n:long>>")(col(text_col))).alias("x"))
-    counted = found.groupBy("lang", F.col("x.w").alias("item")).agg(F.sum("x.n").alias("n"))
-    top = stored(_top(counted, words, ["lang"]))
-    marked = F.concat(F.lit("^"), F.col("item"), F.lit("$"))
-    gram = F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(LONGEST_GRAM)), lambda n: F.transform(
-        F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - n + 1))
-        .otherwise(F.array().cast("array<int>")), lambda i: F.struct(n.alias("size"), F.substr(marked, i, n).alias("item"))))))
-    pieces = (top.select("lang", "n", gram.alias("g")).groupBy("lang", "g.size", "g.item").agg(F.sum("n").alias("n")))
-    best = _top(pieces, grams, ["lang", "size"])
-    levels = [_level(sorted((r["lang"], r["item"], r["n"]) for r in top.collect()), languages)]
-    by_size: dict[int, list[tuple[str, str, int]]] = {n: [] for n in range(1, LONGEST_GRAM + 1)}
-    for r in best.collect():  # bounded: languages x lengths x grams
-        by_size[r["size"]].append((r["lang"], r["item"], r["n"]))
-    levels += [_level(sorted(by_size[n]), languages) for n in range(1, LONGEST_GRAM + 1)]
-    return Model(languages, [p for p, _ in levels], [s for _, s in levels])
+    each = min(sample_docs, sample_total / max(1, len(languages)))
+    shares = docs.sparkSession.createDataFrame([(k, each / n) for k, n in sizes.items()], "lang string, share double")
+    chance = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = labelled.withColumn("chance", chance).join(F.broadcast(shares), "lang").where(F.col("chance") < F.col("share"))
+    counted = (sample.select("lang", "text").mapInArrow(_counted, "lang string, level int, item long, n long")
+               .groupBy("lang", "level", "item").agg(F.sum("n").alias("n")).toArrow())
+    number = {name: k for k, name in enumerate(languages)}
+    names = counted["lang"].combine_chunks().dictionary_encode() if counted.num_rows else None
+    language = np.zeros(0, np.int64)
+    if names is not None:
+        names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
+        language = np.array([number[x] for x in names.dictionary.to_pylist()])[names.indices.to_numpy()]
+    level, item, n = (counted[c].to_numpy() for c in ("level", "item", "n"))
+    item = item.astype(np.int64).view(np.uint64)
+    return Model(languages, [_level(item[level == k], language[level == k], n[level == k], len(languages))
+                             for k in range(LONGEST_GRAM + 1)])
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -160,14 +243,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """``id_col``, the columns ``keep``, ``lang_pred`` and ``score`` (0 to 1): one row per input row.
 
     A null text, or one without letters, is ``und`` with score 0, and so is every
-    text if the model was fitted on nothing.  Null ids and repeated rows stay.
+    text if the model was fitted on nothing.  Ties go to the first language by
+    name.  Null ids and repeated rows stay.
     """
     held = prepared(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fitted = held.value
         for texts in batches:
-            yield pd.DataFrame([fitted.predict(t) for t in texts], columns=["lang_pred", "score"])
+            best, score = fitted.predict_batch(texts.tolist())
+            yield pd.DataFrame({"lang_pred": best, "score": score})
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     judged = F.pandas_udf(run, "lang_pred string, score double")(col(text_col))

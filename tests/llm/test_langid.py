@@ -1,6 +1,9 @@
+import math
+import random
+import unicodedata
 import zlib
+from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,19 +29,108 @@ def _fit(spark, rows, **options):
     return L.fit(df, F.lit(True), **options)
 
 
+class Brute:
+    """Counts in plain dictionaries, a loop per word, n-gram and language."""
+
+    def __init__(self, rows):
+        self.count = [defaultdict(Counter) for _ in range(6)]
+        for text, lang in rows:
+            for w in brute_words(text):
+                self.count[0][lang][w] += 1
+                for n in range(1, 6):
+                    self.count[n][lang].update(f"^{w}$"[i:i + n] for i in range(len(w) + 3 - n))
+        self.langs = sorted({lang for _, lang in rows})
+        self.total = [{k: sum(c[k].values()) for k in self.langs} for c in self.count]
+        self.distinct = [set().union(*(c[k] for k in self.langs)) for c in self.count]
+
+    def log(self, level, item, lang):
+        share = (self.count[level][lang][item] + 0.5) / (self.total[level][lang] + 0.5 * len(self.distinct[level]))
+        return math.log(share)
+
+    def score(self, word, lang):
+        if word in self.distinct[0]:
+            return self.log(0, word, lang)
+        for n in range(5, 0, -1):
+            known = [g for i in range(len(word) + 3 - n) if (g := f"^{word}$"[i:i + n]) in self.distinct[n]]
+            if known:
+                return sum(self.log(n, g, lang) for g in known) / len(known)
+        return 0.0
+
+    def predict(self, text):
+        words = brute_words(text)
+        if not words:
+            return "und", 0.0
+        total = {k: sum(n * self.score(w, k) for w, n in Counter(words).items()) for k in self.langs}
+        top = max(total.values())
+        best = min(k for k in self.langs if total[k] == top)
+        return best, 1 / sum(math.exp(v - top) for v in total.values())
+
+
+def brute_words(text):
+    out, word = [], ""
+    for c in (text or "").lower() + " ":
+        kind = unicodedata.category(c)[0]
+        if kind == "L" or kind == "M" and word:
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out
+
+
+def test_whole_table_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned = [(r.text, r.lang) for r in rows if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    brute = Brute(learned)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in op6_language_id(spark, SF_SMALL).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        lang, score = brute.predict(r.text)
+        assert got[r.doc_id] == (lang, pytest.approx(score, abs=1e-4)), r.doc_id
+
+
+def test_many_languages_scripts_and_the_rest_of_the_vocabulary(spark):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzéßñ"
+    own = {f"l{k:03d}": ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(30)] for k in range(120)}
+    rows = [(" ".join(rng.choices(own[k], k=40)), k) for k in own for _ in range(2)]
+    rows += [("हिन्दी भाषा में लिखा है", "hi"), ("ภาษาไทยเขียนอย่างนี้", "th"), ("यह भी हिन्दी है", "hi")]
+    model, brute = _fit(spark, rows), Brute(rows)
+    for text in [" ".join(rng.choices(own[k], k=5)) + " unseenword" for k in list(own)[:30]] + ["हिन्दी", "हिन्दीभाषा", "ไทย", "Ñ"]:
+        lang, score = brute.predict(text)
+        assert model.predict(text) == (lang, pytest.approx(score, abs=1e-4))
+    assert L.letters_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert len(model.levels[0].items) == len(brute.distinct[0])  # nothing of the sample is left out
+    # one sparse entry per item and language that has it
+    assert sum(len(v.gain) for v in model.levels) == sum(len(c[k]) for c in brute.count for k in brute.langs)
+
+
 def test_known_words_then_shorter_grams(spark):
     model = _fit(spark, [("the thing and the other", "en"), ("der ding und das andere", "de")])
     assert model.languages == ["de", "en"]
     assert model.predict("THE the")[0] == "en" and model.predict("und")[0] == "de"
-    assert model.places[0].get("thing") is not None and model.places[0].get("thinging") is None
     assert model.predict("thinging")[0] == "en"  # unseen: its longest known n-grams decide
-    assert np.array_equal(model.backoff("thinging"),
-                          model.scores[5][[model.places[5][g] for g in L.grams_of("thinging", 5) if g in model.places[5]]]
-                          .mean(axis=0))
-    assert not model.backoff("ЖЖЖ").any()
+    assert model.predict("ЖЖЖ")[1] == pytest.approx(0.5)
+
+
+def test_batches_do_not_matter(spark, monkeypatch):
+    model = _fit(spark, [("the thing and the other", "en"), ("der ding und das andere", "de")])
+    texts = ["the und", None, "thinging dasein", "", "²", "andere other", "xyz"] * 3
+    whole = model.predict_batch(texts)
+    assert [model.predict(t) for t in texts] == list(zip(whole[0], whole[1].tolist()))
+    monkeypatch.setattr(L, "_CELLS", 4)
+    again = model.predict_batch(texts)
+    assert again[0] == whole[0] and again[1].tolist() == whole[1].tolist()
 
 
-@pytest.mark.parametrize("text", [None, "", " \n", "123 !? _ 4", "___"])
+def test_the_sample_is_bounded_by_its_parameters(spark):
+    rows = [(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}", "en" if k % 2 else "de") for k in range(600)]
+    assert len(_fit(spark, rows).levels[0].items) == 600
+    assert 50 < len(_fit(spark, rows, sample_docs=100).levels[0].items) < 400
+    assert 20 < len(_fit(spark, rows, sample_total=100).levels[0].items) < 200
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "123 !? _ 4", "___", "² ½ ① Ⅷ", "\u0301"])
 def test_no_letters_is_undetermined(spark, text):
     assert _fit(spark, [("a b", "en"), ("c d", "de")]).predict(text) == ("und", 0.0)
 
@@ -49,11 +141,6 @@ def test_ties_go_to_the_first_language_and_no_training_rows(spark):
     assert _fit(spark, [("a", None)]).predict("a") == ("und", 0.0)
 
 
-def test_model_is_bounded(spark):
-    model = _fit(spark, [("alpha beta gamma delta epsilon zeta", "en"), ("un deux trois quatre cinq six", "fr")], words=3, grams=5)
-    assert len(model.places[0]) <= 6 and all(len(p) <= 10 for p in model.places[1:])
-
-
 def test_odd_rows(spark):
     df = odd_documents(spark)
     model = L.fit(df, F.lit(True))
