@@ -12,9 +12,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from array import array
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +33,8 @@ _PLAIN = regex.compile(r"[\t\n\r -~\xa1-\xac\xae-įı-ɏ]*+\Z")
 #: Stands for the end of a word inside token strings; no byte is shown as this character.
 _END = "\n"
 _PREFIX = 3
+#: What chunks that are no plain run begin with: special strings, and text for the library to cut.
+_MARKS = "\0\n"
 _NONE = np.int64(1) << 40
 #: Chunks, and ids of theirs, that a worker remembers from batch to batch; beyond, all are forgotten.
 REMEMBERED, REMEMBERED_IDS = 3 << 17, 3 << 20
@@ -68,7 +69,8 @@ class WordBPE:
         size = max([*vocab.values(), *(t["id"] for t in spec.get("added_tokens") or ())]) + 1
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens") or ()}
         self._split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self._piece = regex.compile(PIECES)
+        # a line feed begins a chunk
+        self._split_pieces = regex.compile("\\n|" + PIECES).findall
         self._table = {k: c for k, c in enumerate(byte_characters())}
 
         # a symbol's own string, with _END for a word's end; symbols not made by merges are the alphabet
@@ -151,25 +153,24 @@ class WordBPE:
             open_ = open_[(undo_a | undo_b) & ~clash]
         return fits
 
-    def guess(self, word: str) -> list[int]:
-        """Longest known tokens from the left; ``word`` ends in ``_END``."""
-        known, reach, out, at, n = self._known, self._reach, [], 0, len(word)
+    def guess(self, word: str, out: list[int]) -> int:
+        """Longest known tokens from the left, added to ``out``; their number.  ``word`` ends in ``_END``."""
+        known, reach, at, n, held = self._known, self._reach, 0, len(word), len(out)
         while at < n:
-            start = word[at:at + _PREFIX]
-            end = min(n, at + (reach.get(start) or _PREFIX - 1))
+            end = min(n, at + reach.get(word[at:at + _PREFIX], _PREFIX - 1))
             # a single character is always known; the last one is not parted from the end of the word
             while end == n - 1 or (token := known.get(word[at:end])) is None:
                 end -= 1
             out.append(token)
             at = end
-        return out
+        return len(out) - held
 
     def _forget(self) -> None:
-        #: Chunk to its place in ``_begins``; place k has the ids ``_pool[_begins[k]:_begins[k + 1]]``.
-        self._memory: dict[str, int] = {}
-        self._pool, self._begins = array("i"), array("q", [0])
+        #: Chunk to its place; place k has the ids ``_pool[_begins[k]:_begins[k + 1]]``.
+        self._memory = _Numbers()
+        self._pool, self._begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def merge(self, words: list[str]) -> list[list[int]]:
+    def merge(self, words: Sequence[str]) -> list[list[int]]:
         """The tokens of words by their merges, lowest rank first, leftmost among equals; all words at once."""
         out: list[list[int]] = [[] for _ in words]
         width = np.searchsorted(WIDTHS, [len(w) - 1 for w in words])
@@ -181,34 +182,35 @@ class WordBPE:
             out[i] = self._merge_long(words[i])
         return out
 
-    def _merge_array(self, words: list[str], width: int) -> list[list[int]]:
+    def _merge_array(self, words: Sequence[str], width: int) -> list[list[int]]:
         """A row per word; every round makes the best merge of each word that has one."""
         if not words:
             return []
         length = np.array([len(w) - 1 for w in words])
         codes = np.frombuffer("".join(w[:-1] for w in words).encode("utf-32-le"), "<u4")
+        column = np.arange(width + 1)
         ids = np.full((len(words), width + 1), -1, np.int64)
-        filled = np.arange(width + 1) < length[:, None]
-        ids[filled] = self._code[False][codes]
-        ends = np.cumsum(length) - 1
-        ids[np.arange(len(words)), length - 1] = self._code[True][codes[ends]]
+        ids[column < length[:, None]] = self._code[False][codes]
+        ids[np.arange(len(words)), length - 1] = self._code[True][codes[np.cumsum(length) - 1]]
+        done, word = ids.copy(), np.arange(len(words))
         rank, _ = self._pair(ids[:, :-1], ids[:, 1:])
-        todo, column = np.arange(len(words)), np.arange(width + 1)
-        while True:
-            best = rank[todo].argmin(axis=1)
-            some = rank[todo, best] < _NONE
-            todo, best = todo[some], best[some]
-            if not len(todo):
-                return [row[row >= 0].tolist() for row in ids]
-            _, made = self._pair(ids[todo, best], ids[todo, best + 1])
-            later = np.minimum(column + (column > best[:, None]), width)
-            ids[todo] = np.take_along_axis(ids[todo], later, axis=1)
-            ids[todo, width] = -1
-            ids[todo, best] = made
-            rank[todo] = np.take_along_axis(rank[todo], np.minimum(later[:, :-1], width - 1), axis=1)
-            rank[todo, width - 1] = _NONE
+        while len(word):
+            best = rank.argmin(axis=1)
+            row = np.arange(len(word))
+            some = rank[row, best] < _NONE
+            done[word[~some]] = ids[~some]
+            ids, rank, word, best = ids[some], rank[some], word[some], best[some]
+            row = row[:len(word)]
+            _, made = self._pair(ids[row, best], ids[row, best + 1])
+            later = column[:-1] > best[:, None]
+            ids[:, :-1] = np.where(later, ids[:, 1:], ids[:, :-1])
+            ids[:, -1] = -1
+            ids[row, best] = made
+            rank[:, :-1] = np.where(later[:, :-1], rank[:, 1:], rank[:, :-1])
+            rank[:, -1] = _NONE
             for place in (np.maximum(best - 1, 0), np.minimum(best, width - 1)):
-                rank[todo, place] = self._pair(ids[todo, place], ids[todo, place + 1])[0]
+                rank[row, place] = self._pair(ids[row, place], ids[row, place + 1])[0]
+        return [r[:n] for r, n in zip(done.tolist(), (done >= 0).sum(axis=1).tolist())]
 
     def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of the merge of two tokens, or no rank, and what it makes."""
@@ -242,39 +244,70 @@ class WordBPE:
             offer(i)
         return [t for t in ids if t >= 0]
 
-    def words(self, words: Iterable[str]) -> list[list[int]]:
-        """Tokens of words (byte characters without their end): guessed together, verified together."""
+    def words(self, words: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``ids, lengths`` of words (byte characters without their end): guessed together, verified together."""
         ended = [w + _END for w in words]
-        guessed = [self.guess(w) for w in ended]
-        flat = np.array([t for g in guessed for t in g], np.int64)
+        tokens: list[int] = []
+        length = np.array([self.guess(w, tokens) for w in ended], np.int64)
+        flat = np.array(tokens, np.int64)
         if len(flat) < 2:
-            return guessed
-        length = np.array([len(g) for g in guessed], np.int64)
-        owner = np.repeat(np.arange(len(guessed)), length)
+            return flat, length
+        owner = np.repeat(np.arange(len(ended)), length)
         inside = owner[1:] == owner[:-1]
         pair, place = np.unique(flat[:-1][inside] * self._size + flat[1:][inside], return_inverse=True)
         fits = self.compatible(pair // self._size, pair % self._size)
-        failing = np.unique(owner[1:][inside][~fits[place]]).tolist()
-        for k, tokens in zip(failing, self.merge([ended[k] for k in failing])):
-            guessed[k] = tokens
-        return guessed
-
-    def _pieces(self, chunk: str) -> list[str]:
-        """The byte-character words of a lower-case run of plain characters."""
-        if chunk.isascii():
-            return [chunk] if chunk.isalpha() else self._piece.findall(chunk)  # such characters stand for themselves
-        return [p.encode().decode("latin-1").translate(self._table) for p in self._piece.findall(chunk)]
-
-    def _learn(self, key: Iterable[str], pieces: list[list[str]]) -> None:
-        """Tokens of the pieces of each key, remembered."""
-        distinct = dict.fromkeys(chain.from_iterable(pieces))
-        tokens = dict(zip(distinct, self.words(distinct)))
-        memory, begins, pool = self._memory, self._begins, self._pool
-        for c, p in zip(key, pieces):
-            memory[c] = len(begins) - 1
-            for w in p:
-                pool.extend(tokens[w])
-            begins.append(len(pool))
+        failing = np.zeros(len(ended), bool)
+        failing[owner[1:][inside][~fits[place]]] = True
+        which = np.flatnonzero(failing)
+        merged = self.merge([ended[k] for k in which.tolist()])
+        kept = ~failing[owner]
+        length[which] = [len(t) for t in merged]
+        out = np.empty(length.sum(), np.int64)
+        new = np.repeat(failing, length)
+        out[~new] = flat[kept]
+        out[new] = np.fromiter(chain.from_iterable(merged), np.int64, int(new.sum()))
+        return out, length
+
+    def _pieces(self, chunks: Sequence[str]) -> tuple[list[str], np.ndarray]:
+        """The byte-character words of all chunks, distinct, and their numbers in order; 0 begins a chunk."""
+        mine = [c for c in chunks if c[0] not in _MARKS]
+        cut = iter(self._split_pieces("".join(f"\n{c}" for c in mine))) if mine else iter(())
+        if len(mine) < len(chunks):  # special strings, and text that the library cuts
+            by_chunk, current = [], None
+            for piece in cut:
+                if piece == "\n":
+                    by_chunk.append(current := [piece])
+                else:
+                    current.append(piece)
+            own = iter(by_chunk)
+            cut = chain.from_iterable(next(own) if c[0] not in _MARKS else ["\n", c] if c[0] == "\0" else
+                                      ["\n", *("\r" + w for w in self._library_words(c[1:]))] for c in chunks)
+        numbers = _Numbers({"\n": 0})
+        place = np.fromiter(map(numbers.__getitem__, cut), np.int64)
+        return list(numbers)[1:], place
+
+    def _learn(self, chunks: Sequence[str]) -> None:
+        """The ids of new chunks, added to what is remembered."""
+        if not chunks:
+            return
+        pieces, place = self._pieces(chunks)
+        special = np.array([self.special[p[1:]] if p[0] == "\0" else -1 for p in pieces], np.int64)
+        ordinary = [p if p.isascii() and p[0] != "\r" else p[1:] if p[0] == "\r" else
+                    p.encode().decode("latin-1").translate(self._table) for p in pieces if p[0] != "\0"]
+        ids, of_word = self.words(ordinary)
+        length = np.zeros(len(pieces) + 1, np.int64)  # number 0 is the begin of a chunk
+        length[1:][special < 0] = of_word
+        length[1:][special >= 0] = 1
+        begins = np.cumsum(length) - length
+        flat = np.empty(length.sum(), np.int64)
+        new = np.repeat(special >= 0, length[1:])
+        flat[new], flat[~new] = special[special >= 0], ids
+        count = length[place]
+        taken = flat[_ranges(begins[place], count)]
+        chunk = np.cumsum(place == 0) - 1
+        per_chunk = np.bincount(chunk, count, minlength=len(chunks)).astype(np.int64)
+        self._begins = np.concatenate([self._begins, self._begins[-1] + np.cumsum(per_chunk)])
+        self._pool = np.concatenate([self._pool, taken.astype(np.int32)])
 
     def _library_words(self, text: str) -> list[str]:
         """Byte-character words of any text, normalised and cut by the library's tables."""
@@ -291,7 +324,7 @@ class WordBPE:
                 out += part.lower().split()
             else:
                 out.append("\n" + part)
-        return out
+        return out  # plain runs begin with neither mark
 
     def encode_batch(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """``ids, ends``: all ids of all texts in a row, and how many there are up to the end of each text.
@@ -313,21 +346,27 @@ class WordBPE:
         if len(self._memory) > REMEMBERED or len(self._pool) > REMEMBERED_IDS:
             self._forget()
         chunks = [self._chunks(t) if t else [] for t in texts]
-        new = [c for c in dict.fromkeys(chain.from_iterable(chunks)) if c not in self._memory]
-        for c in new:
-            if c[0] == "\0":
-                self._memory[c] = len(self._begins) - 1
-                self._pool.append(self.special[c[1:]])
-                self._begins.append(len(self._pool))
-        new = [c for c in new if c[0] != "\0"]
-        self._learn(new, [self._library_words(c[1:]) if c[0] == "\n" else self._pieces(c) for c in new])
-        count = np.cumsum([0, *map(len, chunks)])
-        place = np.fromiter(map(self._memory.__getitem__, chain.from_iterable(chunks)), np.int64, int(count[-1]))
-        begins, pool = np.array(self._begins), np.array(self._pool, np.int32)
-        length = begins[place + 1] - begins[place]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        within = np.arange(ends[-1]) - np.repeat(ends[:-1], length)
-        return pool[np.repeat(begins[place], length) + within], ends[count[1:]]
+        known = len(self._memory)
+        ends = np.cumsum([len(held) for held in chunks])
+        place = np.fromiter(map(self._memory.__getitem__, chain.from_iterable(chunks)), np.int64, int(ends[-1]))
+        self._learn(list(islice(reversed(self._memory), len(self._memory) - known))[::-1])
+        begin = self._begins[place]
+        length = self._begins[place + 1] - begin
+        until = np.concatenate([[0], np.cumsum(length)])
+        return self._pool[_ranges(begin, length)], until[ends]
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers ``begin[k] ... begin[k] + length[k] - 1`` of all k in a row."""
+    return np.arange(length.sum()) + np.repeat(begin - (np.cumsum(length) - length), length)
+
+
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
 
 
 def shown_tokens(path: str) -> list[str]:
