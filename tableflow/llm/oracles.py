@@ -41,20 +41,25 @@ f AS (SELECT place, rest, weight FROM o WHERE rest * w < cap::DOUBLE * weight OR
 t AS (SELECT v.*, CASE WHEN v.n = 0 THEN 0.0 WHEN f.place IS NULL OR o.place < f.place THEN v.cap::DOUBLE
                        ELSE f.rest * v.w / f.weight END AS target
       FROM v LEFT JOIN o USING (k) LEFT JOIN f ON true),
-seat AS (SELECT k FROM (SELECT k, target / (2 * unnest(range((cap + 63) // 64)) + 1) AS quotient FROM t)
-         QUALIFY row_number() OVER (ORDER BY quotient DESC, k) <= round((SELECT sum(target) FROM t) / 64)),
+part AS (SELECT * FROM t WHERE target < cap),
+seat AS (SELECT k FROM (SELECT k, target / (2 * unnest(range((cap + 63) // 64)) + 1) AS quotient FROM part)
+         QUALIFY row_number() OVER (ORDER BY quotient DESC, k) <= round((SELECT sum(target) FROM part) / 64)),
 plan AS (SELECT t.*, (SELECT count(*) FROM seat WHERE seat.k = t.k) AS quota,
-                greatest(1, least(4096, (n + 131071) // 131072)) AS shards FROM t),
-dealt AS (SELECT slim.r, doc_id, size, k, n, target, quota, md5(concat_ws('|', 'mix-1', doc_id::VARCHAR, size::VARCHAR)) AS key, shards
-          FROM slim JOIN plan ON slim.source IS NOT DISTINCT FROM plan.source),
+                n > 0 AND target >= cap AS is_full, greatest(1, least(65536, (n + 131071) // 131072)) AS shards FROM t),
+alike AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size ORDER BY r) - 1 AS nth FROM slim),
+dealt AS (SELECT r, doc_id, size, k, n, target, quota, is_full, shards, nth,
+                 md5(concat_ws('|', 'mix-1', doc_id::VARCHAR, size::VARCHAR, CASE WHEN nth >= 1024 THEN (nth // 1024)::VARCHAR END)) AS key
+          FROM alike JOIN plan ON alike.source IS NOT DISTINCT FROM plan.source),
 shard AS (SELECT *, ('0x' || substr(key, 1, 8))::BIGINT % shards AS shard FROM dealt),
-sums AS (SELECT k, shard, any_value(quota) AS quota, sum(size)::BIGINT AS shard_size FROM shard GROUP BY k, shard),
+sums AS (SELECT k, shard, any_value(quota) AS quota, bool_or(is_full) AS is_full, sum(size)::BIGINT AS shard_size
+         FROM shard GROUP BY k, shard),
 seat2 AS (SELECT k, shard FROM (SELECT k, shard, quota, shard_size::DOUBLE
                                        / (2 * unnest(range((3 * shard_size + 63) // 64)) + 1) AS quotient FROM sums)
           QUALIFY row_number() OVER (PARTITION BY k ORDER BY quotient DESC, shard) <= quota),
-got AS (SELECT sums.k, sums.shard, shard_size, least(64 * coalesce(g, 0), 3 * shard_size)::BIGINT AS shard_taken
+got AS (SELECT sums.k, sums.shard, shard_size, (CASE WHEN is_full THEN 3 * shard_size
+               ELSE least(64 * coalesce(g, 0), 3 * shard_size) END)::BIGINT AS shard_taken
         FROM sums LEFT JOIN (SELECT k, shard, count(*) AS g FROM seat2 GROUP BY k, shard) USING (k, shard)),
-laid AS (SELECT shard.*, shard_size, shard_taken, coalesce(sum(size) OVER (PARTITION BY k, shard ORDER BY key, doc_id, size
+laid AS (SELECT shard.*, shard_size, shard_taken, coalesce(sum(size) OVER (PARTITION BY k, shard ORDER BY key, doc_id, size, nth
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
          FROM shard JOIN got USING (k, shard))
 SELECT doc_id, size, n AS source_size, target,
@@ -85,9 +90,9 @@ d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 near AS (SELECT r, w, kind, label, ws, ks, ka FROM d, template WHERE list_has_all(w, ks)),
-place AS (SELECT r, kind, label, ws, w, s FROM
-          (SELECT r, kind, label, ws, ks, ka, w, unnest(range(len(w))) AS s FROM near) WHERE w[s+ka+1:s+ka+len(ks)] = ks),
-hit AS (SELECT r, kind, label, s, len(list_filter(range(len(ws)), lambda j: w[s+1+j] = ws[j+1]))::DOUBLE / len(ws) AS matched
+place AS (SELECT r, kind, label, ws, w, p - ka AS s FROM
+          (SELECT r, kind, label, ws, ks, ka, w, unnest(range(len(w))) AS p FROM near) WHERE w[p+1:p+len(ks)] = ks),
+hit AS (SELECT r, kind, label, s, len(list_filter(range(len(ws)), lambda j: s + j >= 0 AND w[s+1+j] = ws[j+1]))::DOUBLE / len(ws) AS matched
         FROM place),
 ok AS (SELECT * FROM hit WHERE kind = 0 OR matched >= 0.5),
 g AS (SELECT r, count(*) FILTER (WHERE kind = 0) AS n_base, min(s) FILTER (WHERE kind = 0) AS first_word,

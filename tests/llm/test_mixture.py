@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tableflow.llm import mixture as M
 from tableflow.llm.queries import weight_by_place
@@ -98,3 +99,60 @@ def test_mixed_rows_repeat_whole_documents_and_cut_one(spark):
     odd = odd_documents(spark)
     assert M.mixed_rows(odd, weight_by_place).columns == odd.columns
     assert M.mixed_rows(odd, weight_by_place).count() > 0
+
+
+def _alike(spark, n, texts=("one two three four five six seven eight nine ten eleven",), source="hot"):
+    rows = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.element_at(
+        F.array(*[F.lit(t) for t in texts]), (F.col("id") % len(texts) + 1).cast("int")).alias("text"), F.lit(source).alias("source"))
+    other = spark.range(400).selectExpr("id AS doc_id", "concat('other words of text ', id, ' and more') AS text",
+                                        "IF(id % 2 = 0, 'b', NULL) AS source")
+    return rows.repartition(6).union(other)
+
+
+@pytest.mark.parametrize("n,weights", [(3000, (1, 2, 3)), (1500, (3, 1, 1)), (2500, (1, 0, 0))])
+def test_rows_alike_have_a_share_each(spark, n, weights):
+    df = _alike(spark, n, ("a b c d e f g h i j k", "k j i h g f e d c b a"))
+
+    def weight(place, _name):
+        return float(weights[place % 3])
+
+    decided = M.mix(df, weight).collect()
+    assert len(decided) == df.count()
+    rows = M.mixed_rows(df, weight).collect()
+    for source in ("hot", "b", None):
+        taken = sum(r.taken for r in decided if r.source == source)
+        assert sum(len(words(r.text)) for r in rows if r.source == source) == taken
+        target = next(r.target for r in decided if r.source == source)
+        assert abs(taken - target) <= M.BLOCK_WORDS
+
+
+def test_a_hundred_thousand_alike_rows_are_dealt_in_pieces(spark):
+    df = _alike(spark, 100_000)
+    pieces = M._laid_pieces(df.select(*M._slim("doc_id", "text", "source")), weight_by_place, 64, 1 << 14, 3, "mix-1").collect()
+    hot = [p for p in pieces if p.source == "hot"]
+    assert sum(p["rows"] for p in hot) == 100_000 and max(p["rows"] for p in hot) == M.PIECE_ROWS
+    assert len({p.shard for p in hot}) > 10
+    out = M.mix(df, weight_by_place, shard_words=1 << 14)
+    sums = out.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r.taken - r.target) <= M.BLOCK_WORDS for r in sums)
+
+
+def test_numbers_of_alike_rows_are_one_to_one(spark):
+    df = _alike(spark, 1000).withColumn("number", F.monotonically_increasing_id()).checkpoint()
+    rows = M._numbered(df.select("number", *M._slim("doc_id", "text", "source")), "number").collect()
+    hot = sorted(r.nth for r in rows if r.doc_id is None)
+    assert hot == list(range(1000)) and len(rows) == 1400
+    assert all(r.nth == 0 for r in rows if r.doc_id is not None)
+
+
+def test_a_full_source_is_taken_exactly_three_times(spark):
+    df = _alike(spark, 50)
+    got = M.mix(df, lambda place, name: 1000.0 if name == "hot" else 1.0, shard_words=64).where("source = 'hot'").collect()
+    assert all(r.taken == 3 * r["size"] for r in got) and got[0].target == 3 * got[0].source_size
+
+
+def test_many_sources_need_no_broadcast(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id AS doc_id", "concat('text of ', id, ' here') AS text", "concat('s', id % 90) AS source")
+    before = sorted(map(tuple, M.mix(df, weight_by_place).collect()))
+    monkeypatch.setattr(M, "BROADCAST_SOURCES", 10)
+    assert sorted(map(tuple, M.mix(df, weight_by_place).collect())) == before
