@@ -17,6 +17,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -380,13 +381,14 @@ def shown_tokens(path: str) -> list[str]:
     return out
 
 
-def decoded(ids: Iterable[int], shown: Sequence[str]) -> str:
+def decoded(ids: pa.ListArray, shown: pa.Array) -> pa.Array:
     """The tokens' strings with blanks between, special ones too: the vocabulary names no decoder."""
-    return " ".join([shown[i] for i in ids])
+    tokens = pa.ListArray.from_arrays(ids.offsets, shown.take(ids.values))
+    return pc.if_else(ids.is_valid(), pc.binary_join(tokens, " "), pa.scalar(None, pa.string()))
 
 
 _loaded: dict[str, WordBPE] = {}
-_shown: dict[str, list[str]] = {}
+_shown: dict[str, pa.Array] = {}
 
 
 def vocabulary(path: str) -> WordBPE:
@@ -421,8 +423,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> Dat
     prepared(encoded.sparkSession)
     def run(ids: pa.Array) -> pa.Array:
         if tokenizer_path not in _shown:
-            _shown[tokenizer_path] = shown_tokens(tokenizer_path)
-        shown = _shown[tokenizer_path]
-        return pa.array([decoded(i.values.to_pylist(), shown) if i.is_valid else None for i in ids], pa.string())
+            _shown[tokenizer_path] = pa.array(shown_tokens(tokenizer_path), pa.string())
+        return decoded(ids, _shown[tokenizer_path])
 
     return encoded.withColumn("decoded", F.arrow_udf(run, "string")(col(ids_col)))
