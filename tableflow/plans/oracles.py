@@ -375,6 +375,10 @@ def oracles() -> dict[str, str]:
     sq["stream_spool"] = _flow("docs", DEFAULT_LINE_LIMIT)
     sq["stream_charset"] = _flow("docs_cp1252", DEFAULT_LINE_LIMIT)
     sq["stream_line_chunk"] = _flow("long_lines", LONG_LINE_LIMIT)
+    sq["stream_idle_close"] = (
+        "SELECT source AS name, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars "
+        f"FROM ({_lines('source')}) GROUP BY source"
+    )
     sq["stream_multi_flow"] = " UNION ALL ".join(
         _language_flow(name, n, where) for name, n, where in (
             ("en", 2048, "lang = 'en'"), ("es", 2048, "lang = 'es'"), ("de", 2048, "lang = 'de'"), ("fr", 4600, "lang = 'fr'"),

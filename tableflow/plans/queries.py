@@ -74,7 +74,15 @@ from tableflow.sources import (
     write_monthly,
     write_monthly_tables,
 )
-from tableflow.streaming import FlowSpec, read_flow_output, run_flows, write_spool
+from tableflow.streaming import (
+    FlowSpec,
+    read_closed,
+    read_flow_output,
+    run_flows,
+    start_closing,
+    wait_until_closed,
+    write_spool,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -732,6 +740,22 @@ MULTI_FLOWS = {
 }
 
 
+def q_stream_idle_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents arrive as a stream, named by their source; each name is closed
+    when it has been idle for a second.  Figures of a name that was opened again are added."""
+    root = scratch_path(spark, "closing")
+    lines = explode_lines(load(spark, sf_dir, "documents"), "text", keep=["source"])
+    lines.write.parquet(f"{root}/spool")
+    arriving = spark.readStream.schema(lines.schema).parquet(f"{root}/spool")
+    query = start_closing(arriving, f"{root}/closed", f"{root}/checkpoint", 1, 0.5, "source", "line")
+    try:
+        wait_until_closed(query)
+    finally:
+        query.stop()
+    return read_closed(spark, f"{root}/closed").groupBy("name").agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("n_chars").alias("n_chars"))
+
+
 def q_stream_multi_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flow per language; a text in ten has no language, some lines end in a carriage return."""
     lang = F.when(F.col("doc_id") % 10 != 0, F.col("lang"))
@@ -812,4 +836,5 @@ def registry() -> dict[str, Query]:
         "stream_charset": q_stream_charset,
         "stream_line_chunk": q_stream_line_chunk,
         "stream_multi_flow": q_stream_multi_flow,
+        "stream_idle_close": q_stream_idle_close,
     }

@@ -12,5 +12,6 @@ from tableflow.streaming.flows import (
     start_flow,
     write_spool,
 )
+from tableflow.streaming.idle import closed_files, read_closed, start_closing, start_flow_closing, wait_until_closed
 
 __all__ = [name for name in dir() if not name.startswith("_")]

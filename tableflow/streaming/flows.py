@@ -55,6 +55,8 @@ class FlowSpec:
     # bounded micro-batches: a large backlog is drained in steps, not at once
     max_files_per_trigger: int | None = 1000
     archive_dir: str | None = None
+    # a base name without a new line for so long is closed (see idle.py)
+    idle_seconds: float = DEFAULT_IDLE_SECONDS
 
     def __post_init__(self) -> None:
         _check_charset(self.charset)
