@@ -21,6 +21,7 @@ from tableflow.operators.cells import (
     write_cells,
     write_bulk,
 )
+from tableflow.operators.charsets import byte_pairs, charset_advice, charset_scores, fit_charsets
 from tableflow.operators.columns import (
     cast_schema,
     drop_cols,

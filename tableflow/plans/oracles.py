@@ -349,6 +349,28 @@ def oracles() -> dict[str, str]:
         "count(*) FILTER (WHERE regexp_matches(line, '[^\\x00-\\x7F]')) AS bad_lines "
         f"FROM ({_lines('lang')}) GROUP BY lang"
     )
+    sq["charset_advice"] = r"""
+WITH l AS (SELECT source, lang, CASE lang WHEN 'en' THEN 'UTF-16LE' WHEN 'de' THEN 'ISO-8859-2' WHEN 'es' THEN 'windows-1252'
+                  ELSE 'UTF-8' END AS charset,
+                  unnest(string_split(regexp_replace(text, '[^\x00-\x{FF}]', '?', 'g'), chr(10))) AS line FROM documents),
+h AS (SELECT source || '-' || lang AS file, source, charset, '0A' || CASE WHEN line = '' THEN '' WHEN charset = 'UTF-8' THEN hex(encode(line))
+             ELSE array_to_string(list_transform(string_split(CASE lang WHEN 'de' THEN translate(line, 'äöüß', '±³¿¶') ELSE line END, ''),
+                  lambda c: printf('%02X', unicode(c)) || CASE lang WHEN 'en' THEN '00' ELSE '' END), '') END || '0A' AS b FROM l),
+p AS (SELECT file, source, charset, substr(b, 2 * i + 1, 4) AS pair, count(*) AS n FROM
+      (SELECT *, unnest(range(0, length(b) // 2 - 1)) AS i FROM h) GROUP BY ALL),
+even AS (SELECT charset, pair, sum(n) AS n FROM p WHERE regexp_matches(source, '[02468]$') GROUP BY ALL),
+t AS (SELECT charset, sum(n) AS total FROM even GROUP BY charset),
+m AS (SELECT charset, pair, CAST(round(ln((n + 0.5) / (total + 0.5 * 65536)) * 1000) AS BIGINT) AS score FROM even JOIN t USING (charset)),
+u AS (SELECT charset, CAST(round(ln(0.5 / (total + 0.5 * 65536)) * 1000) AS BIGINT) AS unseen FROM t),
+f AS (SELECT file, pair, sum(n) AS n FROM p GROUP BY ALL),
+s AS (SELECT file, u.charset, CAST(sum(n) AS BIGINT) AS n_bytes, CAST(sum(n * coalesce(m.score, unseen)) AS BIGINT) AS score
+      FROM f CROSS JOIN u LEFT JOIN m ON m.charset = u.charset AND m.pair = f.pair GROUP BY ALL),
+x AS (SELECT file, any_value(charset) AS own, bool_or(substr(pair, 1, 1) >= '8') AS high, bool_or(substr(pair, 1, 1) >= '8' OR substr(pair, 1, 2) = '00') AS odd FROM p GROUP BY file),
+r AS (SELECT file, charset, n_bytes, score, odd, row_number() OVER q AS place, score - lead(score) OVER q AS margin
+      FROM s JOIN x USING (file) WHERE charset <> 'UTF-8' OR own = 'UTF-8' OR NOT high
+      WINDOW q AS (PARTITION BY file ORDER BY score DESC, charset))
+SELECT file, CASE WHEN odd THEN charset ELSE 'US-ASCII' END AS charset, n_bytes, score, margin FROM r WHERE place = 1
+"""
     sq["string_index"] = (
         _PRIORITY_INDEX
         + "SELECT o_orderkey, o_orderpriority, i AS priority_idx FROM orders JOIN l ON l.p = o_orderpriority"

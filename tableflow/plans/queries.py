@@ -58,6 +58,7 @@ from tableflow.operators import (
 )
 from tableflow.functions.hashing import salted_key
 from tableflow.operators.cells import salt_of
+from tableflow.operators.charsets import charset_advice, fit_charsets
 from tableflow.operators.features import category_count
 from tableflow.operators.joins import split_skew_join
 from tableflow.functions.text import chunk_text
@@ -626,6 +627,22 @@ def q_encoding_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_profile(lines, "lang")
 
 
+def q_charset_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of documents by source and language, in the bytes of the language's charset; the charsets
+    are learned from the files of the sources that end in an even digit and advised for all files."""
+    docs = load(spark, sf_dir, "documents").withColumn("text", F.regexp_replace("text", r"[^\x00-\xFF]", "?"))
+    lines = explode_lines(docs, "text", keep=["source", "lang"])
+    line, lang = F.col("line"), F.col("lang")
+    charset = F.when(lang == "en", "UTF-16LE").when(lang == "de", "ISO-8859-2").when(lang == "es", "windows-1252").otherwise("UTF-8")
+    # a-ogonek, l-stroke, z-dot and s-acute of ISO-8859-2 have the bytes that these four have in ISO-8859-1
+    polish = F.translate(line, "\u00e4\u00f6\u00fc\u00df", "\u00b1\u00b3\u00bf\u00b6")
+    value = (F.when(lang == "en", F.encode(line, "UTF-16LE")).when(lang == "de", F.encode(polish, "ISO-8859-1"))
+             .when(lang == "es", F.encode(line, "ISO-8859-1")).otherwise(F.encode(line, "UTF-8")))
+    files = lines.select(F.concat_ws("-", "source", "lang").alias("file"), charset.alias("known"), value.alias("value"), "source")
+    model = fit_charsets(files.where(F.col("source").rlike("[02468]$")), "known").checkpoint()
+    return charset_advice(files, model, "file").withColumnRenamed("name", "file")
+
+
 # ---------------------------------------------------------------- features
 
 
@@ -827,6 +844,7 @@ def registry() -> dict[str, Query]:
         "line_profile": q_line_profile,
         "line_chunk": q_line_chunk,
         "encoding_profile": q_encoding_profile,
+        "charset_advice": q_charset_advice,
         "string_index": q_string_index,
         "string_index_fitted": q_string_index_fitted,
         "string_index_stream": q_string_index_stream,
