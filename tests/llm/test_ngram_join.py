@@ -71,13 +71,65 @@ def test_prefix_is_just_long_enough(n, percent):
 
 
 def test_block_overlaps_match_sets(monkeypatch):
-    monkeypatch.setattr(N, "BLOCK_FRAGMENT", 7)
+    monkeypatch.setattr(N, "BLOCK_NGRAMS", 7)
     rng = np.random.default_rng(1)
     a = [np.unique(rng.integers(0, 60, 20).astype(np.uint64)) for _ in range(9)]
     b = [np.unique(rng.integers(0, 60, 25).astype(np.uint64)) for _ in range(5)]
     assert N.block_overlaps(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
 
 
+def _sketch_of(texts, size):
+    sketch = np.zeros(1 << 12, np.int32)
+    for t in texts:
+        np.add.at(sketch, (N.shingle_hashes(N.lower_words_of(t), size) & np.uint64(len(sketch) - 1)).astype(np.int64), 1)
+    return sketch
+
+
+def test_fragments_cut_one_global_order_evenly():
+    texts = [t for t in _variants(3, 400) if t]
+    sketch = _sketch_of(texts, 4)
+    cuts = N.pivots(sketch, 8)
+    assert (np.diff(cuts.astype(float)) >= 0).all()
+    held = np.zeros(8)
+    for t in texts:
+        tokens = N.shingle_hashes(N.lower_words_of(t), 4)
+        parts = N.fragments_of(tokens, sketch, cuts)
+        assert np.array_equal(np.sort(np.concatenate(parts)), tokens) and all((np.diff(p) > 0).all() for p in parts)
+        held += [len(p) for p in parts]
+        keys = [N._order_key(p, sketch) for p in parts]
+        for k, cut in enumerate(cuts):  # whatever the document, an n-gram has its one fragment
+            assert all((keys[j] < cut).all() for j in range(k + 1)) and all((keys[j] >= cut).all() for j in range(k + 1, 8))
+    assert held.max() < 2 * held.sum() / 8 and held.min() > 0.3 * held.sum() / 8
+    assert len(N.pivots(np.zeros(4, np.int32), 8)) == 7
+
+
+def test_partial_counts_of_the_fragments_add_up_across_partitions(spark):
+    texts = [t for t in _variants(5, 60) if t and len(t.split()) > 7]
+    sets = {k: N.shingle_hashes(N.lower_words_of(t), 4) for k, t in enumerate(texts)}
+    sketch = _sketch_of(texts, 4)
+    cuts = N.pivots(sketch, N.FRAGMENTS)
+    tokens = spark.createDataFrame(
+        [(k, f, len(s), bytearray(p.tobytes())) for k, s in sets.items() for f, p in enumerate(N.fragments_of(s, sketch, cuts))],
+        "fp long, fragment int, n long, tokens binary").repartition(7)
+    half = len(sets) // 2
+    units = spark.createDataFrame([(1, 0, 0, 0, 1, int(k >= half), k) for k in sets] + [(2, 0, 0, 0, 0, 0, k) for k in sets],
+                                  "root long, low int, i int, high int, j int, side int, node long")
+    partial = N._partial_counts(units, tokens).collect()
+    assert len(partial) == 2 * N.FRAGMENTS and len({r.counts for r in partial}) > N.FRAGMENTS
+    for root in (1, 2):
+        rows = [r for r in partial if r.root == root]
+        assert len({(tuple(r.left), tuple(r.right)) for r in rows}) == 1
+        total = sum(np.frombuffer(N.zlib.decompress(r.counts), "<i4") for r in rows).reshape(len(rows[0].left), -1)
+        want = [[len(np.intersect1d(sets[a], sets[b])) for b in rows[0].right] for a in rows[0].left]
+        assert total.tolist() == want
+
+
+def test_long_texts_take_blocks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(N, "NODE_NGRAMS", 20)
+    monkeypatch.setattr(N, "BLOCK_NODES", 6)
+    _compare(spark, _variants(9), 4, 85)
+
+
 def test_odd_rows(spark):
     df = odd_documents(spark)
     rows = N.jaccard_classes(df, 4, 85).collect()
