@@ -56,7 +56,11 @@ _shipped: set[str] = set()
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session, with a checkpoint folder (the cluster's if it names one) and
-    this package sent to its Python workers, once per application."""
+    this package sent to its Python workers, once per application.
+
+    Where the session has Spark's default of 10,000 rows in an Arrow batch, it is
+    set to ``TEXT_ROWS``, as whole texts are large rows; any other choice stays.
+    """
     folder = ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
     if spark.conf.get(_ARROW_ROWS) == "10000":  # Spark's default; a session's own choice stays

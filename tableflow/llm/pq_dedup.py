@@ -7,7 +7,9 @@ closer than the largest distance of a link, which loses none.  Distances to a
 list's codes come from lookup tables, widened by each code's own error, and what
 is left is reranked by exact cosine in double precision.
 
-Equal vectors are one node with a count.  Lists are cut into blocks of a bounded
+Vectors of different lengths have quantisers of their own, fitted on their share of
+the sample, and meet in different units.  Equal vectors are one node with a count;
+labels and vectors are identified by a 64-bit hash of both.  Lists are cut into blocks of a bounded
 size, and a task compares a block of members with a block of probing vectors; it
 returns link counts and a spanning forest, never the pairs.
 """
@@ -35,8 +37,6 @@ MAX_LISTS = 512
 BLOCK_VECTORS = 1024
 SUBSPACES = 8
 CODEWORDS = 64
-#: Different vector lengths that may occur; more is an error.
-MAX_DIMENSIONS = 64
 _RERANK = 1 << 16
 
 
@@ -140,10 +140,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     ``n_links`` counts the other rows linked directly.  ``component_id`` is the
     smallest id reachable, ``kept`` tells whether it is the row's own.  Null, zero
     and non-finite vectors and those with a null label link with nothing; a null id
-    stays null.  Repeated rows link with each other.
+    stays null, and so does its ``kept``.  Repeated rows link with each other.  An
+    empty table gives no rows; other columns are not carried.
     """
     prepared(vectors.sparkSession)
-    spark = vectors.sparkSession
     rows = vectors.select(col(id_col).alias("vec_id"), col(label_col).cast("string").alias("label"),
                           col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.withColumn("node", F.when(_usable(F.col("vector"), F.col("label")), F.xxhash64("label", "vector")))
@@ -151,17 +151,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     nodes = stored(rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("vec_id").alias("first_id"), F.count("*").alias("copies"), F.first("label").alias("label"),
         F.first("vector").alias("vector")).withColumn("dim", F.size("vector")))
-    counted = nodes.groupBy("dim").agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")) \
-        .limit(MAX_DIMENSIONS + 1).collect()
-    if len(counted) > MAX_DIMENSIONS:
-        raise ValueError(f"more than {MAX_DIMENSIONS} vector lengths")
-    links = None
-    for r in counted:  # nearly always one
-        found = _links(nodes.where(F.col("dim") == r["dim"]), r["dim"], r["n"], max(1, r["labels"]), threshold, list_vectors)
-        links = found if links is None else links.union(found)
-    if links is None:
-        links = spark.createDataFrame([], "a long, b long, n long")
-    links = stored(links)
+    links = stored(_links(nodes, threshold, list_vectors))
     direct = links.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(links.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "member")
     known = (nodes.select("node", "first_id", "copies").join(direct, "node", "left")
@@ -176,36 +166,51 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     ).withColumn("kept", F.col(out_id) == F.col("component_id"))
 
 
-def _links(nodes: DataFrame, dim: int, n: int, labels: int, threshold: float, list_vectors: int) -> DataFrame:
-    """``a, b, n``: link counts (``b`` null) and forests of links (``n`` 0) of the vectors of one length."""
-    spark = nodes.sparkSession
-    share = min(1.0, SAMPLE_VECTORS / n)
+def _quantisers(nodes: DataFrame, list_vectors: int) -> dict[int, Quantiser]:
+    """Quantisers by vector length, fitted on one bounded sample of all vectors.
+
+    A length that the sample misses has one list around 0 and no codes to speak of:
+    its vectors are all compared exactly.  A row per length reaches the driver.
+    """
+    counted = nodes.groupBy("dim").agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")).collect()
+    share = min(1.0, SAMPLE_VECTORS / max(1, sum(r["n"] for r in counted)))
     chance = F.pmod(F.xxhash64(F.lit("pq"), "node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = nodes.where(chance < share).select("node", "vector").collect()
-    chosen = sorted((r["node"], r["vector"]) for r in sample) or [(r["node"], r["vector"]) for r in nodes.limit(1).collect()]
-    lists = max(1, min(MAX_LISTS, round(n / labels / list_vectors)))
-    held = spark.sparkContext.broadcast(fit(unit_rows(np.array([v for _, v in chosen], float)), lists))
+    sample: dict[int, list] = {}
+    for r in nodes.where(chance < share).select("dim", "node", "vector").collect():
+        sample.setdefault(r["dim"], []).append((r["node"], r["vector"]))
+    out = {}
+    for r in counted:
+        lists = max(1, min(MAX_LISTS, round(r["n"] / max(1, r["labels"]) / list_vectors)))
+        chosen = np.array([v for _, v in sorted(sample.get(r["dim"], []))], float).reshape(-1, r["dim"])
+        out[r["dim"]] = fit(unit_rows(chosen) if len(chosen) else np.zeros((1, r["dim"])), lists)
+    return out
+
+
+def _links(nodes: DataFrame, threshold: float, list_vectors: int) -> DataFrame:
+    """``a, b, n``: link counts (``b`` null) and forests of links (``n`` 0)."""
+    held = nodes.sparkSession.sparkContext.broadcast(_quantisers(nodes, list_vectors))
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = held.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = unit_rows(_matrix(batch.column("vector"), dim))
-            own, near = q.assign(x), q.probes(x, reach)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("label"), batch.column("copies"), batch.column("vector"),
-                 pa.array(own, pa.int32()), pa.array([np.flatnonzero(r) for r in near], pa.list_(pa.int32()))],
-                ["node", "label", "copies", "vector", "own", "probes"])
-
-    placed = stored(nodes.select("node", "label", "copies", "vector").mapInArrow(
-        place, "node long, label string, copies long, vector array<double>, own int, probes array<int>"))
-    probing = placed.select("label", F.explode("probes").alias("list")).groupBy("label", "list") \
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part, q = batch.filter(pa.array(dims == dim)), held.value[dim]
+                x = unit_rows(_matrix(part.column("vector"), dim))
+                own, near = q.assign(x), q.probes(x, reach)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("node", "dim", "label", "copies", "vector")),
+                     pa.array(own, pa.int32()), pa.array([np.flatnonzero(r) for r in near], pa.list_(pa.int32()))],
+                    ["node", "dim", "label", "copies", "vector", "own", "probes"])
+
+    placed = stored(nodes.select("node", "dim", "label", "copies", "vector").mapInArrow(
+        place, "node long, dim int, label string, copies long, vector array<double>, own int, probes array<int>"))
+    cell = ["dim", "label", "list"]
+    probing = placed.select("dim", "label", F.explode("probes").alias("list")).groupBy(*cell) \
         .agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("query_blocks"))
-    holding = placed.groupBy("label", F.col("own").alias("list")) \
+    holding = placed.groupBy("dim", "label", F.col("own").alias("list")) \
         .agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("member_blocks"))
-    sizes = holding.join(probing, ["label", "list"])
+    sizes = holding.join(probing, cell)
 
     def block(blocks: str) -> Column:
         return F.pmod(F.xxhash64(F.lit(blocks), "node"), F.col(blocks)).cast("int")
@@ -213,24 +218,24 @@ def _links(nodes: DataFrame, dim: int, n: int, labels: int, threshold: float, li
     def upto(blocks: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
-    members = (placed.withColumnRenamed("own", "list").join(sizes, ["label", "list"])
-               .select("label", "list", block("member_blocks").alias("i"), upto("query_blocks").alias("j"),
+    members = (placed.withColumnRenamed("own", "list").join(sizes, cell)
+               .select(*cell, block("member_blocks").alias("i"), upto("query_blocks").alias("j"),
                        F.lit(True).alias("member"), "node", "copies", "vector"))
-    queries = (placed.select("label", F.explode("probes").alias("list"), "node", "copies", "vector")
-               .join(sizes, ["label", "list"])
-               .select("label", "list", upto("member_blocks").alias("i"), block("query_blocks").alias("j"),
+    queries = (placed.select("dim", "label", F.explode("probes").alias("list"), "node", "copies", "vector")
+               .join(sizes, cell)
+               .select(*cell, upto("member_blocks").alias("i"), block("query_blocks").alias("j"),
                        F.lit(False).alias("member"), "node", "copies", "vector"))
 
     def compare(key: tuple, unit: pa.Table) -> pa.Table:
         unit = unit.combine_chunks()
         member = unit["member"].to_numpy()
         node, copies = unit["node"].to_numpy(), unit["copies"].to_numpy()
-        x = unit_rows(_matrix(unit["vector"].chunk(0), dim))
+        x = unit_rows(_matrix(unit["vector"].chunk(0), key[0].as_py()))
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
         a, b, count = [], [], []
         if len(m) and len(q):
-            quantiser = held.value
-            pairs = block_links(x[m], x[q], quantiser, quantiser.centres[key[1].as_py()], threshold)
+            quantiser = held.value[key[0].as_py()]
+            pairs = block_links(x[m], x[q], quantiser, quantiser.centres[key[2].as_py()], threshold)
             pairs = np.column_stack([q[pairs[:, 0]], m[pairs[:, 1]]])
             pairs = pairs[node[pairs[:, 0]] != node[pairs[:, 1]]]
             linked = np.bincount(pairs[:, 0], weights=copies[pairs[:, 1]], minlength=len(node)).astype(np.int64)
@@ -241,4 +246,4 @@ def _links(nodes: DataFrame, dim: int, n: int, labels: int, threshold: float, li
             count = [*linked[some].tolist(), *[0] * len(forest)]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(count, pa.int64())})
 
-    return members.union(queries).groupBy("label", "list", "i", "j").applyInArrow(compare, "a long, b long, n long")
+    return members.union(queries).groupBy(*cell, "i", "j").applyInArrow(compare, "a long, b long, n long")

@@ -124,12 +124,13 @@ def evaluate_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The ledger: ``id_col``, the measurements and ``failed_bits``, one row per input row.
 
     A null or empty text has all measurements 0 (and fails ``too_few_words``);
-    repeated rows stay repeated; a null id stays null; other columns of
-    ``docs`` are not carried.
+    repeated rows stay repeated; a null id stays null; an empty table gives an
+    empty ledger; other columns of ``docs`` are not carried.  An id column named
+    like one of the ledger's gets another name.
     """
+    out_id = fresh([*MEASURES, "failed_bits"], id_col)
     measured = docs.select(col(id_col).alias("_id"), _measured(col(text_col)).alias("_m"))
-    ledger = measured.select("_id", "_m.*").withColumn("failed_bits", _bits(rules))
-    return ledger.withColumnRenamed("_id", id_col)
+    return measured.select("_id", "_m.*").withColumn("failed_bits", _bits(rules)).withColumnRenamed("_id", out_id)
 
 
 def apply_policy(ledger: DataFrame, mask: int, kept_col: str = "kept") -> DataFrame:
@@ -158,7 +159,11 @@ def ablations(ledger: DataFrame, mask: int, rules: tuple[Rule, ...] = RULES) ->
 
 def keep_good(docs: DataFrame, mask: int, text_col: str = "text",
               rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs``, all columns, that the policy keeps."""
+    """The rows of ``docs``, all columns, that the policy keeps.
+
+    A null or empty text fails ``too_few_words``; null ids and repeated rows are
+    judged like any others; an empty table stays empty.
+    """
     held = fresh(docs.columns, "_ledger")
     marked = docs.withColumn(held, _measured(col(text_col)))
     return marked.where(_bits(rules, held).bitwiseAND(F.lit(mask).cast("long")) == 0).drop(held)

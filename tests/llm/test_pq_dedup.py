@@ -99,3 +99,14 @@ def test_probes_reach_every_near_list():
     q = P.fit(x, 12)
     reach = np.sqrt(((x - y) ** 2).sum(axis=1)).max() + 1e-9
     assert q.probes(x, reach)[np.arange(len(x)), q.assign(y)].all()
+
+
+def test_any_number_of_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = []
+    for dim in range(1, 91):
+        v = rng.normal(size=dim)
+        rows += [(4 * dim + k, [float(np.float32(x)) for x in v + rng.normal(size=dim) * e], 1) for k, e in enumerate((0, 0, 0.01, 2))]
+    _check(spark, rows)
+    monkeypatch.setattr(P, "SAMPLE_VECTORS", 40)  # most lengths are not in the sample
+    _check(spark, rows)

@@ -53,6 +53,12 @@ def test_odd_rows_and_clashing_columns(spark):
     assert Q.evaluate_rules(df.limit(0)).count() == 0
 
 
+def test_an_id_named_like_a_measure(spark):
+    df = spark.createDataFrame([(1, "a b c"), (None, None)], "n_words long, text string")
+    out = Q.evaluate_rules(df, id_col="n_words")
+    assert sorted(r.n_words for r in out.collect()) == [0, 3] and out.columns[0].startswith("n_words_")
+
+
 def test_policies_and_ablations(spark):
     ledger = Q.evaluate_rules(documents(spark)).cache()
     mask = Q.policy_mask(Q.POLICIES["full-1"])
