@@ -1,13 +1,16 @@
 """License scan by a positional rare-token index (DataFrame functions only).
 
-The index holds, for the rarest word of every license template's mandatory key
-phrase, the template and the word's place in the phrase; rarity is the document
-frequency measured over the scanned corpus.  A file's words are looked up, each
-posting gives the place where the key phrase would have to start, the phrase's
-other rare words must stand at their relative places, then the whole phrase and
-the template's other words are verified.  No place with the key phrase is passed
-over, whatever else of the template is missing.  Everything happens inside the file's own row: the scan
-has no shuffle, and the document-frequency pass one of at most a vocabulary of rows.
+A template is a passage of a license or notice with mandatory phrases in it.  The
+index holds, for the rarest words of these phrases (``RARE_WORDS`` of them), the
+template and the word's place; rarity is the document frequency measured over the
+scanned corpus.  A file's words are looked up: each posting says where the template
+would have to start, one list of such starts for each rank of rarity.  The lists
+are intersected, so a start stays only where all of a template's rare words agree,
+and only such starts are verified: first the mandatory phrases, then the share of
+the template's other words.  As the rare words stand in mandatory phrases, no place
+is passed over, whatever the corpus holds.  Everything happens inside the file's
+own row: the scan has no shuffle, and the document-frequency pass one of at most a
+vocabulary of rows.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Template:
-    """License words; ``key`` is the phrase in them that must stand exactly."""
+    """License words; the phrases of ``key``, parted by ``...``, must stand exactly at their places."""
 
     label: str
     text: str
@@ -39,13 +42,15 @@ class Template:
         return template_words(self.text)
 
     @property
-    def key_words(self) -> list[str]:
-        return template_words(self.key)
-
-    @property
-    def key_at(self) -> int:
-        w, k = self.words, self.key_words
-        return next(i for i in range(len(w) - len(k) + 1) if w[i:i + len(k)] == k)
+    def pieces(self) -> list[tuple[int, list[str]]]:
+        """Place and words of every mandatory phrase, one after the other."""
+        w, out, at = self.words, [], 0
+        for piece in self.key.split("..."):
+            k = template_words(piece)
+            at = next(i for i in range(at, len(w) - len(k) + 1) if w[i:i + len(k)] == k)
+            out.append((at, k))
+            at += len(k)
+        return out
 
 
 def template_words(text: str) -> list[str]:
@@ -59,28 +64,50 @@ PHRASES = (
     Template("cc-by-nc", "cc by nc", "cc by nc"),
 )
 
-#: Passages of public license texts and notices.
-TEMPLATES = (
-    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
-             "and associated documentation files", "permission is hereby granted free of charge"),
-    Template("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
-             "except in compliance with the License", "you may not use this file except in compliance with the license"),
-    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-             "provided that the following conditions are met", "redistribution and use in source and binary forms"),
-    Template("gpl-3", "licensed under the GNU General Public License, version 3", "gnu general public license version 3"),
-    Template("gpl-2", "licensed under the GNU General Public License, version 2", "gnu general public license version 2"),
-    Template("lgpl", "under the terms of the GNU Lesser General Public License", "gnu lesser general public license"),
-    Template("agpl", "under the terms of the GNU Affero General Public License", "gnu affero general public license"),
-    Template("mpl-2", "subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license"),
-    Template("cc-by-sa", "licensed under CC BY-SA 4.0", "cc by sa"),
-    Template("cc-by-nd", "licensed under CC BY-ND 4.0", "cc by nd"),
-    Template("cc-by", "Creative Commons Attribution 4.0 International License", "creative commons attribution 4 0"),
-    Template("unlicense", "This is free and unencumbered software released into the public domain",
-             "unencumbered software released into the public domain"),
-    Template("all-rights-reserved", "All rights reserved.", "all rights reserved"),
+#: Passages of public licenses and notices (fixed values): opening or granting sentences, notices, titles.
+PASSAGES = (
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+     "and associated documentation files", "permission is hereby granted free of charge"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+     "is hereby granted", "permission to use copy modify and ... distribute this software for any purpose with or without fee"),
+    ("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
+     "except in compliance with the License", "you may not use this file except in compliance with the license"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+     "provided that the following conditions are met", "redistribution and use in source and binary forms"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+     "following disclaimer", "redistributions of source code must retain"),
+    ("gpl-3", "licensed under the GNU General Public License, version 3", "gnu general public license version 3"),
+    ("gpl-2", "licensed under the GNU General Public License, version 2", "gnu general public license version 2"),
+    ("gpl-3", "GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+     "gnu general public license as published by the free software foundation ... version 3"),
+    ("gpl-2", "GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+     "gnu general public license as published by the free software foundation ... version 2"),
+    ("lgpl", "under the terms of the GNU Lesser General Public License", "gnu lesser general public license"),
+    ("agpl", "under the terms of the GNU Affero General Public License", "gnu affero general public license"),
+    ("mpl-2", "subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license"),
+    ("mpl-2", "Mozilla Public License Version 2.0", "mozilla public license version 2 0"),
+    ("cc-by-sa", "licensed under CC BY-SA 4.0", "cc by sa"),
+    ("cc-by-nd", "licensed under CC BY-ND 4.0", "cc by nd"),
+    ("cc-by", "Creative Commons Attribution 4.0 International License", "creative commons attribution 4 0"),
+    ("cc-by-sa", "Attribution-ShareAlike 4.0 International", "attribution sharealike 4 0 international"),
+    ("cc-by-nd", "Attribution-NoDerivatives 4.0 International", "attribution noderivatives 4 0 international"),
+    ("cc-by-nc", "Attribution-NonCommercial 4.0 International", "attribution noncommercial 4 0 international"),
+    ("unlicense", "This is free and unencumbered software released into the public domain",
+     "unencumbered software released into the public domain"),
+    ("all-rights-reserved", "All rights reserved.", "all rights reserved"),
 )
-#: Rare words of a key phrase that are compared first; the rarest is the index word.
+#: Identifiers of one-line notices (fixed values), after the words that introduce them.
+IDENTIFIER_LINE = "SPDX-License-Identifier:"
+IDENTIFIERS = (("mit", "MIT"), ("isc", "ISC"), ("apache-2", "Apache-2.0"), ("bsd", "BSD-2-Clause"), ("bsd", "BSD-3-Clause"),
+               ("gpl-3", "GPL-3.0"), ("gpl-2", "GPL-2.0"), ("lgpl", "LGPL"), ("agpl", "AGPL"), ("mpl-2", "MPL-2.0"),
+               ("cc-by", "CC-BY-4.0"), ("cc-by-sa", "CC-BY-SA"), ("cc-by-nd", "CC-BY-ND"), ("cc-by-nc", "CC-BY-NC"),
+               ("unlicense", "Unlicense"))
+TEMPLATES = (*(Template(*p) for p in PASSAGES),
+             *(Template(label, f"{IDENTIFIER_LINE} {name}", f"{IDENTIFIER_LINE} {name}") for label, name in IDENTIFIERS))
+#: Rare words of a template's mandatory phrases that are indexed.
 RARE_WORDS = 3
+#: Added to starts, which are below 0 where a file begins inside a template; templates are shorter.
+_SHIFT = 1 << 16
 #: Share of a template's words that must stand at their places.
 MIN_MATCH = 0.5
 
@@ -97,9 +124,11 @@ def word_frequencies(docs: DataFrame, vocabulary: Sequence[str], text_col: str =
 
 
 def rare_places(template: Template, idf: dict[str, float], n: int) -> list[int]:
-    """Places in the key phrase of its ``n`` rarest distinct words, rarest first; ties to the earlier place."""
-    words = template.key_words
-    first = {w: i for i, w in reversed(list(enumerate(words)))}
+    """Places in the template of the ``n`` rarest distinct words of its mandatory phrases, rarest first; ties to the earlier place."""
+    first: dict[str, int] = {}
+    for at, words in template.pieces:
+        for i, w in enumerate(words):
+            first.setdefault(w, at + i)
     return [first[w] for w in sorted(first, key=lambda w: (-idf.get(w, math.inf), first[w]))[:n]]
 
 
@@ -108,17 +137,34 @@ def _strings(words: Sequence[str]) -> Column:
 
 
 def _lookup(words: Column, places: dict[str, list[tuple[int, int]]]) -> Column:
-    """``template * 2**32 + start of its key phrase`` for every indexed word of the row, starts below 0 left out."""
+    """``template * 2**32 + start`` (shifted) for every indexed word of the row."""
     anchors = _strings(sorted(places))
     posting = F.create_map(*[x for w in sorted(places) for x in (
-        F.lit(w), F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.lit(p).cast("long").alias("p"))
-                            for t, p in places[w]]))])
+        F.lit(w), F.array(*[F.lit(t * (1 << 32) + _SHIFT - 1 - p).cast("long") for t, p in places[w]]))])
     at = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains(anchors, F.element_at(words, i)))
-    starts = F.flatten(F.transform(at, lambda i: F.transform(
-        F.filter(F.element_at(posting, F.element_at(words, i)), lambda q: q.getField("p") < i),
-        lambda q: q.getField("t") * (1 << 32) + i.cast("long") - 1 - q.getField("p"))))
-    nothing = F.array().cast("array<bigint>")
-    return F.when(F.arrays_overlap(words, anchors), starts).otherwise(nothing)
+    return F.flatten(F.transform(at, lambda i: F.transform(F.element_at(posting, F.element_at(words, i)), lambda q: q + i)))
+
+
+def _candidates(words: Column, templates: Sequence[Template], chosen: Sequence[list[int]]) -> Column:
+    """Starts on which the postings of all rare words of a template agree.
+
+    The words of each rank of rarity are one list of postings; a template with
+    fewer rare words is in the other lists by its rarest.
+    """
+    ranks: list[dict[str, list[tuple[int, int]]]] = []
+    for r in range(max(map(len, chosen))):
+        held: dict[str, list[tuple[int, int]]] = {}
+        for k, (t, places) in enumerate(zip(templates, chosen)):
+            p = places[r] if r < len(places) else places[0]
+            held.setdefault(t.words[p], []).append((k, p))
+        ranks.append(held)
+    agreed = F.array_distinct(_lookup(words, ranks[0]))
+    for held in ranks[1:]:
+        agreed = F.array_intersect(agreed, _lookup(words, held))
+    any_anchor = F.lit(True)
+    for held in ranks:  # most files have no word of some rank
+        any_anchor = any_anchor & F.arrays_overlap(words, _strings(sorted(held)))
+    return F.when(any_anchor, agreed).otherwise(F.array().cast("array<bigint>"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: Sequence[Template] = PHRASES,
@@ -138,57 +184,45 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     frequency = word_frequencies(docs, sorted(vocabulary), text_col)
     idf = {w: -math.log(frequency.get(w, 0) + 1.0) for w in vocabulary}
 
-    def postings(found: Sequence[Template], n: int) -> tuple[dict[str, list[tuple[int, int]]], list[list[int]]]:
-        places: dict[str, list[tuple[int, int]]] = {}
-        chosen = [rare_places(t, idf, n) for t in found]
-        for k, t in enumerate(found):
-            places.setdefault(t.key_words[chosen[k][0]], []).append((k, chosen[k][0]))
-        return places, chosen
-
-    exact_index, _ = postings(phrases, 1)
-    fuzzy_index, chosen = postings(templates, rare_words)
     out_id = fresh(["n_words", "places", "found", "base_labels", "labels", "score"], id_col)
     files = docs.select(col(id_col).alias("_id"), words_column(col(text_col)).alias("_words"))
     words = F.col("_words")
-    files = files.select("_id", "_words", _lookup(words, exact_index).alias("_exact"),
-                         F.array_distinct(_lookup(words, fuzzy_index)).alias("_fuzzy"))
 
-    exact_list = F.array(*[F.struct(F.lit(t.label).alias("label"), _strings(t.words).alias("words")) for t in phrases])
-    fuzzy_list = F.array(*[F.struct(
-        F.lit(t.label).alias("label"), _strings(t.words).alias("words"),
-        F.lit(t.key_at).alias("key_at"), _strings(t.key_words).alias("key"),
-        F.array(*[F.lit(p) for p in chosen[k]]).alias("rare")) for k, t in enumerate(templates)])
+    def candidates(of: Sequence[Template]) -> Column:
+        return _candidates(words, of, [rare_places(t, idf, rare_words) for t in of])
+
+    files = files.select("_id", "_words", candidates(phrases).alias("_exact"), candidates(templates).alias("_fuzzy"))
+
+    def listed(of: Sequence[Template]) -> Column:
+        return F.array(*[F.struct(F.lit(t.label).alias("label"), _strings(t.words).alias("words"), F.array(*[
+            F.struct(F.lit(at).alias("at"), _strings(k).alias("words")) for at, k in t.pieces]).alias("pieces")) for t in of])
+
+    exact_list, fuzzy_list = listed(phrases), listed(templates)
 
     def template_of(c: Column, held: Column) -> Column:
         return F.element_at(held, (F.shiftright(c, 32) + 1).cast("int"))
 
     def start_of(c: Column) -> Column:
-        return c.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        return c.bitwiseAND(F.lit((1 << 32) - 1)).cast("int") - _SHIFT
 
     def word_at(place: Column) -> Column:
         return F.get(F.col("_words"), place)
 
-    def verified(c: Column) -> Column:
-        t, s = template_of(c, exact_list), start_of(c)
-        return F.slice(F.col("_words"), s + 1, F.size(t.getField("words"))) == t.getField("words")
-
-    def plausible(c: Column) -> Column:
-        t, s = template_of(c, fuzzy_list), start_of(c)
-        rare = t.getField("rare")
-        agree = F.forall(rare, lambda p: F.coalesce(word_at(s + p) == F.get(t.getField("key"), p), F.lit(False)))
-        key = F.slice(F.col("_words"), s + 1, F.size(t.getField("key")))
-        return agree & (key == t.getField("key"))
+    def verified(c: Column, held: Column) -> Column:
+        def stands(piece: Column) -> Column:
+            first, phrase = start_of(c) + piece.getField("at"), piece.getField("words")
+            return F.when(first >= 0, F.slice(F.col("_words"), first + 1, F.size(phrase)) == phrase).otherwise(F.lit(False))
+        return F.forall(template_of(c, held).getField("pieces"), stands)
 
     def scored(c: Column) -> Column:
-        t = template_of(c, fuzzy_list)
-        s = start_of(c) - t.getField("key_at")
+        t, s = template_of(c, fuzzy_list), start_of(c)
         hits = F.filter(F.transform(t.getField("words"), lambda w, i: word_at(s + i) == w), lambda same: same)
         return F.struct(t.getField("label").alias("label"), s.cast("long").alias("start"),
                         (F.size(hits) / F.size(t.getField("words"))).alias("matched"))
 
-    places = F.transform(F.filter("_exact", verified), lambda c: F.struct(
+    places = F.transform(F.array_sort(F.filter("_exact", lambda c: verified(c, exact_list))), lambda c: F.struct(
         template_of(c, exact_list).getField("label").alias("label"), start_of(c).cast("long").alias("start")))
-    found = F.filter(F.transform(F.filter("_fuzzy", plausible), scored),
+    found = F.filter(F.transform(F.array_sort(F.filter("_fuzzy", lambda c: verified(c, fuzzy_list))), scored),
                      lambda f: f.getField("matched") >= min_match)
     out = files.select(F.col("_id").alias(out_id), F.size("_words").cast("long").alias("n_words"),
                        places.alias("places"), found.alias("found"))

@@ -68,32 +68,47 @@ SELECT doc_id, size, n AS source_size, target,
 """
 
 OP3 = r"""
-WITH template(kind, label, ws, ks, ka) AS (
-  SELECT kind, label, string_split(words, ' '), string_split(phrase, ' '), ka FROM (VALUES
-    (0, 'mit', 'under the mit license', 'under the mit license', 0),
-    (0, 'apache-2', 'apache license version 2', 'apache license version 2', 0),
-    (0, 'cc-by-nc', 'cc by nc', 'cc by nc', 0),
-    (1, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files', 'permission is hereby granted free of charge', 0),
-    (1, 'apache-2', 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license', 'you may not use this file except in compliance with the license', 10),
-    (1, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met', 'redistribution and use in source and binary forms', 0),
-    (1, 'gpl-3', 'licensed under the gnu general public license version 3', 'gnu general public license version 3', 3),
-    (1, 'gpl-2', 'licensed under the gnu general public license version 2', 'gnu general public license version 2', 3),
-    (1, 'lgpl', 'under the terms of the gnu lesser general public license', 'gnu lesser general public license', 5),
-    (1, 'agpl', 'under the terms of the gnu affero general public license', 'gnu affero general public license', 5),
-    (1, 'mpl-2', 'subject to the terms of the mozilla public license v 2 0', 'mozilla public license', 5),
-    (1, 'cc-by-sa', 'licensed under cc by sa 4 0', 'cc by sa', 2),
-    (1, 'cc-by-nd', 'licensed under cc by nd 4 0', 'cc by nd', 2),
-    (1, 'cc-by', 'creative commons attribution 4 0 international license', 'creative commons attribution 4 0', 0),
-    (1, 'unlicense', 'this is free and unencumbered software released into the public domain', 'unencumbered software released into the public domain', 4),
-    (1, 'all-rights-reserved', 'all rights reserved', 'all rights reserved', 0)) AS x(kind, label, words, phrase, ka)),
+WITH passage(kind, label, words, phrases) AS (VALUES
+    (0, 'mit', 'under the mit license', 'under the mit license'),
+    (0, 'apache-2', 'apache license version 2', 'apache license version 2'),
+    (0, 'cc-by-nc', 'cc by nc', 'cc by nc'),
+    (1, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files', 'permission is hereby granted free of charge'),
+    (1, 'isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted', 'permission to use copy modify and|distribute this software for any purpose with or without fee'),
+    (1, 'apache-2', 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license', 'you may not use this file except in compliance with the license'),
+    (1, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met', 'redistribution and use in source and binary forms'),
+    (1, 'bsd', 'redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer', 'redistributions of source code must retain'),
+    (1, 'gpl-3', 'licensed under the gnu general public license version 3', 'gnu general public license version 3'),
+    (1, 'gpl-2', 'licensed under the gnu general public license version 2', 'gnu general public license version 2'),
+    (1, 'gpl-3', 'gnu general public license as published by the free software foundation either version 3 of the license', 'gnu general public license as published by the free software foundation|version 3'),
+    (1, 'gpl-2', 'gnu general public license as published by the free software foundation either version 2 of the license', 'gnu general public license as published by the free software foundation|version 2'),
+    (1, 'lgpl', 'under the terms of the gnu lesser general public license', 'gnu lesser general public license'),
+    (1, 'agpl', 'under the terms of the gnu affero general public license', 'gnu affero general public license'),
+    (1, 'mpl-2', 'subject to the terms of the mozilla public license v 2 0', 'mozilla public license'),
+    (1, 'mpl-2', 'mozilla public license version 2 0', 'mozilla public license version 2 0'),
+    (1, 'cc-by-sa', 'licensed under cc by sa 4 0', 'cc by sa'),
+    (1, 'cc-by-nd', 'licensed under cc by nd 4 0', 'cc by nd'),
+    (1, 'cc-by', 'creative commons attribution 4 0 international license', 'creative commons attribution 4 0'),
+    (1, 'cc-by-sa', 'attribution sharealike 4 0 international', 'attribution sharealike 4 0 international'),
+    (1, 'cc-by-nd', 'attribution noderivatives 4 0 international', 'attribution noderivatives 4 0 international'),
+    (1, 'cc-by-nc', 'attribution noncommercial 4 0 international', 'attribution noncommercial 4 0 international'),
+    (1, 'unlicense', 'this is free and unencumbered software released into the public domain', 'unencumbered software released into the public domain'),
+    (1, 'all-rights-reserved', 'all rights reserved', 'all rights reserved')),
+spdx(label, id) AS (VALUES ('mit', 'mit'), ('isc', 'isc'), ('apache-2', 'apache 2 0'), ('bsd', 'bsd 2 clause'), ('bsd', 'bsd 3 clause'),
+    ('gpl-3', 'gpl 3 0'), ('gpl-2', 'gpl 2 0'), ('lgpl', 'lgpl'), ('agpl', 'agpl'), ('mpl-2', 'mpl 2 0'), ('cc-by', 'cc by 4 0'),
+    ('cc-by-sa', 'cc by sa'), ('cc-by-nd', 'cc by nd'), ('cc-by-nc', 'cc by nc'), ('unlicense', 'unlicense')),
+listed AS (SELECT * FROM passage UNION ALL
+           SELECT 1, label, 'spdx license identifier ' || id, 'spdx license identifier ' || id FROM spdx),
+template AS (SELECT kind, label, ws, list_transform(ps, lambda p: list_filter(range(len(ws)), lambda i: ws[i+1:i+len(p)] = p)[1]) AS pos, ps
+             FROM (SELECT kind, label, string_split(words, ' ') AS ws,
+                          list_transform(string_split(phrases, '|'), lambda x: string_split(x, ' ')) AS ps FROM listed)),
 d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
-near AS (SELECT r, w, kind, label, ws, ks, ka FROM d, template WHERE list_has_all(w, ks)),
-place AS (SELECT r, kind, label, ws, w, p - ka AS s FROM
-          (SELECT r, kind, label, ws, ks, ka, w, unnest(range(len(w))) AS p FROM near) WHERE w[p+1:p+len(ks)] = ks),
+near AS (SELECT r, w, kind, label, ws, pos, ps FROM d, template WHERE list_has_all(w, flatten(ps))),
+place AS (SELECT r, kind, label, ws, w, p - pos[1] AS s, pos, ps FROM (SELECT *, unnest(range(len(w))) AS p FROM near)
+          WHERE w[p+1:p+len(ps[1])] = ps[1]),
 hit AS (SELECT r, kind, label, s, len(list_filter(range(len(ws)), lambda j: s + j >= 0 AND w[s+1+j] = ws[j+1]))::DOUBLE / len(ws) AS matched
-        FROM place),
+        FROM place WHERE len(ps) = 1 OR w[s+pos[2]+1:s+pos[2]+len(ps[2])] = ps[2]),
 ok AS (SELECT * FROM hit WHERE kind = 0 OR matched >= 0.5),
 g AS (SELECT r, count(*) FILTER (WHERE kind = 0) AS n_base, min(s) FILTER (WHERE kind = 0) AS first_word,
              max(s) FILTER (WHERE kind = 0) AS last_word,

@@ -1,4 +1,11 @@
+import random
+
+import duckdb
+import pandas as pd
+from pyspark.sql import functions as F
+
 from tableflow.llm import license_index as L
+from tableflow.llm.oracles import OP3
 from tests.llm.helpers import odd_documents
 
 
@@ -57,6 +64,63 @@ def test_notices_whose_tail_is_cut_off_keep_their_label(spark):
         assert got[0].labels == "mit" and got[0].score == 0.65
 
 
+def test_notices_titles_and_identifiers(spark):
+    texts = {
+        "GNU General Public License as published by the Free Software Foundation, either version 3 of the License": "gpl-3",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2": "gpl-2",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted": "",
+        "// SPDX-License-Identifier: MIT": "mit", "# SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3",
+        "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by-sa", "Mozilla Public License Version 2.0": "mpl-2",
+        "Attribution-ShareAlike 4.0 International": "cc-by-sa",
+        "* Redistributions of source code must retain the above copyright notice, this list of conditions": "bsd",
+        "GNU General Public License as published by the Free Software Foundation, either way": "",
+        "the license identifier of the mit": "",
+    }
+    got = _scan(spark, list(texts))
+    assert [got[k].labels for k in range(len(texts))] == list(texts.values())
+
+
+def test_the_intersection_decides_what_is_verified(spark):
+    """Starts come only from agreement of all of a template's rare words."""
+    words = L.template_words("spdx x license x identifier x mit  spdx license identifier mit  identifier license spdx")
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    t = [x for x in L.TEMPLATES if x.key.startswith("SPDX")][:1]
+    chosen = [L.rare_places(t[0], {}, 3)]
+    assert len(set(chosen[0])) == 3
+    got = df.select(L._candidates(F.col("w"), t, chosen).alias("c")).first().c
+    assert [c - L._SHIFT for c in got] == [7]
+    one = df.select(L._candidates(F.col("w"), t, [c[:1] for c in chosen]).alias("c")).first().c
+    assert len(one) == 3
+
+
+def test_a_file_full_of_one_rare_word(spark):
+    got = _scan(spark, ["spdx " * 30_000 + "license identifier mit", "mit " * 30_000])
+    assert got[0].labels == "mit" and got[1].labels == ""
+
+
+def test_query_and_sql_agree_on_texts_cut_at_either_end(spark):
+    rng = random.Random(3)
+    rows = []
+    for t in (*L.PHRASES, *L.TEMPLATES):
+        w = t.words
+        for _ in range(6):
+            a, b = sorted(rng.sample(range(len(w) + 1), 2))
+            pad = rng.choice([[], ["x"], ["license"], ["the", "gnu"]])
+            rows.append((len(rows), " ".join([*rng.choice([[], pad]), *w[a:b], *rng.choice([[], pad])])))
+        rows.append((len(rows), " - ".join(w).upper()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = L.scan(docs)
+    got = sorted((r.doc_id, r.n_words, len(r.places), r.base_labels, r.labels, round(r.score, 9)) for r in out.collect())
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    cur = con.execute(OP3)
+    names = [c[0] for c in cur.description]
+    want = sorted((r["doc_id"], r["n_words"], r["n_base"], r["base_labels"], r["labels"], round(r["score"], 9))
+                  for r in (dict(zip(names, x)) for x in cur.fetchall()))
+    assert got == want and sum(bool(r[4]) for r in got) > 60
+
+
 def test_odd_rows(spark):
     df = odd_documents(spark)
     rows = L.scan(df).collect()
