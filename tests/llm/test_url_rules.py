@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from tableflow.llm import url_rules as U
@@ -56,3 +59,31 @@ def test_longest_rule_wins(spark, rules):
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in U.judge(df, U.rule_table(spark, rules)).collect()}
     assert got == {k: brute(u, rules) for k, u in enumerate(urls)}
+
+
+def test_many_rules_of_many_lengths(spark):
+    """Ten thousand rules with 300 path lengths: one plan, and a third of the pages share an expression."""
+    rng = random.Random(4)
+    rules = [(rng.choice(["allow", "block"]), f"h{rng.randint(0, 99)}.{rng.choice(['org', 'co.uk'])}/" + "p" * rng.randint(0, 299) + str(k % 10))
+             for k in range(10_000)] + [("allow", "net/")]
+    urls = [f"http://{rng.choice(['', 'www.'])}h{rng.randint(0, 120)}.{rng.choice(['org', 'co.uk'])}/" + "p" * rng.randint(0, 320)
+            + rng.choice("0123456789") + "/x" for _ in range(200)] + [f"http://{k}.poker.net/{k}" for k in range(100)]
+    rules_df, pages = U.rule_table(spark, rules), spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    began = time.monotonic()
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in U.judge(pages, rules_df).collect()}
+    assert time.monotonic() - began < 30
+    assert got == {k: brute(u, rules) for k, u in enumerate(urls)}
+    assert U._lengths(rules_df)[2][:3] == [1, 2, 3] or len(U._lengths(rules_df)[2]) > 200
+
+
+def test_hot_expressions_are_spread_when_rules_are_not_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        urls = [f"http://w{k}.org/es/" for k in range(300)] + [None, "http://casino.example.net/"]
+        df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        out = U.judge(df, U.rule_table(spark, RULES))
+        assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()} == {k: brute(u) for k, u in enumerate(urls)}
+        assert "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
