@@ -44,7 +44,7 @@ MAP_BITS, MOST_MAP_BITS = 1 << 20, 1 << 31
 #: Posting lists up to this long are paired, longer ones go to blocks.
 SHORT_LIST = 64
 #: Nodes of a block; a node of more n-grams than NODE_NGRAMS counts as several.
-BLOCK_NODES, NODE_NGRAMS = 256, 4096
+BLOCK_NODES, NODE_NGRAMS = 512, 2048
 #: Fragments of the global order of n-grams.
 FRAGMENTS = 8
 #: N-grams that two blocks have in common and that are counted by one matrix product.
