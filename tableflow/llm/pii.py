@@ -209,12 +209,143 @@ def _joined(m: re.Match) -> str | None:
     return new
 
 
+_TOP = re.compile(_LAST_LABEL, re.I)
+#: ``@`` and ``.`` as character references and percent codes.
+_CODED = re.compile(r"&#0*64;|&#x0*40;|&commat;|%40|&#0*46;|&#x0*2e;|&period;|%2e", re.I)
+#: A comma for the last dot of an address.
+_COMMA = re.compile(rf"(?<=@)[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+,{_LAST_LABEL}(?![A-Za-z0-9-])", re.I)
+_DOMAIN_AHEAD = rf"(?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*?\.{_LAST_LABEL}(?![A-Za-z0-9-]))"
+#: An ``@`` with blanks around, or an ``a`` in brackets, before a domain.
+_APART = re.compile(rf"(?<=[A-Za-z0-9_%+-])(?:[ ]{{0,2}}@[ ]{{1,2}}|[ ]{{1,2}}@|[ ]?[\[({{<]a[\])}}>][ ]?){_DOMAIN_AHEAD}", re.I)
+#: ``name_at_host_dot_com``, with underscores or hyphens.
+_SNAKE = re.compile(rf"(?<![A-Za-z0-9_-])[A-Za-z0-9%+.]++(?P<x>[_-])at(?P=x)[A-Za-z0-9]++(?:(?P=x)dot(?P=x)[A-Za-z0-9]++)*?"
+                    rf"(?P=x)dot(?P=x){_LAST_LABEL}(?![A-Za-z0-9_-])", re.I)
+#: Single characters with a blank between.
+_SPACED = re.compile(r"(?<![A-Za-z0-9])(?:[A-Za-z0-9._%+-] ){2,64}@ (?:[A-Za-z0-9-] ){1,64}(?:\. (?:[A-Za-z0-9-] ){0,63}[A-Za-z0-9-](?: (?=\.))?){1,6}"
+                     r"(?![A-Za-z0-9])(?! [A-Za-z0-9](?![A-Za-z0-9]))")
+_LETTER_DIGITS = str.maketrans("OolI", "0011")
+#: Letters among the digits of a card or of an address in numbers.
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])(?:[0-9OolI](?:[ -]?[0-9OolI]){15,18}|[0-9OolI]{1,3}(?:\.[0-9OolI]{1,3}){3})(?![A-Za-z0-9]|\.[0-9])")
+_LETTERED_HINT = re.compile(r"[0-9][ .-]?[OolI]{1,3}(?![A-Za-z])|(?<![A-Za-z])[OolI]{1,3}[ .-]?[0-9]")
+# English number words, and words that repeat the next digit.
+_TEENS = "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen"
+_TENS = "twenty thirty forty fifty sixty seventy eighty ninety"
+_REPEATS = {"double": 2, "triple": 3}
+_VALUE = ({w: k for k, w in enumerate(SPELLED_DIGITS[0].split())} | {w: 10 + k for k, w in enumerate(_TEENS.split())}
+          | {w: 20 + 10 * k for k, w in enumerate(_TENS.split())})
+_WORD_OF_NUMBER = rf"(?:{'|'.join(sorted([*_VALUE, 'hundred', 'and'], key=lambda w: (-len(w), w)))})"
+_NUMBERS = rf"{_WORD_OF_NUMBER}(?:[ -]{_WORD_OF_NUMBER}){{0,5}}"
+#: Four numbers in words with dots between.
+_WORDED_IP = re.compile(rf"(?<!\w)(?:{_NUMBERS}|[0-9]{{1,3}})(?:[ ](?:dot|point)[ ](?:{_NUMBERS}|[0-9]{{1,3}})){{3}}(?!\w)", re.I)
+#: A run of digits with ``double`` or ``triple`` in it.
+_REPEATED = re.compile(rf"(?<!\w)(?:(?:plus|\+)[ -]?)?(?:(?:(?:double|triple)[ ])?(?:{_SPELLED}|[0-9]++)[ ,-]{{1,2}}){{2,}}"
+                       rf"(?:(?:double|triple)[ ])?(?:{_SPELLED}|[0-9]++)(?!\w)", re.I)
+
+
+#: Some sign of any of these.
+_RARE_HINT = re.compile(rf"@|&#|&commat;|&period;|%40|%2e|[\[({{<]a[\])}}>]|[_-]at[_-]|[ ](?:dot|point)[ ]|(?:double|triple)[ ]|{_LETTERED_HINT.pattern}", re.I)
+
+
+def _sign_of_code(m: re.Match) -> str:
+    return "@" if re.search("64|40|commat", m[0], re.I) else "."
+
+
+def _snake_address(m: re.Match) -> str:
+    x = m["x"]
+    return re.sub(f"{x}at{x}", "@", re.sub(f"{x}dot{x}", ".", m[0], flags=re.I), count=1, flags=re.I)
+
+
+def _spaced_address(m: re.Match) -> str | None:
+    joined = m[0].replace(" ", "")
+    return joined if _TOP.fullmatch(joined.rpartition(".")[2]) else None
+
+
+def _lettered_number(m: re.Match) -> str | None:
+    digits = sum(map(str.isdecimal, m[0]))
+    if digits == len(m[0]) or 3 * digits < 2 * sum(c.isalnum() for c in m[0]):
+        return None
+    return m[0].translate(_LETTER_DIGITS)
+
+
+def _number_of(words: str) -> int | None:
+    """``one hundred ninety two`` and ``one sixty eight`` alike; None if it is no number as people say it."""
+    if words.isdecimal():
+        return int(words)
+    total, last = 0, 0
+    for w in words.lower().replace("-", " ").split():
+        if w == "and":
+            continue
+        if w == "hundred":
+            if not 0 < total < 10:
+                return None
+            total, last = total * 100, 100
+        else:
+            value = _VALUE[w]
+            if last == 100 or (last >= 20 and last % 10 == 0 and 0 < value < 10):
+                total += value
+            elif last == 0 and total == 0:
+                total = value
+            else:  # said digit by digit, or as one and sixty eight
+                total = total * (100 if value >= 10 else 10) + value
+            last = value or 1
+    return total
+
+
+def _worded_address(m: re.Match) -> str | None:
+    numbers = [_number_of(x) for x in re.split(r"[ ](?:dot|point)[ ]", m[0], flags=re.I)]
+    return ".".join(map(str, numbers)) if all(n is not None and n <= 255 for n in numbers) else None
+
+
+def _repeated_digits(m: re.Match) -> str | None:
+    out, times = [], 1
+    for w in _ITEM.findall(m[0]):
+        w = w.lower()
+        if w in _REPEATS:
+            times = _REPEATS[w]
+        else:
+            out.append((w if w == "+" or w.isdecimal() else _DIGIT_OF.get(w) or _SIGN_OF.get(w, "")) * times)
+            times = 1
+    new = "".join(out)
+    return new if len(new) > 7 and re.search("double|triple", m[0], re.I) else None
+
+
+def _more_readings(mapped: Mapped) -> list[Mapped]:
+    """Readings by the rarer disguises; each step runs only on texts that show its signs."""
+    text, lower, out = mapped.text, mapped.text.lower(), mapped
+    if "&" in text or "%40" in text or "%2e" in lower:
+        out = out.rewrite(_CODED, _sign_of_code)
+    if "@" in out.text:
+        out = out.rewrite(_SPACED, _spaced_address)
+        out = out.rewrite(_COMMA, lambda m: m[0].replace(",", "."))
+    if "@" in out.text or re.search(r"[\[({<]a[\])}>]", lower):
+        out = out.rewrite(_APART, lambda m: "@")
+    if "_at_" in lower or "-at-" in lower:
+        out = out.rewrite(_SNAKE, _snake_address)
+    if " dot " in lower or " point " in lower:
+        out = out.rewrite(_WORDED_IP, _worded_address)
+    if "double " in lower or "triple " in lower:
+        out = out.rewrite(_REPEATED, _repeated_digits)
+    if _LETTERED_HINT.search(out.text):
+        out = out.rewrite(_LETTERED, _lettered_number)
+    return [] if out is mapped else [out]
+
+
 def normalise(text: str) -> list[Mapped]:
     """Readings of the text without disguises, none if it shows no sign of any.
 
     The first joins digits that are all spelled; the others, where they differ, four
-    numbers with dots, then spelled and plain digits alike.
+    numbers with dots, then spelled and plain digits alike, then the rarer disguises:
+    character codes, blanks or commas in addresses, ``_at_``, number words above
+    nine, ``double`` digits and letters among digits.
     """
+    odd = _ODD.search(text)
+    if not odd and not _RARE_HINT.search(text):
+        return _readings(text)
+    plain = Mapped.of(text).rewrite(_ODD, _plain_character) if odd else Mapped.of(text)
+    return [*_readings(text), *_more_readings(plain)]
+
+
+def _readings(text: str) -> list[Mapped]:
     odd, hint = _ODD.search(text), _HINT.search(text)
     run = _may_spell(text) and _DIGIT_RUN.search(text)
     if not (odd or hint or run or any(map(_joined, _MIXED_RUN.finditer(text)))):
@@ -290,14 +421,20 @@ def spans_column(text: Column) -> Column:
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, spans``: one row per input row, ids null or repeated included; other columns are not carried."""
+    """``id_col, spans``: one row per input row, ids null or repeated included; other columns are not carried.
+
+    A null or empty text has no spans; an empty table gives no rows.
+    """
     prepared(docs.sparkSession)
     out_id = fresh(["spans"], id_col)
     return docs.select(col(id_col).alias(out_id), spans_column(col(text_col)).alias("spans"))
 
 
 def redacted(docs: DataFrame, text_col: str = "text", chars_col: str | None = None) -> DataFrame:
-    """``docs``, all rows and columns, with identifiers replaced; ``chars_col``, if given, gets the new length."""
+    """``docs``, all rows and columns, with identifiers replaced; ``chars_col``, if given, gets the new length.
+
+    A null text stays null; null ids and repeated rows stay; an empty table stays empty.
+    """
     prepared(docs.sparkSession)
     out = docs.withColumn(text_col, F.pandas_udf(_redact_batch, "string")(col(text_col)))
     if chars_col:

@@ -61,6 +61,36 @@ def test_short_and_mixed_runs_and_all_top_labels(kind, disguise):
         assert disguise not in P.redact(text)
 
 
+@pytest.mark.parametrize("kind,disguise", [
+    ("email", "john@example,com"), ("email", "john&#64;example.com"), ("email", "john&commat;example&#46;org"), ("email", "john%40example.com"),
+    ("email", "john (a) example.com"), ("email", "john[a]example.com"), ("email", "john ＠ example.com"), ("email", "john @ mail.example.com"),
+    ("email", "john_at_example_dot_com"), ("email", "john-at-mail-dot-example-dot-com"), ("email", "j o h n @ e x a m p l e . c o m"),
+    ("ip", "one hundred ninety two dot one sixty eight dot zero dot one"), ("ip", "ten dot twenty dot thirty one dot two hundred and five"),
+    ("phone", "plus one two one two double five five double zero one two"), ("card", "4111 1111 1111 l111"), ("card", "41ll-1111-1111-1111"),
+    ("ip", "l92.168.O.1")])
+def test_rarer_disguises(kind, disguise):
+    for text in (disguise, f"see {disguise}, thanks", f"in 80 cases ({disguise})", f"Ünder {disguise}"):
+        at = text.index(disguise)
+        spans = P.find_spans(text)
+        assert (kind, at, at + len(disguise), True) in spans, (text, spans)
+        assert [x for x in spans if x[0] == kind] == [(kind, at, at + len(disguise), True)]
+        assert disguise not in P.redact(text)
+
+
+@pytest.mark.parametrize("text", [
+    "a@b,c and more", "salt &#64; pepper", "50%40 of all", "plan (a) or (b) in example.com", "we meet @ noon", "stay_at_home_dot", "a b c @ d e f",
+    "one hundred dot two", "three hundred dot one dot one dot one", "a double five", "double zero seven", "lOl IIl OOo", "1O lines, 2l pages",
+    "sell at home-at-last", "x @ y . z z q q", "version l.2.3", "4111 1111 1111 l112", "ten points dot twenty", "look at example.com"])
+def test_texts_like_the_rarer_disguises_stay(text):
+    assert P.find_spans(text) == [] and P.redact(text) == text
+
+
+def test_numbers_in_words():
+    said = {"one hundred ninety two": 192, "one sixty eight": 168, "two hundred and five": 205, "one ninety-two": 192, "two five five": 255,
+            "seventeen": 17, "forty": 40, "one hundred": 100, "zero": 0, "127": 127, "hundred": None, "one oh": None}
+    assert {k: P._number_of(k) for k in said if k != "one oh"} == {k: v for k, v in said.items() if k != "one oh"}
+
+
 def test_plain_digits_beside_a_spelled_run_do_not_hide_it():
     for text, kind in (("four" + " one" * 15 + " 3 times", "card"), ("port 80 one two seven dot 0 dot 0 dot 1", "ip"),
                        ("10 one two seven dot zero dot zero dot one", "ip")):
@@ -86,7 +116,8 @@ def test_generated_documents_have_no_disguised_data(spark):
 
 def test_long_runs_take_linear_time():
     for text in ["a" * 300_000, "1" * 300_000, "1." * 150_000, "+" * 100_000, "+1 " * 100_000, "a@" * 100_000, "a [at] " * 30_000,
-                 "one " * 60_000, " dot " * 50_000, "a dot " * 40_000 + "at"]:
+                 "one " * 60_000, " dot " * 50_000, "a dot " * 40_000 + "at", "a @ " * 60_000, "l1 " * 80_000, "one hundred dot " * 20_000, "a_at_" * 50_000, "x@y," * 60_000,
+                 "double five " * 20_000, "a " * 100_000 + "@ b"]:
         P.find_spans(text)
 
 
