@@ -146,11 +146,11 @@ def _labels_values() -> str:
 def oracles() -> dict[str, str]:
     sq = {}
     sq["entry_flagship"] = (
-        "SELECT price_category, c_mktsegment, count(o_orderkey) AS n_orders, min(o_totalprice) AS min_price, "
-        "max(o_totalprice) AS max_price, count(DISTINCT o_custkey) AS n_customers FROM "
-        f"(SELECT o_orderkey, o_custkey, o_totalprice, {_price_case('o_totalprice')} AS price_category FROM orders) o "
-        "LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY price_category, c_mktsegment "
-        "ORDER BY n_orders DESC, price_category, c_mktsegment LIMIT 10"
+        "SELECT price_band, c_mktsegment, count(o_orderkey) AS n_orders, min(o_totalprice) AS least_total, "
+        "max(o_totalprice) AS greatest_total, count(DISTINCT o_custkey) AS n_customers FROM "
+        f"(SELECT o_orderkey, o_custkey, o_totalprice, {_price_case('o_totalprice')} AS price_band FROM orders) o "
+        "LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY price_band, c_mktsegment "
+        "ORDER BY n_orders DESC, price_band, c_mktsegment LIMIT 10"
     )
     sq["src_csv"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
@@ -228,8 +228,8 @@ def oracles() -> dict[str, str]:
     )
     sq["select_rename"] = "SELECT c_custkey AS custkey, c_name AS customer_name, c_mktsegment FROM customer"
     sq["case_bucket"] = (
-        f"SELECT price_category, count(o_orderkey) AS n_orders FROM (SELECT o_orderkey, "
-        f"{_price_case('o_totalprice')} AS price_category FROM orders) GROUP BY price_category"
+        f"SELECT price_band, count(o_orderkey) AS n_orders FROM (SELECT o_orderkey, "
+        f"{_price_case('o_totalprice')} AS price_band FROM orders) GROUP BY price_band"
     )
     sq["null_rows"] = f"SELECT DISTINCT user_id, event_type FROM {_EVENTS_E} WHERE event_type IS NULL"
     sq["null_count"] = (

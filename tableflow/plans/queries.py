@@ -117,15 +117,15 @@ def _price_conditions(col: str) -> list[tuple[Callable[[DataFrame], Column], str
 def q_entry_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     customer = load(spark, sf_dir, "customer")
-    bucketed = with_case(orders, "price_category", _price_conditions("o_totalprice"), PRICE_DEFAULT)
+    bucketed = with_case(orders, "price_band", _price_conditions("o_totalprice"), PRICE_DEFAULT)
     joined = join_mapped(bucketed, customer, {"o_custkey": "c_custkey"}, how="left",
                          sel=["c_custkey", "c_mktsegment"])
-    agg = aggregate(joined, ["price_category", "c_mktsegment"], {
+    agg = aggregate(joined, ["price_band", "c_mktsegment"], {
         "o_orderkey": {"n_orders": "count"},
-        "o_totalprice": {"min_price": "min", "max_price": "max"},
+        "o_totalprice": {"least_total": "min", "greatest_total": "max"},
         "o_custkey": {"n_customers": "countDistinct"},
     })
-    return top_n(agg, 10, "n_orders", tie_breaker=["price_category", "c_mktsegment"])
+    return top_n(agg, 10, "n_orders", tie_breaker=["price_band", "c_mktsegment"])
 
 
 # ---------------------------------------------------------------- sources / sinks
@@ -397,8 +397,8 @@ def q_select_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_case_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders")
-    b = with_case(orders, "price_category", _price_conditions("o_totalprice"), PRICE_DEFAULT)
-    return aggregate(b, "price_category", {"o_orderkey": {"n_orders": "count"}})
+    b = with_case(orders, "price_band", _price_conditions("o_totalprice"), PRICE_DEFAULT)
+    return aggregate(b, "price_band", {"o_orderkey": {"n_orders": "count"}})
 
 
 def _events_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,3 +191,35 @@ def test_dates_with_fewer_digits_or_text_after_them(spark):
     assert got == {k: v for k, (_, v) in enumerate(DATES)}
     named = spark.createDataFrame([("05 Jan 2020",), ("5 Jan 2020",)], "t string")
     assert [r.v for r in named.select(try_text_to_timestamp(F.col("t"), "dd MMM yyyy").alias("v")).collect()] == [dt.datetime(2020, 1, 5), None]
+
+
+@pytest.mark.parametrize("target,bits", [("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64)])
+def test_casts_at_the_bounds_of_a_type(spark, target, bits):
+    top = 1 << (bits - 1)
+    near = [top - 1, top, -top, -top - 1, 0, top - 2, 10 * top, -10 * top]
+    texts = [str(x) for x in near] + [f"+{top - 1}", f"000{top - 1}", f"{top - 1}.9", f"-000{top}", f"{top}.0", "9" * 40, "-0"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {r.k: r.v for r in df.select("k", safe_try_cast(F.col("t"), target, "string").alias("v")).collect()}
+    for k, t in enumerate(texts):
+        value = int(t.split(".")[0])
+        assert got[k] == (value if -top <= value < top else None), t
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(20,2)"])
+def test_numbers_out_of_bounds_are_null_and_others_as_cast(spark, kind):
+    values = ["2147483647", "2147483648", "-2147483648", "-2147483649", "0", "7", "9000000000"] + ([] if kind == "bigint" else ["2147483647.5", "-2147483648.5", "1.9"])
+    df = spark.createDataFrame([(v,) for v in values], "t string").select(F.col("t").cast(kind).alias("x"))
+    df = df.union(spark.createDataFrame([(None,)], "t string").select(F.col("t").cast(kind)))
+    rows = df.select(safe_try_cast(F.col("x"), "int", df.dtypes[0][1]).alias("a"), F.col("x").try_cast("int").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
+    if kind == "double":
+        odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (-float("inf"),)], "x double")
+        assert [r.v for r in odd.select(safe_try_cast(F.col("x"), "int", "double").alias("v")).collect()] == [None] * 3
+
+
+def test_dates_of_the_exact_pattern_and_loose_ones(spark):
+    texts = {"05/01/2020": "2020-01-05", "5/1/2020": "2020-01-05", "05/01/2020 10:00": "2020-01-05", " 05/01/2020": "2020-01-05",
+             "31/02/2020": None, "05-01-2020": None, "05/01/20": None, "x": None, "": None, "2020-01-05": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.d for r in df.select("t", try_text_to_timestamp(F.col("t"), "dd/MM/yyyy").cast("date").cast("string").alias("d")).collect()}
+    assert got == texts

@@ -43,7 +43,7 @@ def test_every_query_has_an_oracle():
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.columns == ["price_category", "c_mktsegment", "n_orders", "min_price", "max_price", "n_customers"]
+    assert df.columns == ["price_band", "c_mktsegment", "n_orders", "least_total", "greatest_total", "n_customers"]
     assert 0 < df.count() <= 10
 
 
