@@ -172,6 +172,13 @@ def oracles() -> dict[str, str]:
         "ELSE strftime(o_orderdate, '%m') END AS month FROM orders GROUP BY o_orderstatus, month"
     )
     sq["monthly_tables"] = sq["monthly_pipeline"]
+    sq["monthly_drift"] = (
+        "SELECT o_orderkey, CASE WHEN q = 1 THEN floor(o_totalprice) WHEN q = 2 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) "
+        "ELSE o_totalprice END AS o_totalprice, CASE WHEN q <> 3 THEN o_orderstatus END AS o_orderstatus, "
+        "CASE WHEN q > 2 THEN 'c' ELSE '' END || CAST(o_orderkey % 100 AS VARCHAR) AS o_code, "
+        "CASE WHEN q > 1 THEN o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%m') AS month "
+        "FROM (SELECT *, quarter(o_orderdate) AS q FROM orders)"
+    )
     sq["monthly_write"] = "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%m') AS month FROM orders"
     sq["rows_to_cells"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'cf' AS family, q AS qualifier, v AS value_hex FROM "

@@ -67,6 +67,7 @@ from tableflow.session import scratch_path
 from tableflow.sinks import to_csv, to_parquet
 from tableflow.sources import (
     inline_table,
+    month_labels,
     read_csv,
     read_monthly_output,
     read_parquet,
@@ -202,6 +203,23 @@ def q_monthly_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def q_monthly_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve monthly tables of orders whose columns come, go and widen, read as one."""
+    root = scratch_path(spark, "monthly-drift")
+    orders = load(spark, sf_dir, "orders")
+    price, code = F.col("o_totalprice"), F.col("o_orderkey") % 100
+    key, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    quarters = [
+        [key.cast("int").alias("o_orderkey"), F.floor(price).cast("int").alias("o_totalprice"), status, code.cast("int").alias("o_code")],
+        [key, F.round(price, 2).cast("decimal(12,2)").alias("o_totalprice"), priority, status, code.alias("o_code")],
+        [key, price, priority, F.concat(F.lit("c"), code.cast("string")).alias("o_code")],
+        [key, price, status, priority, F.concat(F.lit("c"), code.cast("string")).alias("o_code")]]
+    for mm in month_labels():
+        of_month = orders.where(F.date_format("o_orderdate", "MM") == mm)
+        of_month.select(*quarters[(int(mm) - 1) // 3]).write.parquet(f"{root}/orders_{mm}")
+    return readin_monthly(spark, root, "orders", lambda month: month, widen=True)
+
+
 def q_monthly_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "monthly-out")
     orders = load(spark, sf_dir, "orders")
@@ -795,6 +813,7 @@ def registry() -> dict[str, Query]:
         "sink_parquet": q_sink_parquet,
         "monthly_pipeline": q_monthly_pipeline,
         "monthly_tables": q_monthly_tables,
+        "monthly_drift": q_monthly_drift,
         "monthly_write": q_monthly_write,
         "rows_to_cells": q_rows_to_cells,
         "cells_scan_columns": q_cells_scan_columns,

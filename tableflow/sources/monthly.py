@@ -10,13 +10,14 @@ overwrite in one job.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableflow.operators.columns import safe_names
+from tableflow.sources.drift import conform_all
 
 MonthFn = Callable[[DataFrame], DataFrame]
 
@@ -47,6 +48,16 @@ def month_reader(spark: SparkSession, path: str, table: str, layout: str = "suff
     raise ValueError("layout must be 'suffix' or 'hive'")
 
 
+def months_with_own_schemas(spark: SparkSession, path: str, table: str, months: Sequence[str],
+                            layout: str = "suffix") -> dict[str, DataFrame]:
+    """The months, each read by the schema of its own files and conformed to the one that joins them all."""
+    if layout not in ("suffix", "hive"):
+        raise ValueError("layout must be 'suffix' or 'hive'")
+    where = (lambda mm: f"{table}_{mm}") if layout == "suffix" else (lambda mm: os.path.join(table, f"month={mm}"))
+    # files of one month may differ too: their schemas are merged by the reader
+    return conform_all({mm: spark.read.option("mergeSchema", "true").parquet(os.path.join(path, where(mm))) for mm in months})
+
+
 def readin_monthly(
     spark: SparkSession,
     path: str,
@@ -56,15 +67,24 @@ def readin_monthly(
     end_month: int = 12,
     layout: str = "suffix",
     undated: bool = False,
+    widen: bool = False,
 ) -> DataFrame:
     """Apply ``fn`` to each month's table separately; union with a ``month`` column.
 
-    ``undated`` also takes the rows without a date, under the label ``00``.
+    ``undated`` also takes the rows without a date, under the label ``00``.  With
+    ``widen`` the months may differ in their columns and types: ``fn`` gets every
+    month with the schema that joins theirs (see ``drift``); without, a difference
+    is an error.
     """
-    month_source = month_reader(spark, path, table, layout)
+    months = month_labels(start_month, end_month, undated)
+    if widen:
+        tables = months_with_own_schemas(spark, path, table, months, layout)
+    else:
+        month_source = month_reader(spark, path, table, layout)
+        tables = {mm: month_source(mm) for mm in months}
     parts = []
-    for mm in month_labels(start_month, end_month, undated):
-        parts.append(safe_names(month_source(mm).transform(fn)).withColumn("month", F.lit(mm)))
+    for mm in months:
+        parts.append(safe_names(tables[mm].transform(fn)).withColumn("month", F.lit(mm)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
