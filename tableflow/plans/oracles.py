@@ -402,6 +402,7 @@ SELECT file, CASE WHEN odd THEN charset ELSE 'US-ASCII' END AS charset, n_bytes,
         "JOIN l ON l.p = o_orderpriority"
     )
     sq["stream_spool"] = _flow("docs", DEFAULT_LINE_LIMIT)
+    sq["stream_wide_charset"] = _flow("docs_utf16", DEFAULT_LINE_LIMIT)
     sq["stream_charset"] = _flow("docs_cp1252", DEFAULT_LINE_LIMIT)
     sq["stream_line_chunk"] = _flow("long_lines", LONG_LINE_LIMIT)
     sq["stream_idle_close"] = (

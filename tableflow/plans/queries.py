@@ -758,6 +758,11 @@ def q_stream_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_doc_flows(spark, sf_dir, F.lit("docs_cp1252"), {"docs_cp1252": {"charset": SPOOL_CHARSET}})
 
 
+def q_stream_wide_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A spool in UTF-16LE: lines end at two bytes, not at one."""
+    return _run_doc_flows(spark, sf_dir, F.lit("docs_utf16"), {"docs_utf16": {"charset": "UTF-16LE"}})
+
+
 def q_stream_line_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_doc_flows(spark, sf_dir, F.lit("long_lines"),
                           {"long_lines": {"max_line_length": LONG_LINE_LIMIT}})
@@ -871,6 +876,7 @@ def registry() -> dict[str, Query]:
         "assemble": q_assemble,
         "stream_spool": q_stream_spool,
         "stream_charset": q_stream_charset,
+        "stream_wide_charset": q_stream_wide_charset,
         "stream_line_chunk": q_stream_line_chunk,
         "stream_multi_flow": q_stream_multi_flow,
         "stream_idle_close": q_stream_idle_close,

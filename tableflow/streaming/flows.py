@@ -3,8 +3,9 @@
 A *flow* watches one directory of text files and delivers every line as a
 text line into a sink directory, one output set per source file base name:
 
-* lines are decoded from the flow's charset (strict UTF-8 by default: bad
-  bytes fail the batch, as an undeclared charset does in a spool agent);
+* lines are split at the line feed of the flow's charset, also where that is
+  several bytes, and decoded from it (strict UTF-8 by default: bad bytes fail the
+  batch, as an undeclared charset does in a spool agent);
 * a line longer than ``max_line_length`` characters is cut and continues in
   the next line(s) (default 2048);
 * the query is checkpointed, so a restart on the same checkpoint neither
@@ -17,10 +18,12 @@ with its own checkpoint, so flows are added or stopped one by one.
 from __future__ import annotations
 
 import os
+import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +41,11 @@ from tableflow.functions.text import chunk_text, split_lines
 
 
 # Charsets Spark's encode/decode accept without the legacy Java-charset switch.
-_STANDARD_CHARSETS = {"utf-8", "us-ascii", "iso-8859-1"}
-# Lines end at one byte, which cuts characters of these in half.
-_WIDE_CHARSETS = ("utf-16", "utf16", "utf-32", "utf32", "ucs-2", "ucs2", "ucs-4", "ucs4")
+_STANDARD_CHARSETS = {"utf-8", "us-ascii", "iso-8859-1", "utf-16le", "utf-16be"}
+# Charsets whose line feed is several bytes: how many, and the place of the byte that is not 0.
+_WIDE_CHARSETS = {"utf-16le": (2, 0), "utf-16be": (2, 1), "utf-32le": (4, 0), "utf-32be": (4, 3)}
+# These leave the byte order to a mark at the start of a file, which its later parts do not see.
+_UNORDERED_CHARSETS = ("utf-16", "utf-32", "ucs-2", "ucs-4", "iso-10646-ucs-2")
 
 
 @dataclass(frozen=True)
@@ -62,9 +67,70 @@ class FlowSpec:
         _check_charset(self.charset)
 
 
+def _plain_name(charset: str | None) -> str:
+    name = (charset or "").lower().replace("_", "-").removeprefix("x-")
+    return re.sub(r"^(utf|ucs)-?([0-9]+)-?", r"\1-\2", name)
+
+
+def _wide(charset: str | None) -> tuple[int, int] | None:
+    return _WIDE_CHARSETS.get(_plain_name(charset))
+
+
 def _check_charset(charset: str | None) -> None:
-    if charset is not None and charset.lower().replace("_", "-").removeprefix("x-").startswith(_WIDE_CHARSETS):
-        raise ValueError(f"charset {charset}: lines are split at single bytes; convert the files first")
+    if _wide(charset) is None and _plain_name(charset).startswith(_UNORDERED_CHARSETS):
+        raise ValueError(f"charset {charset}: name the byte order, as in UTF-16LE")
+
+
+def line_separator(charset: str | None) -> str:
+    """The line feed of a charset, as the text whose UTF-8 bytes are the ones it has there."""
+    wide = _wide(charset)
+    return "\n" if wide is None else "\0" * wide[1] + "\n" + "\0" * (wide[0] - wide[1] - 1)
+
+
+def whole_characters(lines: DataFrame, charset: str | None, col: str = "value") -> DataFrame:
+    """Lines of a wide charset with those joined again that were cut inside two characters.
+
+    The bytes of a line feed can also stand across two characters: then the pieces on
+    both sides are no whole number of characters.  They follow each other where the
+    file is read, and are joined there; if the rest of a line is in another part of
+    the file, the read fails rather than give half characters.  A byte order mark at
+    the start of a file is no part of its first line.  Other charsets pass.
+    """
+    wide = _wide(charset)
+    if wide is None:
+        return lines
+    width, feed = wide[0], line_separator(charset).encode()
+    mark = "\ufeff".encode(_plain_name(charset))
+    others = [c for c in lines.columns if c not in (col, "_metadata")]
+    held = lines.select(*[F.col(c) for c in others], F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.file_block_start").alias("_start"), F.col(col).cast("binary").alias(col))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, open_ = None, b""
+        for batch in batches:
+            kept, values = [], []
+            at = [batch.schema.get_field_index(c) for c in ("_file", "_start", col)]
+            for k, (file, start, value) in enumerate(zip(*(batch.column(i).to_pylist() for i in at))):
+                if (file, start) != part:
+                    if open_:
+                        raise ValueError(f"a line of {part[0]} is cut between parts of the file inside a character")
+                    part = (file, start)
+                    value = value.removeprefix(mark) if start == 0 else value
+                value = open_ + value
+                if len(value) % width:
+                    open_ = value + feed
+                else:
+                    open_ = b""
+                    kept.append(k)
+                    values.append(value)
+            rows = batch.take(pa.array(kept, pa.int64()))
+            columns = [rows.column(rows.schema.get_field_index(c)) for c in others]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary())], [*others, col])
+        if open_:
+            raise ValueError(f"a line of {part[0]} is cut between parts of the file inside a character")
+
+    kinds = dict(held.dtypes)
+    return held.mapInArrow(join, ", ".join(f"`{c}` {kinds[c]}" for c in [*others, col]))
 
 
 def _needs_legacy_charsets(charset: str | None) -> bool:
@@ -100,14 +166,17 @@ def chunk_lines(lines: DataFrame, max_line_length: int, col: str = "value") -> D
 def spool_stream(spark: SparkSession, spec: FlowSpec) -> DataFrame:
     """Streaming frame (basename, value) of one spool directory."""
     # only a line feed ends a line: a carriage return is part of it
-    reader = spark.readStream.format("text").option("lineSep", "\n")
+    reader = spark.readStream.format("text").option("lineSep", line_separator(spec.charset))
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", spec.max_files_per_trigger)
     if spec.archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", spec.archive_dir)
-    raw = reader.load(spec.spool_dir).select(
-        F.col("_metadata.file_name").alias("basename"), F.col("value")
-    )
+    lines = reader.load(spec.spool_dir)
+    if _wide(spec.charset):
+        lines = lines.withColumn("basename", F.col("_metadata.file_name")).select("basename", "value", "_metadata")
+        raw = whole_characters(lines, spec.charset).select("basename", "value")
+    else:
+        raw = lines.select(F.col("_metadata.file_name").alias("basename"), F.col("value"))
     return chunk_lines(decode_lines(raw, spec.charset), spec.max_line_length)
 
 
@@ -196,7 +265,7 @@ def write_spool(
         )
         if charset is not None and charset.lower().replace("-", "") != "utf8":
             lines = lines.withColumn("value", F.encode(F.col("value"), charset).cast("string"))
-        lines.write.mode("overwrite").partitionBy(flow_col).text(spool_root, lineSep="\n")
+        lines.write.mode("overwrite").partitionBy(flow_col).text(spool_root, lineSep=line_separator(charset))
     finally:
         if view is not None:
             spark.catalog.dropGlobalTempView(view)
