@@ -179,6 +179,13 @@ def oracles() -> dict[str, str]:
         "CASE WHEN q > 1 THEN o_orderpriority END AS o_orderpriority, strftime(o_orderdate, '%m') AS month "
         "FROM (SELECT *, quarter(o_orderdate) AS q FROM orders)"
     )
+    sq["monthly_changed"] = (
+        "WITH o AS (SELECT *, strftime(o_orderdate, '%m') AS month FROM orders), "
+        "c AS (SELECT o_orderkey, month, CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM o WHERE month = '03') THEN 'X' "
+        "ELSE o_orderstatus END AS o_orderstatus FROM o) "
+        "SELECT o_orderstatus, count(*) AS n_orders, CASE WHEN month = '03' THEN 2 ELSE 1 END AS run, month FROM c "
+        "GROUP BY o_orderstatus, month"
+    )
     sq["monthly_write"] = "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%m') AS month FROM orders"
     sq["rows_to_cells"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'cf' AS family, q AS qualifier, v AS value_hex FROM "

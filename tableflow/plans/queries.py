@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,7 @@ from tableflow.sources import (
     read_parquet,
     readin_monthly,
     split_by_month,
+    write_changed_months,
     write_monthly,
     write_monthly_tables,
 )
@@ -220,6 +222,27 @@ def q_monthly_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readin_monthly(spark, root, "orders", lambda month: month, widen=True)
 
 
+def q_monthly_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly results written twice: between the runs one order of March changes, so the second
+    run computes March alone.  ``run`` tells which run wrote a month."""
+    root, out = scratch_path(spark, "monthly-changing"), scratch_path(spark, "monthly-changed")
+    orders = load(spark, sf_dir, "orders")
+    split_by_month(orders, "o_orderdate", root, "orders")
+
+    def counted(run: int) -> Callable[[DataFrame], DataFrame]:
+        return lambda month: aggregate(month, "o_orderstatus", {"o_orderkey": {"n_orders": "count"}}).withColumn("run", F.lit(run))
+
+    write_changed_months(spark, root, "orders", counted(1), out, "orders_status", layout="hive")
+    march = orders.where(F.date_format("o_orderdate", "MM") == "03")
+    first = march.agg(F.min("o_orderkey")).first()[0]
+    status = F.when(F.col("o_orderkey") == F.lit(first), "X").otherwise(F.col("o_orderstatus"))
+    changed = march.withColumn("o_orderstatus", status)
+    write_monthly(changed.withColumn("month", F.lit("03")), f"{root}/orders")
+    write_changed_months(spark, root, "orders", counted(2), out, "orders_status", layout="hive")
+    months = [spark.read.parquet(f"{out}/orders_status_{mm}").withColumn("month", F.lit(mm)) for mm in month_labels()]
+    return reduce(DataFrame.unionByName, months)
+
+
 def q_monthly_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "monthly-out")
     orders = load(spark, sf_dir, "orders")
@@ -819,6 +842,7 @@ def registry() -> dict[str, Query]:
         "monthly_pipeline": q_monthly_pipeline,
         "monthly_tables": q_monthly_tables,
         "monthly_drift": q_monthly_drift,
+        "monthly_changed": q_monthly_changed,
         "monthly_write": q_monthly_write,
         "rows_to_cells": q_rows_to_cells,
         "cells_scan_columns": q_cells_scan_columns,
