@@ -11,6 +11,8 @@ from tableflow.operators.cells import (
     cells_prefix_filter,
     cells_to_rows,
     create_cell_table,
+    indexed_prefix_filter,
+    key_ranges,
     prefix_filter,
     read_bulk,
     row_keys,
@@ -20,6 +22,7 @@ from tableflow.operators.cells import (
     upsert_cells,
     write_cells,
     write_bulk,
+    write_indexed_cells,
 )
 from tableflow.operators.charsets import byte_pairs, charset_advice, charset_scores, fit_charsets
 from tableflow.operators.columns import (

@@ -10,6 +10,7 @@ upserts (last write per cell wins).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,6 +229,55 @@ def cells_prefix_filter(
     return cells.join(matching, "rowkey", "left_semi")
 
 
+#: Key ranges that an indexed scan pushes down at most.
+MOST_RANGES = 64
+
+
+def write_indexed_cells(cells: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite",
+                        row_group_bytes: int = 16 << 20) -> None:
+    """Store cells twice: ``<path>/cells`` in the order of the row keys, and ``<path>/index``, by
+    qualifier and value, with the row keys that hold them."""
+    keys = ["rowkey", "family", "qualifier"]
+    rows = cells.select(*CELL_COLUMNS).repartitionByRange(num_files or _partitions_for(cells), *keys).sortWithinPartitions(*keys)
+    # row groups are what a scan can skip
+    rows.write.mode(mode).option("parquet.block.size", row_group_bytes).parquet(f"{path}/cells")
+    write_cells(cells, f"{path}/index", num_files, mode)
+
+
+def key_ranges(keys: DataFrame, most: int = MOST_RANGES) -> list[tuple[str, str]]:
+    """At most ``most`` ranges that cover all row keys: the least and greatest key of each beginning.
+
+    Keys are grouped by their first characters, as many as leave no more than
+    ``most`` groups; only those groups reach the driver.
+    """
+    # a longer beginning gives more groups: one pass finds how many characters are still few enough
+    lengths = [0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32]
+    groups = keys.agg(*[F.approx_count_distinct(F.left("rowkey", F.lit(n)), 0.02).alias(f"n{n}") for n in lengths]).first()
+    for n in reversed([n for n in lengths if groups[f"n{n}"] <= most]):
+        found = keys.groupBy(F.left("rowkey", F.lit(n))).agg(F.min("rowkey").alias("low"), F.max("rowkey").alias("high")).limit(most + 1).collect()
+        if len(found) <= most:
+            return sorted((r["low"], r["high"]) for r in found)
+    return []
+
+
+def indexed_prefix_filter(spark: SparkSession, path: str, qualifier: str, prefix: str, family: str = DEFAULT_FAMILY) -> DataFrame:
+    """All cells of the rows whose ``qualifier`` cell starts with ``prefix``, by the index.
+
+    The index gives the row keys (its filters are pushed down), their ranges are
+    pushed down to the cells, so row groups outside them are skipped, and a semi join
+    keeps the rows themselves.
+    """
+    index = spark.read.parquet(f"{path}/index")
+    found = (index.filter((F.col("qualifier") == qualifier) & F.col("value").startswith(prefix) & (F.col("family") == family))
+             .select("rowkey").distinct())
+    ranges = key_ranges(found)
+    cells = spark.read.parquet(f"{path}/cells")
+    if not ranges:
+        return cells.filter(F.lit(False))
+    inside = reduce(Column.__or__, [F.col("rowkey").between(low, high) for low, high in ranges])
+    return cells.filter(inside).join(found, "rowkey", "left_semi").select(*CELL_COLUMNS)
+
+
 def upsert_cells(
     base: DataFrame, updates: DataFrame, order_cols: Sequence[str], keep_order: bool = False
 ) -> DataFrame:

@@ -206,6 +206,7 @@ def oracles() -> dict[str, str]:
         f"WITH c AS ({PART_CELLS}) SELECT * FROM c WHERE rowkey IN "
         f"(SELECT rowkey FROM c WHERE family = 'cf' AND qualifier = 'p_name' AND starts_with(value, '{PREFIX}'))"
     )
+    sq["cells_indexed_filter"] = sq["cells_prefix_filter"]
     sq["cells_upsert"] = (
         "WITH w AS ("
         "SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'cf' AS family, 'c_name' AS qualifier, c_name AS value, "

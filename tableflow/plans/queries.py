@@ -32,6 +32,7 @@ from tableflow.operators import (
     explode_lines,
     fit_labels,
     index_labels,
+    indexed_prefix_filter,
     join_mapped,
     join_on,
     line_profile,
@@ -56,6 +57,7 @@ from tableflow.operators import (
     with_case,
     write_bulk,
     write_cells,
+    write_indexed_cells,
 )
 from tableflow.functions.hashing import salted_key
 from tableflow.operators.cells import salt_of
@@ -311,6 +313,13 @@ def q_cells_prefix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells_prefix_filter(_stored(spark, _part_cells(spark, sf_dir)), "p_name", PREFIX)
 
 
+def q_cells_indexed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix filter through an index of values beside cells in row-key order."""
+    path = scratch_path(spark, "indexed-cells")
+    write_indexed_cells(_part_cells(spark, sf_dir), path)
+    return indexed_prefix_filter(spark, path, "p_name", PREFIX)
+
+
 def q_cells_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer cells as the base version, then every event writes the cells
     ``event_type`` and ``props`` of its user; per cell the latest write wins."""
@@ -852,6 +861,7 @@ def registry() -> dict[str, Query]:
         "cells_to_rows": q_cells_to_rows,
         "prefix_filter": q_prefix_filter,
         "cells_prefix_filter": q_cells_prefix_filter,
+        "cells_indexed_filter": q_cells_indexed_filter,
         "cells_upsert": q_cells_upsert,
         "cells_store_upsert": q_cells_store_upsert,
         "salt_key": q_salt_key,

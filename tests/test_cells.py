@@ -1,11 +1,13 @@
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tableflow.functions import bytes4_to_int, digits_required, int_to_bytes4, java_string_hash, salted_key
 from tableflow.operators import (
-    cells_prefix_filter, cells_to_rows, prefix_filter, read_bulk, row_keys, rows_to_cells, salt_cells,
-    scan_columns, upsert_cells, write_bulk,
+    cells_prefix_filter, cells_to_rows, indexed_prefix_filter, key_ranges, prefix_filter, read_bulk, row_keys, rows_to_cells, salt_cells,
+    scan_columns, upsert_cells, write_bulk, write_indexed_cells,
 )
 from tableflow.operators.cells import create_cell_table
 from tableflow.session import scratch_path
@@ -176,3 +178,35 @@ def test_bulk_hash_ordering(spark, person):
         for salted_key, _, _ in v:
             owner.setdefault(salted_key, set()).add(f)
     assert all(len(fs) == 1 for fs in owner.values())
+
+
+def _scanned(df):
+    """Rows that the scan of a plan without a shuffle gave to its filter."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_an_index_of_values_gives_row_key_ranges_that_are_pushed_down(spark):
+    rows = [(f"k{i:05d}", f"{'red' if 700 <= i < 720 else 'blue'} {i}", str(i % 7)) for i in range(4000)]
+    cells = rows_to_cells(spark.createDataFrame(rows, "key string, colour string, size string"), "key")
+    path = scratch_path(spark, "indexed")
+    write_indexed_cells(cells, path, num_files=20)
+    got = indexed_prefix_filter(spark, path, "colour", "red")
+    want = cells_prefix_filter(cells, "colour", "red")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) and want.count() == 40
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(rowkey,k007" in plan and "LessThanOrEqual(rowkey,k007" in plan
+    found = spark.read.parquet(f"{path}/index").where("qualifier = 'colour' AND value LIKE 'red%'")
+    (low, high), = key_ranges(found, 1)
+    assert 40 <= _scanned(spark.read.parquet(f"{path}/cells").where(F.col("rowkey").between(low, high))) < cells.count() / 4
+    assert indexed_prefix_filter(spark, path, "colour", "green").count() == 0
+    assert indexed_prefix_filter(spark, path, "absent", "red").count() == 0
+
+
+def test_key_ranges_cover_all_keys_and_are_few(spark):
+    rng = random.Random(1)
+    for keys in (["a"], ["", "b", "ba"], [f"{rng.randint(0, 10 ** 9)}" for _ in range(3000)], ["same" * 10] * 50, [f"p{'x' * 40}{k}" for k in range(200)]):
+        ranges = key_ranges(spark.createDataFrame([(k,) for k in keys], "rowkey string"), 16)
+        assert 1 <= len(ranges) <= 16 and all(any(a <= k <= b for a, b in ranges) for k in keys)
+        assert all(low[1] < high[0] for low, high in zip(ranges, ranges[1:]))
+    assert key_ranges(spark.createDataFrame([], "rowkey string")) == []
