@@ -1,10 +1,13 @@
 """Removing repeated passages by sliding spans of sentences.
 
-A text is cut into sentences; a long one is cut further after words chosen by
-their hash.  Whether a word ends a sentence depends on that word and its line end
-alone, so a passage is cut alike wherever it stands.  Every run of several
+A text is cut after the words that end in ``. ! ?``, at the end of every line with a
+word, and after one word in ``CUT_EVERY``, chosen by its hash whatever the length of
+the sentence: the pieces, called sentences here, are a few words long.  Whether a word
+ends one depends on that word and its line end alone, so a passage is cut alike
+wherever it stands, also in the middle of a sentence.  Every run of several
 consecutive sentences is hashed and looked up in the whole corpus.  The first
-occurrence of a run stays; sentences that any later one covers are removed.
+occurrence of a run stays; sentences that any later one covers are removed, and so
+removal can begin and end inside a grammatical sentence.
 """
 
 from __future__ import annotations
@@ -148,8 +151,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``removed`` lists the code-point spans taken out of the input text.  The first
     occurrence of a run is that of the smallest id (null last), then row key, then
     place.  Rows alike in id and text are one document listed twice and get the same
-    result.  A null text stays null with no sentences; empty and short texts have no
-    runs and stay.  Other columns are not carried.
+    result: copies that differ in neither stay, all of them.  A null text stays null
+    with no sentences; empty and short texts have no runs and stay; an empty table
+    gives no rows.  Other columns are not carried.
     """
     prepared(docs.sparkSession)
     texts = docs.select(col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("rowkey"), col(text_col).alias("text"))
