@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Every stage takes the session, the documents its predecessor kept and the folder
-of the tables.  All but the last return the columns of ``documents``.
+of of the tables.  All but the last return the columns of ``documents``.  Extra columns,
+whatever their names, are carried by all but the last; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -15,29 +16,38 @@ from tableflow.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality policy rejects go."""
+    """Documents that the quality policy rejects go, null, empty and short texts among them.
+
+    Null ids and repeated rows are judged like any others.
+    """
     prepared(spark)
     return quality_ledger.keep_good(docs, quality_ledger.policy_mask(quality_ledger.POLICIES[POLICY]))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays (five words, similarity 0.8)."""
+    """One document of each near-duplicate class stays (five words, similarity 0.8): the smallest id, null last.
+
+    Of rows alike in id and text one stays; texts without words have no class and stay.
+    """
     return ngram_join.keep_one(docs, 5, 80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind."""
+    """Personal data is replaced by its kind, in whole texts; null texts stay null, and no row goes."""
     return pii.redacted(docs, chars_col="n_chars")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, the last time cut after its last word taken.
+
+    Null and empty texts are never taken; null is a source; each of several rows alike has its own share.
+    """
     prepared(spark)
     return mixture.mixed_rows(docs, weight_by_place, chars_col="n_chars")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the mix with their places in sequences."""
+    """Token pieces of the mix with their places in sequences; a null or empty text is its end token alone."""
     return packing.pack_documents(docs, tokenizer_path(TOKENIZER))
 
 
