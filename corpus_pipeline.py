@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Every stage takes the session, the documents its predecessor kept and the folder
-of of the tables.  All but the last return the columns of ``documents``.  Extra columns,
+of the tables.  All but the last return the columns of ``documents``.  Extra columns,
 whatever their names, are carried by all but the last; an empty table gives an empty one.
 """
 
