@@ -1,17 +1,20 @@
 """Near-duplicate vectors by product quantisation.
 
-A coarse quantiser puts every vector into an inverted list of its label; the
-residual to the list's centre is coded per subspace.  A vector probes every list
-whose cell can hold a partner: those with the bisector towards their centre
-closer than the largest distance of a link, which loses none.  Distances to a
-list's codes come from lookup tables, widened by each code's own error, and what
-is left is reranked by exact cosine in double precision.
+A coarse quantiser puts every vector into an inverted list of its label: the nearest
+centre and, where there are many vectors, the nearest of a second set of centres to
+what remains.  The rest is coded per subspace, a byte each; a list holds codes and
+their errors, not vectors.  A vector probes every list whose cell can hold a partner:
+those with the bisector towards their centre closer than the largest distance of a
+link, which loses none.  Distances to a list's codes come from lookup tables, widened
+by each code's own error; only vectors with a code that near are fetched whole and
+reranked by exact cosine in double precision.
 
 Vectors of different lengths have quantisers of their own, fitted on their share of
 the sample, and meet in different units.  Equal vectors are one node with a count;
-labels and vectors are identified by a 64-bit hash of both.  Lists are cut into blocks of a bounded
-size, and a task compares a block of members with a block of probing vectors; it
-returns link counts and a spanning forest, never the pairs.
+labels and vectors are identified by a 64-bit hash of both.  Lists are cut into blocks
+of a bounded size: a task scans a block of codes for a block of probing vectors and
+names those that are near something, and the rerank of such a unit returns link counts
+and a spanning forest, never the pairs.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,25 +35,35 @@ from tableflow.llm.ngram_join import spanning
 
 #: Vectors that the quantisers are fitted on at most, chosen by hash.
 SAMPLE_VECTORS = 16_384
-#: A list aims at this many vectors of a label; there are MAX_LISTS at most.
+#: A list aims at this many vectors of a label.  Up to MAX_CENTRES lists have a centre each; beyond,
+#: each centre has up to MAX_CENTRES lists, by a second set of centres that all of them share.
 LIST_VECTORS = 1024
-MAX_LISTS = 512
+MAX_CENTRES = 512
 BLOCK_VECTORS = 1024
 SUBSPACES = 8
 CODEWORDS = 64
-_RERANK = 1 << 16
+#: Distances held at once.
+_CELLS = 1 << 22
+#: What single precision of probing vectors may add to a distance.
+_SLACK = 1e-4
 
 
 @dataclass
 class Quantiser:
-    """Coarse centres and one codebook per subspace, for vectors of one length."""
+    """Coarse and second centres and one codebook per subspace, for vectors of one length."""
 
-    centres: np.ndarray
+    coarse: np.ndarray
+    second: np.ndarray
     codebooks: list[np.ndarray]
     cuts: list[int]
 
+    def base(self, lists: np.ndarray) -> np.ndarray:
+        """The points around which vectors of these lists are coded."""
+        return self.coarse[lists // len(self.second)] + self.second[lists % len(self.second)]
+
     def assign(self, x: np.ndarray) -> np.ndarray:
-        return np.argmin(_distances(x, self.centres), axis=1)
+        first = _nearest(x, self.coarse)
+        return first * len(self.second) + _nearest(x - self.coarse[first], self.second)
 
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of residuals and the distance from each to what its code stands for."""
@@ -57,7 +71,7 @@ class Quantiser:
         error = np.zeros(len(residual))
         for k, book in enumerate(self.codebooks):
             part = residual[:, self.cuts[k]:self.cuts[k + 1]]
-            codes[:, k] = np.argmin(_distances(part, book), axis=1)
+            codes[:, k] = _nearest(part, book)
             error += ((part - book[codes[:, k]]) ** 2).sum(axis=1)
         return codes, np.sqrt(error)
 
@@ -69,15 +83,32 @@ class Quantiser:
             total += table[:, codes[:, k]]
         return np.sqrt(total)
 
-    def probes(self, x: np.ndarray, reach: float) -> np.ndarray:
-        """Lists that can hold a vector within ``reach``: their bisector is no farther than that."""
-        d = _distances(x, self.centres)
-        own = np.argmin(d, axis=1)
-        apart = np.sqrt(_distances(self.centres, self.centres))[own]
-        gap = d - d[np.arange(len(x)), own][:, None]
-        near = gap <= 2 * apart * reach + 1e-9
-        near[np.arange(len(x)), own] = True
-        return near
+    def probes(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """``row, list`` of the lists that can hold a vector within ``reach``: both bisectors are no farther."""
+        row, first = np.nonzero(_reached(x, self.coarse, reach))
+        if len(self.second) == 1:
+            return row, first
+        rows, lists, step = [], [], max(1, _CELLS // len(self.second))
+        for k in range(0, len(row), step):
+            part, centre = row[k:k + step], first[k:k + step]
+            at, second = np.nonzero(_reached(x[part] - self.coarse[centre], self.second, reach))
+            rows.append(part[at])
+            lists.append(centre[at] * len(self.second) + second)
+        return np.concatenate(rows), np.concatenate(lists)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argmin(_distances(x, centres), axis=1)
+
+
+def _reached(x: np.ndarray, centres: np.ndarray, reach: float) -> np.ndarray:
+    """Whether a point within ``reach`` of a row can be nearest to each of the centres."""
+    d = _distances(x, centres)
+    own = np.argmin(d, axis=1)
+    apart = np.sqrt(_distances(centres, centres))[own]
+    near = d - d[np.arange(len(x)), own][:, None] <= 2 * apart * reach + 1e-9
+    near[np.arange(len(x)), own] = True
+    return near
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -98,12 +129,15 @@ def _centres(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def fit(sample: np.ndarray, lists: int, subspaces: int = SUBSPACES, codewords: int = CODEWORDS) -> Quantiser:
-    """Quantisers from unit vectors (rows)."""
-    centres = _centres(sample, lists)
-    residual = sample - centres[np.argmin(_distances(sample, centres), axis=1)]
+    """Quantisers from unit vectors (rows), with about ``lists`` lists."""
+    coarse = _centres(sample, min(lists, MAX_CENTRES))
+    rest = sample - coarse[_nearest(sample, coarse)]
+    many = min(-(-lists // MAX_CENTRES), MAX_CENTRES)
+    second = _centres(rest, many) if many > 1 else np.zeros((1, sample.shape[1]))
+    rest = rest - second[_nearest(rest, second)]
     cuts = [round(k * sample.shape[1] / min(subspaces, sample.shape[1])) for k in range(min(subspaces, sample.shape[1]) + 1)]
-    books = [_centres(residual[:, a:b], codewords) for a, b in zip(cuts, cuts[1:])]
-    return Quantiser(centres, books, cuts)
+    books = [_centres(rest[:, a:b], codewords) for a, b in zip(cuts, cuts[1:])]
+    return Quantiser(coarse, second, books, cuts)
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -120,16 +154,34 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim))
 
 
-def block_links(members: np.ndarray, queries: np.ndarray, quantiser: Quantiser, centre: np.ndarray,
-                threshold: float) -> np.ndarray:
+def near_codes(codes: np.ndarray, error: np.ndarray, queries: np.ndarray, quantiser: Quantiser, base: np.ndarray,
+               reach: float, itself: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which members (given by codes) and which queries have one of the other side that can be within ``reach``.
+
+    ``itself``: a query's own place among the members, which does not count, or -1.
+    """
+    members, asking = np.zeros(len(codes), bool), np.zeros(len(queries), bool)
+    step = max(1, _CELLS // max(1, len(codes)))
+    for k in range(0, len(queries), step):
+        near = quantiser.table_distances(queries[k:k + step] - base, codes) <= reach + _SLACK + error[None, :]
+        own = itself[k:k + step]
+        near[np.flatnonzero(own >= 0), own[own >= 0]] = False
+        members |= near.any(axis=0)
+        asking[k:k + step] = near.any(axis=1)
+    return members, asking
+
+
+def exact_links(queries: np.ndarray, members: np.ndarray, threshold: float) -> np.ndarray:
     """``(query, member)`` pairs with cosine at or above the threshold, as an n x 2 array."""
-    codes, error = quantiser.encode(members - centre)
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    near = quantiser.table_distances(queries - centre, codes) <= reach + error[None, :]
-    pairs = np.argwhere(near)
-    kept = [p[np.einsum("ij,ij->i", queries[p[:, 0]], members[p[:, 1]]) >= threshold]
-            for p in (pairs[k:k + _RERANK] for k in range(0, len(pairs), _RERANK))]
-    return np.concatenate(kept) if kept else pairs
+    step = max(1, _CELLS // max(1, len(members)))
+    found = []
+    for k in range(0, len(queries), step):
+        pairs = np.argwhere(queries[k:k + step] @ members.T >= threshold - 1e-9)
+        pairs[:, 0] += k
+        # a matrix product may round otherwise than the product of one pair
+        exact = np.einsum("ij,ij->i", queries[pairs[:, 0]], members[pairs[:, 1]])
+        found.append(pairs[exact >= threshold])
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -180,16 +232,21 @@ def _quantisers(nodes: DataFrame, list_vectors: int) -> dict[int, Quantiser]:
         sample.setdefault(r["dim"], []).append((r["node"], r["vector"]))
     out = {}
     for r in counted:
-        lists = max(1, min(MAX_LISTS, round(r["n"] / max(1, r["labels"]) / list_vectors)))
+        lists = max(1, round(r["n"] / max(1, r["labels"]) / list_vectors))
         chosen = np.array([v for _, v in sorted(sample.get(r["dim"], []))], float).reshape(-1, r["dim"])
         out[r["dim"]] = fit(unit_rows(chosen) if len(chosen) else np.zeros((1, r["dim"])), lists)
     return out
 
 
-def _links(nodes: DataFrame, threshold: float, list_vectors: int) -> DataFrame:
-    """``a, b, n``: link counts (``b`` null) and forests of links (``n`` 0)."""
-    held = nodes.sparkSession.sparkContext.broadcast(_quantisers(nodes, list_vectors))
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+_CELL = ("dim", "label", "list")
+_UNIT = (*_CELL, "i", "j")
+
+
+def _index(nodes: DataFrame, held: Broadcast, reach: float) -> DataFrame:
+    """``node, dim, label, copies, query, own, codes, error, probes``: every vector coded in its list.
+
+    ``query`` is the unit vector in single precision, by which it probes others.
+    """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,20 +254,28 @@ def _links(nodes: DataFrame, threshold: float, list_vectors: int) -> DataFrame:
             for dim in np.unique(dims).tolist():
                 part, q = batch.filter(pa.array(dims == dim)), held.value[dim]
                 x = unit_rows(_matrix(part.column("vector"), dim))
-                own, near = q.assign(x), q.probes(x, reach)
+                own = q.assign(x)
+                codes, error = q.encode(x - q.base(own))
+                row, lists = q.probes(x, reach)
+                ends = np.searchsorted(row, np.arange(len(x) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("node", "dim", "label", "copies", "vector")),
-                     pa.array(own, pa.int32()), pa.array([np.flatnonzero(r) for r in near], pa.list_(pa.int32()))],
-                    ["node", "dim", "label", "copies", "vector", "own", "probes"])
-
-    placed = stored(nodes.select("node", "dim", "label", "copies", "vector").mapInArrow(
-        place, "node long, dim int, label string, copies long, vector array<double>, own int, probes array<int>"))
-    cell = ["dim", "label", "list"]
-    probing = placed.select("dim", "label", F.explode("probes").alias("list")).groupBy(*cell) \
+                    [*(part.column(c) for c in ("node", "dim", "label", "copies")),
+                     pa.array([v.tobytes() for v in x.astype("<f4")], pa.binary()), pa.array(own, pa.int32()),
+                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error.astype(np.float32) + np.float32(1e-6)),
+                     pa.ListArray.from_arrays(ends, lists.astype(np.int32))],
+                    ["node", "dim", "label", "copies", "query", "own", "codes", "error", "probes"])
+
+    return nodes.select("node", "dim", "label", "copies", "vector").mapInArrow(
+        place, "node long, dim int, label string, copies long, query binary, own int, codes binary, error float, probes array<int>")
+
+
+def _units(index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (codes) and queries dealt into units: a block of a list's codes and a block of those that probe it."""
+    probing = index.select("dim", "label", F.explode("probes").alias("list")).groupBy(*_CELL) \
         .agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("query_blocks"))
-    holding = placed.groupBy("dim", "label", F.col("own").alias("list")) \
+    holding = index.groupBy("dim", "label", F.col("own").alias("list")) \
         .agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("member_blocks"))
-    sizes = holding.join(probing, cell)
+    sizes = holding.join(probing, [*_CELL])
 
     def block(blocks: str) -> Column:
         return F.pmod(F.xxhash64(F.lit(blocks), "node"), F.col(blocks)).cast("int")
@@ -218,32 +283,58 @@ def _links(nodes: DataFrame, threshold: float, list_vectors: int) -> DataFrame:
     def upto(blocks: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
-    members = (placed.withColumnRenamed("own", "list").join(sizes, cell)
-               .select(*cell, block("member_blocks").alias("i"), upto("query_blocks").alias("j"),
-                       F.lit(True).alias("member"), "node", "copies", "vector"))
-    queries = (placed.select("dim", "label", F.explode("probes").alias("list"), "node", "copies", "vector")
-               .join(sizes, cell)
-               .select(*cell, upto("member_blocks").alias("i"), block("query_blocks").alias("j"),
-                       F.lit(False).alias("member"), "node", "copies", "vector"))
+    members = (index.withColumnRenamed("own", "list").join(sizes, [*_CELL])
+               .select(*_CELL, block("member_blocks").alias("i"), upto("query_blocks").alias("j"),
+                       F.lit(True).alias("member"), "node", F.col("codes").alias("held"), "error"))
+    queries = (index.select("dim", "label", F.explode("probes").alias("list"), "node", "query")
+               .join(sizes, [*_CELL])
+               .select(*_CELL, upto("member_blocks").alias("i"), block("query_blocks").alias("j"),
+                       F.lit(False).alias("member"), "node", F.col("query").alias("held"), F.lit(None).cast("float").alias("error")))
+    return members, queries
+
 
-    def compare(key: tuple, unit: pa.Table) -> pa.Table:
+def _links(nodes: DataFrame, threshold: float, list_vectors: int) -> DataFrame:
+    """``a, b, n``: link counts (``b`` null) and forests of links (``n`` 0)."""
+    held = nodes.sparkSession.sparkContext.broadcast(_quantisers(nodes, list_vectors))
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+    members, queries = _units(stored(_index(nodes, held, reach)))
+
+    def scan(key: tuple, unit: pa.Table) -> pa.Table:
+        member, dim = unit["member"].to_numpy(), key[0].as_py()
+        data, m, q = unit["held"].combine_chunks(), np.flatnonzero(member), np.flatnonzero(~member)
+        kept = np.zeros(len(member), bool)
+        if len(m) and len(q):
+            quantiser = held.value[dim]
+            codes = np.frombuffer(b"".join(data[k].as_py() for k in m.tolist()), np.uint8).reshape(len(m), -1)
+            asked = np.frombuffer(b"".join(data[k].as_py() for k in q.tolist()), "<f4").reshape(len(q), dim).astype(float)
+            error = unit["error"].to_numpy()[m].astype(float)
+            node = unit["node"].to_numpy()
+            order = np.argsort(node[m])
+            at = np.minimum(np.searchsorted(node[m], node[q], sorter=order), len(m) - 1)
+            itself = np.where(node[m][order[at]] == node[q], order[at], -1)
+            base = quantiser.base(np.array([key[2].as_py()]))[0]
+            kept[m], kept[q] = near_codes(codes, error, asked, quantiser, base, reach, itself)
+        return unit.select([*_UNIT, "member", "node"]).filter(pa.array(kept))
+
+    survivors = members.union(queries).groupBy(*_UNIT).applyInArrow(
+        scan, "dim int, label string, list int, i int, j int, member boolean, node long")
+
+    def rerank(key: tuple, unit: pa.Table) -> pa.Table:
         unit = unit.combine_chunks()
         member = unit["member"].to_numpy()
         node, copies = unit["node"].to_numpy(), unit["copies"].to_numpy()
         x = unit_rows(_matrix(unit["vector"].chunk(0), key[0].as_py()))
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
-        a, b, count = [], [], []
-        if len(m) and len(q):
-            quantiser = held.value[key[0].as_py()]
-            pairs = block_links(x[m], x[q], quantiser, quantiser.centres[key[2].as_py()], threshold)
-            pairs = np.column_stack([q[pairs[:, 0]], m[pairs[:, 1]]])
-            pairs = pairs[node[pairs[:, 0]] != node[pairs[:, 1]]]
-            linked = np.bincount(pairs[:, 0], weights=copies[pairs[:, 1]], minlength=len(node)).astype(np.int64)
-            some = np.flatnonzero(linked)
-            forest = spanning(pairs, len(node))
-            a = [*node[some].tolist(), *(int(node[r]) for r, _ in forest)]
-            b = [*[None] * len(some), *(int(node[k]) for _, k in forest)]
-            count = [*linked[some].tolist(), *[0] * len(forest)]
+        pairs = exact_links(x[q], x[m], threshold)
+        pairs = np.column_stack([q[pairs[:, 0]], m[pairs[:, 1]]])
+        pairs = pairs[node[pairs[:, 0]] != node[pairs[:, 1]]]
+        linked = np.bincount(pairs[:, 0], weights=copies[pairs[:, 1]], minlength=len(node)).astype(np.int64)
+        some = np.flatnonzero(linked)
+        forest = spanning(pairs, len(node))
+        a = [*node[some].tolist(), *(int(node[r]) for r, _ in forest)]
+        b = [*[None] * len(some), *(int(node[k]) for _, k in forest)]
+        count = [*linked[some].tolist(), *[0] * len(forest)]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(count, pa.int64())})
 
-    return members.union(queries).groupBy(*cell, "i", "j").applyInArrow(compare, "a long, b long, n long")
+    whole = survivors.join(nodes.select("node", "copies", "vector"), "node")
+    return whole.groupBy(*_UNIT).applyInArrow(rerank, "a long, b long, n long")

@@ -82,23 +82,57 @@ def test_large_group_of_copies_is_one_node(spark):
     _check(spark, [(k, [1.0, 2.0, 3.0], 0) for k in range(200)] + [(500, [1.0, 2.0, 3.01], 0)])
 
 
-def test_quantiser_distances_are_within_the_code_errors():
+@pytest.mark.parametrize("lists", [4, 40])
+def test_quantiser_distances_are_within_the_code_errors(monkeypatch, lists):
+    monkeypatch.setattr(P, "MAX_CENTRES", 8)
     rng = np.random.default_rng(4)
     x = P.unit_rows(rng.normal(size=(300, 16)))
-    q = P.fit(x, 4)
-    c = q.centres[0]
+    q = P.fit(x, lists)
+    assert len(q.second) == (1 if lists == 4 else 5)
+    c = q.base(np.array([1]))[0]
     codes, error = q.encode(x - c)
     true = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
     assert (np.abs(q.table_distances(x - c, codes) - true) <= error[None, :] + 1e-6).all()
+    members, asking = P.near_codes(codes, error, x[:50], q, c, 0.9, np.arange(50))
+    np.fill_diagonal(true, 9)
+    assert members[(true[:50] <= 0.9).any(axis=0)].all() and asking[(true[:50] <= 0.9).any(axis=1)].all()
 
 
-def test_probes_reach_every_near_list():
+@pytest.mark.parametrize("lists", [12, 60])
+def test_probes_reach_every_near_list(monkeypatch, lists):
+    monkeypatch.setattr(P, "MAX_CENTRES", 12)
     rng = np.random.default_rng(6)
     x = P.unit_rows(rng.normal(size=(400, 8)))
     y = P.unit_rows(x + rng.normal(size=x.shape) * 0.05)
-    q = P.fit(x, 12)
+    q = P.fit(x, lists)
     reach = np.sqrt(((x - y) ** 2).sum(axis=1)).max() + 1e-9
-    assert q.probes(x, reach)[np.arange(len(x)), q.assign(y)].all()
+    row, found = q.probes(x, reach)
+    pairs = set(zip(row.tolist(), found.tolist()))
+    assert all((k, own) in pairs for k, own in enumerate(q.assign(y).tolist()))
+    assert (np.diff(row) >= 0).all() and len(pairs) == len(row) < 400 * lists
+
+
+def test_two_levels_of_lists_find_every_link(spark, monkeypatch):
+    monkeypatch.setattr(P, "MAX_CENTRES", 4)
+    _check(spark, _clumps(11, n=220), list_vectors=6)
+
+
+def test_whole_vectors_go_only_where_codes_are_near(spark, monkeypatch):
+    """Of far vectors with one close pair, the rerank gets little more than the pair."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 32))
+    x[1] = x[0] + 0.01
+    df = spark.createDataFrame([(k, [float(v) for v in row], 0, 1, 2, "x") for k, row in enumerate(x)], SCHEMA)
+    sizes = spark.sparkContext.accumulator(0)
+    exact = P.exact_links
+
+    def counted(queries, members, threshold):
+        sizes.add(len(queries) + len(members))
+        return exact(queries, members, threshold)
+
+    monkeypatch.setattr(P, "exact_links", counted)
+    assert P.near_duplicates(df).where("n_links > 0").count() == 2
+    assert sizes.value < 300
 
 
 def test_any_number_of_lengths(spark, monkeypatch):
