@@ -186,6 +186,11 @@ def oracles() -> dict[str, str]:
         "SELECT o_orderstatus, count(*) AS n_orders, CASE WHEN month = '03' THEN 2 ELSE 1 END AS run, month FROM c "
         "GROUP BY o_orderstatus, month"
     )
+    sq["catalog_partitions"] = (
+        "SELECT o_orderkey, CASE WHEN month IN ('04', '05', '06') THEN 'done' ELSE o_orderstatus END AS o_orderstatus, month "
+        "FROM (SELECT *, strftime(o_orderdate, '%m') AS month FROM orders) "
+        "WHERE month NOT IN ('04', '05', '06') OR o_orderstatus = 'F'"
+    )
     sq["monthly_write"] = "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%m') AS month FROM orders"
     sq["rows_to_cells"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'cf' AS family, q AS qualifier, v AS value_hex FROM "

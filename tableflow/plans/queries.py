@@ -67,7 +67,7 @@ from tableflow.operators.joins import split_skew_join
 from tableflow.functions.text import chunk_text
 from tableflow.plans.tables import load
 from tableflow.session import scratch_path
-from tableflow.sinks import to_csv, to_parquet
+from tableflow.sinks import insert_partitions, to_csv, to_parquet
 from tableflow.sources import (
     inline_table,
     month_labels,
@@ -245,6 +245,18 @@ def q_monthly_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, months)
 
 
+def q_catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in a catalog table partitioned by month, then the months of the second quarter
+    replaced by their finished orders; the table is read through the catalog."""
+    path = scratch_path(spark, "catalog-orders")
+    name = "orders_by_month_" + path[-12:]
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "MM").alias("month"), "o_orderstatus")
+    insert_partitions(orders, name, path, ["month"])
+    spring = orders.where(F.col("month").isin("04", "05", "06") & (F.col("o_orderstatus") == "F"))
+    insert_partitions(spring.withColumn("o_orderstatus", F.lit("done")), name, path, ["month"])
+    return spark.table(name)
+
+
 def q_monthly_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "monthly-out")
     orders = load(spark, sf_dir, "orders")
@@ -850,6 +862,7 @@ def registry() -> dict[str, Query]:
         "sink_parquet": q_sink_parquet,
         "monthly_pipeline": q_monthly_pipeline,
         "monthly_tables": q_monthly_tables,
+        "catalog_partitions": q_catalog_partitions,
         "monthly_drift": q_monthly_drift,
         "monthly_changed": q_monthly_changed,
         "monthly_write": q_monthly_write,

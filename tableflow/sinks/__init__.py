@@ -2,6 +2,7 @@
 
 from tableflow.sinks.files import (
     create_table_if_missing,
+    insert_partitions,
     postgres_url,
     quote_ident,
     to_csv,

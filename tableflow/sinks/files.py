@@ -85,10 +85,36 @@ def quote_ident(name: str) -> str:
 
 
 def create_table_if_missing(spark: SparkSession, name: str, ddl_schema: str, path: str,
-                            fmt: str = "parquet") -> bool:
+                            fmt: str = "parquet", partitioned_by: Sequence[str] = ()) -> bool:
     """Register a catalog table over ``path`` unless it exists; True if created."""
     if spark.catalog.tableExists(name):
         return False
     location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_ident(name)} ({ddl_schema}) USING {fmt} LOCATION '{location}'")
+    parts = f" PARTITIONED BY ({', '.join(map(quote_ident_part, partitioned_by))})" if partitioned_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_ident(name)} ({ddl_schema}) USING {fmt}{parts} LOCATION '{location}'")
     return True
+
+
+def insert_partitions(df: DataFrame, name: str, path: str, partition_cols: Sequence[str]) -> list[str]:
+    """Write ``df`` into the partitioned catalog table ``name``, created over ``path`` if missing.
+
+    Only the partitions that ``df`` has rows for are replaced; all others stay, and an
+    empty frame changes nothing.  Every task writes the partitions that its rows
+    belong to, so a partition with most of the rows is written by many.  Columns are
+    matched by name: one that the table does not have, or that is missing, raises.
+    Returns the table's columns, partition columns last.
+    """
+    spark, held = df.sparkSession, dict(df.dtypes)
+    parts = list(partition_cols)
+    missing = [c for c in parts if c not in held]
+    if missing or len(parts) == len(held):
+        raise ValueError(f"partition columns {parts} must be some of the columns {df.columns}")
+    ordered = [*[c for c in df.columns if c not in parts], *parts]
+    ddl = ", ".join(f"{quote_ident_part(c)} {held[c]}" for c in ordered)
+    create_table_if_missing(spark, name, ddl, path, partitioned_by=parts)
+    columns = spark.table(name).columns
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"columns {df.columns} are not those of {name}: {columns}")
+    rows = df.select(*[F.col(quote_ident_part(c)) for c in columns])
+    rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
+    return columns

@@ -1,8 +1,9 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from tableflow.sinks import create_table_if_missing, to_csv, to_jdbc, to_parquet
+from tableflow.sinks import create_table_if_missing, insert_partitions, to_csv, to_jdbc, to_parquet
 from tableflow.sources import (
     inline_table, read_csv, read_jdbc, read_monthly_output, read_parquet, readin_monthly, write_monthly,
 )
@@ -122,3 +123,21 @@ def test_partitioned_sinks_and_typed_csv(spark, person):
     to_csv(person, root, "semi", sep=";", partition_by=["gender"])
     typed = read_csv(spark, root, "semi", sep=";", schema="key int, name string, age int, occupation string, gender string")
     assert typed.filter("gender = 'm'").count() == 2 and dict(typed.dtypes)["age"] == "int"
+
+
+def test_partitions_of_a_catalog_table_are_replaced_one_by_one(spark):
+    path = scratch_path(spark, "partitioned")
+    name = "parts_" + path[-12:]
+    rows = [("01", 1, "a"), ("02", 2, "b"), (None, 3, "c")]
+    assert insert_partitions(spark.createDataFrame(rows, "month string, `k k` int, v string"), name, path, ["month"]) == ["k k", "v", "month"]
+    insert_partitions(spark.createDataFrame([("x", 9, "02"), ("y", 8, "05")], "v string, `k k` int, month string"), name, path, ["month"])
+    insert_partitions(spark.createDataFrame([], "v string, `k k` int, month string"), name, path, ["month"])
+    assert sorted(map(tuple, spark.table(name).collect()), key=str) == [(1, "a", "01"), (3, "c", None), (8, "y", "05"), (9, "x", "02")]
+    # the setting of the session does not matter, and partitions are pruned through the catalog
+    plan = spark.table(name).where("month = '02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    for bad in ("v string, month string", "v string, `k k` int, month string, more int"):
+        with pytest.raises(ValueError, match="are not those"):
+            insert_partitions(spark.createDataFrame([], bad), name, path, ["month"])
+    with pytest.raises(ValueError, match="must be some"):
+        insert_partitions(spark.createDataFrame([], "a int"), name, path, ["month"])
