@@ -42,8 +42,10 @@ from tableflow.operators.quality import (
     encoding_profile,
     explode_lines,
     line_profile,
+    merge_profiles,
     null_count,
     null_rows,
+    profile_parts,
     schema_conformance,
 )
 

@@ -131,6 +131,57 @@ def data_profile(df: DataFrame, approx: bool = False, rsd: float = 0.05, digits:
     )
 
 
+PROFILE_PART_SCHEMA = ("part string, position int, column string, datatype string, is_numeric boolean, rows bigint, "
+                       "not_null bigint, mean double, squares double, min double, max double, sketch binary")
+
+
+def profile_parts(df: DataFrame, part: str | Column = "", lg_k: int = 12) -> DataFrame:
+    """What a profile is made of, one row per part and column, to be stored and merged later.
+
+    ``part`` is a label, or a column whose values are the parts: all of them take one
+    pass.  Moments are a mean and the sum of squared distances from it; distinct
+    values are a sketch of 2^``lg_k`` registers at most.  All are combined map-side,
+    so a part with most of the rows costs a row per task.
+    """
+    label = F.lit(part) if isinstance(part, str) else F.coalesce(part.cast("string"), F.lit(""))
+    fields = list(df.schema.fields)
+    long = df.select(label.alias("part"), F.inline(F.array(*[_profile_entry(i, f) for i, f in enumerate(fields)])))
+    # no data, no groups: a part without rows has none
+    parts = long.groupBy("part", "_i").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("_nn").alias("not_null"), F.avg("_x").alias("mean"),
+        (F.var_pop("_x") * F.count("_x")).alias("squares"), F.min("_x").alias("min"), F.max("_x").alias("max"),
+        F.hll_sketch_agg(F.when(F.col("_nn"), F.xxhash64("_v")), lg_k).alias("sketch"))
+    meta = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString(), isinstance(f.dataType, T.NumericType)) for i, f in enumerate(fields)],
+        "_i int, column string, datatype string, is_numeric boolean")
+    out = parts.join(F.broadcast(meta), "_i")  # a row per column
+    return out.select("part", F.col("_i").alias("position"), "column", "datatype", "is_numeric", "rows", "not_null", "mean",
+                      "squares", "min", "max", "sketch")
+
+
+def merge_profiles(parts: DataFrame) -> DataFrame:
+    """The profile (``PROFILE_SCHEMA``) of all parts together, from :func:`profile_parts` of each.
+
+    Counts, least and greatest values are those of the whole table, and moments up to
+    rounding; ``distinct_count`` is an estimate.  The same part given twice counts twice.
+    """
+    weight = F.col("not_null").cast("double")
+    held = parts.groupBy("column").agg(
+        F.min("position").alias("position"), F.max_by("datatype", "rows").alias("datatype"), F.bool_or("is_numeric").alias("is_numeric"),
+        F.sum("rows").alias("rows"), F.sum("not_null").alias("n"), (F.sum(weight * F.col("mean")) / F.sum(weight)).alias("mean"),
+        F.sum("squares").alias("within"), F.collect_list(F.struct(weight.alias("w"), F.col("mean").alias("m"))).alias("means"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("d"))
+    # a row per part: the means' own spread around the mean of all, without cancellation
+    between = F.aggregate("means", F.lit(0.0), lambda acc, p: acc + F.coalesce(p["w"] * (p["m"] - F.col("mean")) ** 2, F.lit(0.0)))
+    nulls, numeric = F.col("rows") - F.col("n"), F.col("is_numeric")
+    spread = F.when(F.col("n") > 1, F.sqrt((F.col("within") + between) / (F.col("n") - 1)))
+    return held.orderBy("position").select(
+        "column", "datatype", (F.col("d") + F.when(nulls > 0, 1).otherwise(0)).cast("bigint").alias("distinct_count"),
+        F.when(numeric, F.col("n")).otherwise(F.col("rows")).alias("count"), F.when(numeric, F.col("mean")).alias("mean"),
+        F.when(numeric, spread).alias("stddev"), F.when(numeric, F.col("min")).alias("min"), F.when(numeric, F.col("max")).alias("max"),
+        nulls.alias("null_count"))
+
+
 def null_rows(df: DataFrame, column: str, show_cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows (of ``show_cols``) where ``column`` is NULL."""
     cols = list(show_cols) if show_cols else df.columns

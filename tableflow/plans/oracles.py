@@ -351,6 +351,10 @@ def oracles() -> dict[str, str]:
         _profile_numeric("value", "double"),
         _profile_other("props", "string"),
     ])
+    sq["profile_merged"] = (
+        "SELECT \"column\", datatype, count, mean, stddev, min, max, null_count, true AS distinct_close "
+        f"FROM ({sq['data_profile']})"
+    )
     sq["schema_conformance"] = _conformance()
     sq["line_profile"] = (
         "SELECT source, CAST(max(length(line)) AS INTEGER) AS max_line_length, count(*) AS n_lines "

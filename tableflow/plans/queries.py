@@ -36,10 +36,12 @@ from tableflow.operators import (
     join_mapped,
     join_on,
     line_profile,
+    merge_profiles,
     null_count,
     null_rows,
     one_hot,
     parse_amount,
+    profile_parts,
     prefix_filter,
     read_bulk,
     rename_cols,
@@ -64,6 +66,7 @@ from tableflow.operators.cells import salt_of
 from tableflow.operators.charsets import charset_advice, fit_charsets
 from tableflow.operators.features import category_count
 from tableflow.operators.joins import split_skew_join
+from tableflow.operators.quality import PROFILE_PART_SCHEMA
 from tableflow.functions.text import chunk_text
 from tableflow.plans.tables import load
 from tableflow.session import scratch_path
@@ -646,6 +649,22 @@ def q_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- quality
 
 
+def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of the events of each kind, stored one after the other and merged; the merged estimate
+    of distinct values is held against the exact count of the whole table."""
+    events = _events_with_nulls(spark, sf_dir)
+    store = scratch_path(spark, "profile-parts")
+    kind = F.col("event_type")
+    for arriving in (kind.isin("click", "view"), ~kind.isin("click", "view") | kind.isNull()):
+        profile_parts(events.where(arriving), kind).write.mode("append").parquet(store)
+    merged = merge_profiles(spark.read.schema(PROFILE_PART_SCHEMA).parquet(store))
+    exact = data_profile(events).select("column", F.col("distinct_count").alias("exact_count"))
+    close = F.abs(F.col("distinct_count") - F.col("exact_count")) <= 0.05 * F.col("exact_count")
+    return merged.join(exact, "column").select(
+        "column", "datatype", "count", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), "min", "max", "null_count",
+        close.alias("distinct_close"))
+
+
 def q_data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data_profile(_events_with_nulls(spark, sf_dir), digits=4)
 
@@ -911,6 +930,7 @@ def registry() -> dict[str, Query]:
         "distinct_values": q_distinct_values,
         "top_n": q_top_n,
         "data_profile": q_data_profile,
+        "profile_merged": q_profile_merged,
         "schema_conformance": q_schema_conformance,
         "line_profile": q_line_profile,
         "line_chunk": q_line_chunk,

@@ -1,9 +1,14 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
 from tableflow.operators import (
-    data_profile, encoding_profile, explode_lines, line_profile, null_count, null_rows, schema_conformance,
+    data_profile, encoding_profile, explode_lines, line_profile, merge_profiles, null_count, null_rows, profile_parts,
+    schema_conformance,
 )
+from tableflow.session import scratch_path
 
 
 def _n3(spark):
@@ -99,3 +104,39 @@ def test_profile_distinct_keys_by_type(spark):
     df = spark.createDataFrame(rows, "i int, b boolean, d date, bin binary, m map<string,int>, t timestamp, a array<string>")
     got = {r.column: r.distinct_count for r in data_profile(df).collect()}
     assert got == {"i": 2, "b": 2, "d": 3, "bin": 2, "m": None, "t": 2, "a": 3}
+
+
+def _close(a, b):
+    return a == b or (a is not None and b is not None and abs(a - b) <= 1e-9 * max(1.0, abs(b)))
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e9])
+def test_merged_parts_are_the_profile_of_the_whole(spark, shift):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 7).cast("string")).alias("month"),
+        F.when(F.col("id") % 11 != 0, F.sin("id") * 100 + shift).alias("x"), (F.col("id") % 400).cast("int").alias("k"),
+        F.when(F.col("id") == 7, F.lit(None)).otherwise(F.concat(F.lit("v"), (F.col("id") % 1500).cast("string"))).alias("t"),
+        F.struct(F.col("id") % 5).alias("s"), F.lit(None).cast("double").alias("none"))
+    whole = {r.column: r for r in data_profile(df).collect()}
+    store = scratch_path(spark, "profile")
+    for split in (F.col("k") < 100, F.col("k").between(100, 250), F.col("k") > 250):  # months arrive in lots
+        profile_parts(df.where(split), F.col("month")).write.mode("append").parquet(store)
+    merged = merge_profiles(spark.read.parquet(store))
+    assert merged.columns == data_profile(df).columns
+    rows = merged.collect()
+    assert [r.column for r in rows] == df.columns
+    for r in rows:
+        w = whole[r.column]
+        assert (r.datatype, r["count"], r.null_count, r.min, r.max) == (w.datatype, w["count"], w.null_count, w.min, w.max)
+        assert _close(r.mean, w["mean"]) and (r.stddev is None) == (w.stddev is None)
+        assert r.stddev is None or abs(r.stddev - w.stddev) <= 1e-6 * w.stddev
+        assert abs(r.distinct_count - w.distinct_count) <= 0.05 * w.distinct_count
+
+
+def test_one_part_and_no_rows(spark):
+    df = spark.createDataFrame([(1.0, "a"), (None, "b")], "x double, t string")
+    one = {r.column: r for r in merge_profiles(profile_parts(df, "2024")).collect()}
+    assert (one["x"]["count"], one["x"].stddev, one["x"].distinct_count, one["t"].distinct_count) == (1, None, 2, 2)
+    assert profile_parts(df.limit(0), "2024").count() == 0
+    both = profile_parts(df, "a").union(profile_parts(df.limit(0), "b"))
+    assert merge_profiles(both).collect() == merge_profiles(profile_parts(df, "a")).collect()
