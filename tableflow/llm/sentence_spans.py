@@ -86,6 +86,9 @@ def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
 def _run_table(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
     """``run`` (32 bits) for all runs, or ``run64, doc_id, rowkey, first, last`` for those in the bitmap.
 
+    With a bitmap, every text also has a row without ``run64`` and ``last`` whose ``first``
+    counts its sentences, and one without ``run64`` for each run that repeats an earlier one of its own.
+
     A run that a text repeats is listed where it first stands: the others are
     later ones whatever the corpus holds.
     """
@@ -103,19 +106,22 @@ def _run_table(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count, run, span = [], [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)]
+            count, run, span, looked_up = [], [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)], [np.zeros(0, bool)]
             for t in batch.column("text"):
-                h, spans, _ = runs(t.as_py())
+                h, spans, ends = runs(t.as_py())
                 first = np.unique(h, return_index=True)[1]
-                kept = first[_in_bitmap(held.value, short(h[first]))]
-                run.append(h[kept])
-                span.append(spans[kept])
-                count.append(len(run[-1]))
+                again = np.ones(len(h), bool)
+                again[first] = False
+                kept, own = first[_in_bitmap(held.value, short(h[first]))], np.flatnonzero(again)
+                run += [h[kept], np.zeros(1 + len(own), np.uint64)]
+                span += [spans[kept], np.array([[len(ends), -1]]), spans[own]]
+                looked_up += [np.ones(len(kept), bool), np.zeros(1 + len(own), bool)]
+                count.append(len(kept) + 1 + len(own))
             at = pa.array(np.repeat(np.arange(len(count)), count), pa.int64())
-            span = np.concatenate(span).astype(np.int32)
+            span, off = np.concatenate(span).astype(np.int32), ~np.concatenate(looked_up)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(run).view(np.int64)), batch.column("doc_id").take(at), batch.column("rowkey").take(at),
-                 pa.array(span[:, 0]), pa.array(span[:, 1])], ["run64", "doc_id", "rowkey", "first", "last"])
+                [pa.array(np.concatenate(run).view(np.int64), mask=off), batch.column("doc_id").take(at), batch.column("rowkey").take(at),
+                 pa.array(span[:, 0]), pa.array(span[:, 1], mask=span[:, 1] < 0)], ["run64", "doc_id", "rowkey", "first", "last"])
 
     if held is None:
         return texts.select("text").mapInArrow(all_runs, "run int")
@@ -160,35 +166,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counted = stored(_run_table(texts, None).groupBy("run").agg(F.count("*").alias("c")).where("c > 1").select("run"))
     places = stored(_run_table(texts, _bitmap(counted, "run")))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rowkey")
-    firsts = stored(places.groupBy("run64").agg(F.min(order).alias("at"), F.max(order).alias("to")).where("at <> to")
+    firsts = stored(places.where("run64 IS NOT NULL").groupBy("run64").agg(F.min(order).alias("at"), F.max(order).alias("to")).where("at <> to")
                     .select("run64", F.col("at.rowkey").alias("first_key")))
     # a run of very many documents is one key: both sides are dealt anew, so it can be split
-    later = (places.join(firsts, "run64").where(F.col("rowkey") != F.col("first_key"))
-             .select("rowkey", F.struct("first", "last").alias("run")))
+    run, none = F.struct("first", "last").alias("run"), F.lit(None).cast("int").alias("n")
+    later = places.join(firsts, "run64").where(F.col("rowkey") != F.col("first_key")).select("rowkey", none, run)
+    own = places.where("run64 IS NULL").select("rowkey", F.when(F.col("last").isNull(), F.col("first")).alias("n"),
+                                               F.when(F.col("last").isNotNull(), run).alias("run"))
     # rows alike in id and text repeat the same runs: a set
-    gone = later.groupBy(F.col("rowkey").alias("gone_key")).agg(F.collect_set("run").alias("gone"))
-    joined = texts.join(gone, F.col("rowkey") == F.col("gone_key"), "left").select("doc_id", "text", "gone")
+    found = later.union(own).groupBy(F.col("rowkey").alias("found_key")).agg(
+        F.max("n").alias("n"), F.collect_set("run").alias("gone"))
+    joined = texts.join(found, F.col("rowkey") == F.col("found_key"), "left").select("doc_id", "text", "n", "gone")
     out_id = fresh(["text", "n_sentences", "n_removed", "removed"], id_col)
     kind = dict(texts.dtypes)["doc_id"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new, total, removed, spans = [], [], [], []
+            new, removed, spans = [], [], []
             for held_text, found in zip(batch.column("text"), batch.column("gone")):
                 text = held_text.as_py()
-                h, places, ends = runs(text)
                 gone = {k for r in found.as_py() or () for k in range(r["first"], r["last"] + 1)}
-                again = np.ones(len(h), bool)
-                again[np.unique(h, return_index=True)[1]] = False
-                for a, b in places[again].tolist():
-                    gone.update(range(a, b + 1))
-                total.append(len(ends))
                 removed.append(len(gone))
-                kept, taken = cut_text(text, gone) if gone else (text, [])
+                kept, taken = cut_text(text, gone) if gone else (text, [])  # only texts that lose something are cut again
                 new.append(kept)
                 spans.append([{"start": s, "end": e} for s, e in taken])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(new, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                [batch.column("doc_id"), pa.array(new, pa.string()), batch.column("n").cast(pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                 ["doc_id", "text", "n_sentences", "n_removed", "removed"])
 
