@@ -192,7 +192,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     ``n_links`` counts the other rows linked directly.  ``component_id`` is the
     smallest id reachable, ``kept`` tells whether it is the row's own.  Null, zero
     and non-finite vectors and those with a null label link with nothing; a null id
-    stays null, and so does its ``kept``.  Repeated rows link with each other.  An
+    stays null, and is kept where its component has no other.  Repeated rows link with each other.  An
     empty table gives no rows; other columns are not carried.
     """
     prepared(vectors.sparkSession)
@@ -215,7 +215,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     return ids.join(classes, "node", "left").select(
         F.col("vec_id").alias(out_id), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id")
-    ).withColumn("kept", F.col(out_id) == F.col("component_id"))
+    ).withColumn("kept", F.col(out_id).eqNullSafe(F.col("component_id")))
 
 
 def _quantisers(nodes: DataFrame, list_vectors: int) -> dict[int, Quantiser]:

@@ -37,7 +37,7 @@ def _check(spark, rows, **options):
     df = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA)
     got = P.near_duplicates(df, **options).collect()
     assert sorted(((str(r.vec_id), r.n_links, r.component_id) for r in got), key=str) == brute(rows)
-    assert all(r.kept == (None if r.vec_id is None or r.component_id is None else r.vec_id == r.component_id) for r in got)
+    assert all(r.kept is (r.vec_id == r.component_id) for r in got)
 
 
 def _clumps(seed, n=150, dim=16):
