@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,23 +68,28 @@ def write_changed_months(
     layout: str = "suffix",
     version: str = "",
     undated: bool = False,
+    concurrent_jobs: int = 4,
 ) -> Mapping[str, bool]:
     """Write ``<output_dir>/<table_name>_MM`` for the months whose input has changed since it was last written.
 
     Every month's rows are read and hashed, which is one narrow pass; ``fn`` runs
     only for a month whose fingerprint, columns or ``version`` (the caller's name for
     ``fn`` as it is now) differs from the stored one.  Fingerprints are kept in
-    ``<output_dir>/<table_name>_fingerprints/MM``, written after the month's output.
-    Returns for every month whether it was written.
+    ``<output_dir>/<table_name>_fingerprints/MM``, written after the month's output.  Up
+    to ``concurrent_jobs`` months are worked on at once.  Returns for every month whether it was written.
     """
     month_source = month_reader(spark, path, table, layout)
-    written = {}
-    for mm in month_labels(start_month, end_month, undated):
+
+    def one(mm: str) -> bool:
         rows = month_source(mm)
         mark = os.path.join(output_dir, f"{table_name}_fingerprints", mm)
         now = fingerprint(rows, version).collect()
-        written[mm] = _stored(spark, mark) != tuple(now[0])
-        if written[mm]:
-            safe_names(rows.transform(fn)).write.mode("overwrite").parquet(os.path.join(output_dir, f"{table_name}_{mm}"))
-            spark.createDataFrame(now, FINGERPRINT).coalesce(1).write.mode("overwrite").parquet(mark)
-    return written
+        if _stored(spark, mark) == tuple(now[0]):
+            return False
+        safe_names(rows.transform(fn)).write.mode("overwrite").parquet(os.path.join(output_dir, f"{table_name}_{mm}"))
+        spark.createDataFrame(now, FINGERPRINT).coalesce(1).write.mode("overwrite").parquet(mark)
+        return True
+
+    months = month_labels(start_month, end_month, undated)
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        return dict(zip(months, pool.map(one, months)))
